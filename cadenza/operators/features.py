@@ -52,9 +52,12 @@ def standardize_array(df: DataFrame, vec: str, out: str | None = None,
     """A10 for a vector column; F1: the result is cast to float32 like the
     index input of the reference."""
     stats = array_stats(fit_on if fit_on is not None else df, vec)
-    z = F.transform(F.col(vec), lambda x, i: (x.cast("double") - stats[i]["mean"]) /
-                    _safe_std(stats[i]["std"]))
-    return df.withColumn(out or vec, z.cast("array<float>") if float32 else z)
+    # The subquery value is bound to a column first: Spark does not allow a
+    # subquery inside a lambda.
+    staged = df.withColumn("_stats", stats)
+    z = F.transform(F.col(vec), lambda x, i: (x.cast("double") - F.col("_stats")[i]["mean"]) /
+                    _safe_std(F.col("_stats")[i]["std"]))
+    return staged.withColumn(out or vec, z.cast("array<float>") if float32 else z).drop("_stats")
 
 
 def group_vector_means(df: DataFrame, group: str, vec: str, exclude=()) -> DataFrame:

@@ -23,7 +23,8 @@ def nearest(df: DataFrame, id_col: str, vec: str, query_id, k: int = 10,
         exactly_one(df.filter(F.col(id_col) == F.lit(query_id)).select(id_col), "query row")
     data = standardize_array(df, vec) if scale else df
     q = data.filter(F.col(id_col) == F.lit(query_id)).select(vec).scalar()
-    scored = data.withColumn("distance", squared_l2(F.col(vec), q))
+    scored = (data.withColumn("_q", q)
+              .withColumn("distance", squared_l2(F.col(vec), F.col("_q"))).drop("_q"))
     if not include_self:
         scored = scored.filter(F.col(id_col) != F.lit(query_id))
     if digits is not None:

@@ -255,7 +255,7 @@ ORACLE_SQL = {
     "knn_top10": """
         WITH x AS (
             SELECT vec_id, unnest(embedding) AS v,
-                   unnest(generate_subscripts(embedding, 1)) AS pos
+                   unnest(range(1, len(embedding) + 1)) AS pos
             FROM embeddings),
         st AS (SELECT pos, avg(CAST(v AS DOUBLE)) AS m, stddev_pop(CAST(v AS DOUBLE)) AS s
                FROM x GROUP BY pos),

@@ -184,11 +184,10 @@ def q_append_snapshots(spark, sf_dir):
 
 
 def q_stream_snapshots(spark, sf_dir):
-    ev_path = os.path.join(sf_dir, "events.parquet")
-    schema = spark.read.parquet(ev_path).schema
+    schema = spark.read.parquet(os.path.join(sf_dir, "events.parquet")).schema
     out = work_path(spark, "events_stream")
-    landed = stream_day_snapshots(spark, ev_path, schema, out, out + "_checkpoint",
-                                  day_expr=F.to_date("ts"))
+    landed = stream_day_snapshots(spark, sf_dir, schema, out, out + "_checkpoint",
+                                  day_expr=F.to_date("ts"), file_glob="events.parquet")
     return _day_totals(landed)
 
 

@@ -16,8 +16,13 @@ from pyspark.sql import types as T
 def stream_day_snapshots(spark: SparkSession, source_path: str, schema: T.StructType,
                          out_path: str, checkpoint_path: str, day_expr=None,
                          date_col: str = "ingestion_date", fmt: str = "parquet",
+                         file_glob: str | None = None, max_files_per_trigger: int = 100,
                          timeout_s: int = 600) -> DataFrame:
-    stream = spark.readStream.schema(schema).format(fmt).load(source_path)
+    reader = (spark.readStream.schema(schema).format(fmt)
+              .option("maxFilesPerTrigger", max_files_per_trigger))
+    if file_glob:
+        reader = reader.option("pathGlobFilter", file_glob)
+    stream = reader.load(source_path)
     day = day_expr if day_expr is not None else F.current_date()
     query = (stream.withColumn(date_col, day)
              .writeStream.format("parquet")
