@@ -1,15 +1,17 @@
 """Triple-pattern query over an entity-property table (subject, predicate, object).
 
 ``?item P_req ?a . OPTIONAL {?item P1 ?b} ... + label`` becomes one filtered
-scan per predicate and a chain of left joins on the subject. All joins share
-the subject key, so after the first exchange the chain keeps that
-partitioning and only the optional sides are shuffled."""
+scan per predicate and a chain of left joins on the subject. A multi-valued
+property may hold a hot subject, so each optional join is the salted form
+(:func:`cadenza.operators.joins.left_join_salted`)."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from cadenza.operators.joins import left_join_salted
+
 
 def property_rows(triples: DataFrame, predicate: str, name: str) -> DataFrame:
     return (triples.filter(F.col("predicate") == F.lit(predicate))
@@ -24,7 +26,7 @@ def triple_pattern(triples: DataFrame, required: tuple, optional=(), label: str
     pred, name = required
     out = property_rows(triples, pred, name)
     for pred, name in optional:
-        out = out.join(property_rows(triples, pred, name), "item", "left")
+        out = left_join_salted(out, property_rows(triples, pred, name), "item")
     if label is not None:
         # One label per subject (the smallest if several were given).
         labels = (property_rows(triples, label, "_label").groupBy("item")

@@ -24,12 +24,73 @@ def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> Dat
     return F.broadcast(df) if bounded_rows(df, max_rows) else df
 
 
+# Hot-key handling of the salted left join: a right-side key with more rows
+# than HOT_KEY_ROWS is spread over SALT_BUCKETS buckets. At most HOT_KEYS_MAX
+# keys are treated so (the most frequent); the rest take the plain path, which
+# is equally exact, just less evenly spread.
+HOT_KEY_ROWS = 1_000_000
+SALT_BUCKETS = 64
+HOT_KEYS_MAX = 10_000
+
+
+def hot_keys(df: DataFrame, key: str, hot_rows: int = HOT_KEY_ROWS,
+             hot_keys_max: int = HOT_KEYS_MAX) -> DataFrame:
+    """Keys of ``df`` with more than ``hot_rows`` rows (the ``hot_keys_max``
+    most frequent), as column ``_hk``. Counting is partial-aggregated map-side,
+    so the pass costs one small shuffle; the result is bounded."""
+    return (df.filter(F.col(key).isNotNull()).groupBy(F.col(key).alias("_hk"))
+            .agg(F.count(F.lit(1)).alias("_hn")).filter(F.col("_hn") > hot_rows)
+            .orderBy(F.col("_hn").desc()).limit(hot_keys_max).select("_hk"))
+
+
+def left_join_salted(left: DataFrame, right: DataFrame, left_key: str,
+                     right_key: str | None = None, hot_rows: int = HOT_KEY_ROWS,
+                     buckets: int = SALT_BUCKETS, hot_keys_max: int = HOT_KEYS_MAX) -> DataFrame:
+    """Left outer equi-join that stays balanced when one key holds a large
+    share of the *right* side (AQE splits a hot key of a left outer join only
+    on the left side).
+
+    Hot right keys (see :func:`hot_keys`) are broadcast as a bounded list.
+    The join runs on (key, salt): a right row of a hot key gets a salt from a
+    hash of the row, a left row of a hot key is copied into every salt bucket,
+    and all other rows use salt 0. A hot key is sure to have right rows, so
+    its left rows are matched in some bucket; the null-extended rows that
+    empty buckets would add are dropped. Each pair is produced exactly once,
+    each input is read once. With the key named once on both sides
+    (``right_key`` omitted) the key column is kept once (USING form)."""
+    same = right_key is None or right_key == left_key
+    rk = left_key if same else right_key
+    hot = F.broadcast(hot_keys(right, rk, hot_rows, hot_keys_max))
+
+    lt = (left.join(hot, left[left_key] == hot["_hk"], "left")
+          .withColumn("_hot", F.col("_hk").isNotNull()).drop("_hk"))
+    lt = lt.withColumn("_salt", F.explode(
+        F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(buckets - 1)))
+        .otherwise(F.array(F.lit(0)))))
+    row_hash = F.pmod(F.xxhash64(*[F.col(c) for c in right.columns]), F.lit(buckets))
+    rt = (right.join(hot, right[rk] == hot["_hk"], "left")
+          .withColumn("_salt", F.when(F.col("_hk").isNotNull(), row_hash.cast("int"))
+                      .otherwise(F.lit(0)))
+          .withColumn("_rp", F.lit(True)).drop("_hk"))
+    if same:
+        joined = lt.join(rt, [left_key, "_salt"], "left")
+    else:
+        joined = lt.join(rt, (lt[left_key] == rt[rk]) & (lt["_salt"] == rt["_salt"]), "left")
+        joined = joined.drop(rt["_salt"])
+    return (joined.filter(~(F.col("_hot") & F.col("_rp").isNull()))
+            .drop("_hot", "_salt", "_rp"))
+
+
 def left_join_on_name(left: DataFrame, right: DataFrame, left_key: str,
-                      right_key: str) -> DataFrame:
+                      right_key: str, skew_safe: bool = True) -> DataFrame:
     """Left outer equi-join on a name. Exact and case-sensitive; null names
     never match; a name present n times on the right repeats the left row n
-    times. Strategy is left to Catalyst/AQE (broadcast if the right side is
-    small at runtime, else sort-merge with skew splitting of the left side)."""
+    times. The physical strategy is left to Catalyst/AQE (broadcast when the
+    right side is small, else sort-merge, whose left side AQE splits when a
+    name is hot there); ``skew_safe`` adds :func:`left_join_salted` for names
+    that are hot on the right side."""
+    if skew_safe:
+        return left_join_salted(left, right, left_key, right_key)
     return left.join(right, left[left_key] == right[right_key], "left")
 
 

@@ -1,49 +1,92 @@
-"""Global row numbers without a single-task window.
+"""Global row numbers and running totals without a single-task window.
 
 ``row_number()`` over an un-partitioned window moves every row into one task.
 Instead rows are range-partitioned on the order key, sorted inside each
-partition and pinned by a reliable checkpoint (so a lost executor recomputes
-the same partitions). Each row's position inside its partition comes from
-``monotonically_increasing_id`` (partition index in the upper bits, position
-in the lower 33); per-partition counts turn into offsets over a table with one
-row per partition, which is broadcast back.
+partition and pinned by a reliable checkpoint (a lost executor then recomputes
+the same partitions from the checkpoint files). Positions inside a partition
+come from ``monotonically_increasing_id`` (partition index in the upper bits,
+position in the lower 33) or, for weighted totals, from a running sum over
+each partition's Arrow batches. Per-partition totals become offsets over a
+table with one row per partition, which is broadcast back.
+
+The order key should be (nearly) unique: range partitioning cannot split
+equal keys, so heavy ties must be collapsed first (group them and carry a
+weight, as :func:`global_cumsum` allows).
 """
 
 from __future__ import annotations
 
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from cadenza.session import ensure_checkpoint_dir
 
 
-def global_row_number(df: DataFrame, order_cols, name: str = "rn",
-                      num_partitions: int | None = None) -> DataFrame:
+def _ranged(df: DataFrame, order_cols, num_partitions):
     spark = df.sparkSession
     ensure_checkpoint_dir(spark)
     if num_partitions is None:
         num_partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ranged = (df.repartitionByRange(num_partitions, *order_cols)
-              .sortWithinPartitions(*order_cols)
-              .checkpoint(eager=True))
+    return (df.repartitionByRange(num_partitions, *order_cols)
+            .sortWithinPartitions(*order_cols)
+            .checkpoint(eager=True))
+
+
+def _offsets(totals: DataFrame, total_col: str) -> DataFrame:
+    # One row per partition: a bounded table, safe to order in one task.
+    before = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    return totals.select("_pid", F.coalesce(F.sum(total_col).over(before), F.lit(0))
+                         .cast("long").alias("_off"))
+
+
+def global_row_number(df: DataFrame, order_cols, name: str = "rn",
+                      num_partitions: int | None = None) -> DataFrame:
+    """1-based position of each row in the global order of ``order_cols``."""
+    ranged = _ranged(df, order_cols, num_partitions)
     pid = F.spark_partition_id().cast("long")
     tagged = ranged.select(
         "*", pid.alias("_pid"),
         (F.monotonically_increasing_id() - F.shiftleft(pid, 33)).alias("_pos"))
     counts = tagged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
-    # One row per partition: a bounded table, safe to order in one task.
-    before = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select("_pid", F.coalesce(F.sum("_n").over(before), F.lit(0))
-                            .alias("_off"))
-    return (tagged.join(F.broadcast(offsets), "_pid")
+    return (tagged.join(F.broadcast(_offsets(counts, "_n")), "_pid")
             .withColumn(name, F.col("_off") + F.col("_pos") + F.lit(1))
             .drop("_pid", "_pos", "_off"))
 
 
+def _running_sum(weight_col: str, out_col: str):
+    def run(batches):
+        total = 0
+        for pdf in batches:
+            cum = pdf[weight_col].astype("int64").cumsum() + total
+            if len(cum):
+                total = int(cum.iloc[-1])
+            yield pdf.assign(**{out_col: cum.astype("int64")})
+    return run
+
+
+def global_cumsum(df: DataFrame, order_cols, weight_col: str, name: str = "cum",
+                  num_partitions: int | None = None) -> DataFrame:
+    """Running total of the integer ``weight_col`` in the global order of
+    ``order_cols`` (inclusive of the row itself)."""
+    ranged = _ranged(df, order_cols, num_partitions)
+    tagged = ranged.withColumn("_pid", F.spark_partition_id().cast("long"))
+    schema = T.StructType(tagged.schema.fields + [T.StructField("_local", T.LongType())])
+    local = tagged.mapInPandas(_running_sum(weight_col, "_local"), schema)
+    totals = tagged.groupBy("_pid").agg(F.sum(weight_col).alias("_w"))
+    return (local.join(F.broadcast(_offsets(totals, "_w")), "_pid")
+            .withColumn(name, F.col("_off") + F.col("_local"))
+            .drop("_pid", "_local", "_off"))
+
+
 def assign_batches(ids: DataFrame, id_col: str, batch_size: int,
                    name: str = "batch_id") -> DataFrame:
     """Split ordered ids into consecutive batches of ``batch_size``
-    (batch = floor((rn - 1) / batch_size))."""
+    (batch = floor((rn - 1) / batch_size)); ``ids`` must be distinct."""
     numbered = global_row_number(ids, [id_col], name="_rn")
     return (numbered.withColumn(name, F.floor((F.col("_rn") - 1) / F.lit(batch_size)))
             .withColumn("position", F.col("_rn")).drop("_rn"))
+
+
+

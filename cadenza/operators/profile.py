@@ -1,10 +1,10 @@
 """Column profiles: ``describe``-style numeric summary and type / non-null info.
 
 Quartiles are exact with linear interpolation (the pandas / ``quantile_cont``
-definition). Spark's ``percentile`` keeps a value->count map per group, which
-grows with the number of distinct values; here the values are instead globally
-numbered (see :mod:`cadenza.operators.numbering`) and the few ranks needed are
-picked by a join with a small table of target positions.
+definition). Spark's ``percentile`` keeps a value->count map per group in one
+task, which grows with the number of distinct values; here the distinct values
+get global running counts (see :mod:`cadenza.operators.numbering`) and the few
+ranks needed are picked by a join with a small table of target positions.
 """
 
 from __future__ import annotations
@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cadenza.operators.numbering import global_row_number
+from cadenza.operators.numbering import global_cumsum
 
 NUMERIC = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType,
            T.DoubleType, T.DecimalType)
@@ -34,9 +34,15 @@ def long_values(df: DataFrame, cols) -> DataFrame:
 
 def exact_quantiles(df: DataFrame, cols, probs=(0.25, 0.5, 0.75)) -> DataFrame:
     """Per column and probability, the linearly interpolated quantile.
-    Returns (column, p, q)."""
+    Returns (column, p, q).
+
+    Values are first counted per (column, value): repeated values collapse
+    map-side, so a value holding a large share of the rows costs one row.
+    A running count over the sorted distinct values then gives each value
+    its range of ranks, and the two ranks around each target are looked up."""
     values = long_values(df, cols)
-    counts = values.groupBy("column").agg(F.count(F.lit(1)).alias("n"))
+    weighted = values.groupBy("column", "value").agg(F.count(F.lit(1)).alias("_w"))
+    counts = weighted.groupBy("column").agg(F.sum("_w").alias("n"))
     # Start rank of each column in the global (column, value) order: a running
     # sum over one row per column.
     prior = Window.orderBy("column").rowsBetween(Window.unboundedPreceding, -1)
@@ -48,12 +54,17 @@ def exact_quantiles(df: DataFrame, cols, probs=(0.25, 0.5, 0.75)) -> DataFrame:
                .withColumn("lo", F.col("start") + F.floor("h"))
                .withColumn("hi", F.col("start") + F.ceil("h"))
                .withColumn("frac", F.col("h") - F.floor("h")))
-    wanted = (targets.select(F.explode(F.array_distinct(F.array("lo", "hi"))).alias("rn"))
+    wanted = (targets.select(F.col("column").alias("_c"),
+                             F.explode(F.array_distinct(F.array("lo", "hi"))).alias("rank"))
               .distinct())
-    numbered = global_row_number(values, ["column", "value"], name="rn")
-    picked = numbered.join(F.broadcast(wanted), "rn").select("rn", "value")
-    lo = picked.withColumnRenamed("rn", "lo").withColumnRenamed("value", "v_lo")
-    hi = picked.withColumnRenamed("rn", "hi").withColumnRenamed("value", "v_hi")
+    ranked = global_cumsum(weighted, ["column", "value"], "_w", name="_cum")
+    # Each distinct value covers ranks (cum - w, cum]; the target table is tiny
+    # (columns x probabilities x 2) and is broadcast.
+    hit = ((ranked["column"] == wanted["_c"]) & (wanted["rank"] > ranked["_cum"] - ranked["_w"])
+           & (wanted["rank"] <= ranked["_cum"]))
+    picked = ranked.join(F.broadcast(wanted), hit).select("rank", "value")
+    lo = picked.withColumnRenamed("rank", "lo").withColumnRenamed("value", "v_lo")
+    hi = picked.withColumnRenamed("rank", "hi").withColumnRenamed("value", "v_hi")
     return (targets.join(lo, "lo").join(hi, "hi")
             .select("column", "p",
                     (F.col("v_lo") + F.col("frac") * (F.col("v_hi") - F.col("v_lo")))

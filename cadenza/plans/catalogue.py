@@ -31,7 +31,7 @@ def artists_union(spotify: DataFrame, deezer: DataFrame, as_of=None,
     s = spotify.select(*UNION_COLUMNS)
     d = deezer.select(*DEEZER_COLUMNS)
     joined = left_join_on_name(s, d, "spotify_artist_name", "deezer_artist_name")
-    out = joined.select(*[s[c] for c in UNION_COLUMNS], *[d[c] for c in DEEZER_COLUMNS],
+    out = joined.select(*UNION_COLUMNS, *DEEZER_COLUMNS,
                         run_date(as_of).alias("ingestion_date"))
     if view_name:
         publish_view(out, view_name)
