@@ -29,7 +29,7 @@ from cadenza.operators.setops import union_by_name
 from cadenza.operators.similarity import nearest
 from cadenza.plans import catalogue as C
 from cadenza.plans import responders as R
-from cadenza.plans.sql_surface import display_series, preview
+from cadenza.plans.sql_surface import display_series, run_sql
 from cadenza.session import work_path
 from cadenza.sources import sinks as K
 from cadenza.sources.files import parse_json_column, read_csv_strings
@@ -101,10 +101,16 @@ def q_id_batches(spark, sf_dir):
     return assign_batches(ids, "p_partkey", BATCH_SIZE)
 
 
+def _lookup_tasks(spark):
+    # The stand-in service has no rate limit: one lookup task per core. A
+    # rate-limited endpoint would pass its own cap (1 or 5 in the reference).
+    return spark.sparkContext.defaultParallelism
+
+
 def q_enrich_batches(spark, sf_dir):
     ids = A.distinct_ids(_t(spark, sf_dir, "orders", "o_orderkey"), "o_orderkey", "id")
     rows = E.enrich_batches(ids, "id", R.artist_lookup, R.ARTIST_BODY_SCHEMA,
-                            batch_size=500, max_parallel=5)
+                            batch_size=500, max_parallel=_lookup_tasks(spark))
     return rows.select(
         to_text("id").alias("deezer_artist_id"),
         F.col("name").alias("deezer_artist_name"),
@@ -133,7 +139,8 @@ def flatten_tracks(children: DataFrame) -> DataFrame:
 def q_enrich_children(spark, sf_dir):
     ids = A.distinct_ids(_t(spark, sf_dir, "orders", "o_orderkey"), "o_orderkey", "id")
     children = E.enrich_children(ids, "id", R.top_tracks_lookup, "tracks",
-                                 R.TRACKS_BODY_SCHEMA, batch_size=BATCH_SIZE)
+                                 R.TRACKS_BODY_SCHEMA, batch_size=BATCH_SIZE,
+                                 max_parallel=_lookup_tasks(spark))
     return flatten_tracks(children)
 
 
@@ -423,11 +430,10 @@ PREVIEW_SQL = ("SELECT DISTINCT c_mktsegment, c_nationkey FROM customer "
 
 def q_sql_preview(spark, sf_dir):
     register_tables(spark, sf_dir, ["customer"])
-    records, err = preview(spark, PREVIEW_SQL, {"min_balance": 0}, n=10,
-                           order_by=["c_nationkey", "c_mktsegment"])
+    df, err = run_sql(spark, PREVIEW_SQL, {"min_balance": 0})
     if err:
         raise RuntimeError(err["error"])
-    return records
+    return K.preview_records(df, 10, order_by=["c_nationkey", "c_mktsegment"])
 
 
 def q_result_series(spark, sf_dir):

@@ -25,13 +25,15 @@ def run_sql(spark: SparkSession, sql: str, args: dict | None = None):
 
 def preview(spark: SparkSession, sql: str, args: dict | None = None, n: int = 10,
             order_by=None):
-    """Q0 + K8: up to ``n`` result rows as JSON records, or the error."""
+    """Q0 + K8: the response of the question endpoint: up to ``n`` result rows
+    as JSON record strings, or the error with the SQL. Only the ``n`` rows are
+    brought back (the limit is part of the plan), inside the error guard, so
+    runtime errors such as failed ANSI casts are reported too."""
     df, err = run_sql(spark, sql, args)
     if err:
         return None, err
-    records = preview_records(df, n, order_by)
     try:
-        records.isEmpty()  # surfaces runtime errors (ANSI casts, etc.)
+        records = [r["record"] for r in preview_records(df, n, order_by).collect()]
     except PySparkException as exc:
         return None, {"error": str(exc), "sql": sql}
     return records, None
