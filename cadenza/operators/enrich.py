@@ -16,6 +16,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from cadenza.session import ship_package
+
 RESPONSE_SCHEMA = "request_id string, status int, body string"
 
 
@@ -39,6 +41,7 @@ def _requester(id_col: str, fetch: Callable, batch_size: int, on_error: str):
 def request_batches(ids: DataFrame, id_col: str, fetch: Callable, batch_size: int = 500,
                     max_parallel: int | None = None, on_error: str = "drop") -> DataFrame:
     """Raw responses (request_id, status, body)."""
+    ship_package(ids.sparkSession)
     src = ids.select(F.col(id_col).cast("string").alias(id_col))
     if max_parallel:
         src = src.repartition(int(max_parallel))

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cadenza.session import ensure_checkpoint_dir
+from cadenza.session import ensure_checkpoint_dir, ship_package
 
 
 def _ranged(df: DataFrame, order_cols, num_partitions):
@@ -70,6 +70,7 @@ def global_cumsum(df: DataFrame, order_cols, weight_col: str, name: str = "cum",
                   num_partitions: int | None = None) -> DataFrame:
     """Running total of the integer ``weight_col`` in the global order of
     ``order_cols`` (inclusive of the row itself)."""
+    ship_package(df.sparkSession)
     ranged = _ranged(df, order_cols, num_partitions)
     tagged = ranged.withColumn("_pid", F.spark_partition_id().cast("long"))
     schema = T.StructType(tagged.schema.fields + [T.StructField("_local", T.LongType())])

@@ -59,3 +59,38 @@ def work_path(spark: SparkSession, name: str) -> str:
     """A fresh folder for a landed table, next to the checkpoint data."""
     base = ensure_checkpoint_dir(spark)
     return os.path.join(base, "tables", f"{name}-{uuid.uuid4().hex[:12]}")
+
+
+_SHIPPED: dict[str, str] = {}
+
+
+def ship_package(spark: SparkSession) -> str:
+    """Make this package importable by Python workers (stages that run
+    ``mapInPandas``): zip it once per application into the shared folder and
+    add it with ``SparkContext.addPyFile``, the standard way to ship code."""
+    import zipfile
+
+    sc = spark.sparkContext
+    app = sc.applicationId
+    if app in _SHIPPED:
+        return _SHIPPED[app]
+    pkg_dir = os.path.dirname(os.path.abspath(__file__))
+    root = os.path.dirname(pkg_dir)
+    target_dir = os.path.join(ensure_checkpoint_dir(spark), "pyfiles")
+    if "://" in target_dir and not target_dir.startswith("file:"):
+        # Remote shared folder: addPyFile also accepts a local file, which
+        # Spark copies to every executor.
+        target_dir = tempfile.mkdtemp(prefix="cadenza-pkg-")
+    target_dir = target_dir.replace("file:", "", 1) if target_dir.startswith("file:") else target_dir
+    os.makedirs(target_dir, exist_ok=True)
+    path = os.path.join(target_dir, f"cadenza-{uuid.uuid4().hex[:8]}.zip")
+    with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as zf:
+        for base, dirs, files in os.walk(pkg_dir):
+            dirs[:] = [d for d in dirs if d != "__pycache__"]
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(base, f)
+                    zf.write(full, os.path.relpath(full, root))
+    sc.addPyFile(path)
+    _SHIPPED[app] = path
+    return path
