@@ -312,4 +312,38 @@ ORACLE_SQL = {
         SELECT CAST(ts AS DATE) AS day, count(*) AS n_events, round(sum(value), 2) AS total_value
         FROM events GROUP BY 1 ORDER BY 1
     """,
+    "chart_envelope": """
+        SELECT p_partkey AS id, p_name AS title, CAST(p_size AS BIGINT) AS rank,
+               CASE WHEN p_size <= 45 THEN p_brand ELSE 'Unknown' END AS artist
+        FROM part
+    """,
+    "snapshot_union": """
+        WITH s AS (
+            SELECT CAST(c_custkey AS VARCHAR) AS spotify_artist_id,
+                   c_name AS spotify_artist_name,
+                   lower(c_mktsegment) AS spotify_artist_genres,
+                   'https://open.example/artist/' || CAST(c_custkey AS VARCHAR) AS spotify_artist_url,
+                   CAST(c_nationkey AS BIGINT) AS spotify_artist_popularity,
+                   CAST(floor(c_acctbal) AS BIGINT) AS spotify_artist_total_followers
+            FROM customer WHERE floor(c_acctbal) >= 0),
+        d AS (
+            SELECT replace(s_name, 'Supplier', 'Customer') AS deezer_artist_name,
+                   'https://www.example.com/artist/' || CAST(s_suppkey AS VARCHAR) AS deezer_artist_url,
+                   CAST(floor(s_acctbal) AS BIGINT) AS deezer_artist_total_followers
+            FROM supplier)
+        SELECT s.spotify_artist_id, s.spotify_artist_name, s.spotify_artist_genres,
+               s.spotify_artist_url, s.spotify_artist_total_followers,
+               s.spotify_artist_popularity, d.deezer_artist_url, d.deezer_artist_name,
+               d.deezer_artist_total_followers, DATE '2024-01-31' AS ingestion_date
+        FROM s LEFT JOIN d ON s.spotify_artist_name = d.deezer_artist_name
+    """,
+    "first_choice": """
+        SELECT p_partkey, p_name FROM part
+        WHERE p_brand = 'Brand#13' AND p_type = 'STANDARD'
+        ORDER BY p_partkey LIMIT 1
+    """,
+    "csv_inferred": """
+        SELECT s_suppkey, s_name, CAST(s_nationkey AS BIGINT) AS s_nationkey, s_acctbal
+        FROM supplier
+    """,
 }

@@ -32,7 +32,8 @@ from cadenza.plans import responders as R
 from cadenza.plans.sql_surface import display_series, run_sql
 from cadenza.session import work_path
 from cadenza.sources import sinks as K
-from cadenza.sources.files import parse_json_column, read_csv_strings
+from cadenza.sources.files import (envelope_rows, parse_json_column, read_csv_inferred,
+                                  read_csv_strings, read_json_documents)
 from cadenza.sources.tables import read_table, register_tables
 from cadenza.streaming.snapshots import stream_day_snapshots
 
@@ -447,6 +448,68 @@ def q_result_series(spark, sf_dir):
     return shown.withColumn("day", F.to_date("day"))
 
 
+def q_chart_envelope(spark, sf_dir):
+    """S4 + S5 + F3 + F7: chart documents ``{"data": [...]}`` landed as JSON
+    lines (ten entries per document, from ``part``), read back and turned into
+    one row per entry."""
+    part = _t(spark, sf_dir, "part", "p_partkey", "p_name", "p_brand", "p_size")
+    entry = F.struct(
+        F.col("p_partkey").alias("id"), F.col("p_name").alias("title"),
+        F.col("p_size").alias("rank"),
+        F.when(F.col("p_size") <= 45, F.struct(F.col("p_brand").alias("name")))
+        .alias("artist"))
+    # Documents group consecutive keys (at most ten entries each).
+    docs = (part.groupBy(F.floor(F.col("p_partkey") / 10).alias("doc"))
+            .agg(F.collect_list(entry).alias("data")))
+    path = work_path(spark, "chart_json")
+    docs.select(F.to_json(F.struct("data")).alias("value")).write.text(path)
+    landed = read_json_documents(spark, path, schema=CHART_SCHEMA, multi_line=False)
+    rows = envelope_rows(landed, "data")
+    return rows.select(F.col("id").cast("long").alias("id"), "title",
+                       F.col("rank").cast("long").alias("rank"),
+                       with_default(F.col("artist.name"), "Unknown").alias("artist"))
+
+
+CHART_SCHEMA = ("data array<struct<id: long, title: string, rank: long, "
+                "artist: struct<name: string>>>")
+
+
+def q_snapshot_union(spark, sf_dir):
+    """K2 + P19 + J1: both catalogues land as day partitions (all artists on
+    the first day, artists with a non-negative balance on the second); the
+    union view is built from the second day only, which prunes partitions."""
+    spotify = spotify_standin(spark, sf_dir)
+    deezer = deezer_standin(spark, sf_dir)
+    s_path, d_path = work_path(spark, "spotify_days"), work_path(spark, "deezer_days")
+    day1, day2 = F.lit("2024-01-30").cast("date"), F.lit("2024-01-31").cast("date")
+    K.append_day_partition(spotify.withColumn("ingestion_date", day1), s_path)
+    K.append_day_partition(spotify.filter(F.col("spotify_artist_total_followers") >= 0)
+                           .withColumn("ingestion_date", day2), s_path)
+    K.append_day_partition(deezer.withColumn("ingestion_date", day1), d_path)
+    K.append_day_partition(deezer.withColumn("ingestion_date", day2), d_path)
+    view = C.artists_union(spark.read.parquet(s_path), spark.read.parquet(d_path),
+                           as_of=AS_OF, view_name="artists_union_day",
+                           snapshot_day="2024-01-31")
+    return view.withColumn("spotify_artist_genres",
+                           F.array_join("spotify_artist_genres", ","))
+
+
+def q_first_choice(spark, sf_dir):
+    """O5 + P16 + F11: first part (by key) of one brand and type."""
+    part = _t(spark, sf_dir, "part", "p_partkey", "p_name", "p_brand", "p_type")
+    pick = (F.col("p_brand") == "Brand#13") & (F.col("p_type") == "STANDARD")
+    return O.first_row(part, ["p_partkey"], where=pick).select("p_partkey", "p_name")
+
+
+def q_csv_inferred(spark, sf_dir):
+    """A CSV extract read back with inferred column types."""
+    path = work_path(spark, "supplier_csv")
+    _t(spark, sf_dir, "supplier").write.option("header", True).csv(path)
+    back = read_csv_inferred(spark, path)
+    return back.select(F.col("s_suppkey").cast("long").alias("s_suppkey"), "s_name",
+                       F.col("s_nationkey").cast("long").alias("s_nationkey"), "s_acctbal")
+
+
 QUERIES = {
     "artists_union": q_artists_union,
     "scan_project": q_scan_project,
@@ -485,4 +548,8 @@ QUERIES = {
     "valid_ids": q_valid_ids,
     "sql_preview": q_sql_preview,
     "result_series": q_result_series,
+    "chart_envelope": q_chart_envelope,
+    "snapshot_union": q_snapshot_union,
+    "first_choice": q_first_choice,
+    "csv_inferred": q_csv_inferred,
 }
