@@ -40,7 +40,9 @@ def hot_keys(df: DataFrame, key: str, hot_rows: int = HOT_KEY_ROWS,
     so the pass costs one small shuffle; the result is bounded."""
     return (df.filter(F.col(key).isNotNull()).groupBy(F.col(key).alias("_hk"))
             .agg(F.count(F.lit(1)).alias("_hn")).filter(F.col("_hn") > hot_rows)
-            .orderBy(F.col("_hn").desc()).limit(hot_keys_max).select("_hk"))
+            # A total order: both join sides must see the same list even if
+            # it is evaluated twice (e.g. after a lost executor).
+            .orderBy(F.col("_hn").desc(), F.col("_hk")).limit(hot_keys_max).select("_hk"))
 
 
 def left_join_salted(left: DataFrame, right: DataFrame, left_key: str,

@@ -77,3 +77,12 @@ def test_bounded_broadcast(spark):
     big = spark.range(1000)
     assert J.bounded_rows(small, 10)
     assert not J.bounded_rows(big, 999)
+
+
+def test_salted_join_hot_list_cap_is_exact(spark):
+    # more hot keys than the cap: the overflow keys take the ordinary path
+    left = spark.range(0, 40).select((F.col("id") % 8).alias("k"), F.col("id").alias("lid"))
+    right = spark.range(0, 800).select((F.col("id") % 8).alias("k"), F.col("id").alias("rid"))
+    plain = left.join(right, "k", "left")
+    salted = J.left_join_salted(left, right, "k", hot_rows=10, buckets=5, hot_keys_max=3)
+    assert rows(salted) == rows(plain)
