@@ -66,7 +66,7 @@ def to_timestamp_coerced(c, numeric: bool | None = None) -> Column:
     epoch milliseconds, text with ``try_to_timestamp``."""
     c = col_of(c)
     if numeric:
-        return F.timestamp_millis(c.cast("long"))
+        return F.timestamp_millis(c.try_cast("long"))
     return F.try_to_timestamp(c.cast("string"))
 
 

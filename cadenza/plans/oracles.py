@@ -121,9 +121,13 @@ ORACLE_SQL = {
                'order ' || CAST(o_orderkey AS VARCHAR) AS spotify_artist_name,
                replace(o_orderpriority, '-', ',') AS spotify_artist_genres,
                'https://open.example/order/' || CAST(o_orderkey AS VARCHAR) AS spotify_artist_url,
-               o_custkey AS spotify_artist_popularity,
-               CAST(floor(o_totalprice) AS BIGINT) AS spotify_artist_total_followers,
-               DATE '2024-01-31' AS date
+               NULL::BIGINT AS spotify_artist_popularity,
+               NULL::BIGINT AS spotify_artist_total_followers,
+               NULL::DATE AS date, 'dimension' AS "table"
+        FROM orders
+        UNION ALL
+        SELECT CAST(o_orderkey AS VARCHAR), NULL, NULL, NULL, o_custkey,
+               CAST(floor(o_totalprice) AS BIGINT), DATE '2024-01-31', 'fact'
         FROM orders
     """,
     "triple_pivot": """

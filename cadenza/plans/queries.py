@@ -241,7 +241,9 @@ def q_dim_fact_split(spark, sf_dir):
         F.col("o_custkey").alias("spotify_artist_popularity"),
         F.floor("o_totalprice").cast("long").alias("spotify_artist_total_followers"))
     dim, fact = C.artists_dim_fact(records, as_of=AS_OF)
-    return dim.join(fact, "spotify_artist_id")
+    # Both outputs in one result, tagged; stacking needs no shuffle.
+    return union_by_name(dim.withColumn("table", tag("dimension")),
+                         fact.withColumn("table", tag("fact")))
 
 
 def _triples(spark, sf_dir):
