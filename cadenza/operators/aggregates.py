@@ -58,9 +58,11 @@ def group_bounds(df: DataFrame, group: str, features) -> DataFrame:
 def with_global_bounds(df: DataFrame, source: DataFrame, feature: str) -> DataFrame:
     """Attach the global min / max of ``feature`` (scalar subqueries, computed
     once and inlined; no join)."""
-    lo = source.select(F.min(feature)).scalar()
-    hi = source.select(F.max(feature)).scalar()
-    return df.withColumn(f"all_min_{feature}", lo).withColumn(f"all_max_{feature}", hi)
+    both = source.select(F.struct(F.min(feature).alias("lo"),
+                                  F.max(feature).alias("hi"))).scalar()
+    return (df.withColumn("_g", both)
+            .withColumn(f"all_min_{feature}", F.col("_g.lo"))
+            .withColumn(f"all_max_{feature}", F.col("_g.hi")).drop("_g"))
 
 
 def row_count(df: DataFrame, alias: str = "n_rows") -> DataFrame:

@@ -31,11 +31,12 @@ def standardize(df: DataFrame, features, fit_on: DataFrame | None = None,
     stats = fit_on.agg(F.struct(
         *[F.avg(f).alias(f"m{i}") for i, f in enumerate(features)],
         *[F.stddev_pop(f).alias(f"s{i}") for i, f in enumerate(features)])).scalar()
-    out = df
+    # Bound once, so the plan holds a single subquery.
+    out = df.withColumn("_stats", stats)
     for i, f in enumerate(features):
-        z = (F.col(f) - stats[f"m{i}"]) / _safe_std(stats[f"s{i}"])
+        z = (F.col(f) - F.col("_stats")[f"m{i}"]) / _safe_std(F.col("_stats")[f"s{i}"])
         out = out.withColumn(f + suffix, z)
-    return out
+    return out.drop("_stats")
 
 
 def array_stats(df: DataFrame, vec: str) -> Column:

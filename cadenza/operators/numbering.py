@@ -1,13 +1,15 @@
 """Global row numbers and running totals without a single-task window.
 
 ``row_number()`` over an un-partitioned window moves every row into one task.
-Instead rows are range-partitioned on the order key, sorted inside each
-partition and pinned by a reliable checkpoint (a lost executor then recomputes
-the same partitions from the checkpoint files). Positions inside a partition
-come from ``monotonically_increasing_id`` (partition index in the upper bits,
-position in the lower 33) or, for weighted totals, from a running sum over
-each partition's Arrow batches. Per-partition totals become offsets over a
-table with one row per partition, which is broadcast back.
+Instead rows are range-partitioned on the order key and sorted inside each
+partition; the position of each row inside its partition is computed in the
+same pass and the result is pinned by a reliable checkpoint (a lost executor
+then recomputes the same partitions from the checkpoint files, and the range
+bounds of the shuffle are fixed once, so a recomputed map stage sends every
+key to the same partition). Per-partition totals, one number per partition
+as in ``zipWithIndex``, are collected and turned into offsets, which are
+broadcast back as a small table. Later reads of the result are plain scans
+of the checkpoint.
 
 The order key should be (nearly) unique: range partitioning cannot split
 equal keys, so heavy ties must be collapsed first (group them and carry a
@@ -16,8 +18,7 @@ weight, as :func:`global_cumsum` allows).
 
 from __future__ import annotations
 
-
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -30,29 +31,35 @@ def _ranged(df: DataFrame, order_cols, num_partitions):
     if num_partitions is None:
         num_partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
     return (df.repartitionByRange(num_partitions, *order_cols)
-            .sortWithinPartitions(*order_cols)
-            .checkpoint(eager=True))
+            .sortWithinPartitions(*order_cols))
 
 
-def _offsets(totals: DataFrame, total_col: str) -> DataFrame:
-    # One row per partition: a bounded table, safe to order in one task.
-    before = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    return totals.select("_pid", F.coalesce(F.sum(total_col).over(before), F.lit(0))
-                         .cast("long").alias("_off"))
+def _with_offsets(pinned: DataFrame, total_expr, local_col: str, name: str) -> DataFrame:
+    """Add ``name`` = offset of the row's partition + ``local_col``."""
+    spark = pinned.sparkSession
+    totals = sorted((r["_pid"], r["_t"] or 0) for r in
+                    pinned.groupBy("_pid").agg(total_expr.alias("_t")).collect())
+    offsets, running = [], 0
+    for pid, total in totals:          # one entry per partition
+        offsets.append((pid, running))
+        running += int(total)
+    table = spark.createDataFrame(offsets or [(0, 0)], "_pid long, _off long")
+    return (pinned.join(F.broadcast(table), "_pid")
+            .withColumn(name, F.col("_off") + F.col(local_col))
+            .drop("_pid", local_col, "_off"))
 
 
 def global_row_number(df: DataFrame, order_cols, name: str = "rn",
                       num_partitions: int | None = None) -> DataFrame:
     """1-based position of each row in the global order of ``order_cols``."""
-    ranged = _ranged(df, order_cols, num_partitions)
     pid = F.spark_partition_id().cast("long")
-    tagged = ranged.select(
-        "*", pid.alias("_pid"),
-        (F.monotonically_increasing_id() - F.shiftleft(pid, 33)).alias("_pos"))
-    counts = tagged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
-    return (tagged.join(F.broadcast(_offsets(counts, "_n")), "_pid")
-            .withColumn(name, F.col("_off") + F.col("_pos") + F.lit(1))
-            .drop("_pid", "_pos", "_off"))
+    # monotonically_increasing_id = partition index << 33 | position.
+    pinned = (_ranged(df, order_cols, num_partitions)
+              .select("*", pid.alias("_pid"),
+                      (F.monotonically_increasing_id() - F.shiftleft(pid, 33) + F.lit(1))
+                      .alias("_pos"))
+              .checkpoint(eager=True))
+    return _with_offsets(pinned, F.count(F.lit(1)), "_pos", name)
 
 
 def _running_sum(weight_col: str, out_col: str):
@@ -69,16 +76,14 @@ def _running_sum(weight_col: str, out_col: str):
 def global_cumsum(df: DataFrame, order_cols, weight_col: str, name: str = "cum",
                   num_partitions: int | None = None) -> DataFrame:
     """Running total of the integer ``weight_col`` in the global order of
-    ``order_cols`` (inclusive of the row itself)."""
+    ``order_cols`` (inclusive of the row itself). The running sum inside each
+    partition is one pass over its Arrow batches (``mapInPandas``)."""
     ship_package(df.sparkSession)
-    ranged = _ranged(df, order_cols, num_partitions)
-    tagged = ranged.withColumn("_pid", F.spark_partition_id().cast("long"))
+    tagged = _ranged(df, order_cols, num_partitions).withColumn(
+        "_pid", F.spark_partition_id().cast("long"))
     schema = T.StructType(tagged.schema.fields + [T.StructField("_local", T.LongType())])
-    local = tagged.mapInPandas(_running_sum(weight_col, "_local"), schema)
-    totals = tagged.groupBy("_pid").agg(F.sum(weight_col).alias("_w"))
-    return (local.join(F.broadcast(_offsets(totals, "_w")), "_pid")
-            .withColumn(name, F.col("_off") + F.col("_local"))
-            .drop("_pid", "_local", "_off"))
+    pinned = tagged.mapInPandas(_running_sum(weight_col, "_local"), schema).checkpoint(eager=True)
+    return _with_offsets(pinned, F.max("_local"), "_local", name)
 
 
 def assign_batches(ids: DataFrame, id_col: str, batch_size: int,
@@ -88,6 +93,3 @@ def assign_batches(ids: DataFrame, id_col: str, batch_size: int,
     numbered = global_row_number(ids, [id_col], name="_rn")
     return (numbered.withColumn(name, F.floor((F.col("_rn") - 1) / F.lit(batch_size)))
             .withColumn("position", F.col("_rn")).drop("_rn"))
-
-
-

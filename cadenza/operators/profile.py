@@ -9,7 +9,7 @@ ranks needed are picked by a join with a small table of target positions.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -32,32 +32,41 @@ def long_values(df: DataFrame, cols) -> DataFrame:
             .filter(F.col("value").isNotNull()))
 
 
-def exact_quantiles(df: DataFrame, cols, probs=(0.25, 0.5, 0.75)) -> DataFrame:
-    """Per column and probability, the linearly interpolated quantile.
-    Returns (column, p, q).
-
-    Values are first counted per (column, value): repeated values collapse
-    map-side, so a value holding a large share of the rows costs one row.
-    A running count over the sorted distinct values then gives each value
-    its range of ranks, and the two ranks around each target are looked up."""
-    values = long_values(df, cols)
-    weighted = values.groupBy("column", "value").agg(F.count(F.lit(1)).alias("_w"))
-    counts = weighted.groupBy("column").agg(F.sum("_w").alias("n"))
-    # Start rank of each column in the global (column, value) order: a running
-    # sum over one row per column.
-    prior = Window.orderBy("column").rowsBetween(Window.unboundedPreceding, -1)
-    starts = counts.select("column", "n",
-                           (F.coalesce(F.sum("n").over(prior), F.lit(0)) + 1).alias("start"))
-    targets = (starts.select("*", F.explode(F.array(*[F.lit(float(p)) for p in probs]))
-                             .alias("p"))
-               .withColumn("h", F.col("p") * (F.col("n") - 1))
-               .withColumn("lo", F.col("start") + F.floor("h"))
-               .withColumn("hi", F.col("start") + F.ceil("h"))
-               .withColumn("frac", F.col("h") - F.floor("h")))
-    wanted = (targets.select(F.col("column").alias("_c"),
-                             F.explode(F.array_distinct(F.array("lo", "hi"))).alias("rank"))
-              .distinct())
-    ranked = global_cumsum(weighted, ["column", "value"], "_w", name="_cum")
+def _weighted_values(df: DataFrame, cols) -> DataFrame:
+    """(column, value, _w): each distinct non-null value with its count.
+    Repeated values collapse map-side, so a value holding a large share of the
+    rows costs one row."""
+    return long_values(df, cols).groupBy("column", "value").agg(
+        F.count(F.lit(1)).alias("_w"))
+
+
+def _ranked_values(df: DataFrame, cols) -> DataFrame:
+    """Distinct values with global running counts, pinned by a checkpoint:
+    one pass over ``df``, every later step reads the checkpoint."""
+    return global_cumsum(_weighted_values(df, cols), ["column", "value"], "_w",
+                         name="_cum")
+
+
+def _quantiles_from_ranked(ranked: DataFrame, probs) -> DataFrame:
+    spark = ranked.sparkSession
+    # One row per column: where its ranks start and end in the global order.
+    spans = (ranked.groupBy("column")
+             .agg(F.min(F.col("_cum") - F.col("_w")).alias("before"),
+                  F.max("_cum").alias("last")).collect())
+    targets = []
+    for r in spans:
+        n = r["last"] - r["before"]
+        for p in probs:
+            h = float(p) * (n - 1)
+            lo = int(h // 1)
+            hi = lo if h == lo else lo + 1
+            targets.append((r["column"], float(p), r["before"] + 1 + lo,
+                            r["before"] + 1 + hi, h - lo))
+    target_df = spark.createDataFrame(
+        targets, "column string, p double, lo long, hi long, frac double")
+    wanted = spark.createDataFrame(
+        sorted({(c, x) for c, _, lo, hi, _ in targets for x in (lo, hi)}),
+        "_c string, rank long")
     # Each distinct value covers ranks (cum - w, cum]; the target table is tiny
     # (columns x probabilities x 2) and is broadcast.
     hit = ((ranked["column"] == wanted["_c"]) & (wanted["rank"] > ranked["_cum"] - ranked["_w"])
@@ -65,26 +74,45 @@ def exact_quantiles(df: DataFrame, cols, probs=(0.25, 0.5, 0.75)) -> DataFrame:
     picked = ranked.join(F.broadcast(wanted), hit).select("rank", "value")
     lo = picked.withColumnRenamed("rank", "lo").withColumnRenamed("value", "v_lo")
     hi = picked.withColumnRenamed("rank", "hi").withColumnRenamed("value", "v_hi")
-    return (targets.join(lo, "lo").join(hi, "hi")
+    return (F.broadcast(target_df).join(lo, "lo").join(hi, "hi")
             .select("column", "p",
                     (F.col("v_lo") + F.col("frac") * (F.col("v_hi") - F.col("v_lo")))
                     .alias("q")))
 
 
+def exact_quantiles(df: DataFrame, cols, probs=(0.25, 0.5, 0.75)) -> DataFrame:
+    """Per column and probability, the linearly interpolated quantile.
+    Returns (column, p, q).
+
+    Distinct values with their counts get global running counts, which give
+    each value its range of ranks; the two ranks around each target are looked
+    up with a join against a table of at most columns x probabilities x 2
+    rows."""
+    return _quantiles_from_ranked(_ranked_values(df, cols), probs)
+
+
 def describe_numeric(df: DataFrame, cols=None) -> DataFrame:
     """Count, mean, sample std, min, quartiles and max for each numeric
-    column; one row per column."""
+    column; one row per column. The input is read once: every statistic comes
+    from the pinned table of distinct values and counts."""
     cols = list(cols or numeric_columns(df))
-    values = long_values(df, cols)
-    basic = values.groupBy("column").agg(
-        F.count(F.lit(1)).cast("long").alias("count"), F.avg("value").alias("mean"),
-        F.stddev_samp("value").alias("std"), F.min("value").alias("min"),
-        F.max("value").alias("max"))
-    quant = (exact_quantiles(df, cols).groupBy("column").agg(
+    ranked = _ranked_values(df, cols)
+    sums = ranked.groupBy("column").agg(
+        F.sum("_w").alias("count"),
+        (F.sum(F.col("value") * F.col("_w")) / F.sum("_w")).alias("mean"),
+        F.min("value").alias("min"), F.max("value").alias("max"))
+    spread = (ranked.join(F.broadcast(sums.select("column", "mean", "count")), "column")
+              .groupBy("column").agg(
+                  F.sqrt(F.sum(F.col("_w") * (F.col("value") - F.col("mean")) *
+                               (F.col("value") - F.col("mean"))) /
+                         (F.first("count") - 1)).alias("std")))
+    quant = (_quantiles_from_ranked(ranked, (0.25, 0.5, 0.75)).groupBy("column").agg(
         *[F.max(F.when(F.col("p") == p, F.col("q"))).alias(name)
           for p, name in ((0.25, "p25"), (0.5, "p50"), (0.75, "p75"))]))
-    return (basic.join(quant, "column")
-            .select("column", "count", "mean", "std", "min", "p25", "p50", "p75", "max"))
+    return (sums.join(spread, "column").join(quant, "column")
+            .select("column", F.col("count").cast("long").alias("count"), "mean",
+                    F.when(F.col("count") > 1, F.col("std")).alias("std"),
+                    "min", "p25", "p50", "p75", "max"))
 
 
 def column_profile(df: DataFrame) -> DataFrame:

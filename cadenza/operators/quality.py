@@ -18,23 +18,29 @@ def unique_failures(df: DataFrame, col: str) -> DataFrame:
 
 
 def test_summary(df: DataFrame, tests) -> DataFrame:
-    """Run several tests (pairs of kind, column) in one aggregate pass over
-    ``df`` for not_null, plus one grouped pass per unique test. Returns
-    (test, column_name, failures)."""
+    """Run several tests (pairs of kind, column): all not_null tests share one
+    aggregate pass, each unique test is one grouped pass. Returns
+    (test, column_name, failures) in the order given."""
+    tests = list(tests)
+    for kind, _ in tests:
+        if kind not in ("not_null", "unique"):
+            raise ValueError(f"unknown test {kind!r}")
     parts = []
+    nn_cols = [c for kind, c in tests if kind == "not_null"]
+    if nn_cols:
+        counts = df.agg(*[F.count(F.when(F.col(c).isNull(), 1)).alias(f"_nn{i}")
+                          for i, c in enumerate(nn_cols)])
+        entries = F.array(*[F.struct(F.lit("not_null").alias("test"),
+                                     F.lit(c).alias("column_name"),
+                                     F.col(f"_nn{i}").cast("long").alias("failures"))
+                            for i, c in enumerate(nn_cols)])
+        parts.append(counts.select(F.explode(entries).alias("_t")).select("_t.*"))
     for kind, col in tests:
-        if kind == "not_null":
-            parts.append(df.agg((F.count(F.lit(1)) - F.count(F.col(col))).cast("long")
-                                .alias("failures"))
-                         .select(F.lit(kind).alias("test"), F.lit(col).alias("column_name"),
-                                 "failures"))
-        elif kind == "unique":
+        if kind == "unique":
             parts.append(unique_failures(df, col)
                          .agg(F.count(F.lit(1)).cast("long").alias("failures"))
                          .select(F.lit(kind).alias("test"), F.lit(col).alias("column_name"),
                                  "failures"))
-        else:
-            raise ValueError(f"unknown test {kind!r}")
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
