@@ -125,3 +125,25 @@ def column_profile(df: DataFrame) -> DataFrame:
                         for i, (c, t) in enumerate(df.dtypes)])
     return (counts.select(F.explode(entries).alias("_e"), F.col("_rows").alias("rows"))
             .select("_e.position", "_e.column", "_e.dtype", "_e.non_null", "rows"))
+
+
+def describe_text(df: DataFrame, cols=None) -> DataFrame:
+    """A8 for text columns (what ``describe`` reports when no column is
+    numeric): non-null count, number of distinct values, the most frequent
+    value (ties: the smallest) and its frequency; one row per column. Values
+    are counted per (column, value) with map-side partial aggregation, then
+    reduced per column, so no column is collected into one task."""
+    cols = list(cols or [f.name for f in df.schema.fields
+                         if isinstance(f.dataType, T.StringType)])
+    pairs = F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).alias("value"))
+                      for c in cols])
+    counted = (df.select(F.explode(pairs).alias("_kv")).select("_kv.*")
+               .filter(F.col("value").isNotNull())
+               .groupBy("column", "value").agg(F.count(F.lit(1)).alias("n")))
+    best = F.min(F.struct((-F.col("n")).alias("neg"), F.col("value").alias("value")))
+    return (counted.groupBy("column")
+            .agg(F.sum("n").cast("long").alias("count"),
+                 F.count(F.lit(1)).cast("long").alias("unique"), best.alias("_b"))
+            .select("column", "count", "unique", F.col("_b.value").alias("top"),
+                    (-F.col("_b.neg")).cast("long").alias("freq")))
+

@@ -3,6 +3,10 @@
 Each statement computes the same result as the Spark query of the same key
 from the raw tables; column names match. ``genre_pca`` has no SQL form (an
 eigen-decomposition) and is checked against numpy in the tests instead.
+
+The enrichment statements restate the failure rules of the stand-in lookup
+services (``plans/responders.py``: error document, 404, non-JSON body by id
+divisibility); every id of the table is still sent to the service.
 """
 
 ORACLE_SQL = {
@@ -350,4 +354,14 @@ ORACLE_SQL = {
         SELECT s_suppkey, s_name, CAST(s_nationkey AS BIGINT) AS s_nationkey, s_acctbal
         FROM supplier
     """,
+    "profile_text": """
+        WITH v AS (
+            SELECT 'p_name' AS "column", p_name AS value FROM part
+            UNION ALL SELECT 'p_brand', p_brand FROM part
+            UNION ALL SELECT 'p_type', p_type FROM part),
+        c AS (SELECT "column", value, count(*) AS n FROM v WHERE value IS NOT NULL GROUP BY 1, 2)
+        SELECT "column", sum(n)::BIGINT AS count, count(*)::BIGINT AS unique,
+               arg_min(value, (-n, value)) AS top, max(n)::BIGINT AS freq
+        FROM c GROUP BY 1
+    """,
 }

@@ -373,6 +373,10 @@ def q_profile_numeric(spark, sf_dir):
                          for c in ("mean", "std", "min", "p25", "p50", "p75", "max")])
 
 
+def q_profile_text(spark, sf_dir):
+    return PR.describe_text(_t(spark, sf_dir, "part"), ["p_name", "p_brand", "p_type"])
+
+
 def q_profile_columns(spark, sf_dir):
     return PR.column_profile(_t(spark, sf_dir, "part"))
 
@@ -541,6 +545,7 @@ QUERIES = {
     "choices_within": q_choices_within,
     "profile_numeric": q_profile_numeric,
     "profile_columns": q_profile_columns,
+    "profile_text": q_profile_text,
     "scale_features": q_scale_features,
     "knn_top10": q_knn_top10,
     "genre_pca": q_genre_pca,

@@ -107,3 +107,17 @@ def test_describe_matches_pandas(spark):
 def test_column_profile(spark):
     df = spark.createDataFrame([(1, None), (2, "x")], "a long, b string")
     assert rows(column_profile(df)) == [(0, "a", "bigint", 2, 2), (1, "b", "string", 1, 2)]
+
+
+def test_describe_text(spark):
+    from cadenza.operators.profile import describe_text
+    pdf = pd.DataFrame({"g": ["rock", "pop", "rock", None, "jazz", "rock"],
+                        "h": ["b", "a", "a", "b", None, None]})
+    got = {r["column"]: r for r in describe_text(spark.createDataFrame(pdf)).collect()}
+    ref = pdf.describe()
+    assert got["g"]["count"] == ref.loc["count", "g"] == 5
+    assert got["g"]["unique"] == ref.loc["unique", "g"] == 3
+    assert got["g"]["top"] == ref.loc["top", "g"] == "rock"
+    assert got["g"]["freq"] == ref.loc["freq", "g"] == 3
+    # tie on frequency: the smallest value is reported
+    assert got["h"]["top"] == "a" and got["h"]["freq"] == 2 and got["h"]["unique"] == 2
