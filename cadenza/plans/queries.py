@@ -30,7 +30,7 @@ from cadenza.operators.similarity import nearest
 from cadenza.plans import catalogue as C
 from cadenza.plans import responders as R
 from cadenza.plans.sql_surface import display_series, run_sql
-from cadenza.session import work_path
+from cadenza.session import default_parallelism, work_path
 from cadenza.sources import sinks as K
 from cadenza.sources.files import (envelope_rows, parse_json_column, read_csv_inferred,
                                   read_csv_strings, read_json_documents)
@@ -105,7 +105,7 @@ def q_id_batches(spark, sf_dir):
 def _lookup_tasks(spark):
     # The stand-in service has no rate limit: one lookup task per core. A
     # rate-limited endpoint would pass its own cap (1 or 5 in the reference).
-    return spark.sparkContext.defaultParallelism
+    return default_parallelism(spark)
 
 
 def q_enrich_batches(spark, sf_dir):

@@ -40,9 +40,27 @@ def build_session(master: str = "local[*]", shuffle_partitions: int = 8,
     return spark
 
 
+def _context(spark: SparkSession):
+    """The SparkContext of a classic session; None for a Spark Connect client."""
+    try:
+        return spark.sparkContext
+    except Exception:  # noqa: BLE001  (Connect sessions have no SparkContext)
+        return None
+
+
+def default_parallelism(spark: SparkSession) -> int:
+    sc = _context(spark)
+    if sc is not None:
+        return sc.defaultParallelism
+    return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder, creating a local one only if unset."""
-    sc = spark.sparkContext
+    sc = _context(spark)
+    if sc is None:
+        # Spark Connect: the server checkpoints into its own configured folder.
+        return spark.conf.get("spark.checkpoint.dir", None) or ""
     current = sc.getCheckpointDir()
     if current:
         return current
@@ -70,13 +88,13 @@ def ship_package(spark: SparkSession) -> str:
     add it with ``SparkContext.addPyFile``, the standard way to ship code."""
     import zipfile
 
-    sc = spark.sparkContext
-    app = sc.applicationId
+    sc = _context(spark)
+    app = sc.applicationId if sc is not None else f"connect-{id(spark)}"
     if app in _SHIPPED:
         return _SHIPPED[app]
     pkg_dir = os.path.dirname(os.path.abspath(__file__))
     root = os.path.dirname(pkg_dir)
-    target_dir = os.path.join(ensure_checkpoint_dir(spark), "pyfiles")
+    target_dir = os.path.join(ensure_checkpoint_dir(spark) or tempfile.mkdtemp(), "pyfiles")
     if "://" in target_dir and not target_dir.startswith("file:"):
         # Remote shared folder: addPyFile also accepts a local file, which
         # Spark copies to every executor.
@@ -91,6 +109,9 @@ def ship_package(spark: SparkSession) -> str:
                 if f.endswith(".py"):
                     full = os.path.join(base, f)
                     zf.write(full, os.path.relpath(full, root))
-    sc.addPyFile(path)
+    if sc is not None:
+        sc.addPyFile(path)
+    else:
+        spark.addArtifacts(path, pyfile=True)
     _SHIPPED[app] = path
     return path
