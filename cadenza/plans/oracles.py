@@ -364,4 +364,45 @@ ORACLE_SQL = {
                arg_min(value, (-n, value)) AS top, max(n)::BIGINT AS freq
         FROM c GROUP BY 1
     """,
+    "similar_tracks": """
+        WITH t AS (
+            SELECT l_orderkey * 8 + l_linenumber AS track_id, l_partkey AS row_order,
+                   'S' || CAST(l_suppkey AS VARCHAR) AS artist,
+                   CAST(l_orderkey AS VARCHAR) || '-' || CAST(l_linenumber AS VARCHAR) AS title,
+                   l_quantity, l_extendedprice, l_discount, l_tax
+            FROM lineitem),
+        d AS (
+            SELECT * FROM t
+            WHERE track_id IS NOT NULL AND row_order IS NOT NULL AND artist IS NOT NULL
+              AND title IS NOT NULL AND l_quantity IS NOT NULL AND l_extendedprice IS NOT NULL
+              AND l_discount IS NOT NULL AND l_tax IS NOT NULL
+            QUALIFY row_number() OVER (PARTITION BY title ORDER BY row_order, track_id, artist,
+                    l_quantity, l_extendedprice, l_discount, l_tax) = 1),
+        st AS (
+            SELECT avg(l_quantity) AS m1, stddev_pop(l_quantity) AS s1,
+                   avg(l_extendedprice) AS m2, stddev_pop(l_extendedprice) AS s2,
+                   avg(l_discount) AS m3, stddev_pop(l_discount) AS s3,
+                   avg(l_tax) AS m4, stddev_pop(l_tax) AS s4
+            FROM d),
+        z AS (
+            SELECT track_id, artist, title, l_quantity,
+                   CAST((l_quantity - m1) / CASE WHEN s1 = 0 THEN 1 ELSE s1 END AS FLOAT) AS z1,
+                   CAST((l_extendedprice - m2) / CASE WHEN s2 = 0 THEN 1 ELSE s2 END AS FLOAT) AS z2,
+                   CAST((l_discount - m3) / CASE WHEN s3 = 0 THEN 1 ELSE s3 END AS FLOAT) AS z3,
+                   CAST((l_tax - m4) / CASE WHEN s4 = 0 THEN 1 ELSE s4 END AS FLOAT) AS z4
+            FROM d, st),
+        q AS (
+            SELECT z1 AS q1, z2 AS q2, z3 AS q3, z4 AS q4 FROM z
+            WHERE artist = 'S1' AND title = (SELECT min(title) FROM d WHERE artist = 'S1')),
+        dist AS (
+            SELECT track_id, artist, title, l_quantity,
+                   round((CAST(z1 AS DOUBLE) - q1) * (CAST(z1 AS DOUBLE) - q1)
+                         + (CAST(z2 AS DOUBLE) - q2) * (CAST(z2 AS DOUBLE) - q2)
+                         + (CAST(z3 AS DOUBLE) - q3) * (CAST(z3 AS DOUBLE) - q3)
+                         + (CAST(z4 AS DOUBLE) - q4) * (CAST(z4 AS DOUBLE) - q4), 4) AS distance
+            FROM z, q)
+        SELECT row_number() OVER (ORDER BY distance, track_id) AS rank, track_id, artist, title,
+               l_quantity, distance
+        FROM dist ORDER BY distance, track_id LIMIT 10
+    """,
 }

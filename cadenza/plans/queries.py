@@ -29,6 +29,7 @@ from cadenza.operators.setops import union_by_name
 from cadenza.operators.similarity import nearest
 from cadenza.plans import catalogue as C
 from cadenza.plans import responders as R
+from cadenza.plans import similarity as SIM
 from cadenza.plans.sql_surface import display_series, run_sql
 from cadenza.session import default_parallelism, work_path
 from cadenza.sources import sinks as K
@@ -393,6 +394,33 @@ def q_knn_top10(spark, sf_dir):
     return nearest(emb, "vec_id", "embedding", KNN_QUERY_ID, k=KNN_K, digits=4)
 
 
+def _line_tracks(spark, sf_dir):
+    """lineitem rows as tracks: title = order-line, artist = supplier."""
+    li = _t(spark, sf_dir, "lineitem", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey",
+            *LINE_FEATURES)
+    # The id follows the title (one id per order line); l_partkey stands for
+    # the file order that decides which duplicate title is kept.
+    return li.select(
+        (F.col("l_orderkey") * 8 + F.col("l_linenumber")).alias("track_id"),
+        F.col("l_partkey").alias("row_order"),
+        F.concat(F.lit("S"), to_text("l_suppkey")).alias("artist"),
+        F.concat_ws("-", to_text("l_orderkey"), to_text("l_linenumber")).alias("title"),
+        *LINE_FEATURES)
+
+
+def q_similar_tracks(spark, sf_dir):
+    """§3.3 flow on lineitem: choose the first title of artist S1, then its ten
+    nearest tracks on the four standardised measures."""
+    # The cleaned table feeds five steps (choices, the exactly-one check, the
+    # scaler, the query vector, the scan): land it once.
+    tracks = K.land_table(SIM.clean_tracks(_line_tracks(spark, sf_dir), "title", "row_order"),
+                          "clean_tracks")
+    title = O.first_row(tracks.select("title"), ["title"],
+                        where=F.col("artist") == "S1").first()["title"]   # O1 choice
+    return SIM.similar_tracks(tracks, "track_id", "artist", "title", LINE_FEATURES,
+                              "S1", title, display=["artist", "title", "l_quantity"])
+
+
 def q_genre_pca(spark, sf_dir):
     emb = _t(spark, sf_dir, "embeddings", "label", "embedding")
     means = FT.group_vector_means(emb, "label", "embedding")
@@ -549,6 +577,7 @@ QUERIES = {
     "scale_features": q_scale_features,
     "knn_top10": q_knn_top10,
     "genre_pca": q_genre_pca,
+    "similar_tracks": q_similar_tracks,
     "dq_not_null": q_dq_not_null,
     "dq_unique": q_dq_unique,
     "dq_summary": q_dq_summary,

@@ -60,6 +60,17 @@ def read_retained(spark: SparkSession, path: str, days: int = 7,
     return df.filter(F.col(date_col) > F.date_sub(newest, days))
 
 
+def land_table(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` once as parquet in the shared work folder and return the
+    scan of it: a result that several steps read is computed once, its
+    lineage is cut, and later reads get column pruning and filter pushdown."""
+    from cadenza.session import work_path
+
+    path = work_path(df.sparkSession, name)
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
 def publish_view(df: DataFrame, name: str) -> DataFrame:
     """``create or replace view``: the view stores a plan, not data."""
     df.createOrReplaceTempView(name)
