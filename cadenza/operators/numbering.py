@@ -26,12 +26,14 @@ from cadenza.session import ensure_checkpoint_dir, ship_package
 
 
 def _ranged(df: DataFrame, order_cols, num_partitions):
-    spark = df.sparkSession
-    ensure_checkpoint_dir(spark)
+    ensure_checkpoint_dir(df.sparkSession)
     if num_partitions is None:
-        num_partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    return (df.repartitionByRange(num_partitions, *order_cols)
-            .sortWithinPartitions(*order_cols))
+        # No fixed count: AQE may merge adjacent ranges to its advisory size,
+        # which keeps the global order (merged partitions stay contiguous).
+        ranged = df.repartitionByRange(*order_cols)
+    else:
+        ranged = df.repartitionByRange(num_partitions, *order_cols)
+    return ranged.sortWithinPartitions(*order_cols)
 
 
 def _with_offsets(pinned: DataFrame, total_expr, local_col: str, name: str) -> DataFrame:
