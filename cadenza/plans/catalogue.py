@@ -3,13 +3,18 @@ enrichment snapshots, dimension / fact split and the matched MERGE."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from cadenza.operators.aggregates import distinct_ids
+from cadenza.operators.enrich import enrich_batches
+from cadenza.operators.graph import triple_pattern
 from cadenza.operators.joins import left_join_on_name
 from cadenza.operators.merge import merge_matched
+from cadenza.operators.quality import require_not_null
 from cadenza.operators.setops import split_dim_fact
-from cadenza.sources.sinks import publish_view, run_date
+from cadenza.sources.sinks import (append_day_partition, publish_view, run_date,
+                                   write_full_refresh)
 
 UNION_COLUMNS = (
     "spotify_artist_id", "spotify_artist_name", "spotify_artist_genres",
@@ -61,3 +66,37 @@ def merge_fact_into_dim(dim: DataFrame, fact: DataFrame, day, check_source_uniqu
         {"spotify_artist_popularity": "spotify_artist_popularity",
          "spotify_artist_total_followers": "spotify_artist_total_followers"},
         check_source_unique=check_source_unique)
+
+
+def load_catalogue(triples: DataFrame, path: str, required: tuple, optional=(),
+                   label: str | None = None, required_cols=None,
+                   chunk_rows: int = 5000) -> DataFrame:
+    """§3.1 stages 1-3: triple pattern -> REQUIRED check -> full refresh.
+    The reference loads in chunks of ``chunk_rows`` (first chunk truncates,
+    the rest append): one overwrite with files of at most ``chunk_rows``
+    rows. An empty result leaves the table as it was."""
+    rows = triple_pattern(triples, required, optional, label=label)
+    require_not_null(rows, required_cols or ["item", required[1]])
+    write_full_refresh(rows, path, max_records_per_file=chunk_rows)
+    return rows.sparkSession.read.parquet(path)
+
+
+def daily_enrichment(catalogue: DataFrame, id_col: str, fetch, body_schema, path: str,
+                     columns: dict, as_of=None, batch_size: int = 500,
+                     max_parallel: int | None = None, replace_day: bool = False) -> DataFrame:
+    """§3.1 stages 4-7: distinct ids of ``catalogue`` -> batched lookups ->
+    rows stamped with the run date -> append to the day-partitioned snapshot
+    table at ``path``. ``columns`` maps output names to response fields
+    (names or Column expressions over them).
+    Returns that day's snapshot (one partition read)."""
+    ids = distinct_ids(catalogue, id_col, "id")
+    rows = enrich_batches(ids, "id", fetch, body_schema, batch_size=batch_size,
+                          max_parallel=max_parallel)
+    day = run_date(as_of)
+    stamped = rows.select(*[(src if isinstance(src, Column) else F.col(src)).alias(out)
+                            for out, src in columns.items()],
+                          day.alias("ingestion_date"))
+    append_day_partition(stamped, path, replace_day=replace_day)
+    snapshot = rows.sparkSession.read.parquet(path)
+    return snapshot.filter(F.col("ingestion_date") == day)
+

@@ -406,3 +406,7 @@ ORACLE_SQL = {
         FROM dist ORDER BY distance, track_id LIMIT 10
     """,
 }
+
+# The landed forms compute the same rows as their piecewise queries.
+ORACLE_SQL["catalogue_load"] = ORACLE_SQL["triple_pivot"]
+ORACLE_SQL["enrich_snapshot"] = ORACLE_SQL["enrich_batches"]

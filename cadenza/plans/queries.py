@@ -275,6 +275,24 @@ def q_triple_pivot(spark, sf_dir):
                           label="label")
 
 
+def q_catalogue_load(spark, sf_dir):
+    """S6 + S10 + K1 + K5: the triple-pattern catalogue landed as a table."""
+    return C.load_catalogue(
+        _triples(spark, sf_dir), work_path(spark, "catalogue"), ("in_nation", "nation"),
+        [("placed", "order_ref"), ("segment", "segment"), ("rich", "rich")], label="label")
+
+
+def q_enrich_snapshot(spark, sf_dir):
+    """S7 + P6 + K2 + T1: catalogue ids -> lookups -> today's snapshot partition."""
+    orders = _t(spark, sf_dir, "orders", "o_orderkey")
+    return C.daily_enrichment(
+        orders, "o_orderkey", R.artist_lookup, R.ARTIST_BODY_SCHEMA,
+        work_path(spark, "deezer_artists"),
+        {"deezer_artist_id": to_text("id"), "deezer_artist_name": "name",
+         "deezer_artist_url": "link", "deezer_artist_total_followers": "nb_fan"},
+        as_of=AS_OF, max_parallel=_lookup_tasks(spark))
+
+
 def q_lookup_default(spark, sf_dir):
     s = _t(spark, sf_dir, "supplier", "s_suppkey", "s_name", "s_nationkey")
     n = _t(spark, sf_dir, "nation")
@@ -560,6 +578,8 @@ QUERIES = {
     "merge_matched": q_merge_matched,
     "dim_fact_split": q_dim_fact_split,
     "triple_pivot": q_triple_pivot,
+    "catalogue_load": q_catalogue_load,
+    "enrich_snapshot": q_enrich_snapshot,
     "lookup_default": q_lookup_default,
     "genre_unnest": q_genre_unnest,
     "genre_member": q_genre_member,
