@@ -27,50 +27,71 @@ def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> Dat
 # Hot-key handling of the salted left join: a right-side key with more rows
 # than HOT_KEY_ROWS is spread over SALT_BUCKETS buckets. At most HOT_KEYS_MAX
 # keys are treated so (the most frequent); the rest take the plain path, which
-# is equally exact, just less evenly spread.
+# is equally exact, just less evenly spread. The list is collected to the
+# driver, so its size bound is also the bound of that collect.
 HOT_KEY_ROWS = 1_000_000
 SALT_BUCKETS = 64
 HOT_KEYS_MAX = 10_000
 
 
 def hot_keys(df: DataFrame, key: str, hot_rows: int = HOT_KEY_ROWS,
-             hot_keys_max: int = HOT_KEYS_MAX) -> DataFrame:
+             hot_keys_max: int = HOT_KEYS_MAX, by=()) -> DataFrame:
     """Keys of ``df`` with more than ``hot_rows`` rows (the ``hot_keys_max``
-    most frequent), as column ``_hk``. Counting is partial-aggregated map-side,
-    so the pass costs one small shuffle; the result is bounded."""
-    return (df.filter(F.col(key).isNotNull()).groupBy(F.col(key).alias("_hk"))
+    most frequent; ties by key), as column ``_hk`` (plus the ``by`` columns).
+    Counting is partial-aggregated map-side, so the pass costs one small
+    shuffle; the result is bounded by ``hot_keys_max``."""
+    by = list(by)
+    return (df.filter(F.col(key).isNotNull())
+            .groupBy(*by, F.col(key).alias("_hk"))
             .agg(F.count(F.lit(1)).alias("_hn")).filter(F.col("_hn") > hot_rows)
-            # A total order: both join sides must see the same list even if
-            # it is evaluated twice (e.g. after a lost executor).
-            .orderBy(F.col("_hn").desc(), F.col("_hk")).limit(hot_keys_max).select("_hk"))
+            .orderBy(F.col("_hn").desc(), *by, F.col("_hk"))
+            .limit(hot_keys_max).select(*by, "_hk"))
+
+
+def collect_hot_keys(df: DataFrame, key: str, hot_rows: int = HOT_KEY_ROWS,
+                     hot_keys_max: int = HOT_KEYS_MAX, by=()) -> list:
+    """The hot-key list as driver-side rows (at most ``hot_keys_max``): it is
+    computed once and every later use sees the very same list."""
+    return hot_keys(df, key, hot_rows, hot_keys_max, by).collect()
 
 
 def left_join_salted(left: DataFrame, right: DataFrame, left_key: str,
                      right_key: str | None = None, hot_rows: int = HOT_KEY_ROWS,
-                     buckets: int = SALT_BUCKETS, hot_keys_max: int = HOT_KEYS_MAX) -> DataFrame:
+                     buckets: int = SALT_BUCKETS, hot_keys_max: int = HOT_KEYS_MAX,
+                     hot: list | None = None) -> DataFrame:
     """Left outer equi-join that stays balanced when one key holds a large
     share of the *right* side (AQE splits a hot key of a left outer join only
     on the left side).
 
-    Hot right keys (see :func:`hot_keys`) are broadcast as a bounded list.
-    The join runs on (key, salt): a right row of a hot key gets a salt from a
-    hash of the row, a left row of a hot key is copied into every salt bucket,
-    and all other rows use salt 0. A hot key is sure to have right rows, so
-    its left rows are matched in some bucket; the null-extended rows that
-    empty buckets would add are dropped. Each pair is produced exactly once,
-    each input is read once. With the key named once on both sides
-    (``right_key`` omitted) the key column is kept once (USING form)."""
+    The hot right keys (see :func:`hot_keys`; or ``hot``, a precomputed list
+    of values) form a bounded list; without any, this is a plain left join.
+    Otherwise the join runs on (key, salt): a right row of a hot key gets a
+    salt from a hash of the row, a left row of a hot key is copied into every
+    salt bucket, and all other rows use salt 0. A hot key is sure to have
+    right rows, so its left rows are matched in some bucket; the
+    null-extended rows that empty buckets would add are dropped. Each pair is
+    produced exactly once and each input is read once. With the key named
+    once on both sides (``right_key`` omitted) the key column is kept once
+    (USING form)."""
     same = right_key is None or right_key == left_key
     rk = left_key if same else right_key
-    hot = F.broadcast(hot_keys(right, rk, hot_rows, hot_keys_max))
-
-    lt = (left.join(hot, left[left_key] == hot["_hk"], "left")
+    if hot is None:
+        hot = [r["_hk"] for r in collect_hot_keys(right, rk, hot_rows, hot_keys_max)]
+    if not hot:
+        if same:
+            return left.join(right, left_key, "left")
+        return left.join(right, left[left_key] == right[rk], "left")
+    key_type = dict(right.dtypes)[rk]
+    hot_df = F.broadcast(left.sparkSession.createDataFrame(
+        [(v,) for v in hot], f"_hk {key_type}"))          # at most hot_keys_max rows
+
+    lt = (left.join(hot_df, left[left_key] == hot_df["_hk"], "left")
           .withColumn("_hot", F.col("_hk").isNotNull()).drop("_hk"))
     lt = lt.withColumn("_salt", F.explode(
         F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(buckets - 1)))
         .otherwise(F.array(F.lit(0)))))
     row_hash = F.pmod(F.xxhash64(*[F.col(c) for c in right.columns]), F.lit(buckets))
-    rt = (right.join(hot, right[rk] == hot["_hk"], "left")
+    rt = (right.join(hot_df, right[rk] == hot_df["_hk"], "left")
           .withColumn("_salt", F.when(F.col("_hk").isNotNull(), row_hash.cast("int"))
                       .otherwise(F.lit(0)))
           .withColumn("_rp", F.lit(True)).drop("_hk"))

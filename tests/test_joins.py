@@ -86,3 +86,17 @@ def test_salted_join_hot_list_cap_is_exact(spark):
     plain = left.join(right, "k", "left")
     salted = J.left_join_salted(left, right, "k", hot_rows=10, buckets=5, hot_keys_max=3)
     assert rows(salted) == rows(plain)
+
+
+def test_triple_pattern_with_hot_subject(spark):
+    from cadenza.operators.graph import property_rows, triple_pattern
+    data = [("Q1", "deezer", "d1"), ("Q2", "deezer", "d2"), ("Q3", "deezer", "d3")]
+    data += [("Q1", "track", f"t{i}") for i in range(40)]          # hot subject
+    data += [("Q2", "track", "tx"), ("Q1", "url", "u1"), ("Q3", "url", "u3")]
+    t = spark.createDataFrame(data, "subject string, predicate string, object string")
+    got = triple_pattern(t, ("deezer", "did"), [("track", "tid"), ("url", "url")], hot_rows=5)
+    base = property_rows(t, "deezer", "did")
+    want = (base.join(property_rows(t, "track", "tid"), "item", "left")
+            .join(property_rows(t, "url", "url"), "item", "left"))
+    assert rows(got, "item", "did", "tid", "url") == rows(want, "item", "did", "tid", "url")
+    assert got.count() == 42
