@@ -23,6 +23,8 @@ BASE_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
+    # Checkpoint files of released DataFrames are removed by the context cleaner.
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
