@@ -90,7 +90,9 @@ def left_join_salted(left: DataFrame, right: DataFrame, left_key: str,
     lt = lt.withColumn("_salt", F.explode(
         F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(buckets - 1)))
         .otherwise(F.array(F.lit(0)))))
-    row_hash = F.pmod(F.xxhash64(*[F.col(c) for c in right.columns]), F.lit(buckets))
+    # Spread a hot key's right rows by a hash of the row (maps cannot be hashed).
+    hashable = [F.col(c) for c, t in right.dtypes if not t.startswith("map")]
+    row_hash = F.pmod(F.xxhash64(*hashable), F.lit(buckets))
     rt = (right.join(hot_df, right[rk] == hot_df["_hk"], "left")
           .withColumn("_salt", F.when(F.col("_hk").isNotNull(), row_hash.cast("int"))
                       .otherwise(F.lit(0)))

@@ -77,12 +77,24 @@ def publish_view(df: DataFrame, name: str) -> DataFrame:
     return df
 
 
-def preview_records(df: DataFrame, n: int = 10, order_by=None) -> DataFrame:
+def preview_records(df: DataFrame, n: int = 10, order_by=None,
+                    epoch_dates: bool = True) -> DataFrame:
     """First ``n`` rows as JSON records (one string per row). An explicit order
-    makes "first" deterministic; the limit is pushed into the plan."""
+    makes "first" deterministic; the limit is pushed into the plan. Dates and
+    timestamps are written as epoch milliseconds (as the records the question
+    API returns), unless ``epoch_dates`` is False."""
     if order_by:
         df = df.orderBy(*order_by)
-    return df.limit(n).select(F.to_json(F.struct(*df.columns)).alias("record"))
+    df = df.limit(n)
+    cols = []
+    for name, dtype in df.dtypes:
+        c = F.col(name)
+        if epoch_dates and dtype == "date":
+            c = F.unix_millis(c.cast("timestamp")).alias(name)
+        elif epoch_dates and dtype.startswith("timestamp"):
+            c = F.unix_millis(c.cast("timestamp")).alias(name)
+        cols.append(c)
+    return df.select(F.to_json(F.struct(*cols)).alias("record"))
 
 
 def run_date(as_of=None):

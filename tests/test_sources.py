@@ -80,6 +80,11 @@ def test_preview_and_view(spark):
     recs = K.preview_records(df, 3, order_by=["id"]).collect()
     assert [json.loads(r["record"]) for r in recs] == [
         {"id": 0, "name": "n0"}, {"id": 1, "name": "n1"}, {"id": 2, "name": "n2"}]
+    dated = spark.createDataFrame([(dt.date(2024, 1, 1),)], "release_date date")
+    rec = json.loads(K.preview_records(dated).first()["record"])
+    assert rec == {"release_date": 1704067200000}          # epoch milliseconds
+    iso = json.loads(K.preview_records(dated, epoch_dates=False).first()["record"])
+    assert iso == {"release_date": "2024-01-01"}
     K.publish_view(df, "people_view")
     assert spark.table("people_view").count() == 20
 
