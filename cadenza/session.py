@@ -69,6 +69,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get(
         "spark.checkpoint.dir", None)
     if not configured:
+        if not sc.master.startswith("local"):
+            # A machine-local folder is not shared by the executors.
+            raise RuntimeError("set spark.checkpoint.dir to a folder every executor can "
+                               "reach (checkpoints and landed tables are written there)")
         # Local / test sessions only: a cluster sets spark.checkpoint.dir.
         configured = tempfile.mkdtemp(prefix="cadenza-ckpt-")
     sc.setCheckpointDir(configured)
