@@ -56,7 +56,7 @@ def enrich_batches(ids: DataFrame, id_col: str, fetch: Callable,
     records without an id. Output: ``request_id`` plus the body fields."""
     raw = request_batches(ids, id_col, fetch, batch_size, max_parallel, on_error)
     schema = body_schema if isinstance(body_schema, T.StructType) else \
-        T._parse_datatype_string(body_schema)
+        T.DataType.fromDDL(body_schema)
     if "error" not in schema.fieldNames():
         schema = schema.add("error", T.StringType())
     parsed = raw.filter(F.col("status") == 200).select(
@@ -75,7 +75,7 @@ def enrich_children(ids: DataFrame, id_col: str, fetch: Callable, child_field: s
     ``child`` (a struct)."""
     raw = request_batches(ids, id_col, fetch, batch_size, max_parallel, on_error)
     schema = body_schema if isinstance(body_schema, T.StructType) else \
-        T._parse_datatype_string(body_schema)
+        T.DataType.fromDDL(body_schema)
     parsed = raw.filter(F.col("status") == 200).select(
         "request_id", F.from_json("body", schema).alias("doc"))
     return parsed.select("request_id", F.explode(F.col("doc." + child_field)).alias("child"))
