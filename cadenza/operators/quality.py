@@ -58,3 +58,30 @@ def require_not_null(df: DataFrame, cols) -> DataFrame:
     if bad:
         raise ValueError(f"required fields contain nulls: {bad}")
     return df
+
+
+def run_data_tests(df: DataFrame, spec) -> DataFrame:
+    """Declared data tests, as a schema file lists them: ``spec`` is a list of
+    (column, [test, ...]) with tests ``not_null`` / ``unique``. Returns one row
+    per test: (column_name, test, status, failures) where status is ``pass``,
+    ``fail`` or ``error`` (the column does not exist; failures is null). All
+    runnable tests share the passes of :func:`test_summary`."""
+    spark = df.sparkSession
+    runnable = [(kind, col) for col, kinds in spec for kind in kinds if col in df.columns]
+    missing = [(col, kind) for col, kinds in spec for kind in kinds if col not in df.columns]
+    parts = []
+    if runnable:
+        counted = test_summary(df, runnable)
+        parts.append(counted.select(
+            "column_name", "test",
+            F.when(F.col("failures") == 0, F.lit("pass")).otherwise(F.lit("fail"))
+            .alias("status"), "failures"))
+    if missing:
+        parts.append(spark.createDataFrame(
+            [(c, k, "error", None) for c, k in missing],
+            "column_name string, test string, status string, failures long"))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+

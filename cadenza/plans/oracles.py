@@ -407,6 +407,17 @@ ORACLE_SQL = {
     """,
 }
 
+ORACLE_SQL["union_data_tests"] = """
+    SELECT 'spotify_artist_id' AS column_name, 'not_null' AS test,
+           CASE WHEN count(*) - count(CAST(c_custkey AS VARCHAR)) = 0 THEN 'pass' ELSE 'fail' END
+               AS status,
+           count(*) - count(CAST(c_custkey AS VARCHAR)) AS failures
+    FROM customer LEFT JOIN supplier ON c_name = replace(s_name, 'Supplier', 'Customer')
+    UNION ALL SELECT 'artist_name', 'not_null', 'error', NULL
+    UNION ALL SELECT 'artist_name', 'unique', 'error', NULL
+    UNION ALL SELECT 'deezer_artist_id', 'not_null', 'error', NULL
+"""
+
 # The landed forms compute the same rows as their piecewise queries.
 ORACLE_SQL["catalogue_load"] = ORACLE_SQL["triple_pivot"]
 ORACLE_SQL["enrich_snapshot"] = ORACLE_SQL["enrich_batches"]

@@ -85,6 +85,23 @@ def q_artists_union(spark, sf_dir):
                            F.array_join("spotify_artist_genres", ","))
 
 
+# The data tests declared for the published union view
+# (column, tests), as the reference's schema file lists them.
+UNION_VIEW_TESTS = [
+    ("artist_name", ["not_null", "unique"]),
+    ("deezer_artist_id", ["not_null"]),
+    ("spotify_artist_id", ["not_null"]),
+]
+
+
+def q_union_data_tests(spark, sf_dir):
+    """Q1 + Q2 + K6: the declared tests run against the union view; tests on
+    columns the view does not have report an error instead of failing."""
+    view = C.artists_union(spotify_standin(spark, sf_dir), deezer_standin(spark, sf_dir),
+                           as_of=AS_OF, view_name="artists_union")
+    return Q.run_data_tests(view, UNION_VIEW_TESTS)
+
+
 def q_scan_project(spark, sf_dir):
     c = _t(spark, sf_dir, "customer")
     kept = c.select(c.columns[2:])            # P9: drop the first two columns
@@ -601,6 +618,7 @@ QUERIES = {
     "dq_not_null": q_dq_not_null,
     "dq_unique": q_dq_unique,
     "dq_summary": q_dq_summary,
+    "union_data_tests": q_union_data_tests,
     "valid_ids": q_valid_ids,
     "sql_preview": q_sql_preview,
     "result_series": q_result_series,

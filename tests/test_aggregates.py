@@ -121,3 +121,12 @@ def test_describe_text(spark):
     assert got["g"]["freq"] == ref.loc["freq", "g"] == 3
     # tie on frequency: the smallest value is reported
     assert got["h"]["top"] == "a" and got["h"]["freq"] == 2 and got["h"]["unique"] == 2
+
+
+def test_run_data_tests(spark):
+    df = spark.createDataFrame([("a", 1), ("a", None), (None, 3)], "name string, id int")
+    spec = [("name", ["not_null", "unique"]), ("id", ["not_null"]), ("gone", ["not_null"])]
+    got = {(r["column_name"], r["test"]): (r["status"], r["failures"])
+           for r in Q.run_data_tests(df, spec).collect()}
+    assert got == {("name", "not_null"): ("fail", 1), ("name", "unique"): ("fail", 1),
+                   ("id", "not_null"): ("fail", 1), ("gone", "not_null"): ("error", None)}
