@@ -91,3 +91,19 @@ def pca_projection(df: DataFrame, vec: str, k: int = 3, prefix: str = "pc") -> D
     projected = model.transform(data).withColumn("_a", vector_to_array("_p"))
     cols = [(F.col("_a")[j] * F.lit(signs[j])).alias(f"{prefix}{j + 1}") for j in range(k)]
     return projected.select(*[c for c in df.columns if c != vec], *cols)
+
+
+def pca_of_group_means(df: DataFrame, group: str, features, k: int = 3, exclude=(),
+                       prefix: str = "pc") -> DataFrame:
+    """A4 + P17 + A10 + A11 for scalar feature columns: mean of each feature
+    per group (excluded groups removed), standardised across the groups
+    (population std), projected on the first ``k`` principal components.
+    One partial aggregate over ``df``; the rest works on one row per group."""
+    from cadenza.operators.aggregates import group_means
+
+    means = group_means(df, group, features, exclude=exclude)
+    scaled = standardize(means, list(features))
+    vectors = scaled.select(group, F.array(*[F.col(f).cast("double") for f in features])
+                            .alias("_v"))
+    return pca_projection(vectors, "_v", k=k, prefix=prefix)
+

@@ -429,6 +429,14 @@ def q_knn_top10(spark, sf_dir):
     return nearest(emb, "vec_id", "embedding", KNN_QUERY_ID, k=KNN_K, digits=4)
 
 
+def q_supplier_pca(spark, sf_dir):
+    """Genre-PCA flow on scalar features: lineitem measures averaged per
+    supplier (the 'genre'), standardised across suppliers, three components."""
+    li = _t(spark, sf_dir, "lineitem", "l_suppkey", *LINE_FEATURES)
+    proj = FT.pca_of_group_means(li, "l_suppkey", LINE_FEATURES, k=3)
+    return proj.select("l_suppkey", *[F.round(f"pc{j}", ROUND).alias(f"pc{j}") for j in (1, 2, 3)])
+
+
 def _line_tracks(spark, sf_dir):
     """lineitem rows as tracks: title = order-line, artist = supplier."""
     li = _t(spark, sf_dir, "lineitem", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey",
@@ -615,6 +623,7 @@ QUERIES = {
     "knn_top10": q_knn_top10,
     "genre_pca": q_genre_pca,
     "similar_tracks": q_similar_tracks,
+    "supplier_pca": q_supplier_pca,
     "dq_not_null": q_dq_not_null,
     "dq_unique": q_dq_unique,
     "dq_summary": q_dq_summary,

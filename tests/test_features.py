@@ -72,3 +72,22 @@ def test_group_vector_means(spark):
     got = {r["g"]: r["v"] for r in FT.group_vector_means(df, "g", "v").collect()}
     assert got == {"a": [2.0, 3.0], "b": [0.0, 1.0]}
     assert F is not None
+
+
+def test_pca_of_group_means_matches_numpy(spark):
+    li = spark.read.parquet(f"{SF_CHECK}/lineitem.parquet").select(
+        "l_suppkey", "l_quantity", "l_extendedprice", "l_discount", "l_tax")
+    feats = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
+    got = (FT.pca_of_group_means(li, "l_suppkey", feats, k=3, exclude=[0])
+           .orderBy("l_suppkey").toPandas())
+    pdf = li.toPandas()
+    M = pdf[pdf.l_suppkey != 0].groupby("l_suppkey")[feats].mean().sort_index()
+    S = ((M - M.mean()) / M.std(ddof=0)).to_numpy()
+    _, _, vt = np.linalg.svd(S - S.mean(0), full_matrices=False)
+    comps = vt[:3]
+    for j in range(3):
+        if comps[j][np.abs(comps[j]).argmax()] < 0:
+            comps[j] = -comps[j]
+    assert list(got["l_suppkey"]) == list(M.index)
+    assert np.allclose(got[["pc1", "pc2", "pc3"]].to_numpy(), S @ comps.T, atol=1e-8)
+
