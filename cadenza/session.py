@@ -28,6 +28,29 @@ BASE_CONF = {
 }
 
 
+def scale_conf(input_bytes: int, partition_bytes: int = 256 << 20,
+               max_partitions: int = 200_000) -> dict:
+    """Settings that size work to the data: about ``partition_bytes`` per file
+    split and per shuffle partition, so tasks fit executor memory and spill
+    only rarely. The initial shuffle partition count covers the whole input;
+    AQE merges small partitions at run time and splits skewed ones (a partition
+    over 5x the median and over ``partition_bytes``) in sort-merge joins.
+
+    For 100 TB at 256 MB that is about 400,000 splits to read and a shuffle
+    started at the cap of 200,000 partitions, merged down by AQE."""
+    parts = max(8, min(max_partitions, -(-int(input_bytes) // partition_bytes)))
+    return {
+        "spark.sql.files.maxPartitionBytes": str(partition_bytes),
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(parts),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(partition_bytes // 2),
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(partition_bytes),
+        # Static broadcasts stay small; bigger sides go through the checked paths.
+        "spark.sql.autoBroadcastJoinThreshold": str(64 << 20),
+    }
+
+
 def build_session(master: str = "local[*]", shuffle_partitions: int = 8,
                   app_name: str = "cadenza", extra: dict | None = None) -> SparkSession:
     builder = SparkSession.builder.master(master).appName(app_name)

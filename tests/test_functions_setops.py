@@ -91,3 +91,12 @@ def test_artists_union_and_dim_fact(spark):
                                                "spotify_artist_id = 's2'"), "2024-01-02")
     assert rows(merged, "spotify_artist_id", "spotify_artist_popularity") == [
         ("s1", 11), ("s2", 1)]
+
+
+def test_scale_conf():
+    from cadenza.session import scale_conf
+    conf = scale_conf(100 * (1 << 40))                      # 100 TB
+    assert conf["spark.sql.shuffle.partitions"] == "200000"
+    small = scale_conf(10 << 20)
+    assert small["spark.sql.shuffle.partitions"] == "8"
+    assert int(conf["spark.sql.adaptive.advisoryPartitionSizeInBytes"]) == 128 << 20
