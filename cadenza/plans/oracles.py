@@ -418,6 +418,24 @@ ORACLE_SQL["union_data_tests"] = """
     UNION ALL SELECT 'deezer_artist_id', 'not_null', 'error', NULL
 """
 
+ORACLE_SQL["browse_bounds"] = """
+    WITH g AS (
+        SELECT min(l_quantity) FILTER (WHERE l_returnflag = 'R') AS lo1,
+               max(l_quantity) FILTER (WHERE l_returnflag = 'R') AS hi1,
+               min(l_quantity) AS glo1, max(l_quantity) AS ghi1,
+               min(l_extendedprice) FILTER (WHERE l_returnflag = 'R') AS lo2,
+               max(l_extendedprice) FILTER (WHERE l_returnflag = 'R') AS hi2,
+               min(l_discount) FILTER (WHERE l_returnflag = 'R') AS lo3,
+               max(l_discount) FILTER (WHERE l_returnflag = 'R') AS hi3,
+               min(l_tax) FILTER (WHERE l_returnflag = 'R') AS lo4,
+               max(l_tax) FILTER (WHERE l_returnflag = 'R') AS hi4
+        FROM lineitem)
+    SELECT 'l_quantity' AS feature, lo1 AS lo, hi1 AS hi, glo1 AS value_lo, ghi1 AS value_hi FROM g
+    UNION ALL SELECT 'l_extendedprice', lo2, hi2, lo2, hi2 FROM g
+    UNION ALL SELECT 'l_discount', lo3, hi3, lo3, hi3 FROM g
+    UNION ALL SELECT 'l_tax', lo4, hi4, lo4, hi4 FROM g
+"""
+
 # The landed forms compute the same rows as their piecewise queries.
 ORACLE_SQL["catalogue_load"] = ORACLE_SQL["triple_pivot"]
 ORACLE_SQL["enrich_snapshot"] = ORACLE_SQL["enrich_batches"]

@@ -27,6 +27,7 @@ from cadenza.operators.graph import triple_pattern
 from cadenza.operators.numbering import assign_batches
 from cadenza.operators.setops import union_by_name
 from cadenza.operators.similarity import nearest
+from cadenza.plans import browse as BR
 from cadenza.plans import catalogue as C
 from cadenza.plans import responders as R
 from cadenza.plans import similarity as SIM
@@ -429,6 +430,14 @@ def q_knn_top10(spark, sf_dir):
     return nearest(emb, "vec_id", "embedding", KNN_QUERY_ID, k=KNN_K, digits=4)
 
 
+def q_browse_bounds(spark, sf_dir):
+    """Browse page on lineitem as tracks (return flag as genre): slider limits
+    of genre 'R'; the first measure's default is the global range."""
+    li = _t(spark, sf_dir, "lineitem", "l_returnflag", *LINE_FEATURES)
+    return BR.slider_bounds(li, "l_returnflag", "R", LINE_FEATURES,
+                            global_default=("l_quantity",))
+
+
 def q_supplier_pca(spark, sf_dir):
     """Genre-PCA flow on scalar features: lineitem measures averaged per
     supplier (the 'genre'), standardised across suppliers, three components."""
@@ -624,6 +633,7 @@ QUERIES = {
     "genre_pca": q_genre_pca,
     "similar_tracks": q_similar_tracks,
     "supplier_pca": q_supplier_pca,
+    "browse_bounds": q_browse_bounds,
     "dq_not_null": q_dq_not_null,
     "dq_unique": q_dq_unique,
     "dq_summary": q_dq_summary,

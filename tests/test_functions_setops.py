@@ -100,3 +100,16 @@ def test_scale_conf():
     small = scale_conf(10 << 20)
     assert small["spark.sql.shuffle.partitions"] == "8"
     assert int(conf["spark.sql.adaptive.advisoryPartitionSizeInBytes"]) == 128 << 20
+
+
+def test_browse_flow(spark):
+    from cadenza.plans.browse import browse, slider_bounds
+    tracks = spark.createDataFrame(
+        [("rock", 0.2, 0.5, "a"), ("rock", 0.6, 0.7, "b"), ("pop", 0.9, 0.1, "c")],
+        "genre string, dance double, energy double, name string")
+    b = {r["feature"]: tuple(r)[1:] for r in
+         slider_bounds(tracks, "genre", "rock", ["dance", "energy"], ("energy",)).collect()}
+    assert b["dance"] == (0.2, 0.6, 0.2, 0.6)
+    assert b["energy"] == (0.5, 0.7, 0.1, 0.7)        # default = global range
+    hits = browse(tracks, "genre", "rock", {"dance": (0.1, 0.3), "energy": (0.1, 0.7)}, ["name"])
+    assert [r["name"] for r in hits.collect()] == ["a"]
