@@ -45,3 +45,36 @@ def test_global_row_number_is_rank(spark, values, parts):
     got = sorted((r["k"], r["rn"]) for r in global_row_number(df, ["k"], num_partitions=parts)
                  .collect())
     assert got == [(v, i + 1) for i, v in enumerate(sorted(values))]
+
+
+@SETTINGS
+@given(st.lists(st.one_of(st.none(), st.integers(-5, 5)), min_size=1, max_size=60),
+       st.lists(st.floats(-1e3, 1e3, allow_nan=False), min_size=2, max_size=40))
+def test_exact_quantiles_equal_numpy(spark, ints, floats):
+    import numpy as np
+
+    from cadenza.operators.profile import exact_quantiles
+    n = max(len(ints), len(floats))
+    data = [(ints[i] if i < len(ints) else None, floats[i] if i < len(floats) else None)
+            for i in range(n)]
+    df = spark.createDataFrame(data, "a int, b double")
+    got = {(r["column"], r["p"]): r["q"] for r in exact_quantiles(df, ["a", "b"]).collect()}
+    for col, values in (("a", [v for v in ints if v is not None]), ("b", floats)):
+        for p in (0.25, 0.5, 0.75):
+            if not values:
+                assert (col, p) not in got
+                continue
+            want = float(np.percentile(np.array(values, dtype=float), p * 100))
+            assert abs(got[(col, p)] - want) <= 1e-9 * max(1.0, abs(want)), (col, p)
+
+
+@SETTINGS
+@given(st.lists(st.tuples(keys, st.integers(0, 9)), max_size=25),
+       st.lists(st.tuples(keys, st.integers(0, 9)), max_size=60),
+       st.integers(1, 6))
+def test_salted_join_named_keys(spark, left_rows, right_rows, hot):
+    left = spark.createDataFrame(left_rows, "lk int, a int")
+    right = spark.createDataFrame(right_rows, "rk int, b int")
+    plain = left.join(right, left.lk == right.rk, "left")
+    salted = J.left_join_salted(left, right, "lk", "rk", hot_rows=hot, buckets=3)
+    assert rows(salted, "lk", "a", "rk", "b") == rows(plain, "lk", "a", "rk", "b")
