@@ -109,9 +109,12 @@ def describe_numeric(df: DataFrame, cols=None) -> DataFrame:
     quant = (_quantiles_from_ranked(ranked, (0.25, 0.5, 0.75)).groupBy("column").agg(
         *[F.max(F.when(F.col("p") == p, F.col("q"))).alias(name)
           for p, name in ((0.25, "p25"), (0.5, "p50"), (0.75, "p75"))]))
-    return (sums.join(spread, "column").join(quant, "column")
-            .select("column", F.col("count").cast("long").alias("count"), "mean",
-                    F.when(F.col("count") > 1, F.col("std")).alias("std"),
+    # Every requested column gets a row, also one without any value (count 0).
+    names = df.sparkSession.createDataFrame([(c,) for c in cols], "column string")
+    return (names.join(sums, "column", "left").join(spread, "column", "left")
+            .join(quant, "column", "left")
+            .select("column", F.coalesce(F.col("count"), F.lit(0)).cast("long").alias("count"),
+                    "mean", F.when(F.col("count") > 1, F.col("std")).alias("std"),
                     "min", "p25", "p50", "p75", "max"))
 
 

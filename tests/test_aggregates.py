@@ -130,3 +130,10 @@ def test_run_data_tests(spark):
            for r in Q.run_data_tests(df, spec).collect()}
     assert got == {("name", "not_null"): ("fail", 1), ("name", "unique"): ("fail", 1),
                    ("id", "not_null"): ("fail", 1), ("gone", "not_null"): ("error", None)}
+
+
+def test_describe_all_null_column(spark):
+    df = spark.createDataFrame([(1.0, None), (3.0, None)], "x double, y double")
+    got = {r["column"]: r for r in describe_numeric(df).collect()}
+    assert got["y"]["count"] == 0 and got["y"]["mean"] is None and got["y"]["p50"] is None
+    assert got["x"]["count"] == 2 and got["x"]["p50"] == 2.0 and got["x"]["std"] > 0
