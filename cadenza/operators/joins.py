@@ -14,13 +14,16 @@ BROADCAST_MAX_ROWS = 1_000_000
 
 
 def bounded_rows(df: DataFrame, max_rows: int) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows. Each task stops reading
-    after ``max_rows + 1`` rows, so the check stays cheap on a huge input."""
-    return df.limit(max_rows + 1).count() <= max_rows
+    """True when ``df`` has at most ``max_rows`` rows. A count is one number
+    per task (partial aggregation) and reads no columns, so parquet answers it
+    from file footers; ``limit(n).count()`` would instead funnel up to n rows
+    per partition into a single task."""
+    return df.select().count() <= max_rows
 
 
 def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Broadcast hint only behind a proven row bound; otherwise unchanged."""
+    """Broadcast hint only behind a proven row bound; otherwise unchanged (the
+    planner's own size-checked strategies and AQE decide)."""
     return F.broadcast(df) if bounded_rows(df, max_rows) else df
 
 
