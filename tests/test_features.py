@@ -91,3 +91,24 @@ def test_pca_of_group_means_matches_numpy(spark):
     assert list(got["l_suppkey"]) == list(M.index)
     assert np.allclose(got[["pc1", "pc2", "pc3"]].to_numpy(), S @ comps.T, atol=1e-8)
 
+
+
+def test_similar_tracks_flow(spark):
+    import pytest
+
+    from cadenza.plans.similarity import clean_tracks, similar_tracks
+    raw = spark.createDataFrame(
+        [(1, 1, "A", "song", 0.1, 10.0), (2, 2, "B", "song", 0.9, 90.0),    # duplicate title
+         (3, 3, "A", "other", 0.2, 12.0), (4, 4, "C", "far", 0.95, 99.0),
+         (5, 5, "D", "near", 0.12, 10.5), (6, 6, "E", None, 0.5, 50.0)],     # null dropped
+        "track_id long, row_order long, artist string, title string, dance double, tempo double")
+    tracks = clean_tracks(raw, "title", "row_order")
+    assert sorted(r["track_id"] for r in tracks.collect()) == [1, 3, 4, 5]
+    hits = similar_tracks(tracks, "track_id", "artist", "title", ["dance", "tempo"], "A",
+                          "song", display=["artist", "title"], k=3).collect()
+    assert [r["rank"] for r in hits] == [1, 2, 3]
+    assert hits[0]["track_id"] == 1 and hits[0]["distance"] == 0.0
+    assert [r["track_id"] for r in hits[1:]] == [5, 3]
+    with pytest.raises(ValueError):
+        similar_tracks(tracks, "track_id", "artist", "title", ["dance", "tempo"], "B", "song",
+                       display=["artist"])
