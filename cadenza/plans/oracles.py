@@ -436,6 +436,13 @@ ORACLE_SQL["browse_bounds"] = """
     UNION ALL SELECT 'l_tax', lo4, hi4, lo4, hi4 FROM g
 """
 
+ORACLE_SQL["sql_genre_filter"] = """
+    SELECT CAST(c_custkey AS VARCHAR) AS spotify_artist_id, c_name AS spotify_artist_name,
+           'https://www.example.com/artist/' || CAST(s_suppkey AS VARCHAR) AS deezer_artist_url
+    FROM customer LEFT JOIN supplier ON c_name = replace(s_name, 'Supplier', 'Customer')
+    WHERE lower(lower(c_mktsegment)) = lower('BUILDING')
+"""
+
 # The landed forms compute the same rows as their piecewise queries.
 ORACLE_SQL["catalogue_load"] = ORACLE_SQL["triple_pivot"]
 ORACLE_SQL["enrich_snapshot"] = ORACLE_SQL["enrich_batches"]

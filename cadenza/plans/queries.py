@@ -31,7 +31,7 @@ from cadenza.plans import browse as BR
 from cadenza.plans import catalogue as C
 from cadenza.plans import responders as R
 from cadenza.plans import similarity as SIM
-from cadenza.plans.sql_surface import display_series, run_sql
+from cadenza.plans.sql_surface import display_series, register_sql_functions, run_sql
 from cadenza.session import default_parallelism, work_path
 from cadenza.sources import sinks as K
 from cadenza.sources.files import (envelope_rows, parse_json_column, read_csv_inferred,
@@ -523,6 +523,22 @@ def q_sql_preview(spark, sf_dir):
     return K.preview_records(df, 10, order_by=["c_nationkey", "c_mktsegment"])
 
 
+GENRE_SQL = ("SELECT spotify_artist_id, spotify_artist_name, deezer_artist_url "
+             "FROM artists_union WHERE has_genre(spotify_artist_genres, :genre)")
+
+
+def q_sql_genre_filter(spark, sf_dir):
+    """Q0 + K6 + P20: a question in SQL against the published union view, with
+    the case-insensitive genre test as a SQL function."""
+    C.artists_union(spotify_standin(spark, sf_dir), deezer_standin(spark, sf_dir),
+                    as_of=AS_OF, view_name="artists_union")
+    register_sql_functions(spark)
+    df, err = run_sql(spark, GENRE_SQL, {"genre": "BUILDING"})
+    if err:
+        raise RuntimeError(err["error"])
+    return df
+
+
 def q_result_series(spark, sf_dir):
     ev = _t(spark, sf_dir, "events", "ts", "value")
     # A result set as the question API returns it: the day as epoch milliseconds.
@@ -640,6 +656,7 @@ QUERIES = {
     "union_data_tests": q_union_data_tests,
     "valid_ids": q_valid_ids,
     "sql_preview": q_sql_preview,
+    "sql_genre_filter": q_sql_genre_filter,
     "result_series": q_result_series,
     "chart_envelope": q_chart_envelope,
     "snapshot_union": q_snapshot_union,

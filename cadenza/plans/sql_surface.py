@@ -13,6 +13,20 @@ from cadenza.operators.profile import numeric_columns
 from cadenza.sources.sinks import preview_records
 
 
+# SQL-callable helpers for questions asked in SQL. They are SQL-bodied
+# temporary functions: Catalyst inlines them, so they run as plain expressions.
+SQL_FUNCTIONS = {
+    # Case-insensitive genre membership (a NULL list gives NULL).
+    "has_genre": ("(genres ARRAY<STRING>, genre STRING) RETURNS BOOLEAN "
+                  "RETURN exists(genres, g -> lower(g) = lower(genre))"),
+}
+
+
+def register_sql_functions(spark: SparkSession) -> None:
+    for name, body in SQL_FUNCTIONS.items():
+        spark.sql(f"CREATE OR REPLACE TEMPORARY FUNCTION {name}{body}")
+
+
 def run_sql(spark: SparkSession, sql: str, args: dict | None = None):
     """Q0: returns ``(DataFrame, None)`` or ``(None, {"error", "sql"})``.
     Analysis errors surface here; runtime errors surface when the result is

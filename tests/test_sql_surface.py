@@ -26,3 +26,12 @@ def test_coerce_dates(spark):
     assert out[1]["release_date"] is None and out[1]["day_label"] is None
     series = display_series(spark.createDataFrame([(2, 1), (1, 2)], "day long, n int"))
     assert [r["n"] for r in series.collect()] == [2, 1]
+
+
+def test_sql_genre_function(spark):
+    from cadenza.plans.sql_surface import register_sql_functions
+    register_sql_functions(spark)
+    spark.createDataFrame([("a", ["Rock", "pop"]), ("b", ["jazz"]), ("c", None)],
+                          "id string, genres array<string>").createOrReplaceTempView("g_view")
+    df, err = run_sql(spark, "SELECT id FROM g_view WHERE has_genre(genres, :g)", {"g": "ROCK"})
+    assert err is None and [r["id"] for r in df.collect()] == ["a"]
