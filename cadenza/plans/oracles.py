@@ -443,6 +443,12 @@ ORACLE_SQL["sql_genre_filter"] = """
     WHERE lower(lower(c_mktsegment)) = lower('BUILDING')
 """
 
+ORACLE_SQL["sql_genre_counts"] = """
+    SELECT lower(c_mktsegment) AS genre, count(*) AS n_artists
+    FROM customer LEFT JOIN supplier ON c_name = replace(s_name, 'Supplier', 'Customer')
+    GROUP BY 1
+"""
+
 # The landed forms compute the same rows as their piecewise queries.
 ORACLE_SQL["catalogue_load"] = ORACLE_SQL["triple_pivot"]
 ORACLE_SQL["enrich_snapshot"] = ORACLE_SQL["enrich_batches"]

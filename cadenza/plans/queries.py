@@ -539,6 +539,22 @@ def q_sql_genre_filter(spark, sf_dir):
     return df
 
 
+GENRE_COUNT_SQL = ("SELECT lower(genre) AS genre, count(*) AS n_artists "
+                   "FROM artists_union LATERAL VIEW explode(spotify_artist_genres) g AS genre "
+                   "GROUP BY lower(genre)")
+
+
+def q_sql_genre_counts(spark, sf_dir):
+    """Q0 + J5 + F2: artists per genre through SQL, un-nesting the genre list
+    (one row per artist and genre; empty and null lists give none)."""
+    C.artists_union(spotify_standin(spark, sf_dir), deezer_standin(spark, sf_dir),
+                    as_of=AS_OF, view_name="artists_union")
+    df, err = run_sql(spark, GENRE_COUNT_SQL)
+    if err:
+        raise RuntimeError(err["error"])
+    return df
+
+
 def q_result_series(spark, sf_dir):
     ev = _t(spark, sf_dir, "events", "ts", "value")
     # A result set as the question API returns it: the day as epoch milliseconds.
@@ -657,6 +673,7 @@ QUERIES = {
     "valid_ids": q_valid_ids,
     "sql_preview": q_sql_preview,
     "sql_genre_filter": q_sql_genre_filter,
+    "sql_genre_counts": q_sql_genre_counts,
     "result_series": q_result_series,
     "chart_envelope": q_chart_envelope,
     "snapshot_union": q_snapshot_union,
