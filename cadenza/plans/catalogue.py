@@ -13,7 +13,7 @@ from cadenza.operators.joins import left_join_on_name
 from cadenza.operators.merge import merge_matched
 from cadenza.operators.quality import require_not_null
 from cadenza.operators.setops import split_dim_fact
-from cadenza.sources.sinks import (append_day_partition, publish_view, run_date,
+from cadenza.sources.sinks import (append_day_partition, land_table, publish_view, run_date,
                                    write_full_refresh)
 
 UNION_COLUMNS = (
@@ -100,3 +100,40 @@ def daily_enrichment(catalogue: DataFrame, id_col: str, fetch, body_schema, path
     snapshot = rows.sparkSession.read.parquet(path)
     return snapshot.filter(F.col("ingestion_date") == day)
 
+
+def artist_refresh(ids: DataFrame, id_col: str, fetch, body_schema, dim_path: str,
+                   fact_path: str, as_of=None, batch_size: int = 50,
+                   max_parallel: int | None = None) -> DataFrame:
+    """The artist refresh of the draft pipeline: batched artist lookups
+    (``{"artists": [...]}`` per batch; null records and records without an id
+    are dropped) -> dimension (full refresh) and fact (appended day
+    partition) -> MERGE of the run day's facts into the dimension. Returns the
+    merged dimension (also written as a new version next to ``dim_path``)."""
+    from cadenza.operators.enrich import enrich_children
+    from cadenza.operators.merge import merge_into_path
+
+    children = enrich_children(distinct_ids(ids, id_col, "id"), "id", fetch, "artists",
+                               body_schema, batch_size=batch_size, max_parallel=max_parallel)
+    a = "child."
+    artists = (children.filter(F.col("child").isNotNull() & F.col(a + "id").isNotNull() &
+                               (F.col(a + "id") != ""))
+               .select(F.col(a + "id").alias("spotify_artist_id"),
+                       F.col(a + "name").alias("spotify_artist_name"),
+                       F.col(a + "genres").alias("spotify_artist_genres"),
+                       F.col(a + "external_urls.spotify").alias("spotify_artist_url"),
+                       F.col(a + "popularity").alias("spotify_artist_popularity"),
+                       F.col(a + "followers.total").alias("spotify_artist_total_followers")))
+    # Landed once: the dimension and the fact are both written from it, and
+    # the service must be called only once per id.
+    dim, fact = artists_dim_fact(land_table(artists, "artist_records"), as_of=as_of)
+    write_full_refresh(dim, dim_path)
+    append_day_partition(fact, fact_path, date_col="date")
+    spark = ids.sparkSession
+    day = run_date(as_of)
+    todays = spark.read.parquet(fact_path).filter(F.col("date") == day)
+    return merge_into_path(
+        spark.read.parquet(dim_path), todays, "spotify_artist_id",
+        {"spotify_artist_popularity": "spotify_artist_popularity",
+         "spotify_artist_total_followers": "spotify_artist_total_followers"},
+        out_path=dim_path.rstrip("/") + "_merged")
+

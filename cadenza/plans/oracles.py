@@ -449,6 +449,18 @@ ORACLE_SQL["sql_genre_counts"] = """
     GROUP BY 1
 """
 
+ORACLE_SQL["artist_refresh"] = """
+    SELECT 'sp' || CAST(i AS VARCHAR) AS spotify_artist_id,
+           'artist ' || CAST(i AS VARCHAR) AS spotify_artist_name,
+           CASE i % 3 WHEN 0 THEN NULL WHEN 1 THEN 'rock' ELSE 'rock,Pop' END
+               AS spotify_artist_genres,
+           'https://open.example/artist/sp' || CAST(i AS VARCHAR) AS spotify_artist_url,
+           i % 100 AS spotify_artist_popularity,
+           CASE WHEN i % 5 = 0 THEN NULL ELSE i * 7 END AS spotify_artist_total_followers
+    FROM (SELECT DISTINCT o_orderkey AS i FROM orders)
+    WHERE i % 17 <> 0
+"""
+
 # The landed forms compute the same rows as their piecewise queries.
 ORACLE_SQL["catalogue_load"] = ORACLE_SQL["triple_pivot"]
 ORACLE_SQL["enrich_snapshot"] = ORACLE_SQL["enrich_batches"]

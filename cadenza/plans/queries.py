@@ -311,6 +311,15 @@ def q_enrich_snapshot(spark, sf_dir):
         as_of=AS_OF, max_parallel=_lookup_tasks(spark))
 
 
+def q_artist_refresh(spark, sf_dir):
+    """S7 (batch endpoint) + P15 + U4 + K1 + K3 + J2: ids from orders."""
+    orders = _t(spark, sf_dir, "orders", "o_orderkey")
+    return C.artist_refresh(orders, "o_orderkey", R.artists_batch_lookup,
+                            R.ARTISTS_BATCH_SCHEMA, work_path(spark, "artists_dim"),
+                            work_path(spark, "artists_fact"), as_of=AS_OF,
+                            max_parallel=_lookup_tasks(spark))
+
+
 def q_lookup_default(spark, sf_dir):
     s = _t(spark, sf_dir, "supplier", "s_suppkey", "s_name", "s_nationkey")
     n = _t(spark, sf_dir, "nation")
@@ -646,6 +655,7 @@ QUERIES = {
     "triple_pivot": q_triple_pivot,
     "catalogue_load": q_catalogue_load,
     "enrich_snapshot": q_enrich_snapshot,
+    "artist_refresh": q_artist_refresh,
     "lookup_default": q_lookup_default,
     "genre_unnest": q_genre_unnest,
     "genre_member": q_genre_member,

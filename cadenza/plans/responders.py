@@ -59,3 +59,30 @@ def top_tracks_lookup(ids):
                 track["external_ids"]["ean"] = f"EAN{i}{j}"
             tracks.append(track)
         yield text, 200, json.dumps({"tracks": tracks})
+
+
+ARTISTS_BATCH_SCHEMA = (
+    "artists array<struct<id: string, name: string, genres: array<string>, "
+    "external_urls: struct<spotify: string>, popularity: long, followers: struct<total: long>>>")
+
+GENRES = ("rock", "Pop")
+
+
+def artists_batch_lookup(ids):
+    """A batch endpoint: one response for the whole batch, ``{"artists": [...]}``
+    in request order. Id divisible by 17: a null record; by 3: no genres, else
+    the first ``id % 3`` genres; by 5: no followers object."""
+    artists = []
+    for text in ids:
+        i = int(text)
+        if i % 17 == 0:
+            artists.append(None)
+            continue
+        artist = {"id": f"sp{i}", "name": f"artist {i}", "genres": list(GENRES[: i % 3]),
+                  "external_urls": {"spotify": f"https://open.example/artist/sp{i}"},
+                  "popularity": i % 100}
+        if i % 5 != 0:
+            artist["followers"] = {"total": i * 7}
+        artists.append(artist)
+    yield ",".join(ids), 200, json.dumps({"artists": artists})
+

@@ -55,3 +55,29 @@ def test_daily_enrichment_append_and_replace(spark, scratch_dir):
                              cols, as_of="2024-01-02", replace_day=True)
     assert fixed.count() == 2
     assert spark.read.parquet(path).count() == 4
+
+
+def test_artist_refresh_calls_service_once_per_id(spark, scratch_dir):
+    from cadenza.plans.catalogue import artist_refresh
+    from cadenza.plans.responders import ARTISTS_BATCH_SCHEMA, artists_batch_lookup
+
+    log = os.path.join(scratch_dir, "calls.txt")
+
+    def counted(ids):
+        with open(log, "a") as fh:
+            fh.write("\n".join(ids) + "\n")
+        yield from artists_batch_lookup(ids)
+
+    ids = spark.createDataFrame([(i,) for i in [1, 2, 3, 5, 17, 17, 34]], "o_orderkey long")
+    out = artist_refresh(ids, "o_orderkey", counted, ARTISTS_BATCH_SCHEMA,
+                         os.path.join(scratch_dir, "dim"), os.path.join(scratch_dir, "fact"),
+                         as_of="2024-01-31", batch_size=2)
+    with open(log) as fh:
+        calls = sorted(line for line in fh.read().split("\n") if line)
+    assert calls == ["1", "17", "2", "3", "34", "5"]          # each distinct id once
+    got = {r["spotify_artist_id"]: r for r in out.collect()}
+    assert sorted(got) == ["sp1", "sp2", "sp3", "sp5"]        # null records dropped
+    assert got["sp3"]["spotify_artist_genres"] is None        # empty genres -> null
+    assert got["sp2"]["spotify_artist_genres"] == "rock,Pop"
+    assert got["sp5"]["spotify_artist_total_followers"] is None
+    assert got["sp1"]["spotify_artist_popularity"] == 1
