@@ -75,10 +75,14 @@ def load_catalogue(triples: DataFrame, path: str, required: tuple, optional=(),
     The reference loads in chunks of ``chunk_rows`` (first chunk truncates,
     the rest append): one overwrite with files of at most ``chunk_rows``
     rows. An empty result leaves the table as it was."""
-    rows = triple_pattern(triples, required, optional, label=label)
-    require_not_null(rows, required_cols or ["item", required[1]])
-    write_full_refresh(rows, path, max_records_per_file=chunk_rows)
-    return rows.sparkSession.read.parquet(path)
+    # The pattern's joins run once: the rows are staged, the REQUIRED check
+    # reads only the required columns of the staged table, and the staged rows
+    # then replace the table (which a failed check leaves untouched).
+    staged = land_table(triple_pattern(triples, required, optional, label=label),
+                        "catalogue_stage")
+    require_not_null(staged, required_cols or ["item", required[1]])
+    write_full_refresh(staged, path, max_records_per_file=chunk_rows)
+    return staged.sparkSession.read.parquet(path)
 
 
 def daily_enrichment(catalogue: DataFrame, id_col: str, fetch, body_schema, path: str,
