@@ -100,3 +100,16 @@ def test_triple_pattern_with_hot_subject(spark):
             .join(property_rows(t, "url", "url"), "item", "left"))
     assert rows(got, "item", "did", "tid", "url") == rows(want, "item", "did", "tid", "url")
     assert got.count() == 42
+
+
+def test_salted_paths_on_table_data(spark):
+    """The stand-in triples with a threshold that makes most customers hot."""
+    from conftest import SF_SMALL
+
+    from cadenza.operators.graph import triple_pattern
+    from cadenza.plans.queries import _triples
+    t = _triples(spark, SF_SMALL)
+    args = (("in_nation", "nation"), [("placed", "order_ref"), ("segment", "segment")])
+    salted = triple_pattern(t, *args, label="label", hot_rows=3)
+    plain = triple_pattern(t, *args, label="label", hot_rows=10**9)
+    assert rows(salted) == rows(plain)
