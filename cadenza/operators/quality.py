@@ -17,7 +17,7 @@ def unique_failures(df: DataFrame, col: str) -> DataFrame:
             .agg(F.count(F.lit(1)).alias("n_rows")).filter(F.col("n_rows") > 1))
 
 
-def test_summary(df: DataFrame, tests) -> DataFrame:
+def summarize_tests(df: DataFrame, tests) -> DataFrame:
     """Run several tests (pairs of kind, column): all not_null tests share one
     aggregate pass, each unique test is one grouped pass. Returns
     (test, column_name, failures) in the order given."""
@@ -65,13 +65,13 @@ def run_data_tests(df: DataFrame, spec) -> DataFrame:
     (column, [test, ...]) with tests ``not_null`` / ``unique``. Returns one row
     per test: (column_name, test, status, failures) where status is ``pass``,
     ``fail`` or ``error`` (the column does not exist; failures is null). All
-    runnable tests share the passes of :func:`test_summary`."""
+    runnable tests share the passes of :func:`summarize_tests`."""
     spark = df.sparkSession
     runnable = [(kind, col) for col, kinds in spec for kind in kinds if col in df.columns]
     missing = [(col, kind) for col, kinds in spec for kind in kinds if col not in df.columns]
     parts = []
     if runnable:
-        counted = test_summary(df, runnable)
+        counted = summarize_tests(df, runnable)
         parts.append(counted.select(
             "column_name", "test",
             F.when(F.col("failures") == 0, F.lit("pass")).otherwise(F.lit("fail"))

@@ -505,7 +505,7 @@ def q_dq_unique(spark, sf_dir):
 def q_dq_summary(spark, sf_dir):
     part = _t(spark, sf_dir, "part", "p_partkey", "p_name")
     named = part.select("p_partkey", F.nullif("p_name", F.lit("red plate")).alias("p_name"))
-    return Q.test_summary(named, [("not_null", "p_name"), ("unique", "p_name"),
+    return Q.summarize_tests(named, [("not_null", "p_name"), ("unique", "p_name"),
                                   ("not_null", "p_partkey"), ("unique", "p_partkey")])
 
 

@@ -62,7 +62,7 @@ def test_quality_tests(spark):
     assert Q.not_null_failures(df, "name").count() == 1
     assert rows(Q.unique_failures(df, "name")) == [("a", 2)]
     summary = {(r["test"], r["column_name"]): r["failures"] for r in
-               Q.test_summary(df, [("not_null", "name"), ("unique", "name")]).collect()}
+               Q.summarize_tests(df, [("not_null", "name"), ("unique", "name")]).collect()}
     assert summary == {("not_null", "name"): 1, ("unique", "name"): 1}
     with pytest.raises(ValueError):
         Q.require_not_null(df, ["name"])
