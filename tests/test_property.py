@@ -78,3 +78,37 @@ def test_salted_join_named_keys(spark, left_rows, right_rows, hot):
     plain = left.join(right, left.lk == right.rk, "left")
     salted = J.left_join_salted(left, right, "lk", "rk", hot_rows=hot, buckets=3)
     assert rows(salted, "lk", "a", "rk", "b") == rows(plain, "lk", "a", "rk", "b")
+
+
+@SETTINGS
+@given(st.dictionaries(st.integers(0, 8), st.integers(0, 5), max_size=8),
+       st.dictionaries(st.integers(0, 8), st.one_of(st.none(), st.integers(10, 15)), max_size=8))
+def test_merge_matched_equals_model(spark, target, source):
+    from cadenza.operators.merge import merge_matched
+    t = spark.createDataFrame([(k, v) for k, v in target.items()] or [(None, None)],
+                              "id int, pop int").filter("id is not null")
+    s = spark.createDataFrame([(k, v) for k, v in source.items()] or [(None, None)],
+                              "id int, pop int").filter("id is not null")
+    got = sorted((r["id"], r["pop"]) for r in merge_matched(t, s, "id", {"pop": "pop"}).collect())
+    want = sorted((k, source[k] if k in source else v) for k, v in target.items())
+    assert got == want
+
+
+@SETTINGS
+@given(st.lists(st.one_of(st.none(), st.sampled_from(["a", "b", "c", "dd"])), min_size=1,
+                max_size=40))
+def test_describe_text_equals_model(spark, values):
+    from collections import Counter
+
+    from cadenza.operators.profile import describe_text
+    df = spark.createDataFrame([(v,) for v in values], "g string")
+    got = describe_text(df).collect()
+    present = [v for v in values if v is not None]
+    if not present:
+        assert got == []
+        return
+    counts = Counter(present)
+    top = min(counts, key=lambda v: (-counts[v], v))
+    r = got[0]
+    assert (r["count"], r["unique"], r["top"], r["freq"]) == (
+        len(present), len(counts), top, counts[top])
