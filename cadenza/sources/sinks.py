@@ -94,7 +94,8 @@ def preview_records(df: DataFrame, n: int = 10, order_by=None,
         elif epoch_dates and dtype.startswith("timestamp"):
             c = F.unix_millis(c.cast("timestamp")).alias(name)
         cols.append(c)
-    return df.select(F.to_json(F.struct(*cols)).alias("record"))
+    # Null fields stay in the record as null, as in pandas' records output.
+    return df.select(F.to_json(F.struct(*cols), {"ignoreNullFields": "false"}).alias("record"))
 
 
 def run_date(as_of=None):

@@ -83,6 +83,8 @@ def test_preview_and_view(spark):
     dated = spark.createDataFrame([(dt.date(2024, 1, 1),)], "release_date date")
     rec = json.loads(K.preview_records(dated).first()["record"])
     assert rec == {"release_date": 1704067200000}          # epoch milliseconds
+    with_null = spark.createDataFrame([(1, None)], "id int, name string")
+    assert json.loads(K.preview_records(with_null).first()["record"]) == {"id": 1, "name": None}
     iso = json.loads(K.preview_records(dated, epoch_dates=False).first()["record"])
     assert iso == {"release_date": "2024-01-01"}
     K.publish_view(df, "people_view")
