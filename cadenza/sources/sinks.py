@@ -26,12 +26,22 @@ def write_full_refresh(df: DataFrame, path: str, fmt: str = "parquet",
 
 
 def append_day_partition(df: DataFrame, path: str, date_col: str = "ingestion_date",
-                         replace_day: bool = False) -> bool:
+                         replace_day: bool = False, files_per_day: int | None = None) -> bool:
     """WRITE_APPEND into a table partitioned by day. The first append creates the
     table. ``replace_day=True`` rewrites only the days present in ``df``
-    (dynamic partition overwrite) so that a rerun on the same day is idempotent."""
+    (dynamic partition overwrite) so that a rerun on the same day is idempotent.
+
+    By default each task writes its rows without a shuffle (one file per day
+    it holds). ``files_per_day`` bounds the file count instead: rows are
+    shuffled on (day, hash of the row mod ``files_per_day``), so every day
+    lands in at most that many files and a hot day is still spread over that
+    many tasks rather than one."""
     if df.isEmpty():
         return False
+    if files_per_day:
+        hashable = [F.col(c) for c, t in df.dtypes if not t.startswith("map")]
+        df = df.repartition(F.col(date_col),
+                            F.pmod(F.xxhash64(*hashable), F.lit(int(files_per_day))))
     writer = df.write.partitionBy(date_col).format("parquet")
     if replace_day:
         writer = writer.mode("overwrite").option("partitionOverwriteMode", "dynamic")

@@ -93,3 +93,16 @@ def test_preview_and_view(spark):
 
 def test_declared_schema(spark):
     assert SPOTIFY_ARTISTS["spotify_artist_genres"].dataType.simpleString() == "array<string>"
+
+
+def test_append_files_per_day(spark, scratch_dir):
+    import glob
+    path = os.path.join(scratch_dir, "bounded")
+    df = spark.range(0, 3000).select(
+        F.col("id"), F.when(F.col("id") < 2000, F.lit("2024-01-01"))   # a hot day
+        .otherwise(F.lit("2024-01-02")).cast("date").alias("ingestion_date")).repartition(16)
+    K.append_day_partition(df, path, files_per_day=3)
+    for day in ("2024-01-01", "2024-01-02"):
+        files = glob.glob(os.path.join(path, f"ingestion_date={day}", "*.parquet"))
+        assert 1 <= len(files) <= 3
+    assert spark.read.parquet(path).count() == 3000
