@@ -65,13 +65,20 @@ def global_row_number(df: DataFrame, order_cols, name: str = "rn",
 
 
 def _running_sum(weight_col: str, out_col: str):
+    """Per partition: running total of ``weight_col`` over its Arrow batches
+    (in order), appended as ``out_col``; no pandas round trip."""
     def run(batches):
+        import pyarrow as pa
+        import pyarrow.compute as pc
+
         total = 0
-        for pdf in batches:
-            cum = pdf[weight_col].astype("int64").cumsum() + total
+        for batch in batches:
+            weights = batch.column(batch.schema.get_field_index(weight_col)).cast(pa.int64())
+            cum = pc.cumulative_sum(weights, start=total)
             if len(cum):
-                total = int(cum.iloc[-1])
-            yield pdf.assign(**{out_col: cum.astype("int64")})
+                total = cum[-1].as_py()
+            yield pa.RecordBatch.from_arrays(
+                list(batch.columns) + [cum], names=list(batch.schema.names) + [out_col])
     return run
 
 
@@ -79,12 +86,12 @@ def global_cumsum(df: DataFrame, order_cols, weight_col: str, name: str = "cum",
                   num_partitions: int | None = None) -> DataFrame:
     """Running total of the integer ``weight_col`` in the global order of
     ``order_cols`` (inclusive of the row itself). The running sum inside each
-    partition is one pass over its Arrow batches (``mapInPandas``)."""
+    partition is one pass over its Arrow batches (``mapInArrow``)."""
     ship_package(df.sparkSession)
     tagged = _ranged(df, order_cols, num_partitions).withColumn(
         "_pid", F.spark_partition_id().cast("long"))
     schema = T.StructType(tagged.schema.fields + [T.StructField("_local", T.LongType())])
-    pinned = tagged.mapInPandas(_running_sum(weight_col, "_local"), schema).checkpoint(eager=True)
+    pinned = tagged.mapInArrow(_running_sum(weight_col, "_local"), schema).checkpoint(eager=True)
     return _with_offsets(pinned, F.max("_local"), "_local", name)
 
 
