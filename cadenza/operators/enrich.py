@@ -2,7 +2,7 @@
 
 ``fetch(ids: list[str]) -> iterable of (id, status, body)`` stands for any
 per-batch lookup (an HTTP endpoint in the reference). Batching happens inside
-each partition with ``mapInPandas``; ``max_parallel`` bounds the number of
+each partition with ``mapInArrow``; ``max_parallel`` bounds the number of
 concurrent tasks (and thus concurrent callers). Response bodies are JSON text
 and are parsed JVM-side with ``from_json``, so error documents, non-JSON
 bodies and non-200 statuses are dropped by plain filters."""
@@ -11,7 +11,6 @@ from __future__ import annotations
 
 from typing import Callable, Iterable
 
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -22,9 +21,12 @@ RESPONSE_SCHEMA = "request_id string, status int, body string"
 
 
 def _requester(id_col: str, fetch: Callable, batch_size: int, on_error: str):
-    def run(batches: Iterable[pd.DataFrame]):
-        for pdf in batches:
-            ids = [str(v) for v in pdf[id_col].tolist() if v is not None and str(v) != ""]
+    def run(batches: Iterable):
+        import pyarrow as pa
+
+        for batch in batches:
+            values = batch.column(batch.schema.get_field_index(id_col)).to_pylist()
+            ids = [v for v in values if v is not None and v != ""]
             for start in range(0, len(ids), batch_size):
                 chunk = ids[start:start + batch_size]
                 try:
@@ -34,7 +36,11 @@ def _requester(id_col: str, fetch: Callable, batch_size: int, on_error: str):
                         raise
                     continue  # a failed batch is dropped, the others go on
                 if rows:
-                    yield pd.DataFrame(rows, columns=["request_id", "status", "body"])
+                    rid, status, body = zip(*rows)
+                    yield pa.RecordBatch.from_pydict(
+                        {"request_id": [str(x) for x in rid],
+                         "status": pa.array(status, pa.int32()),
+                         "body": pa.array(body, pa.string())})
     return run
 
 
@@ -45,7 +51,7 @@ def request_batches(ids: DataFrame, id_col: str, fetch: Callable, batch_size: in
     src = ids.select(F.col(id_col).cast("string").alias(id_col))
     if max_parallel:
         src = src.repartition(int(max_parallel))
-    return src.mapInPandas(_requester(id_col, fetch, batch_size, on_error), RESPONSE_SCHEMA)
+    return src.mapInArrow(_requester(id_col, fetch, batch_size, on_error), RESPONSE_SCHEMA)
 
 
 def enrich_batches(ids: DataFrame, id_col: str, fetch: Callable,

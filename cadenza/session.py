@@ -113,7 +113,7 @@ _SHIPPED: dict[str, str] = {}
 
 def ship_package(spark: SparkSession) -> str:
     """Make this package importable by Python workers (stages that run
-    ``mapInPandas``): zip it once per application into the shared folder and
+    ``mapInArrow``): zip it once per application into the shared folder and
     add it with ``SparkContext.addPyFile``, the standard way to ship code."""
     import zipfile
 
