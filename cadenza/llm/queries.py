@@ -6,6 +6,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from cadenza.llm.line_dedup import dedup_lines
+from cadenza.llm.setsketch import near_duplicates
 from cadenza.sources.tables import read_table
 
 
@@ -19,4 +20,11 @@ def op1_line_dedup(spark, sf_dir):
         "text")
 
 
-QUERIES = {"op1_line_dedup": op1_line_dedup}
+def op10_setsketch_near_dedup(spark, sf_dir):
+    """Near-duplicate components of all documents on 4-word shingles."""
+    docs = read_table(spark, sf_dir, "documents", "doc_id", "text")
+    return near_duplicates(docs, shingle=4, pct=80)
+
+
+QUERIES = {"op1_line_dedup": op1_line_dedup,
+           "op10_setsketch_near_dedup": op10_setsketch_near_dedup}
