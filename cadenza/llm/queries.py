@@ -6,7 +6,9 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from cadenza.llm.line_dedup import dedup_lines
+from cadenza.llm.packing import pack
 from cadenza.llm.setsketch import near_duplicates
+from cadenza.llm.token_files import read_token_files, write_token_files
 from cadenza.sources.tables import read_table
 
 
@@ -20,6 +22,20 @@ def op1_line_dedup(spark, sf_dir):
         "text")
 
 
+def op6_hilbert_packing(spark, sf_dir):
+    """Pieces of all documents in sequences of at most 1024 tokens."""
+    docs = read_table(spark, sf_dir, "documents", "doc_id", "text")
+    return pack(docs).select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"),
+                             "doc_tokens", "sequence_id", "offset")
+
+
+def op7_token_files(spark, sf_dir):
+    """Token files of all documents, written and read back."""
+    docs = read_table(spark, sf_dir, "documents", "doc_id", "text")
+    return read_token_files(spark, write_token_files(docs)).select(
+        "doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
 def op10_setsketch_near_dedup(spark, sf_dir):
     """Near-duplicate components of all documents on 4-word shingles."""
     docs = read_table(spark, sf_dir, "documents", "doc_id", "text")
@@ -27,4 +43,6 @@ def op10_setsketch_near_dedup(spark, sf_dir):
 
 
 QUERIES = {"op1_line_dedup": op1_line_dedup,
+           "op6_hilbert_packing": op6_hilbert_packing,
+           "op7_token_files": op7_token_files,
            "op10_setsketch_near_dedup": op10_setsketch_near_dedup}
