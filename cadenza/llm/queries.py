@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from cadenza.llm.line_dedup import dedup_lines
 from cadenza.llm.packing import pack
+from cadenza.llm.quality import quality
 from cadenza.llm.setsketch import near_duplicates
 from cadenza.llm.token_files import read_token_files, write_token_files
 from cadenza.sources.tables import read_table
@@ -22,6 +23,13 @@ def op1_line_dedup(spark, sf_dir):
         "text")
 
 
+def op3_ngram_quality(spark, sf_dir):
+    """Base rules and likelihood-ratio verdict of all documents."""
+    docs = read_table(spark, sf_dir, "documents", "doc_id", "text")
+    labels = read_table(spark, sf_dir, "labels", "doc_id", "quality")
+    return quality(docs, labels)
+
+
 def op6_hilbert_packing(spark, sf_dir):
     """Pieces of all documents in sequences of at most 1024 tokens."""
     docs = read_table(spark, sf_dir, "documents", "doc_id", "text")
@@ -43,6 +51,7 @@ def op10_setsketch_near_dedup(spark, sf_dir):
 
 
 QUERIES = {"op1_line_dedup": op1_line_dedup,
+           "op3_ngram_quality": op3_ngram_quality,
            "op6_hilbert_packing": op6_hilbert_packing,
            "op7_token_files": op7_token_files,
            "op10_setsketch_near_dedup": op10_setsketch_near_dedup}
