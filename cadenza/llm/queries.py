@@ -5,6 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from cadenza.llm.decontam import leak_report
 from cadenza.llm.line_dedup import dedup_lines
 from cadenza.llm.packing import pack
 from cadenza.llm.quality import quality
@@ -30,6 +31,16 @@ def op3_ngram_quality(spark, sf_dir):
     return quality(docs, labels)
 
 
+def op5_bm25_decontamination(spark, sf_dir):
+    """Test items found in all documents."""
+    docs = read_table(spark, sf_dir, "documents", "doc_id", "text")
+    # Texts are only searched, not returned: the join back carries ids.
+    found = leak_report(docs, read_table(spark, sf_dir, "benchmark", "item_id", "text"))
+    return found.select("doc_id", "contaminated", "n_retrieved",
+                        F.array_join("leaked_items", ",").alias("item_ids"),
+                        F.round("best_score", 6).alias("best_score"))
+
+
 def op6_hilbert_packing(spark, sf_dir):
     """Pieces of all documents in sequences of at most 1024 tokens."""
     docs = read_table(spark, sf_dir, "documents", "doc_id", "text")
@@ -52,6 +63,7 @@ def op10_setsketch_near_dedup(spark, sf_dir):
 
 QUERIES = {"op1_line_dedup": op1_line_dedup,
            "op3_ngram_quality": op3_ngram_quality,
+           "op5_bm25_decontamination": op5_bm25_decontamination,
            "op6_hilbert_packing": op6_hilbert_packing,
            "op7_token_files": op7_token_files,
            "op10_setsketch_near_dedup": op10_setsketch_near_dedup}
