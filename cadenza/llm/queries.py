@@ -11,6 +11,7 @@ from cadenza.llm.packing import pack
 from cadenza.llm.quality import quality
 from cadenza.llm.setsketch import near_duplicates
 from cadenza.llm.token_files import read_token_files, write_token_files
+from cadenza.llm.toxicity import learn, score
 from cadenza.sources.tables import read_table
 
 
@@ -31,6 +32,15 @@ def op3_ngram_quality(spark, sf_dir):
     return quality(docs, labels)
 
 
+def op4_toxicity(spark, sf_dir):
+    """Toxicity scores of all documents; every fifth id (by crc32) is held out."""
+    docs = read_table(spark, sf_dir, "documents", "doc_id", "text")
+    model = learn(docs, read_table(spark, sf_dir, "labels", "doc_id", "toxic"))
+    return score(docs, model).select(
+        "doc_id", (F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0).alias("held_out"),
+        "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
 def op5_bm25_decontamination(spark, sf_dir):
     """Test items found in all documents."""
     docs = read_table(spark, sf_dir, "documents", "doc_id", "text")
@@ -63,6 +73,7 @@ def op10_setsketch_near_dedup(spark, sf_dir):
 
 QUERIES = {"op1_line_dedup": op1_line_dedup,
            "op3_ngram_quality": op3_ngram_quality,
+           "op4_toxicity": op4_toxicity,
            "op5_bm25_decontamination": op5_bm25_decontamination,
            "op6_hilbert_packing": op6_hilbert_packing,
            "op7_token_files": op7_token_files,
