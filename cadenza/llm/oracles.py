@@ -38,4 +38,18 @@ UNION ALL
 SELECT doc_id, 0, 0, '', NULL FROM {docs} WHERE text IS NULL
 """
 
-ORACLE_SQL = {"op1_line_dedup": LINE_DEDUP.format(docs="documents")}
+#: Roles and digests of pages from the table itself, without archives.
+WARC = """
+WITH p AS (
+  SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes,
+         sha1(coalesce(html, '')) AS payload_digest FROM pages),
+g AS (
+  SELECT payload_digest, max(page_id) AS response FROM p WHERE payload_bytes >= 1000
+  GROUP BY payload_digest)
+SELECT page_id, payload_bytes, p.payload_digest,
+       CASE WHEN response <> page_id THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN response <> page_id THEN response END AS refers_to
+FROM p LEFT JOIN g ON p.payload_digest = g.payload_digest
+"""
+
+ORACLE_SQL = {"op1_line_dedup": LINE_DEDUP.format(docs="documents"), "op9_warc": WARC}

@@ -12,6 +12,7 @@ from cadenza.llm.quality import quality
 from cadenza.llm.setsketch import near_duplicates
 from cadenza.llm.token_files import read_token_files, write_token_files
 from cadenza.llm.toxicity import learn, score
+from cadenza.llm.warc import normalise, read_archives, write_archives
 from cadenza.sources.tables import read_table
 
 
@@ -65,6 +66,14 @@ def op7_token_files(spark, sf_dir):
         "doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
+def op9_warc(spark, sf_dir):
+    """All pages through monolithic archives, the normaliser and the index."""
+    pages = read_table(spark, sf_dir, "pages", "page_id", "url", "html")
+    records = read_archives(spark, normalise(spark, write_archives(pages)), with_payload=False)
+    return records.select(F.col("page").cast("long").alias("page_id"), "payload_bytes",
+                          "payload_digest", "record_type", F.col("refers_to").cast("long"))
+
+
 def op10_setsketch_near_dedup(spark, sf_dir):
     """Near-duplicate components of all documents on 4-word shingles."""
     docs = read_table(spark, sf_dir, "documents", "doc_id", "text")
@@ -77,4 +86,5 @@ QUERIES = {"op1_line_dedup": op1_line_dedup,
            "op5_bm25_decontamination": op5_bm25_decontamination,
            "op6_hilbert_packing": op6_hilbert_packing,
            "op7_token_files": op7_token_files,
+           "op9_warc": op9_warc,
            "op10_setsketch_near_dedup": op10_setsketch_near_dedup}
