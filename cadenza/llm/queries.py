@@ -6,6 +6,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from cadenza.llm.decontam import leak_report
+from cadenza.llm import html_crf
 from cadenza.llm.line_dedup import dedup_lines
 from cadenza.llm.packing import pack
 from cadenza.llm.quality import quality
@@ -66,6 +67,13 @@ def op7_token_files(spark, sf_dir):
         "doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
+def op8_html_crf(spark, sf_dir):
+    """Main text of all pages."""
+    pages = read_table(spark, sf_dir, "pages", "page_id", "url", "html")
+    return html_crf.extract(pages, html_crf.learn(pages)).select(
+        "page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
 def op9_warc(spark, sf_dir):
     """All pages through monolithic archives, the normaliser and the index."""
     pages = read_table(spark, sf_dir, "pages", "page_id", "url", "html")
@@ -86,5 +94,6 @@ QUERIES = {"op1_line_dedup": op1_line_dedup,
            "op5_bm25_decontamination": op5_bm25_decontamination,
            "op6_hilbert_packing": op6_hilbert_packing,
            "op7_token_files": op7_token_files,
+           "op8_html_crf": op8_html_crf,
            "op9_warc": op9_warc,
            "op10_setsketch_near_dedup": op10_setsketch_near_dedup}
