@@ -52,4 +52,51 @@ SELECT page_id, payload_bytes, p.payload_digest,
 FROM p LEFT JOIN g ON p.payload_digest = g.payload_digest
 """
 
-ORACLE_SQL = {"op1_line_dedup": LINE_DEDUP.format(docs="documents"), "op9_warc": WARC}
+def _found(kind: int, pattern: str, least: int, group: int) -> str:
+    """Spans of one kind. Each match begins after the gaps and matches before it."""
+    return f"""
+  SELECT doc_id, owner, repo, {kind} AS kind, start, start + length(hit) AS "end", value FROM (
+    SELECT doc_id, owner, repo, hit, value, sum(length(gap)) OVER w
+           + coalesce(sum(length(hit)) OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)
+           AS start
+    FROM (SELECT doc_id, owner, repo, generate_subscripts(hits, 1) AS i, unnest(hits) AS hit,
+                 unnest(vals) AS value, unnest(gaps[1:len(hits)]) AS gap
+          FROM (SELECT doc_id, owner, repo, regexp_extract_all(t, '{pattern}', 0) AS hits,
+                       regexp_extract_all(t, '{pattern}', {group}) AS vals,
+                       regexp_split_to_array(t, '{pattern}') AS gaps FROM d))
+    WINDOW w AS (PARTITION BY doc_id ORDER BY i))
+  WHERE length(value) >= {least}"""
+
+
+_ANY_CASE = "|".join("".join(f"[{c.upper()}{c}]" if c.isalpha() else c for c in w) for w in
+                     ("password", "passwd", "secret", "token", "api_?key"))
+
+#: Base kinds and tokens, owners per value, and the spans of each document.
+SECRETS = f"""
+WITH d AS (SELECT doc_id, source AS owner, concat_ws('/', source, lang) AS repo,
+                  coalesce(text, '') AS t FROM documents),
+base AS ({_found(0, f"({_ANY_CASE})[\"'']?[ ]*[:=][ ]*[\"'']?([A-Za-z0-9+/_.=-]+)", 12, 2)}
+  UNION ALL {_found(1, "AKIA[A-Z0-9]+", 18, 0)}
+  UNION ALL {_found(2, "[0-9a-f]{{16,}}".replace("{{", "{").replace("}}", "}"), 16, 0)}),
+wide AS (SELECT * FROM ({_found(3, "[A-Za-z0-9+/_=-]{20,}", 20, 0)}) x
+  WHERE regexp_matches(value, '[a-z]') AND regexp_matches(value, '[A-Z]')
+    AND regexp_matches(value, '[0-9]')
+    AND NOT EXISTS (SELECT 1 FROM base b WHERE b.doc_id = x.doc_id AND b.start < x."end"
+                    AND x.start < b."end")),
+al AS (SELECT * FROM base UNION ALL SELECT * FROM wide),
+own AS (SELECT value, count(DISTINCT owner) <= 2 AS live FROM al GROUP BY value),
+s AS (SELECT al.*, live, ['assign', 'access', 'hex', 'token'][kind + 1] || ':' || start || ':' || "end" AS sp
+      FROM al JOIN own USING (value) WHERE kind < 3 OR live),
+g AS (SELECT doc_id, count(*) FILTER (kind = 0) AS n_assign, count(*) FILTER (kind = 1) AS n_access,
+             count(*) FILTER (kind = 2) AS n_hex,
+             string_agg(sp, ',' ORDER BY start, kind) FILTER (kind < 3) AS base,
+             string_agg(sp, ',' ORDER BY start, kind) AS spans,
+             count(*) FILTER (live) AS n_live, count(*) FILTER (NOT live) AS n_copied
+      FROM s GROUP BY doc_id)
+SELECT d.doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access,
+       coalesce(n_hex, 0) AS n_hex, sha256(coalesce(base, '')) AS base_sha256,
+       coalesce(spans, '') AS spans, coalesce(n_live, 0) AS n_live, coalesce(n_copied, 0) AS n_copied
+FROM d LEFT JOIN g USING (doc_id)
+"""
+
+ORACLE_SQL = {"op2_secret_ownership": SECRETS, "op1_line_dedup": LINE_DEDUP.format(docs="documents"), "op9_warc": WARC}

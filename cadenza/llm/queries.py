@@ -10,6 +10,7 @@ from cadenza.llm import html_crf
 from cadenza.llm.line_dedup import dedup_lines
 from cadenza.llm.packing import pack
 from cadenza.llm.quality import quality
+from cadenza.llm.secret_scan import KINDS, scan, span_text
 from cadenza.llm.setsketch import near_duplicates
 from cadenza.llm.token_files import read_token_files, write_token_files
 from cadenza.llm.toxicity import learn, score
@@ -27,6 +28,25 @@ def op1_line_dedup(spark, sf_dir):
         "text")
 
 
+def op2_secret_ownership(spark, sf_dir):
+    """Secret spans of all documents. A document's source is its owner, and the
+    source's texts in one language a repository."""
+    docs = read_table(spark, sf_dir, "documents", "doc_id", "text", "lang", "source")
+    found = scan(docs, repo=F.concat_ws("/", "source", "lang"), owner=F.col("source"))
+    base = F.filter("spans", lambda s: s["kind"] < KINDS.index("token"))
+
+    def count(test):
+        return F.size(F.filter("spans", lambda s: test(s))).cast("long")
+
+    def of(k):
+        return count(lambda s: s["kind"] == k).alias(f"n_{KINDS[k]}")
+
+    return found.select(
+        "doc_id", of(0), of(1), of(2),
+        F.sha2(span_text(base), 256).alias("base_sha256"), span_text(F.col("spans")).alias("spans"),
+        count(lambda s: s["live"]).alias("n_live"), count(lambda s: ~s["live"]).alias("n_copied"))
+
+
 def op3_ngram_quality(spark, sf_dir):
     """Base rules and likelihood-ratio verdict of all documents."""
     docs = read_table(spark, sf_dir, "documents", "doc_id", "text")
@@ -89,6 +109,7 @@ def op10_setsketch_near_dedup(spark, sf_dir):
 
 
 QUERIES = {"op1_line_dedup": op1_line_dedup,
+           "op2_secret_ownership": op2_secret_ownership,
            "op3_ngram_quality": op3_ngram_quality,
            "op4_toxicity": op4_toxicity,
            "op5_bm25_decontamination": op5_bm25_decontamination,
