@@ -289,22 +289,31 @@ def find_leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_c
 def leak_report(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                 **options) -> DataFrame:
     """``docs`` plus ``n_retrieved`` (entries at or above the threshold),
-    ``leaked_items`` (sorted ids of verified items), ``best_score``, ``contaminated``."""
-    hits = (find_leaks(docs, items, id_col, text_col, **options)
+    ``leaked_items`` (sorted ids of verified items), ``best_score``, ``contaminated``;
+    columns of ``docs`` with one of these names are replaced."""
+    names = docs.columns
+    # Numbered names inside, so no input column can clash with a helper column.
+    plain = docs.toDF(*[f"c{i}" for i in range(len(names))])
+    id_, text = f"c{names.index(id_col)}", f"c{names.index(text_col)}"
+    hits = (find_leaks(plain, items, id_, text, **options)
             .groupBy("_row", "_id").agg(
                 F.countDistinct("item_id").alias("_n"), F.max("score").alias("_best"),
                 F.array_sort(F.collect_set(F.when(F.col("leak"), F.col("item_id")))).alias("_leaked")))
-    joined = docs.withColumn("_th", F.xxhash64(text_col)).join(
-        hits, (F.col("_th") == F.col("_row")) & F.col(id_col).eqNullSafe(F.col("_id")), "left")
+    joined = plain.withColumn("_th", F.xxhash64(text)).join(
+        hits, (F.col("_th") == F.col("_row")) & F.col(id_).eqNullSafe(F.col("_id")), "left")
     leaked = F.coalesce("_leaked", F.expr("cast(array() as array<string>)"))
+    results = ("n_retrieved", "leaked_items", "best_score", "contaminated")
     return joined.select(
-        *[F.col(c) for c in docs.columns], F.coalesce("_n", F.lit(0)).alias("n_retrieved"),
-        leaked.alias("leaked_items"), F.coalesce("_best", F.lit(0.0)).alias("best_score"),
-        (F.size(leaked) > 0).alias("contaminated"))
+        *[F.col(f"c{i}").alias(name) for i, name in enumerate(names) if name not in results],
+        F.coalesce("_n", F.lit(0)).alias("n_retrieved"), leaked.alias("leaked_items"),
+        F.coalesce("_best", F.lit(0.0)).alias("best_score"), (F.size(leaked) > 0).alias("contaminated"))
 
 
 def decontaminate(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                   **options) -> DataFrame:
     """``docs`` without the contaminated ones."""
-    return leak_report(docs, items, id_col, text_col, **options).filter(
-        ~F.col("contaminated")).select(*docs.columns)
+    names = docs.columns
+    plain = docs.toDF(*[f"c{i}" for i in range(len(names))])
+    id_, text = f"c{names.index(id_col)}", f"c{names.index(text_col)}"
+    return leak_report(plain, items, id_, text, **options).filter(
+        ~F.col("contaminated")).select(*[F.col(f"c{i}").alias(n) for i, n in enumerate(names)])

@@ -71,13 +71,18 @@ def repeated_spans(wins: DataFrame, window: int) -> DataFrame:
 def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                 window: int = 3) -> DataFrame:
     """``docs`` with the text cleaned, plus ``n_lines``, ``n_removed`` and
-    ``removed_spans`` (array of first and last removed line, 0-based)."""
-    spans = repeated_spans(line_windows(docs, id_col, text_col, window), window)
+    ``removed_spans`` (array of first and last removed line, 0-based); columns of
+    ``docs`` with one of these names are replaced."""
+    names = docs.columns
+    # Numbered names inside, so no input column can clash with a helper column.
+    plain = docs.toDF(*[f"c{i}" for i in range(len(names))])
+    id_, text = f"c{names.index(id_col)}", f"c{names.index(text_col)}"
+    spans = repeated_spans(line_windows(plain, id_, text, window), window)
     named = spans.withColumnsRenamed({"_id": "_sid", "_th": "_sth"})
-    joined = (docs.withColumn("_th", F.xxhash64(text_col))
-              .join(named, F.col(id_col).eqNullSafe(F.col("_sid"))
+    joined = (plain.withColumn("_th", F.xxhash64(text))
+              .join(named, F.col(id_).eqNullSafe(F.col("_sid"))
                     & (F.col("_th") == F.col("_sth")), "left")
-              .withColumn("_lines", F.split(F.col(text_col), "\n", -1)))
+              .withColumn("_lines", F.split(F.col(text), "\n", -1)))
     n = F.size("_spans")
     # Kept stretches: before the first span, between spans, after the last.
     stretch = F.transform(F.sequence(F.lit(0), n), lambda i: F.struct(
@@ -90,10 +95,12 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     removed = F.aggregate("_spans", F.lit(0), lambda acc, x: acc + x["e"] - x["s"] + 1)
     cut = F.col("_spans").isNotNull()
     out = joined.withColumn("_keep", F.when(cut, stretch))
+    results = ("n_lines", "n_removed", "removed_spans")
     return out.select(
-        *[F.when(cut, F.concat_ws("\n", kept)).otherwise(F.col(text_col)).alias(c)
-          if c == text_col else F.col(c) for c in docs.columns],
-        F.when(F.col(text_col).isNull(), 0).otherwise(F.size("_lines")).cast("long").alias("n_lines"),
+        *[F.when(cut, F.concat_ws("\n", kept)).otherwise(F.col(text)).alias(name)
+          if f"c{i}" == text else F.col(f"c{i}").alias(name)
+          for i, name in enumerate(names) if name not in results],
+        F.when(F.col(text).isNull(), 0).otherwise(F.size("_lines")).cast("long").alias("n_lines"),
         F.when(cut, removed).otherwise(0).cast("long").alias("n_removed"),
         F.coalesce("_spans", F.expr("cast(array() as array<struct<s:int,e:int>>)"))
         .alias("removed_spans"))

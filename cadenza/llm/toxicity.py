@@ -43,8 +43,7 @@ LOOKALIKES = {
     "τ": "t", "υ": "u", "χ": "x", "ı": "i", "ɑ": "a", "ɡ": "g",
     "0": "o", "1": "i", "3": "e", "4": "a", "5": "s", "7": "t", "8": "b", "9": "g", "@": "a",
 }
-FEATURES = ("weight per word", "log of weight", "log of distinct terms", "largest weight",
-            "log of words")
+FEATURES = ("weight per word", "log of weight", "log of distinct terms", "largest weight")
 _DOLLAR = re.compile(r"(?<=\w)\$(?=\w)")
 
 
@@ -134,7 +133,7 @@ class Matcher:
         hits = self.hits(folded)
         total = sum(self.weights[t] for t, _, _ in hits)
         return [total / (words + 20.0), np.log1p(total), np.log1p(len({t for t, _, _ in hits})),
-                max((self.weights[t] for t, _, _ in hits), default=0.0), np.log1p(max(words, 0))]
+                max((self.weights[t] for t, _, _ in hits), default=0.0)]
 
 
 def _phrase_task(lexicon: dict):
@@ -182,7 +181,7 @@ def _feature_task(lexicon: dict, exceptions: list, coef: list | None):
     return run
 
 
-def fit_logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-3, rounds: int = 50) -> np.ndarray:
+def fit_logistic(x: np.ndarray, y: np.ndarray, ridge: float = 3e-3, rounds: int = 50) -> np.ndarray:
     """Coefficients (intercept first) by Newton's method on scaled features."""
     if not len(y) or not y.any():
         return np.concatenate([[-30.0], np.zeros(x.shape[1] if x.ndim == 2 else len(FEATURES))])
@@ -216,7 +215,7 @@ def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     n_pos, n_neg = train.agg(F.sum("_label"), F.sum(1 - F.col("_label"))).first()
     n_pos, n_neg = n_pos or 0, n_neg or 0
     if not n_pos:
-        return {"lexicon": {}, "exceptions": [], "coef": fit_logistic(np.zeros((0, 5)), np.zeros(0)).tolist()}
+        return {"lexicon": {}, "exceptions": [], "coef": fit_logistic(np.zeros((0, len(FEATURES))), np.zeros(0)).tolist()}
     count = (train.mapInArrow(_candidate_task(), "term string, pos long, neg long")
              .groupBy("term").agg(F.sum("pos").alias("a"), F.sum("neg").alias("b"))
              .filter(F.col("a") >= 3))

@@ -40,8 +40,8 @@ def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     """One document (the smallest id) of every near-duplicate component, on
     5-word shingles at similarity 0.8."""
     verdict = near_duplicates(docs, shingle=5, pct=80)
-    ids = verdict.filter("kept").select(F.col("doc_id").alias("_kept")).distinct()
-    return docs.join(ids, F.col("doc_id").eqNullSafe(F.col("_kept")), "left_semi")
+    ids = verdict.filter("kept").select(F.col("doc_id").alias("kept_id")).distinct()
+    return docs.join(ids, docs["doc_id"].eqNullSafe(ids["kept_id"]), "left_semi")
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
