@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cadenza.functions.scalars import all_of
+from cadenza.functions.scalars import all_of, to_float32_array
 
 
 def range_filter(df: DataFrame, ranges: dict, equals: dict | None = None) -> DataFrame:
@@ -39,26 +39,29 @@ def standardize(df: DataFrame, features, fit_on: DataFrame | None = None,
     return out.drop("_stats")
 
 
-def array_stats(df: DataFrame, vec: str) -> Column:
-    """Per-position mean and population std of an array column, as one scalar
-    subquery holding an array of d structs (d = vector length)."""
-    per_pos = (df.select(F.posexplode(vec).alias("pos", "x"))
-               .groupBy("pos").agg(F.avg("x").alias("mean"),
-                                   F.stddev_pop("x").alias("std")))
-    return per_pos.agg(F.array_sort(F.collect_list(F.struct("pos", "mean", "std")))).scalar()
+def vector_stats(df: DataFrame, vec: str) -> tuple[list, list]:
+    """Mean and population deviation (1 where constant) of each position of a
+    vector column: one aggregate whose buffer holds d numbers, no row per entry."""
+    from pyspark.ml.functions import array_to_vector
+    from pyspark.ml.stat import Summarizer
+
+    got = df.select(array_to_vector(F.col(vec).cast("array<double>")).alias("_v")).agg(
+        Summarizer.metrics("mean", "variance", "count").summary(F.col("_v")).alias("s")).select(
+        "s.mean", "s.variance", "s.count").first()
+    n = got["count"]
+    # The summary's variance divides by n - 1.
+    std = [(v * (n - 1) / n) ** 0.5 if n > 1 else 0.0 for v in got["variance"]]
+    return list(map(float, got["mean"])), [float(x) if x > 0 else 1.0 for x in std]
 
 
 def standardize_array(df: DataFrame, vec: str, out: str | None = None,
                       fit_on: DataFrame | None = None, float32: bool = True) -> DataFrame:
     """A10 for a vector column; F1: the result is cast to float32 like the
     index input of the reference."""
-    stats = array_stats(fit_on if fit_on is not None else df, vec)
-    # The subquery value is bound to a column first: Spark does not allow a
-    # subquery inside a lambda.
-    staged = df.withColumn("_stats", stats)
-    z = F.transform(F.col(vec), lambda x, i: (x.cast("double") - F.col("_stats")[i]["mean"]) /
-                    _safe_std(F.col("_stats")[i]["std"]))
-    return staged.withColumn(out or vec, z.cast("array<float>") if float32 else z).drop("_stats")
+    mean, std = vector_stats(fit_on if fit_on is not None else df, vec)
+    z = F.zip_with(F.zip_with(F.col(vec).cast("array<double>"), F.lit(mean), lambda x, m: x - m),
+                   F.lit(std), lambda x, s: x / s)
+    return df.withColumn(out or vec, to_float32_array(z) if float32 else z)
 
 
 def group_vector_means(df: DataFrame, group: str, vec: str, exclude=()) -> DataFrame:

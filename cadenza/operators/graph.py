@@ -2,15 +2,15 @@
 
 ``?item P_req ?a . OPTIONAL {?item P1 ?b} ... + label`` becomes one filtered
 scan per predicate and a chain of left joins on the subject. A multi-valued
-property may hold a hot subject, so each optional join is the salted form
-(:func:`cadenza.operators.joins.left_join_salted`)."""
+property may hold a hot subject, so each optional join is the balanced form
+(:func:`cadenza.operators.joins.left_join_balanced`)."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cadenza.operators.joins import HOT_KEY_ROWS, collect_hot_keys, left_join_salted
+from cadenza.operators.joins import left_join_balanced
 
 
 def property_rows(triples: DataFrame, predicate: str, name: str) -> DataFrame:
@@ -19,23 +19,14 @@ def property_rows(triples: DataFrame, predicate: str, name: str) -> DataFrame:
 
 
 def triple_pattern(triples: DataFrame, required: tuple, optional=(), label: str | None = None,
-                   label_name: str = "itemLabel", hot_rows: int = HOT_KEY_ROWS) -> DataFrame:
+                   label_name: str = "itemLabel") -> DataFrame:
     """J3 / S6. ``required`` and each ``optional`` entry are (predicate, column).
     Multi-valued properties multiply rows, as in SPARQL. The label is the
     subject's label value, or the subject itself when it has none."""
     pred, name = required
     out = property_rows(triples, pred, name)
-    optional = list(optional)
-    hot = {}
-    if optional:
-        # One pass finds the hot subjects of every optional property.
-        preds = [p for p, _ in optional]
-        for r in collect_hot_keys(triples.filter(F.col("predicate").isin(preds)), "subject",
-                                  hot_rows, by=["predicate"]):
-            hot.setdefault(r["predicate"], []).append(r["_hk"])
     for pred, name in optional:
-        out = left_join_salted(out, property_rows(triples, pred, name), "item",
-                               hot_rows=hot_rows, hot=hot.get(pred, []))
+        out = left_join_balanced(out, property_rows(triples, pred, name), "item")
     if label is not None:
         # One label per subject (the smallest if several were given).
         labels = (property_rows(triples, label, "_label").groupBy("item")

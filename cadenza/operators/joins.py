@@ -7,136 +7,56 @@ from pyspark.sql import functions as F
 
 from cadenza.functions.scalars import col_of, contains_ci
 
-# Upper bound on rows for a side we broadcast on our own initiative. Above it
-# the join is left to the planner (sort-merge, or AQE's runtime broadcast when
-# the shuffled side turns out small).
-BROADCAST_MAX_ROWS = 1_000_000
 
-
-def bounded_rows(df: DataFrame, max_rows: int) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows. A count is one number
-    per task (partial aggregation) and reads no columns, so parquet answers it
-    from file footers; ``limit(n).count()`` would instead funnel up to n rows
-    per partition into a single task."""
-    return df.select().count() <= max_rows
-
-
-def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Broadcast hint only behind a proven row bound; otherwise unchanged (the
-    planner's own size-checked strategies and AQE decide)."""
-    return F.broadcast(df) if bounded_rows(df, max_rows) else df
-
-
-# Hot-key handling of the salted left join: a right-side key with more rows
-# than HOT_KEY_ROWS is spread over SALT_BUCKETS buckets. At most HOT_KEYS_MAX
-# keys are treated so (the most frequent); the rest take the plain path, which
-# is equally exact, just less evenly spread. The list is collected to the
-# driver, so its size bound is also the bound of that collect.
-HOT_KEY_ROWS = 1_000_000
-SALT_BUCKETS = 64
-HOT_KEYS_MAX = 10_000
-
-
-def hot_keys(df: DataFrame, key: str, hot_rows: int = HOT_KEY_ROWS,
-             hot_keys_max: int = HOT_KEYS_MAX, by=()) -> DataFrame:
-    """Keys of ``df`` with more than ``hot_rows`` rows (the ``hot_keys_max``
-    most frequent; ties by key), as column ``_hk`` (plus the ``by`` columns).
-    Counting is partial-aggregated map-side, so the pass costs one small
-    shuffle; the result is bounded by ``hot_keys_max``."""
-    by = list(by)
-    return (df.filter(F.col(key).isNotNull())
-            .groupBy(*by, F.col(key).alias("_hk"))
-            .agg(F.count(F.lit(1)).alias("_hn")).filter(F.col("_hn") > hot_rows)
-            .orderBy(F.col("_hn").desc(), *by, F.col("_hk"))
-            .limit(hot_keys_max).select(*by, "_hk"))
-
-
-def collect_hot_keys(df: DataFrame, key: str, hot_rows: int = HOT_KEY_ROWS,
-                     hot_keys_max: int = HOT_KEYS_MAX, by=()) -> list:
-    """The hot-key list as driver-side rows (at most ``hot_keys_max``): it is
-    computed once and every later use sees the very same list."""
-    return hot_keys(df, key, hot_rows, hot_keys_max, by).collect()
-
-
-def left_join_salted(left: DataFrame, right: DataFrame, left_key: str,
-                     right_key: str | None = None, hot_rows: int = HOT_KEY_ROWS,
-                     buckets: int = SALT_BUCKETS, hot_keys_max: int = HOT_KEYS_MAX,
-                     hot: list | None = None) -> DataFrame:
-    """Left outer equi-join that stays balanced when one key holds a large
-    share of the *right* side (AQE splits a hot key of a left outer join only
-    on the left side).
-
-    The hot right keys (see :func:`hot_keys`; or ``hot``, a precomputed list
-    of values) form a bounded list; without any, this is a plain left join.
-    Otherwise the join runs on (key, salt): a right row of a hot key gets a
-    salt from a hash of the row, a left row of a hot key is copied into every
-    salt bucket, and all other rows use salt 0. A hot key is sure to have
-    right rows, so its left rows are matched in some bucket; the
-    null-extended rows that empty buckets would add are dropped. Each pair is
-    produced exactly once and each input is read once. With the key named
-    once on both sides (``right_key`` omitted) the key column is kept once
-    (USING form)."""
+def left_join_balanced(left: DataFrame, right: DataFrame, left_key: str,
+                       right_key: str | None = None) -> DataFrame:
+    """Left outer equi-join that stays balanced when one key holds a large share
+    of the *right* side.
+
+    AQE splits a hot key of a left outer join only on the left side; of an
+    inner join it splits either. So the join is written as the inner join plus the left rows
+    without a partner (left anti, against the distinct right keys, which are
+    pre-aggregated in each task) with nulls for the right columns. The plan is
+    lazy and holds no statistics of the data, so it stays right when a table
+    behind it changes. With the key named once on both sides (``right_key``
+    omitted) the key column is kept once (USING form)."""
     same = right_key is None or right_key == left_key
     rk = left_key if same else right_key
-    if hot is None:
-        hot = [r["_hk"] for r in collect_hot_keys(right, rk, hot_rows, hot_keys_max)]
-    if not hot:
-        if same:
-            return left.join(right, left_key, "left")
-        return left.join(right, left[left_key] == right[rk], "left")
-    key_type = dict(right.dtypes)[rk]
-    hot_df = F.broadcast(left.sparkSession.createDataFrame(
-        [(v,) for v in hot], f"_hk {key_type}"))          # at most hot_keys_max rows
-
-    lt = (left.join(hot_df, left[left_key] == hot_df["_hk"], "left")
-          .withColumn("_hot", F.col("_hk").isNotNull()).drop("_hk"))
-    lt = lt.withColumn("_salt", F.explode(
-        F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(buckets - 1)))
-        .otherwise(F.array(F.lit(0)))))
-    # Spread a hot key's right rows by a hash of the row (maps cannot be hashed).
-    hashable = [F.col(c) for c, t in right.dtypes if not t.startswith("map")]
-    row_hash = F.pmod(F.xxhash64(*hashable), F.lit(buckets))
-    rt = (right.join(hot_df, right[rk] == hot_df["_hk"], "left")
-          .withColumn("_salt", F.when(F.col("_hk").isNotNull(), row_hash.cast("int"))
-                      .otherwise(F.lit(0)))
-          .withColumn("_rp", F.lit(True)).drop("_hk"))
+    keys = right.select(F.col(rk).alias("_rk")).filter(F.col("_rk").isNotNull()).distinct()
+    alone = left.join(keys, left[left_key] == keys["_rk"], "left_anti")
     if same:
-        joined = lt.join(rt, [left_key, "_salt"], "left")
+        matched = left.join(right, left_key)
+        mine = [left_key] + [c for c in left.columns if c != left_key]
+        theirs = [f for f in right.schema.fields if f.name != rk]
     else:
-        joined = lt.join(rt, (lt[left_key] == rt[rk]) & (lt["_salt"] == rt["_salt"]), "left")
-        joined = joined.drop(rt["_salt"])
-    return (joined.filter(~(F.col("_hot") & F.col("_rp").isNull()))
-            .drop("_hot", "_salt", "_rp"))
+        matched = left.join(right, left[left_key] == right[rk])
+        mine, theirs = left.columns, right.schema.fields
+    padded = alone.select(*mine, *[F.lit(None).cast(f.dataType).alias(f.name) for f in theirs])
+    return matched.union(padded)          # by position: names may repeat
 
 
 def left_join_on_name(left: DataFrame, right: DataFrame, left_key: str,
-                      right_key: str, skew_safe: bool = True) -> DataFrame:
+                      right_key: str) -> DataFrame:
     """Left outer equi-join on a name. Exact and case-sensitive; null names
     never match; a name present n times on the right repeats the left row n
-    times. The physical strategy is left to Catalyst/AQE (broadcast when the
-    right side is small, else sort-merge, whose left side AQE splits when a
-    name is hot there); ``skew_safe`` adds :func:`left_join_salted` for names
-    that are hot on the right side."""
-    if skew_safe:
-        return left_join_salted(left, right, left_key, right_key)
-    return left.join(right, left[left_key] == right[right_key], "left")
+    times. A name that is hot on either side is split by AQE (see
+    :func:`left_join_balanced`)."""
+    return left_join_balanced(left, right, left_key, right_key)
 
 
 def lookup_with_default(df: DataFrame, dim: DataFrame, key: str, dim_key: str,
                         value: str, alias: str, default: str = "Unknown",
-                        zero_is_missing: bool = True,
-                        max_dim_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+                        zero_is_missing: bool = True) -> DataFrame:
     """Dimension lookup with a default. A key of 0 (when ``zero_is_missing``),
     a null key or a key absent from ``dim`` yields ``default``. ``dim`` must be
-    unique on ``dim_key``; it is broadcast only when its row count is bounded."""
+    unique on ``dim_key``. The planner broadcasts ``dim`` if its size in bytes is below
+    the session's threshold (AQE: its size at run time); otherwise AQE splits a
+    hot key, missing keys included, on the left side."""
     d = dim.select(F.col(dim_key).alias("_lk"), F.col(value).alias("_lv"))
-    d = broadcast_if_small(d, max_dim_rows)
-    joined = df.join(d, df[key] == d["_lk"], "left")
-    missing = F.col(key).isNull()
     if zero_is_missing:
-        missing = missing | (F.col(key) == F.lit(0))
-    out = F.when(missing, F.lit(default)).otherwise(F.coalesce(F.col("_lv"), F.lit(default)))
-    return joined.withColumn(alias, out).drop("_lk", "_lv")
+        d = d.filter(F.col("_lk") != 0)
+    joined = df.join(d, df[key] == d["_lk"], "left")
+    return joined.withColumn(alias, F.coalesce(F.col("_lv"), F.lit(default))).drop("_lk", "_lv")
 
 
 def unnest(df: DataFrame, array_col: str, alias: str) -> DataFrame:

@@ -273,11 +273,11 @@ ORACLE_SQL = {
               FROM x JOIN st USING (pos)),
         q AS (SELECT pos, z AS qz FROM z WHERE vec_id = 7),
         d AS (SELECT z.vec_id,
-                     round(sum((CAST(z.z AS DOUBLE) - CAST(q.qz AS DOUBLE)) *
-                               (CAST(z.z AS DOUBLE) - CAST(q.qz AS DOUBLE))), 4) AS distance
+                     sum((CAST(z.z AS DOUBLE) - CAST(q.qz AS DOUBLE)) *
+                         (CAST(z.z AS DOUBLE) - CAST(q.qz AS DOUBLE))) AS raw
               FROM z JOIN q USING (pos) GROUP BY z.vec_id)
-        SELECT row_number() OVER (ORDER BY distance, vec_id) AS rank, vec_id, distance
-        FROM d ORDER BY distance, vec_id LIMIT 10
+        SELECT row_number() OVER (ORDER BY raw, vec_id) AS rank, vec_id, round(raw, 4) AS distance
+        FROM d ORDER BY raw, vec_id LIMIT 10
     """,
     "dq_not_null": """
         SELECT p_partkey FROM part WHERE nullif(p_name, 'red plate') IS NULL
@@ -396,14 +396,14 @@ ORACLE_SQL = {
             WHERE artist = 'S1' AND title = (SELECT min(title) FROM d WHERE artist = 'S1')),
         dist AS (
             SELECT track_id, artist, title, l_quantity,
-                   round((CAST(z1 AS DOUBLE) - q1) * (CAST(z1 AS DOUBLE) - q1)
+                   ((CAST(z1 AS DOUBLE) - q1) * (CAST(z1 AS DOUBLE) - q1)
                          + (CAST(z2 AS DOUBLE) - q2) * (CAST(z2 AS DOUBLE) - q2)
                          + (CAST(z3 AS DOUBLE) - q3) * (CAST(z3 AS DOUBLE) - q3)
-                         + (CAST(z4 AS DOUBLE) - q4) * (CAST(z4 AS DOUBLE) - q4), 4) AS distance
+                         + (CAST(z4 AS DOUBLE) - q4) * (CAST(z4 AS DOUBLE) - q4)) AS raw
             FROM z, q)
-        SELECT row_number() OVER (ORDER BY distance, track_id) AS rank, track_id, artist, title,
-               l_quantity, distance
-        FROM dist ORDER BY distance, track_id LIMIT 10
+        SELECT row_number() OVER (ORDER BY raw, track_id) AS rank, track_id, artist, title,
+               l_quantity, round(raw, 4) AS distance
+        FROM dist ORDER BY raw, track_id LIMIT 10
     """,
 }
 

@@ -324,15 +324,12 @@ def q_lookup_default(spark, sf_dir):
     s = _t(spark, sf_dir, "supplier", "s_suppkey", "s_name", "s_nationkey")
     n = _t(spark, sf_dir, "nation")
     r = _t(spark, sf_dir, "region")
-    with_nation = J.lookup_with_default(s, n, "s_nationkey", "n_nationkey", "n_name",
-                                        "nation_name", max_dim_rows=100_000)
+    with_nation = J.lookup_with_default(s, n, "s_nationkey", "n_nationkey", "n_name", "nation_name")
     # Chained lookup: the region key comes from the matched nation row.
-    keys = J.broadcast_if_small(n.select(F.col("n_nationkey").alias("_nk"),
-                                         F.col("n_regionkey").alias("_rk")), 100_000)
+    keys = n.select(F.col("n_nationkey").alias("_nk"), F.col("n_regionkey").alias("_rk"))
     chained = (with_nation.join(keys, (F.col("s_nationkey") == F.col("_nk")) &
                                 (F.col("s_nationkey") != 0), "left").drop("_nk"))
-    out = J.lookup_with_default(chained, r, "_rk", "r_regionkey", "r_name", "region_name",
-                                max_dim_rows=100_000)
+    out = J.lookup_with_default(chained, r, "_rk", "r_regionkey", "r_name", "region_name")
     return out.select("s_suppkey", "s_name", "nation_name", "region_name")
 
 

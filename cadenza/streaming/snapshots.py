@@ -16,8 +16,8 @@ from pyspark.sql import types as T
 def stream_day_snapshots(spark: SparkSession, source_path: str, schema: T.StructType,
                          out_path: str, checkpoint_path: str, day_expr=None,
                          date_col: str = "ingestion_date", fmt: str = "parquet",
-                         file_glob: str | None = None, max_files_per_trigger: int = 100,
-                         timeout_s: int = 600) -> DataFrame:
+                         file_glob: str | None = None,
+                         max_files_per_trigger: int = 100) -> DataFrame:
     reader = (spark.readStream.schema(schema).format(fmt)
               .option("maxFilesPerTrigger", max_files_per_trigger))
     if file_glob:
@@ -32,10 +32,5 @@ def stream_day_snapshots(spark: SparkSession, source_path: str, schema: T.Struct
              .outputMode("append")
              .trigger(availableNow=True)
              .start())
-    query.awaitTermination(timeout_s)
-    if query.isActive:
-        query.stop()
-        raise TimeoutError("snapshot stream did not finish")
-    if query.exception() is not None:
-        raise query.exception()
+    query.awaitTermination()          # ends with the backlog, or raises the stream's error
     return spark.read.parquet(out_path)

@@ -27,7 +27,7 @@ def test_name_join_semantics(spark):
                          key=lambda t: tuple((v is not None, v) for v in t))
 
 
-def test_salted_join_equals_plain_join(spark):
+def test_balanced_join_equals_plain_join(spark):
     left = spark.range(0, 300).select(
         (F.col("id") % 7).alias("k"), F.col("id").alias("lid"))
     left = left.union(spark.createDataFrame([(None, 999)], "k long, lid long"))
@@ -37,19 +37,38 @@ def test_salted_join_equals_plain_join(spark):
     right = right.union(spark.range(0, 20).select((F.col("id") % 4).alias("k"),
                                                   (F.col("id") + 100).alias("rv")))
     plain = left.join(right, "k", "left")
-    salted = J.left_join_salted(left, right, "k", hot_rows=50, buckets=8)
-    assert salted.columns == plain.columns
-    assert rows(salted) == rows(plain)
-    assert salted.count() == plain.count()
+    balanced = J.left_join_balanced(left, right, "k")
+    assert balanced.columns == plain.columns
+    assert rows(balanced) == rows(plain)
 
 
-def test_salted_join_distinct_key_names(spark):
+def test_balanced_join_distinct_key_names(spark):
     left = spark.createDataFrame([(1, "a"), (2, "b"), (3, "c")], "lk int, lv string")
     right = spark.createDataFrame([(1, "x")] * 30 + [(2, "y")], "rk int, rv string")
     plain = left.join(right, left.lk == right.rk, "left")
-    salted = J.left_join_salted(left, right, "lk", "rk", hot_rows=5, buckets=4)
-    assert sorted(salted.columns) == sorted(plain.columns)
-    assert rows(salted, "lk", "rk", "rv") == rows(plain, "lk", "rk", "rv")
+    balanced = J.left_join_balanced(left, right, "lk", "rk")
+    assert balanced.columns == plain.columns
+    assert rows(balanced, "lk", "rk", "rv") == rows(plain, "lk", "rk", "rv")
+
+
+def test_view_keeps_left_rows_when_the_right_table_changes(spark, scratch_dir):
+    """A published view is lazy and holds no statistics: publishing starts no job, and
+    left rows stay after the table behind the right side has changed."""
+    import os
+
+    from cadenza.sources.sinks import publish_view
+
+    path = os.path.join(scratch_dir, "right")
+    spark.createDataFrame([("hot", i) for i in range(50)] + [("b", 1)], "n string, v int").write.parquet(path)
+    left = spark.createDataFrame([("a",), ("hot",)], "k string")
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("publish", "publish")
+    publish_view(J.left_join_on_name(left, spark.read.schema("n string, v int").parquet(path), "k", "n"), "v_left")
+    assert not tracker.getJobIdsForGroup("publish")
+    assert {r["k"] for r in spark.table("v_left").collect()} == {"a", "hot"}
+    spark.createDataFrame([("z", 1)], "n string, v int").write.mode("overwrite").parquet(path)
+    spark.catalog.refreshByPath(path)
+    assert rows(spark.table("v_left"), "k", "v") == [("a", None), ("hot", None)]
 
 
 def test_lookup_with_default(spark):
@@ -72,44 +91,15 @@ def test_unnest_and_member(spark):
     assert rows(member, "sid") == [("s1",), ("s4",)]
 
 
-def test_bounded_broadcast(spark):
-    small = spark.range(10)
-    big = spark.range(1000)
-    assert J.bounded_rows(small, 10)
-    assert not J.bounded_rows(big, 999)
-
-
-def test_salted_join_hot_list_cap_is_exact(spark):
-    # more hot keys than the cap: the overflow keys take the ordinary path
-    left = spark.range(0, 40).select((F.col("id") % 8).alias("k"), F.col("id").alias("lid"))
-    right = spark.range(0, 800).select((F.col("id") % 8).alias("k"), F.col("id").alias("rid"))
-    plain = left.join(right, "k", "left")
-    salted = J.left_join_salted(left, right, "k", hot_rows=10, buckets=5, hot_keys_max=3)
-    assert rows(salted) == rows(plain)
-
-
 def test_triple_pattern_with_hot_subject(spark):
     from cadenza.operators.graph import property_rows, triple_pattern
     data = [("Q1", "deezer", "d1"), ("Q2", "deezer", "d2"), ("Q3", "deezer", "d3")]
     data += [("Q1", "track", f"t{i}") for i in range(40)]          # hot subject
     data += [("Q2", "track", "tx"), ("Q1", "url", "u1"), ("Q3", "url", "u3")]
     t = spark.createDataFrame(data, "subject string, predicate string, object string")
-    got = triple_pattern(t, ("deezer", "did"), [("track", "tid"), ("url", "url")], hot_rows=5)
+    got = triple_pattern(t, ("deezer", "did"), [("track", "tid"), ("url", "url")])
     base = property_rows(t, "deezer", "did")
     want = (base.join(property_rows(t, "track", "tid"), "item", "left")
             .join(property_rows(t, "url", "url"), "item", "left"))
     assert rows(got, "item", "did", "tid", "url") == rows(want, "item", "did", "tid", "url")
     assert got.count() == 42
-
-
-def test_salted_paths_on_table_data(spark):
-    """The stand-in triples with a threshold that makes most customers hot."""
-    from conftest import SF_SMALL
-
-    from cadenza.operators.graph import triple_pattern
-    from cadenza.plans.queries import _triples
-    t = _triples(spark, SF_SMALL)
-    args = (("in_nation", "nation"), [("placed", "order_ref"), ("segment", "segment")])
-    salted = triple_pattern(t, *args, label="label", hot_rows=3)
-    plain = triple_pattern(t, *args, label="label", hot_rows=10**9)
-    assert rows(salted) == rows(plain)

@@ -16,14 +16,12 @@ keys = st.one_of(st.none(), st.integers(0, 4))
 
 @SETTINGS
 @given(st.lists(st.tuples(keys, st.integers(0, 9)), max_size=25),
-       st.lists(st.tuples(keys, st.integers(0, 9)), max_size=60),
-       st.integers(1, 6))
-def test_salted_left_join_equals_left_join(spark, left_rows, right_rows, hot):
+       st.lists(st.tuples(keys, st.integers(0, 9)), max_size=60))
+def test_balanced_left_join_equals_left_join(spark, left_rows, right_rows):
     left = spark.createDataFrame(left_rows, "k int, a int")
     right = spark.createDataFrame(right_rows, "k int, b int")
     plain = left.join(right, "k", "left")
-    salted = J.left_join_salted(left, right, "k", hot_rows=hot, buckets=3)
-    assert rows(salted) == rows(plain)
+    assert rows(J.left_join_balanced(left, right, "k")) == rows(plain)
 
 
 @SETTINGS
@@ -70,14 +68,13 @@ def test_exact_quantiles_equal_numpy(spark, ints, floats):
 
 @SETTINGS
 @given(st.lists(st.tuples(keys, st.integers(0, 9)), max_size=25),
-       st.lists(st.tuples(keys, st.integers(0, 9)), max_size=60),
-       st.integers(1, 6))
-def test_salted_join_named_keys(spark, left_rows, right_rows, hot):
+       st.lists(st.tuples(keys, st.integers(0, 9)), max_size=60))
+def test_balanced_join_named_keys(spark, left_rows, right_rows):
     left = spark.createDataFrame(left_rows, "lk int, a int")
     right = spark.createDataFrame(right_rows, "rk int, b int")
     plain = left.join(right, left.lk == right.rk, "left")
-    salted = J.left_join_salted(left, right, "lk", "rk", hot_rows=hot, buckets=3)
-    assert rows(salted, "lk", "a", "rk", "b") == rows(plain, "lk", "a", "rk", "b")
+    balanced = J.left_join_balanced(left, right, "lk", "rk")
+    assert rows(balanced, "lk", "a", "rk", "b") == rows(plain, "lk", "a", "rk", "b")
 
 
 @SETTINGS
