@@ -8,9 +8,9 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 __all__ = [
-    "col_of", "to_text", "to_float32_array", "lower_eq", "field_or_null", "join_field",
+    "col_of", "to_text", "to_float32_array", "lower_eq", "join_field",
     "join_strings", "array_or_empty", "with_default", "to_timestamp_coerced",
-    "squared_l2", "iso_date", "all_of", "present_id", "valid_length_id",
+    "iso_date", "all_of", "present_id", "valid_length_id",
     "contains_ci", "tag",
 ]
 
@@ -34,11 +34,6 @@ def lower_eq(c, value: str) -> Column:
     return F.lower(col_of(c)) == F.lower(F.lit(value))
 
 
-def field_or_null(path: str) -> Column:
-    """nested field access; a missing parent gives null, not an error."""
-    return F.col(path)
-
-
 def join_field(array_col, field: str, sep: str = ",") -> Column:
     """array<struct> -> 'a,b,c' of one field; null or empty array -> null."""
     arr = col_of(array_col)
@@ -70,15 +65,6 @@ def to_timestamp_coerced(c, numeric: bool | None = None) -> Column:
     return F.try_to_timestamp(c.cast("string"))
 
 
-def squared_l2(a, b) -> Column:
-    """squared Euclidean distance of two equal-length numeric arrays,
-    accumulated in double."""
-    diffs = F.zip_with(col_of(a), col_of(b),
-                       lambda x, y: (x.cast("double") - y.cast("double")) *
-                       (x.cast("double") - y.cast("double")))
-    return F.aggregate(diffs, F.lit(0.0).cast("double"), lambda acc, d: acc + d)
-
-
 def iso_date(c) -> Column:
     """date -> 'yyyy-MM-dd'."""
     return F.date_format(col_of(c), "yyyy-MM-dd")

@@ -86,6 +86,18 @@ def exactly_one(df: DataFrame, what: str = "row"):
     return rows[0]
 
 
+def match_status(keys: DataFrame, key: str, df: DataFrame, df_key: str) -> DataFrame:
+    """A13 for many keys at once: how many rows of ``df`` each key matches, as
+    ``none``, ``one`` or ``several``. ``df`` is counted per key first (partial
+    aggregation), so a hot key is one row in the join."""
+    counts = (df.filter(F.col(df_key).isNotNull()).groupBy(F.col(df_key).alias("_k"))
+              .agg(F.count(F.lit(1)).alias("_n")))
+    status = (F.when(F.col("_n").isNull(), "none").when(F.col("_n") == 1, "one")
+              .otherwise("several"))
+    return (keys.join(counts, keys[key] == counts["_k"], "left")
+            .withColumn("status", status).drop("_k", "_n"))
+
+
 def is_empty(df: DataFrame) -> bool:
     """Emptiness test (reads at most one row)."""
     return df.isEmpty()

@@ -1,5 +1,6 @@
 """Keyed enrichment: ids in batches -> caller-supplied ``fetch`` -> parsed rows.
 
+
 ``fetch(ids: list[str]) -> iterable of (id, status, body)`` stands for any
 per-batch lookup (an HTTP endpoint in the reference). Batching happens inside
 each partition with ``mapInArrow``; ``max_parallel`` bounds the number of
@@ -20,33 +21,49 @@ from cadenza.session import ship_package
 RESPONSE_SCHEMA = "request_id string, status int, body string"
 
 
+FAILED = -1          # status of an id whose call raised
+
+
 def _requester(id_col: str, fetch: Callable, batch_size: int, on_error: str):
+    def answers(chunk: list[str]):
+        try:
+            return list(fetch(chunk))
+        except Exception as exc:
+            if on_error == "raise":
+                raise
+            if len(chunk) == 1:
+                return [(chunk[0], FAILED, f"{type(exc).__name__}: {exc}")]
+            # One id may spoil a batch: each is asked for alone.
+            return [row for one in chunk for row in answers([one])]
+
     def run(batches: Iterable):
         import pyarrow as pa
 
+        def record(rows):
+            rid, status, body = zip(*rows)
+            return pa.RecordBatch.from_pydict(
+                {"request_id": [str(x) for x in rid], "status": pa.array(status, pa.int32()),
+                 "body": pa.array(body, pa.string())})
+
+        held: list[str] = []          # ids go on from one Arrow batch to the next
         for batch in batches:
             values = batch.column(batch.schema.get_field_index(id_col)).to_pylist()
-            ids = [v for v in values if v is not None and v != ""]
-            for start in range(0, len(ids), batch_size):
-                chunk = ids[start:start + batch_size]
-                try:
-                    rows = list(fetch(chunk))
-                except Exception:
-                    if on_error == "raise":
-                        raise
-                    continue  # a failed batch is dropped, the others go on
-                if rows:
-                    rid, status, body = zip(*rows)
-                    yield pa.RecordBatch.from_pydict(
-                        {"request_id": [str(x) for x in rid],
-                         "status": pa.array(status, pa.int32()),
-                         "body": pa.array(body, pa.string())})
+            held += [v for v in values if v is not None and v != ""]
+            while len(held) >= batch_size:
+                chunk, held = held[:batch_size], held[batch_size:]
+                if rows := answers(chunk):
+                    yield record(rows)
+        if held and (rows := answers(held)):
+            yield record(rows)
     return run
 
 
 def request_batches(ids: DataFrame, id_col: str, fetch: Callable, batch_size: int = 500,
-                    max_parallel: int | None = None, on_error: str = "drop") -> DataFrame:
-    """Raw responses (request_id, status, body)."""
+                    max_parallel: int | None = None, on_error: str = "raise") -> DataFrame:
+    """Raw responses (request_id, status, body). Batches of
+    ``batch_size`` ids run over the whole partition. A call that raises fails the job, or, with
+    ``on_error="drop"``, costs only the ids that fail alone as well: each gives a
+    row with status :data:`FAILED`, so losses can be counted."""
     ship_package(ids.sparkSession)
     src = ids.select(F.col(id_col).cast("string").alias(id_col))
     if max_parallel:
@@ -56,7 +73,7 @@ def request_batches(ids: DataFrame, id_col: str, fetch: Callable, batch_size: in
 
 def enrich_batches(ids: DataFrame, id_col: str, fetch: Callable,
                    body_schema: T.StructType | str, batch_size: int = 500,
-                   max_parallel: int | None = None, on_error: str = "drop") -> DataFrame:
+                   max_parallel: int | None = None, on_error: str = "raise") -> DataFrame:
     """S7 + P14 + P15: one parsed record per successful id. Drops non-200
     responses, bodies that are not JSON, documents with an ``error`` field and
     records without an id. Output: ``request_id`` plus the body fields."""
@@ -75,7 +92,7 @@ def enrich_batches(ids: DataFrame, id_col: str, fetch: Callable,
 
 def enrich_children(ids: DataFrame, id_col: str, fetch: Callable, child_field: str,
                     body_schema: T.StructType | str, batch_size: int = 50,
-                    max_parallel: int | None = None, on_error: str = "drop") -> DataFrame:
+                    max_parallel: int | None = None, on_error: str = "raise") -> DataFrame:
     """One-to-many lookup; each id yields the elements of ``child_field``
     of its response (none for a missing parent). Output: ``request_id`` and
     ``child`` (a struct)."""

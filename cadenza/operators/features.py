@@ -96,6 +96,18 @@ def pca_projection(df: DataFrame, vec: str, k: int = 3, prefix: str = "pc") -> D
     return projected.select(*[c for c in df.columns if c != vec], *cols)
 
 
+def explained_variance(df: DataFrame, features) -> DataFrame:
+    """Second moments of standardised feature columns: one row per pair of
+    features with their correlation (the matrix whose eigenvectors are the
+    components), from one aggregate."""
+    features = list(features)
+    pairs = [(a, b) for a in features for b in features]
+    row = df.agg(*[F.avg(F.col(a) * F.col(b)).alias(f"c{i}") for i, (a, b) in enumerate(pairs)])
+    return row.select(F.explode(F.array(*[
+        F.struct(F.lit(a).alias("feature"), F.lit(b).alias("other"), F.col(f"c{i}").alias("correlation"))
+        for i, (a, b) in enumerate(pairs)])).alias("_p")).select("_p.*")
+
+
 def pca_of_group_means(df: DataFrame, group: str, features, k: int = 3, exclude=(),
                        prefix: str = "pc") -> DataFrame:
     """A4 + P17 + A10 + A11 for scalar feature columns: mean of each feature
@@ -103,8 +115,10 @@ def pca_of_group_means(df: DataFrame, group: str, features, k: int = 3, exclude=
     (population std), projected on the first ``k`` principal components.
     One partial aggregate over ``df``; the rest works on one row per group."""
     from cadenza.operators.aggregates import group_means
+    from cadenza.sources.sinks import land_table
 
-    means = group_means(df, group, features, exclude=exclude)
+    # One row per group: kept, as the scaler, the fit and the projection all read it.
+    means = land_table(group_means(df, group, features, exclude=exclude), "group_means")
     scaled = standardize(means, list(features))
     vectors = scaled.select(group, F.array(*[F.col(f).cast("double") for f in features])
                             .alias("_v"))

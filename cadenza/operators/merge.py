@@ -1,8 +1,8 @@
 """Matched-only MERGE: ``MERGE dim USING src ON key WHEN MATCHED THEN UPDATE``.
 
 Parquet tables have no row-level MERGE in Spark, so the merge is a left join of
-the target with the source plus a match flag; the result is written as a new
-table version (see :func:`merge_into_path`)."""
+the target with the source plus a match flag; the result takes the place of the
+table (see :func:`merge_into_path`)."""
 
 from __future__ import annotations
 
@@ -48,8 +48,9 @@ def merge_matched(target: DataFrame, source: DataFrame, key: str, updates: dict,
 
 def merge_into_path(target: DataFrame, source: DataFrame, key: str, updates: dict,
                     out_path: str, **kw) -> DataFrame:
-    """J2 + K1: write the merged table to ``out_path`` (a new version folder;
-    overwriting the folder being read is not possible) and return it."""
+    """J2 + K1: write the merged table to ``out_path`` and return it. The path may be that
+    of ``target`` itself: the merge is staged first and then takes the table's place, so
+    the table's readers see the updated rows."""
     merged = merge_matched(target, source, key, updates, **kw)
     write_full_refresh(merged, out_path)
     return merged.sparkSession.read.parquet(out_path)

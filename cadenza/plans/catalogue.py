@@ -11,11 +11,14 @@ from cadenza.operators.enrich import enrich_batches
 from cadenza.operators.graph import triple_pattern
 from cadenza.operators.joins import left_join_on_name
 from cadenza.operators.merge import merge_matched
-from cadenza.operators.quality import require_not_null
 from cadenza.operators.setops import split_dim_fact
-from cadenza.sources.sinks import (append_day_partition, land_table, publish_view, run_date,
+from cadenza.schemas import REQUIRED, SPOTIFY_DIM, SPOTIFY_FACT
+from cadenza.session import work_path
+from cadenza.sources import storage
+from cadenza.sources.sinks import (append_day_partition, publish_view, resolve_day, run_date,
                                    write_full_refresh)
 
+# The columns of the published view.
 UNION_COLUMNS = (
     "spotify_artist_id", "spotify_artist_name", "spotify_artist_genres",
     "spotify_artist_url", "spotify_artist_total_followers", "spotify_artist_popularity",
@@ -69,25 +72,20 @@ def merge_fact_into_dim(dim: DataFrame, fact: DataFrame, day, check_source_uniqu
 
 
 def load_catalogue(triples: DataFrame, path: str, required: tuple, optional=(),
-                   label: str | None = None, required_cols=None,
-                   chunk_rows: int = 5000) -> DataFrame:
-    """§3.1 stages 1-3: triple pattern -> REQUIRED check -> full refresh.
-    The reference loads in chunks of ``chunk_rows`` (first chunk truncates,
-    the rest append): one overwrite with files of at most ``chunk_rows``
-    rows. An empty result leaves the table as it was."""
-    # The pattern's joins run once: the rows are staged, the REQUIRED check
-    # reads only the required columns of the staged table, and the staged rows
-    # then replace the table (which a failed check leaves untouched).
-    staged = land_table(triple_pattern(triples, required, optional, label=label),
-                        "catalogue_stage")
-    require_not_null(staged, required_cols or ["item", required[1]])
-    write_full_refresh(staged, path, max_records_per_file=chunk_rows)
-    return staged.sparkSession.read.parquet(path)
+                   label: str | None = None, required_cols=None, schema=None) -> DataFrame:
+    """§3.1 stages 1-3: triple pattern -> declared schema and REQUIRED check ->
+    full refresh, in one evaluation of the pattern (see
+    :func:`cadenza.sources.sinks.write_full_refresh`). An empty result, or a null in a
+    required field, leaves the table as it was."""
+    rows = triple_pattern(triples, required, optional, label=label)
+    write_full_refresh(rows, path, schema=schema, required=required_cols or ["item", required[1]])
+    return rows.sparkSession.read.parquet(path)
 
 
 def daily_enrichment(catalogue: DataFrame, id_col: str, fetch, body_schema, path: str,
                      columns: dict, as_of=None, batch_size: int = 500,
-                     max_parallel: int | None = None, replace_day: bool = False) -> DataFrame:
+                     max_parallel: int | None = None, replace_day: bool = False,
+                     schema=None, required=(), on_error: str = "raise") -> DataFrame:
     """§3.1 stages 4-7: distinct ids of ``catalogue`` -> batched lookups ->
     rows stamped with the run date -> append to the day-partitioned snapshot
     table at ``path``. ``columns`` maps output names to response fields
@@ -95,12 +93,12 @@ def daily_enrichment(catalogue: DataFrame, id_col: str, fetch, body_schema, path
     Returns that day's snapshot (one partition read)."""
     ids = distinct_ids(catalogue, id_col, "id")
     rows = enrich_batches(ids, "id", fetch, body_schema, batch_size=batch_size,
-                          max_parallel=max_parallel)
-    day = run_date(as_of)
+                          max_parallel=max_parallel, on_error=on_error)
+    day = run_date(resolve_day(catalogue.sparkSession, as_of))
     stamped = rows.select(*[(src if isinstance(src, Column) else F.col(src)).alias(out)
                             for out, src in columns.items()],
                           day.alias("ingestion_date"))
-    append_day_partition(stamped, path, replace_day=replace_day)
+    append_day_partition(stamped, path, replace_day=replace_day, schema=schema, required=required)
     snapshot = rows.sparkSession.read.parquet(path)
     return snapshot.filter(F.col("ingestion_date") == day)
 
@@ -111,8 +109,9 @@ def artist_refresh(ids: DataFrame, id_col: str, fetch, body_schema, dim_path: st
     """The artist refresh of the draft pipeline: batched artist lookups
     (``{"artists": [...]}`` per batch; null records and records without an id
     are dropped) -> dimension (full refresh) and fact (appended day
-    partition) -> MERGE of the run day's facts into the dimension. Returns the
-    merged dimension (also written as a new version next to ``dim_path``)."""
+    partition) -> MERGE of the run day's facts into the dimension at ``dim_path``,
+    which its readers see. Returns the dimension. Both writes enforce the
+    declared schemas. The landed records are removed when the run ends."""
     from cadenza.operators.enrich import enrich_children
     from cadenza.operators.merge import merge_into_path
 
@@ -129,15 +128,20 @@ def artist_refresh(ids: DataFrame, id_col: str, fetch, body_schema, dim_path: st
                        F.col(a + "followers.total").alias("spotify_artist_total_followers")))
     # Landed once: the dimension and the fact are both written from it, and
     # the service must be called only once per id.
-    dim, fact = artists_dim_fact(land_table(artists, "artist_records"), as_of=as_of)
-    write_full_refresh(dim, dim_path)
-    append_day_partition(fact, fact_path, date_col="date")
     spark = ids.sparkSession
-    day = run_date(as_of)
-    todays = spark.read.parquet(fact_path).filter(F.col("date") == day)
+    day = resolve_day(spark, as_of)
+    records = work_path(spark, "artist_records")
+    try:
+        artists.write.parquet(records)
+        dim, fact = artists_dim_fact(spark.read.parquet(records), as_of=day)
+        write_full_refresh(dim, dim_path, schema=SPOTIFY_DIM)
+        append_day_partition(fact, fact_path, date_col="date", schema=SPOTIFY_FACT,
+                             required=REQUIRED["spotify_artists_fact"])
+    finally:
+        storage.delete(spark, records)
+    todays = spark.read.parquet(fact_path).filter(F.col("date") == run_date(day))
     return merge_into_path(
         spark.read.parquet(dim_path), todays, "spotify_artist_id",
         {"spotify_artist_popularity": "spotify_artist_popularity",
          "spotify_artist_total_followers": "spotify_artist_total_followers"},
-        out_path=dim_path.rstrip("/") + "_merged")
-
+        out_path=dim_path)

@@ -464,3 +464,114 @@ ORACLE_SQL["artist_refresh"] = """
 # The landed forms compute the same rows as their piecewise queries.
 ORACLE_SQL["catalogue_load"] = ORACLE_SQL["triple_pivot"]
 ORACLE_SQL["enrich_snapshot"] = ORACLE_SQL["enrich_batches"]
+
+ORACLE_SQL["enrich_failures"] = """
+    WITH i AS (SELECT DISTINCT o_orderkey AS i FROM orders),
+    r AS (SELECT CASE WHEN i % 19 = 0 THEN -1 WHEN i % 7 <> 0 AND i % 11 = 0 THEN 404 ELSE 200 END
+                 AS status FROM i)
+    SELECT status, count(*) AS n_ids, count(*) AS n_distinct FROM r GROUP BY status
+"""
+
+ORACLE_SQL["result_series_text"] = """
+    SELECT CASE WHEN day(ts) <> 13 THEN CAST(ts AS DATE) END AS event_date,
+           count(DISTINCT user_id) AS users_that_day
+    FROM events GROUP BY 1
+"""
+
+ORACLE_SQL["dedupe_nulls"] = """
+    SELECT * FROM part WHERE p_brand <> 'Brand#13'
+    QUALIFY row_number() OVER (PARTITION BY p_name ORDER BY p_partkey) = 1
+"""
+
+ORACLE_SQL["genre_nulls"] = """
+    SELECT user_id, CASE WHEN user_id % 3 = 0 THEN 0 ELSE count(DISTINCT event_type) END AS n_genres,
+           CASE WHEN user_id % 3 = 0 THEN '' ELSE string_agg(DISTINCT
+                upper(event_type[1]) || lower(event_type[2:]), ',' ORDER BY
+                upper(event_type[1]) || lower(event_type[2:])) END AS genres
+    FROM events GROUP BY user_id
+"""
+
+ORACLE_SQL["distinct_text_ids"] = """
+    SELECT DISTINCT CAST(o_custkey AS VARCHAR) AS id FROM orders WHERE o_orderstatus = 'F'
+"""
+
+ORACLE_SQL["exactly_one_status"] = """
+    SELECT c_custkey, CASE count(o_orderkey) WHEN 0 THEN 'none' WHEN 1 THEN 'one' ELSE 'several' END
+           AS status
+    FROM customer LEFT JOIN orders ON o_custkey = c_custkey AND o_orderkey % 5 = 0
+    GROUP BY c_custkey
+"""
+
+ORACLE_SQL["genre_scaled"] = """
+    WITH x AS (SELECT label, unnest(embedding) AS v, unnest(range(0, len(embedding))) AS pos FROM embeddings),
+    m AS (SELECT label, pos, avg(CAST(v AS DOUBLE)) AS m FROM x GROUP BY label, pos),
+    s AS (SELECT pos, avg(m) AS a, stddev_pop(m) AS d FROM m GROUP BY pos)
+    SELECT label, pos, round((m - a) / CASE WHEN d = 0 THEN 1 ELSE d END, 6) AS z FROM m JOIN s USING (pos)
+"""
+
+_MEANS = """
+    WITH RECURSIVE m AS (
+        SELECT l_suppkey, avg(l_quantity) AS f1, avg(l_extendedprice) AS f2, avg(l_discount) AS f3,
+               avg(l_tax) AS f4 FROM lineitem GROUP BY l_suppkey),
+    s AS (SELECT avg(f1) AS a1, avg(f2) AS a2, avg(f3) AS a3, avg(f4) AS a4, stddev_pop(f1) AS d1,
+                 stddev_pop(f2) AS d2, stddev_pop(f3) AS d3, stddev_pop(f4) AS d4 FROM m),
+    z AS (SELECT l_suppkey, (f1 - a1) / d1 AS z1, (f2 - a2) / d2 AS z2, (f3 - a3) / d3 AS z3,
+                 (f4 - a4) / d4 AS z4 FROM m, s),
+    c AS (SELECT """ + ", ".join(f"avg(z{i} * z{j}) AS c{i}{j}" for i in range(1, 5) for j in range(1, 5)) + """
+          FROM z)"""
+
+_NAMES = ("l_quantity", "l_extendedprice", "l_discount", "l_tax")
+
+ORACLE_SQL["supplier_correlation"] = _MEANS + " UNION ALL ".join(
+    f" SELECT '{a}' AS feature, '{b}' AS other, round(c{i}{j}, 6) AS correlation FROM c"
+    for i, a in enumerate(_NAMES, 1) for j, b in enumerate(_NAMES, 1))
+
+
+def _component(n: int, matrix: str) -> str:
+    """Power iteration on a 4 x 4 matrix; then the matrix without that component."""
+    step = [" + ".join(f"c{i}{j} * v{j}" for j in range(1, 5)) for i in range(1, 5)]
+    value = " + ".join(f"v{i} * ({s})" for i, s in enumerate(step, 1))
+    big = "greatest(" + ", ".join(f"abs(v{i})" for i in range(1, 5)) + ")"
+    sign = "CASE " + " ".join(f"WHEN abs(v{i}) = {big} THEN sign(v{i})" for i in range(1, 5)) + " END"
+    return f""",
+    p{n}(k, v1, v2, v3, v4) AS (
+        SELECT 0, 0.5::DOUBLE, 0.4::DOUBLE, 0.6::DOUBLE, 0.3::DOUBLE
+        UNION ALL
+        SELECT k + 1, w1 / w, w2 / w, w3 / w, w4 / w FROM (
+            SELECT k, w1, w2, w3, w4, sqrt(w1 * w1 + w2 * w2 + w3 * w3 + w4 * w4) AS w FROM (
+                SELECT k, {", ".join(f"{s} AS w{i}" for i, s in enumerate(step, 1))}
+                FROM p{n}, {matrix} WHERE k < 4000))),
+    e{n} AS (SELECT {", ".join(f"{sign} * v{i} AS v{i}" for i in range(1, 5))}, {value} AS val
+             FROM p{n}, {matrix} WHERE k = 4000),
+    c{n} AS (SELECT {", ".join(f"c{i}{j} - val * v{i} * v{j} AS c{i}{j}"
+                               for i in range(1, 5) for j in range(1, 5))} FROM {matrix}, e{n})"""
+
+
+#: Eigenvectors by power iteration and deflation, signs as in the operator.
+ORACLE_SQL["supplier_pca"] = (
+    _MEANS + _component(1, "c") + _component(2, "c1") + _component(3, "c2")
+    + " SELECT l_suppkey, " + ", ".join(
+        "round(" + " + ".join(f"z{i} * e{n}.v{i}" for i in range(1, 5)) + f", 6) AS pc{n}" for n in (1, 2, 3))
+    + " FROM z, e1, e2, e3")
+
+ORACLE_SQL["expire_partitions"] = """
+    SELECT event_id, CAST(ts AS DATE) AS ingestion_date FROM events
+    WHERE CAST(ts AS DATE) > (SELECT max(CAST(ts AS DATE)) FROM events) - INTERVAL 7 DAY
+"""
+
+ORACLE_SQL["day_snapshot"] = """
+    SELECT event_id, user_id, event_type FROM events WHERE CAST(ts AS DATE) = DATE '2024-01-20'
+"""
+
+ORACLE_SQL["declared_load"] = """
+    SELECT 'Q' || c_custkey AS item, c_name AS "itemLabel", CAST(c_custkey AS VARCHAR) AS deezer_artist_id,
+           CASE WHEN c_nationkey > 10 THEN CAST(c_nationkey AS VARCHAR) END AS spotify_artist_id,
+           CAST(NULL AS VARCHAR) AS youtube_artist_id, CAST(NULL AS VARCHAR) AS artist_official_url
+    FROM customer
+"""
+
+ORACLE_SQL["catalog_view"] = """
+    SELECT CAST(c_custkey AS VARCHAR) AS spotify_artist_id, c_name AS spotify_artist_name,
+           'https://www.example.com/artist/' || CAST(s_suppkey AS VARCHAR) AS deezer_artist_url
+    FROM customer LEFT JOIN supplier ON c_name = replace(s_name, 'Supplier', 'Customer')
+"""

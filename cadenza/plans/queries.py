@@ -10,6 +10,7 @@ those of the matching SQL in :mod:`cadenza.plans.oracles`.
 from __future__ import annotations
 
 import os
+import uuid
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -32,6 +33,7 @@ from cadenza.plans import catalogue as C
 from cadenza.plans import responders as R
 from cadenza.plans import similarity as SIM
 from cadenza.plans.sql_surface import display_series, register_sql_functions, run_sql
+from cadenza.schemas import CATALOGUE_IDS, REQUIRED
 from cadenza.session import default_parallelism, work_path
 from cadenza.sources import sinks as K
 from cadenza.sources.files import (envelope_rows, parse_json_column, read_csv_inferred,
@@ -185,9 +187,9 @@ def q_csv_roundtrip(spark, sf_dir):
 def q_refresh_sink(spark, sf_dir):
     region = _t(spark, sf_dir, "region")
     path = work_path(spark, "region")
-    K.write_full_refresh(region, path, max_records_per_file=5000)
-    K.write_full_refresh(region, path, max_records_per_file=5000)   # rerun: same rows
-    K.write_full_refresh(region.limit(0), path)                      # empty: no-op
+    K.write_full_refresh(region, path)
+    K.write_full_refresh(region, path)                # rerun: same rows
+    K.write_full_refresh(region.limit(0), path)       # empty: no-op
     return spark.read.parquet(path)
 
 
@@ -245,7 +247,7 @@ def _fact_standin(spark, sf_dir):
 
 def q_merge_matched(spark, sf_dir):
     return C.merge_fact_into_dim(_dim_standin(spark, sf_dir), _fact_standin(spark, sf_dir),
-                                 MERGE_DAY)
+                                 MERGE_DAY, check_source_unique=False)   # grouped by (id, day)
 
 
 def q_dim_fact_split(spark, sf_dir):
@@ -481,7 +483,7 @@ def q_similar_tracks(spark, sf_dir):
 
 def q_genre_pca(spark, sf_dir):
     emb = _t(spark, sf_dir, "embeddings", "label", "embedding")
-    means = FT.group_vector_means(emb, "label", "embedding")
+    means = K.land_table(FT.group_vector_means(emb, "label", "embedding"), "label_means")
     scaled = FT.standardize_array(means, "embedding", float32=False)
     proj = FT.pca_projection(scaled, "embedding", k=3)
     return proj.select("label", *[F.round(f"pc{j}", ROUND).alias(f"pc{j}") for j in (1, 2, 3)])
@@ -634,6 +636,114 @@ def q_csv_inferred(spark, sf_dir):
                        F.col("s_nationkey").cast("long").alias("s_nationkey"), "s_acctbal")
 
 
+def q_enrich_failures(spark, sf_dir):
+    """S7 + P14: one status per id of a service that raises for some ids. A raising id
+    costs itself, not its batch, and the loss is countable."""
+    ids = A.distinct_ids(_t(spark, sf_dir, "orders", "o_orderkey"), "o_orderkey", "id")
+    raw = E.request_batches(ids, "id", R.failing_lookup, batch_size=500,
+                            max_parallel=_lookup_tasks(spark), on_error="drop")
+    return raw.groupBy("status").agg(F.count(F.lit(1)).alias("n_ids"),
+                                     F.countDistinct("request_id").alias("n_distinct"))
+
+
+def q_result_series_text(spark, sf_dir):
+    """P10 + F8: a text date with bad values, next to a count whose name holds 'day' too
+    (only the first such column is a date)."""
+    ev = _t(spark, sf_dir, "events", "ts", "user_id")
+    day = F.date_format(F.col("ts").cast("timestamp"), "yyyy-MM-dd")
+    raw = (ev.groupBy(F.when(F.dayofmonth("ts") == 13, "no date").otherwise(day).alias("event_date"))
+           .agg(F.countDistinct("user_id").alias("users_that_day")))
+    return display_series(raw).withColumn("event_date", F.to_date("event_date"))
+
+
+def q_dedupe_nulls(spark, sf_dir):
+    """P12 + A2: rows with a null in any column go before the first row per key is taken."""
+    part = _t(spark, sf_dir, "part").withColumn("p_brand", F.nullif("p_brand", F.lit("Brand#13")))
+    return A.first_per_key(part.dropna("any"), "p_name", "p_partkey")
+
+
+def q_genre_nulls(spark, sf_dir):
+    """F6 + G1: users without a genre list (null) count as having an empty one."""
+    users = _user_genres(spark, sf_dir).withColumn(
+        "genres", F.when(F.col("user_id") % 3 != 0, F.col("genres")))
+    return users.select("user_id", F.size(array_or_empty("genres")).alias("n_genres"),
+                        F.array_join(array_or_empty("genres"), ",").alias("genres"))
+
+
+def q_distinct_text_ids(spark, sf_dir):
+    """P11 + A1: text ids; null and empty ones are no ids."""
+    o = _t(spark, sf_dir, "orders", "o_custkey", "o_orderstatus")
+    text = F.when(F.col("o_orderstatus") == "F", to_text("o_custkey")).when(
+        F.col("o_orderstatus") == "O", F.lit(""))
+    return A.distinct_ids(o.select(text.alias("id")), "id")
+
+
+def q_exactly_one_status(spark, sf_dir):
+    """How many orders each customer id matches: none, one or several."""
+    keys = _t(spark, sf_dir, "customer", "c_custkey")
+    orders = _t(spark, sf_dir, "orders", "o_custkey", "o_orderkey").filter(F.col("o_orderkey") % 5 == 0)
+    return A.match_status(keys, "c_custkey", orders, "o_custkey")
+
+
+def q_genre_scaled(spark, sf_dir):
+    """A4 + A10: standardised mean vector of each label, one row per label and position."""
+    emb = _t(spark, sf_dir, "embeddings", "label", "embedding")
+    means = K.land_table(FT.group_vector_means(emb, "label", "embedding"), "label_means")
+    scaled = FT.standardize_array(means, "embedding", float32=False)
+    return scaled.select("label", F.posexplode("embedding").alias("pos", "z")).select(
+        "label", "pos", F.round("z", ROUND).alias("z"))
+
+
+def q_supplier_correlation(spark, sf_dir):
+    """The matrix that the supplier components are the eigenvectors of."""
+    li = _t(spark, sf_dir, "lineitem", "l_suppkey", *LINE_FEATURES)
+    means = K.land_table(A.group_means(li, "l_suppkey", LINE_FEATURES), "supplier_means")
+    moments = FT.explained_variance(FT.standardize(means, list(LINE_FEATURES)), LINE_FEATURES)
+    return moments.withColumn("correlation", F.round("correlation", ROUND))
+
+
+def q_expire_partitions(spark, sf_dir):
+    """K4: days beyond the retention are deleted; any reader then sees the rest."""
+    path = work_path(spark, "events_expired")
+    K.append_day_partition(_events_by_day(spark, sf_dir), path)
+    K.expire_partitions(spark, path, days=7)
+    return spark.read.parquet(path).select("event_id", "ingestion_date")
+
+
+def q_day_snapshot(spark, sf_dir):
+    """One day of a day-partitioned table, through a bound on files per day."""
+    path = work_path(spark, "events_days")
+    K.append_day_partition(_events_by_day(spark, sf_dir), path, files_per_day=2)
+    return K.read_day(spark, path, "2024-01-20").select("event_id", "user_id", "event_type")
+
+
+def q_declared_load(spark, sf_dir):
+    """S10 + K1: a load against the declared catalogue schema and its REQUIRED fields."""
+    c = _t(spark, sf_dir, "customer", "c_custkey", "c_name", "c_nationkey")
+    ids = c.select(F.concat(F.lit("Q"), to_text("c_custkey")).alias("item"), F.col("c_name").alias("itemLabel"),
+                   F.col("c_custkey").alias("deezer_artist_id"),       # becomes text, as declared
+                   F.when(F.col("c_nationkey") > 10, to_text("c_nationkey")).alias("spotify_artist_id"),
+                   F.lit(None).alias("youtube_artist_id"), F.lit(None).alias("artist_official_url"))
+    path = work_path(spark, "catalogue_ids")
+    K.write_full_refresh(ids, path, schema=CATALOGUE_IDS, required=REQUIRED["catalogue_ids"])
+    return spark.read.parquet(path)
+
+
+UNION_SQL = """SELECT s.spotify_artist_id, s.spotify_artist_name, d.deezer_artist_url
+FROM {spotify} s LEFT JOIN {deezer} d ON s.spotify_artist_name = d.deezer_artist_name"""
+
+
+def q_catalog_view(spark, sf_dir):
+    """K6: the union as a view of the catalog, over catalog tables, read from another session."""
+    tag_ = uuid.uuid4().hex[:12]
+    names = {}
+    for name, frame in (("spotify", spotify_standin(spark, sf_dir)), ("deezer", deezer_standin(spark, sf_dir))):
+        names[name] = f"{name}_{tag_}"
+        frame.write.mode("overwrite").option("path", work_path(spark, name)).saveAsTable(names[name])
+    K.publish_catalog_view(spark, f"artists_union_{tag_}", UNION_SQL.format(**names))
+    return spark.newSession().table(f"artists_union_{tag_}")
+
+
 QUERIES = {
     "artists_union": q_artists_union,
     "scan_project": q_scan_project,
@@ -686,4 +796,16 @@ QUERIES = {
     "snapshot_union": q_snapshot_union,
     "first_choice": q_first_choice,
     "csv_inferred": q_csv_inferred,
+    "enrich_failures": q_enrich_failures,
+    "result_series_text": q_result_series_text,
+    "dedupe_nulls": q_dedupe_nulls,
+    "genre_nulls": q_genre_nulls,
+    "distinct_text_ids": q_distinct_text_ids,
+    "exactly_one_status": q_exactly_one_status,
+    "genre_scaled": q_genre_scaled,
+    "supplier_correlation": q_supplier_correlation,
+    "expire_partitions": q_expire_partitions,
+    "day_snapshot": q_day_snapshot,
+    "declared_load": q_declared_load,
+    "catalog_view": q_catalog_view,
 }

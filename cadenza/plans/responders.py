@@ -36,6 +36,14 @@ def artist_lookup(ids):
                 "nb_fan": (i * 37) % 100000})
 
 
+def failing_lookup(ids):
+    """The artist lookup, but a call that holds an id divisible by 19 raises."""
+    for text in ids:
+        if int(text) % 19 == 0:
+            raise ConnectionError(f"no answer for {text}")
+    yield from artist_lookup(ids)
+
+
 def top_tracks_lookup(ids):
     """Each id has ``id % 4`` tracks; track j has j artists (none -> null
     joins), markets absent when j == 1 and the first j markets otherwise, and

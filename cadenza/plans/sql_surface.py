@@ -54,14 +54,16 @@ def preview(spark: SparkSession, sql: str, args: dict | None = None, n: int = 10
 
 
 def coerce_dates(df: DataFrame) -> DataFrame:
-    """P10 + F8: every column whose name mentions date/day becomes a timestamp;
-    numeric values are epoch milliseconds, text is parsed, bad values -> null."""
+    """P10 + F8: the *first* column whose name mentions date or day becomes a timestamp,
+    if the result has a numeric column to show against it; numbers are epoch milliseconds,
+    text is parsed, bad values -> null. Other columns of that kind of name
+    (a count of days, say) stay as they are."""
     numeric = set(numeric_columns(df))
-    for c in date_columns(df):
-        if dict(df.dtypes)[c].startswith("timestamp") or dict(df.dtypes)[c] == "date":
-            continue
-        df = df.withColumn(c, to_timestamp_coerced(F.col(c), numeric=c in numeric))
-    return df
+    col = next(iter(date_columns(df)), None)
+    kind = dict(df.dtypes).get(col, "")
+    if col is None or not numeric or kind.startswith("timestamp") or kind == "date":
+        return df
+    return df.withColumn(col, to_timestamp_coerced(F.col(col), numeric=col in numeric))
 
 
 def display_series(df: DataFrame) -> DataFrame:

@@ -9,6 +9,7 @@ from pyspark.sql import types as T
 S, L, D = T.StringType(), T.LongType(), T.DateType()
 
 
+# Column names and types of the tables below.
 def _schema(*fields):
     return T.StructType([T.StructField(n, t, True) for n, t in fields])
 

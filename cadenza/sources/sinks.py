@@ -6,49 +6,89 @@ import datetime as dt
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from cadenza.operators.quality import require_not_null
+from cadenza.sources import storage
 
-def write_full_refresh(df: DataFrame, path: str, fmt: str = "parquet",
-                       max_records_per_file: int | None = None) -> bool:
-    """WRITE_TRUNCATE. An empty input writes nothing, so a refresh with no rows
-    never clears the table. Returns whether a write happened.
+
+def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
+    """The declared columns, in the declared order and types; a missing column
+    is an error (a value that does not fit its type is one at run time, in ANSI mode)."""
+    missing = [f.name for f in schema.fields if f.name not in df.columns]
+    if missing:
+        raise ValueError(f"columns missing for the declared schema: {missing}")
+    return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
+
+
+def write_full_refresh(df: DataFrame, path: str, fmt: str = "parquet", schema=None,
+                       required=()) -> bool:
+    """WRITE_TRUNCATE. Returns whether a write happened: an empty input leaves the
+    table as it was.
+
+    ``df`` is evaluated once, into a staging folder beside the table; the emptiness guard
+    and the REQUIRED check read the staged rows, and the staged folder then takes the table's
+    place. A write that fails leaves the old table. ``schema`` and ``required``
+    enforce a declared schema (see :mod:`cadenza.schemas`). ``df`` may read the table itself.
 
     The reference loads in chunks whose first chunk truncates and the rest
-    append; the net effect is one overwrite, which is what Spark does here.
-    ``max_records_per_file`` only bounds file sizes."""
-    if df.isEmpty():
-        return False
-    writer = df.write.mode("overwrite").format(fmt)
-    if max_records_per_file:
-        writer = writer.option("maxRecordsPerFile", int(max_records_per_file))
-    writer.save(path)
-    return True
+    append; the net effect is one overwrite, which is what Spark does here, with
+    files as large as the tasks that write them."""
+    spark = df.sparkSession
+    if schema is not None:
+        df = conform(df, schema)
+    staged = storage.staging(path)
+    try:
+        df.write.format(fmt).save(staged)
+        rows = spark.read.schema(df.schema).format(fmt).load(staged)
+        if rows.isEmpty():
+            return False
+        require_not_null(rows, required)
+        storage.swap(spark, staged, path)
+        return True
+    finally:
+        storage.delete(spark, staged)
 
 
 def append_day_partition(df: DataFrame, path: str, date_col: str = "ingestion_date",
-                         replace_day: bool = False, files_per_day: int | None = None) -> bool:
+                         replace_day: bool = False, files_per_day: int | None = None,
+                         schema=None, required=()) -> bool:
     """WRITE_APPEND into a table partitioned by day. The first append creates the
-    table. ``replace_day=True`` rewrites only the days present in ``df``
-    (dynamic partition overwrite) so that a rerun on the same day is idempotent.
-
-    By default each task writes its rows without a shuffle (one file per day
-    it holds). ``files_per_day`` bounds the file count instead: rows are
-    shuffled on (day, hash of the row mod ``files_per_day``), so every day
-    lands in at most that many files and a hot day is still spread over that
-    many tasks rather than one."""
-    if df.isEmpty():
-        return False
+    table. ``replace_day=True`` replaces the days present in ``df``, so that a
+    rerun on the same day is idempotent. Returns whether rows were written.
+
+    ``df`` is evaluated once, into a staging folder beside the table; the finished day
+    files are then moved into the table, so a write that fails adds nothing.
+
+    Rows are brought together by day and dealt by size (``REBALANCE``: AQE cuts a
+    large day and merges small ones up to its advisory partition size), so a day has
+    files of about that size. ``files_per_day`` bounds their number instead: rows are
+    dealt by (day, position of the row mod ``files_per_day``), whatever they hold."""
+    spark = df.sparkSession
+    if schema is not None:
+        df = conform(df, schema)
     if files_per_day:
-        hashable = [F.col(c) for c, t in df.dtypes if not t.startswith("map")]
-        df = df.repartition(F.col(date_col),
-                            F.pmod(F.xxhash64(*hashable), F.lit(int(files_per_day))))
-    writer = df.write.partitionBy(date_col).format("parquet")
-    if replace_day:
-        writer = writer.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        df = df.repartition(F.col(date_col), F.pmod(F.xxhash64(F.monotonically_increasing_id()),
+                                                    F.lit(int(files_per_day))))
     else:
-        writer = writer.mode("append")
-    writer.save(path)
-    return True
+        df = df.hint("rebalance", date_col)
+    staged = storage.staging(path)
+    try:
+        df.write.partitionBy(date_col).parquet(staged)
+        days = [d for d in storage.children(spark, staged) if d.startswith(f"{date_col}=")]
+        if not days:
+            return False
+        if required:
+            require_not_null(spark.read.schema(df.schema).parquet(staged), required)
+        for day in days:
+            if replace_day:
+                storage.delete(spark, f"{path}/{day}")
+            # File names hold the id of the write, so they cannot meet.
+            for name in storage.children(spark, f"{staged}/{day}"):
+                storage.move(spark, f"{staged}/{day}/{name}", f"{path}/{day}/{name}")
+        return True
+    finally:
+        storage.delete(spark, staged)
 
 
 def read_day(spark: SparkSession, path: str, day, date_col: str = "ingestion_date") -> DataFrame:
@@ -70,6 +110,23 @@ def read_retained(spark: SparkSession, path: str, days: int = 7,
     return df.filter(F.col(date_col) > F.date_sub(newest, days))
 
 
+def expire_partitions(spark: SparkSession, path: str, days: int = 7,
+                      date_col: str = "ingestion_date", as_of=None) -> list[str]:
+    """Partition expiry (K4): delete the day folders that are ``days`` or more older than
+    ``as_of`` (default: the newest day present); returns the deleted days. Every later
+    reader sees the rest."""
+    found = {d.partition("=")[2]: d for d in storage.children(spark, path)
+             if d.startswith(f"{date_col}=")}
+    dated = {dt.date.fromisoformat(d): name for d, name in found.items() if d[:1].isdigit()}
+    if not dated:
+        return []
+    newest = max(dated) if as_of is None else dt.date.fromisoformat(str(as_of))
+    gone = sorted(d for d in dated if d <= newest - dt.timedelta(days=days))
+    for d in gone:
+        storage.delete(spark, f"{path}/{dated[d]}")
+    return [d.isoformat() for d in gone]
+
+
 def land_table(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once as parquet in the shared work folder and return the
     scan of it: a result that several steps read is computed once, its
@@ -82,11 +139,19 @@ def land_table(df: DataFrame, name: str) -> DataFrame:
 
 
 def publish_view(df: DataFrame, name: str) -> DataFrame:
-    """``create or replace view``: the view stores a plan, not data."""
+    """``create or replace view``: the view stores a plan, not data. It lives as long
+    as the session; :func:`publish_catalog_view` makes one that outlives it."""
     df.createOrReplaceTempView(name)
     return df
 
 
+def publish_catalog_view(spark: SparkSession, name: str, sql: str) -> DataFrame:
+    """``create or replace view`` in the session catalog, over catalog tables: other
+    sessions see it, and it stays as long as the catalog does."""
+    spark.sql(f"CREATE OR REPLACE VIEW {name} AS {sql}")
+    return spark.table(name)
+
+
 def preview_records(df: DataFrame, n: int = 10, order_by=None,
                     epoch_dates: bool = True) -> DataFrame:
     """First ``n`` rows as JSON records (one string per row). An explicit order
@@ -108,6 +173,11 @@ def preview_records(df: DataFrame, n: int = 10, order_by=None,
     return df.select(F.to_json(F.struct(*cols), {"ignoreNullFields": "false"}).alias("record"))
 
 
+def resolve_day(spark: SparkSession, as_of=None) -> str:
+    """The run's day as text, fixed once: a run that goes past midnight keeps its day."""
+    return str(as_of) if as_of is not None else str(spark.sql("SELECT current_date() AS d").first()["d"])
+
+
 def run_date(as_of=None):
     """Date stamp for a run: today by default, fixed for reproducible tests."""
     if as_of is None:

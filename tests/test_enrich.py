@@ -3,7 +3,7 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
-from cadenza.operators.enrich import enrich_batches, enrich_children, request_batches
+from cadenza.operators.enrich import FAILED, enrich_batches, enrich_children, request_batches
 from cadenza.plans.queries import flatten_tracks
 from cadenza.plans.responders import TRACKS_BODY_SCHEMA
 from conftest import rows
@@ -50,9 +50,34 @@ def test_batches_are_bounded_and_errors(spark):
     def broken(ids):
         raise RuntimeError("service down")
 
-    assert request_batches(ids, "id", broken, 3, on_error="drop").count() == 0
+    # Failures are rows of their own; by default they fail the job.
+    lost = request_batches(ids, "id", broken, 3, on_error="drop").collect()
+    assert len(lost) == 10 and {r["status"] for r in lost} == {FAILED}
     with pytest.raises(Exception):
-        request_batches(ids, "id", broken, 3, on_error="raise").count()
+        request_batches(ids, "id", broken, 3).count()
+
+
+def test_one_failing_id_costs_one_id(spark):
+    def fails_on_five(ids):
+        if "5" in ids:
+            raise RuntimeError("no answer")
+        for i in ids:
+            yield i, 200, json.dumps({"id": i})
+
+    ids = spark.range(0, 1000).select(F.col("id").cast("string").alias("id")).coalesce(1)
+    raw = request_batches(ids, "id", fails_on_five, 500, on_error="drop").collect()
+    assert sorted(r["request_id"] for r in raw if r["status"] == FAILED) == ["5"]
+    assert len(raw) == 1000
+    assert enrich_batches(ids, "id", fails_on_five, "id string", on_error="drop").count() == 999
+
+
+def test_batches_run_over_the_whole_partition(spark):
+    """Batches larger than an Arrow record batch (10,000 rows) are not cut by it."""
+    def size(ids):
+        yield ids[0], 200, str(len(ids))
+
+    ids = spark.range(0, 25_000, 1, 1).select(F.col("id").cast("string").alias("id"))
+    assert sorted(int(r["body"]) for r in request_batches(ids, "id", size, 20_000).collect()) == [5_000, 20_000]
 
 
 def test_children_flatten(spark):

@@ -81,3 +81,35 @@ def test_artist_refresh_calls_service_once_per_id(spark, scratch_dir):
     assert got["sp2"]["spotify_artist_genres"] == "rock,Pop"
     assert got["sp5"]["spotify_artist_total_followers"] is None
     assert got["sp1"]["spotify_artist_popularity"] == 1
+
+
+def test_daily_enrichment_calls_service_once_per_id(spark, scratch_dir):
+    log = os.path.join(scratch_dir, "calls.txt")
+
+    def counted(ids):
+        with open(log, "a") as fh:
+            fh.write("".join(f"{i}\n" for i in ids))
+        yield from lookup(ids)
+
+    cat = spark.createDataFrame([(f"a{i % 40}",) for i in range(100)], "deezer_artist_id string")
+    day = daily_enrichment(cat, "deezer_artist_id", counted, "id string, name string",
+                           os.path.join(scratch_dir, "snap"),
+                           {"deezer_artist_id": "id", "deezer_artist_name": "name"}, batch_size=7)
+    assert day.count() == 40
+    with open(log) as fh:
+        calls = fh.read().split()
+    assert sorted(calls) == sorted(set(calls)) and len(calls) == 40
+
+
+def test_artist_refresh_updates_the_dimension_readers_use(spark, scratch_dir):
+    from cadenza.plans.catalogue import artist_refresh
+    from cadenza.plans.responders import ARTISTS_BATCH_SCHEMA, artists_batch_lookup
+
+    dim = os.path.join(scratch_dir, "dim")
+    ids = spark.createDataFrame([(1,), (2,)], "o_orderkey long")
+    artist_refresh(ids, "o_orderkey", artists_batch_lookup, ARTISTS_BATCH_SCHEMA, dim,
+                   os.path.join(scratch_dir, "fact"), as_of="2024-01-31")
+    assert rows(spark.read.parquet(dim), "spotify_artist_id", "spotify_artist_popularity") == [
+        ("sp1", 1), ("sp2", 2)]
+    assert sorted(n for n in os.listdir(scratch_dir) if not n.startswith(".")) == ["dim", "fact"]
+    assert not [n for n in os.listdir(scratch_dir) if n.startswith(".")]

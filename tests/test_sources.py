@@ -106,3 +106,74 @@ def test_append_files_per_day(spark, scratch_dir):
         files = glob.glob(os.path.join(path, f"ingestion_date={day}", "*.parquet"))
         assert 1 <= len(files) <= 3
     assert spark.read.parquet(path).count() == 3000
+
+
+def test_failing_write_leaves_the_old_table(spark, scratch_dir):
+    import pytest
+
+    path = os.path.join(scratch_dir, "t")
+    K.write_full_refresh(spark.createDataFrame([(1,), (2,)], "x int"), path)
+    broken = spark.range(4).select(F.when(F.col("id") < 3, F.col("id")).otherwise(
+        F.raise_error(F.lit("broken"))).cast("int").alias("x"))
+    with pytest.raises(Exception, match="broken"):
+        K.write_full_refresh(broken, path)
+    nulls = spark.createDataFrame([(None,), (5,)], "x int")
+    with pytest.raises(ValueError):
+        K.write_full_refresh(nulls, path, required=["x"])
+    assert rows(spark.read.parquet(path)) == [(1,), (2,)]
+    assert os.listdir(scratch_dir) == ["t"]                    # no staging folder stays
+    # A table can be rewritten from itself.
+    old = spark.read.parquet(path)
+    K.write_full_refresh(old.select((F.col("x") + 10).alias("x")), path)
+    assert rows(spark.read.parquet(path)) == [(11,), (12,)]
+
+
+def test_input_is_evaluated_once(spark, scratch_dir):
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for b in batches:
+            seen.add(b.num_rows)
+            yield b
+
+    df = spark.range(0, 50).mapInArrow(count, "id long")
+    K.write_full_refresh(df, os.path.join(scratch_dir, "t"))
+    assert seen.value == 50
+    K.append_day_partition(df.withColumn("ingestion_date", F.lit("2024-01-01").cast("date")),
+                           os.path.join(scratch_dir, "d"))
+    assert seen.value == 100
+
+
+def test_append_of_nothing_writes_nothing(spark, scratch_dir):
+    path = os.path.join(scratch_dir, "snap")
+    none = spark.createDataFrame([], "id string, ingestion_date date")
+    assert not K.append_day_partition(none, path) and not os.path.exists(path)
+
+
+def test_expired_days_are_deleted(spark, scratch_dir):
+    path = os.path.join(scratch_dir, "snap")
+    days = spark.createDataFrame([("a", dt.date(2024, 1, d)) for d in (1, 2, 8, 9)],
+                                 "id string, ingestion_date date")
+    K.append_day_partition(days, path)
+    assert K.expire_partitions(spark, path, days=7) == ["2024-01-01", "2024-01-02"]
+    assert spark.read.parquet(path).count() == 2
+    assert K.expire_partitions(spark, path, days=7) == []
+    assert K.expire_partitions(spark, path, days=1, as_of="2024-01-09") == ["2024-01-08"]
+    assert K.expire_partitions(spark, os.path.join(scratch_dir, "none")) == []
+
+
+def test_declared_schema_is_enforced(spark, scratch_dir):
+    import pytest
+
+    from cadenza.schemas import REQUIRED, SPOTIFY_FACT
+
+    path = os.path.join(scratch_dir, "fact")
+    facts = spark.createDataFrame([("x", 7, 5, dt.date(2024, 1, 1), "more")],
+                                  "extra string, spotify_artist_id int, spotify_artist_popularity int, date date, "
+                                  "spotify_artist_total_followers string").withColumn(
+        "spotify_artist_total_followers", F.lit("12"))
+    K.append_day_partition(facts, path, date_col="date", schema=SPOTIFY_FACT,
+                           required=REQUIRED["spotify_artists_fact"])
+    assert rows(spark.read.parquet(path).drop("date")) == [("7", 5, 12)]
+    with pytest.raises(ValueError, match="missing"):
+        K.write_full_refresh(facts.drop("spotify_artist_id"), path, schema=SPOTIFY_FACT)

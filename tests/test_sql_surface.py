@@ -18,12 +18,16 @@ def test_run_sql_and_errors(spark):
 
 
 def test_coerce_dates(spark):
-    df = spark.createDataFrame([(1704067200000, "2024-01-02", 3), (None, "garbage", 1)],
-                               "release_date long, day_label string, n int")
+    df = spark.createDataFrame([(1704067200000, "2024-01-02", 12), (None, "garbage", 1)],
+                               "release_date long, day_label string, days_on_chart int")
     out = coerce_dates(df).collect()
-    assert out[0]["release_date"] == dt.datetime(2024, 1, 1)
-    assert out[0]["day_label"] == dt.datetime(2024, 1, 2)
-    assert out[1]["release_date"] is None and out[1]["day_label"] is None
+    # Only the first date column is one; a count of days stays a count.
+    assert out[0]["release_date"] == dt.datetime(2024, 1, 1) and out[1]["release_date"] is None
+    assert [(r["day_label"], r["days_on_chart"]) for r in out] == [("2024-01-02", 12), ("garbage", 1)]
+    text = spark.createDataFrame([("2024-01-02", 3), ("garbage", 1)], "day string, days_on_chart int")
+    assert [r["day"] for r in coerce_dates(text).collect()] == [dt.datetime(2024, 1, 2), None]
+    # Nothing numeric to show against a date: left alone.
+    assert coerce_dates(text.select("day")).collect()[1]["day"] == "garbage"
     series = display_series(spark.createDataFrame([(2, 1), (1, 2)], "day long, n int"))
     assert [r["n"] for r in series.collect()] == [2, 1]
 
