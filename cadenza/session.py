@@ -102,10 +102,26 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or configured
 
 
+_WORK: list[str] = []
+
+
 def work_path(spark: SparkSession, name: str) -> str:
-    """A fresh folder for a landed table, next to the checkpoint data."""
+    """A fresh folder for a landed table, next to the checkpoint data. It stays until
+    :func:`clean_work`, as lazy results may still read it."""
     base = ensure_checkpoint_dir(spark)
-    return os.path.join(base, "tables", f"{name}-{uuid.uuid4().hex[:12]}")
+    _WORK.append(os.path.join(base, "tables", f"{name}-{uuid.uuid4().hex[:12]}"))
+    return _WORK[-1]
+
+
+def clean_work(spark: SparkSession) -> int:
+    """Delete the landed tables of this application: call it when a run's results have been
+    written. Returns how many folders were dropped."""
+    from cadenza.sources import storage
+
+    paths, _WORK[:] = list(_WORK), []
+    for path in paths:
+        storage.delete(spark, path)
+    return len(paths)
 
 
 _SHIPPED: dict[str, str] = {}

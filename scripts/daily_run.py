@@ -21,7 +21,7 @@ from cadenza.plans import catalogue as C  # noqa: E402
 from cadenza.plans import queries as Q  # noqa: E402
 from cadenza.plans import responders as R  # noqa: E402
 from cadenza.plans.sql_surface import preview, register_sql_functions  # noqa: E402
-from cadenza.session import build_session, work_path  # noqa: E402
+from cadenza.session import build_session, clean_work, work_path  # noqa: E402
 
 
 def main():
@@ -55,6 +55,7 @@ def main():
                "WHERE has_genre(spotify_artist_genres, :g)", {"g": "Machinery"}, n=10,
         order_by=["spotify_artist_name"])
     print(err or "\n".join(records))
+    clean_work(spark)
     spark.stop()
 
 

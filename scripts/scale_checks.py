@@ -19,7 +19,7 @@ from pyspark.sql import Window  # noqa: E402
 from pyspark.sql import functions as F  # noqa: E402
 
 from cadenza.operators.aggregates import first_per_key  # noqa: E402
-from cadenza.operators.joins import left_join_salted  # noqa: E402
+from cadenza.operators.joins import left_join_balanced  # noqa: E402
 from cadenza.operators.profile import exact_quantiles  # noqa: E402
 from cadenza.session import build_session  # noqa: E402
 
@@ -54,10 +54,10 @@ def main():
                                   .alias("k"), (F.col("id") * 7).alias("v"))
     left = spark.range(100_000).select(F.col("id").alias("k"), (F.col("id") % 13).alias("w"))
     plain = left.join(right, "k", "left")
-    salted = left_join_salted(left, right, "k", hot_rows=n // 30, buckets=32)
-    assert same(plain, salted)
-    print("left join, hot right key:  plain", best_of(run(plain)), "s  salted",
-          best_of(run(salted)), "s")
+    balanced = left_join_balanced(left, right, "k")
+    assert same(plain, balanced)
+    print("left join, hot right key:  plain", best_of(run(plain)), "s  inner + anti",
+          best_of(run(balanced)), "s")
 
     groups = spark.range(2 * n).select(
         F.when(hot, F.lit(0)).otherwise(F.col("id") % 200_000).alias("k"),

@@ -26,7 +26,6 @@ def test_scalar_functions(spark):
     assert out[0]["ids"] == "a,b" and out[1]["ids"] is None
     assert out[0]["m"] == "FR,US" and out[1]["m"] == ""
     assert out[1]["me"] == []
-    assert out[0]["d"] == 4.0 and out[1]["d"] == 0.0
     assert out[0]["ok"] is True and out[1]["ok"] is False
     assert out[0]["present"] is True
     assert out[0]["ts"] == dt.datetime(2023, 11, 14, 22, 13, 20) and out[1]["ts"] is None

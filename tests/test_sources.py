@@ -177,3 +177,12 @@ def test_declared_schema_is_enforced(spark, scratch_dir):
     assert rows(spark.read.parquet(path).drop("date")) == [("7", 5, 12)]
     with pytest.raises(ValueError, match="missing"):
         K.write_full_refresh(facts.drop("spotify_artist_id"), path, schema=SPOTIFY_FACT)
+
+
+def test_landed_tables_go_when_the_run_ends(spark):
+    from cadenza.session import clean_work
+
+    landed = K.land_table(spark.range(3), "landed")
+    path = landed.inputFiles()[0].replace("file://", "")
+    assert landed.count() == 3 and os.path.exists(path)
+    assert clean_work(spark) >= 1 and not os.path.exists(path)
