@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cadenza.llm import textvec as tv
-from cadenza.llm.tokens import encoder
+from cadenza.llm.tokens import binary_rows, encoder
 from cadenza.session import ship_package
 from cadenza.sources.sinks import land_table
 
@@ -86,18 +86,14 @@ def _encode_task(tokenizer: str, end_id: int, dims: int):
         import pyarrow as pa
 
         enc = encoder(tokenizer)
+        width = 2 if enc.tokenizer.get_vocab_size() <= 1 << 16 else 4
         for batch in batches:
-            column = batch.column("_text")
-            for row, texts in tv.slices(column):
-                flat = [np.append(enc.encode(t or ""), np.uint32(end_id))
-                        for t in column.slice(row, texts.n).to_pylist()]
-                # Ids of these files fit 16 bits; larger ones take 32.
-                small = max(int(x.max()) for x in flat) < 1 << 16
-                ids = [x.astype("<u2" if small else "<u4").tobytes() for x in flat]
+            for row, texts in tv.slices(batch.column("_text")):
+                ids, bounds = enc.encode_with_end(texts, end_id)
                 spot = project(texts, dims)
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column("_id").slice(row, texts.n), pa.array([len(x) for x in flat], pa.int64()),
-                     pa.array(ids, pa.binary())] + [pa.array(spot[:, d]) for d in range(dims)],
+                    [batch.column("_id").slice(row, texts.n), pa.array(np.diff(bounds)),
+                     binary_rows(ids, bounds, width)] + [pa.array(spot[:, d]) for d in range(dims)],
                     names=["_id", "_n", "_ids"] + [f"_p{d}" for d in range(dims)])
     return run
 

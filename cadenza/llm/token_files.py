@@ -31,7 +31,8 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from cadenza.llm.tokens import encoder
+from cadenza.llm import textvec as tv
+from cadenza.llm.tokens import binary_rows, encoder
 from cadenza.session import ship_package, work_path
 
 NULL_ID = -(1 << 63)
@@ -79,19 +80,19 @@ def _write_task(folder: str, tokenizer: str, end_id: int):
         width = 2 if enc.tokenizer.get_vocab_size() <= 1 << 16 else 4
         part = TaskContext.get().partitionId()
         name = f"{folder}/part-{part:06d}-{uuid.uuid4().hex[:12]}"
-        ends, docs, total, out = [0], [], 0, None
+        ends, docs, total, out = [np.zeros(1, np.int64)], [], 0, None
         for batch in batches:
-            for doc, text in zip(batch.column("_id").to_pylist(), batch.column("_text")):
+            docs += [NULL_ID if x is None else x for x in batch.column("_id").to_pylist()]
+            for _, texts in tv.slices(batch.column("_text")):
                 out = out or open_output(name + ".bin")
-                ids = np.append(enc.encode(text.as_py() or ""), np.uint32(end_id))
+                ids, bounds = enc.encode_with_end(texts, end_id)
                 out.write(ids.astype(f"<u{width}").tobytes())
+                ends.append(bounds[1:] + total)
                 total += len(ids)
-                ends.append(total)
-                docs.append(NULL_ID if doc is None else doc)
         if out is None:
             return
         out.close()
-        for ext, values in ((".off", ends), (".doc", docs)):
+        for ext, values in ((".off", np.concatenate(ends)), (".doc", docs)):
             with open_output(name + ext) as f:
                 f.write(np.array(values, dtype="<i8").tobytes())
         yield pa.RecordBatch.from_arrays(
@@ -132,8 +133,7 @@ def _read_task(max_bytes: int = 4 << 20):
                     yield pa.RecordBatch.from_arrays(
                         [pa.array([None if x == NULL_ID else int(x) for x in own], pa.int64()),
                          pa.array(off[at:to] + row["base"]), pa.array(np.diff(off[at:to + 1])),
-                         pa.array([ids[a:b].astype("<u4").tobytes() for a, b in
-                                   zip(off[at:to], off[at + 1:to + 1])], pa.binary())],
+                         binary_rows(ids[off[at]:off[to]], off[at:to + 1] - off[at], 4)],
                         names=["doc_id", "start", "n_tokens", "ids"])
                     at = to
     return run

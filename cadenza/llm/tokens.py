@@ -1,29 +1,55 @@
-"""Token ids of whole texts by a public tokenizer file, with a word cache.
-
-A tokenizer file's pre-tokenizer never lets a token reach from visible text
-into the white space after it. So a text cut in front of single spaces and line
-breaks can be encoded stretch by stretch, with the same ids as in one go; most
-stretches are words seen before. A text where white space follows white space
-(so that the cut is not that plain) is encoded whole. ``tests/llm`` compares
-both ways.
+"""Token ids of whole texts by a public tokenizer file, with a cache of pieces.
+
+The files' pre-tokenizers cut a text into runs of letters, digits or marks; a token
+never crosses a cut, and a run of white space goes on with what follows it. So a text may
+be cut
+
+* before white space that follows something else, and
+* between an ASCII letter or digit and an ASCII mark other than the apostrophe
+  (which may begin a contraction),
+
+and its ids are the ids of the pieces, side by side. Pieces are found and hashed
+(two 64-bit hashes) for a slice of texts at once, and looked up in a hash table of
+pieces seen before; only new pieces go through the tokenizer. Texts with white space
+outside ASCII are encoded whole. ``tests/llm`` compares with the tokenizer.
 """
 
 from __future__ import annotations
 
-import re
 from itertools import chain
 
 import numpy as np
 
-#: A stretch of visible characters that ends in these is cut before them: marks
-#: and letters or digits are never in one token.
-_TAIL = ".,;:!?*$%&#|)"
-_PLAIN = re.compile(r"\s\s|[^\S \n]|\s\Z")
-_CACHE_WORDS = 1_000_000
+from cadenza.llm import textvec as tv
+
+_SPACE = ~tv.NOT_SPACE
+_ALNUM = tv.ALNUM & (tv.ALL < 128)
+_MARK = (tv.ALL > 32) & (tv.ALL < 127) & ~_ALNUM & (tv.ALL != ord("'"))
+_OTHER_WAY = (255 - tv.ALL).astype(np.uint8)      # another byte order for the second hash
+# White space outside ASCII, in UTF-8 (first bytes, last bytes).
+_WIDE = ((b"\xc2", (0x85, 0xA0)), (b"\xe1\x9a", (0x80,)),
+         (b"\xe2\x80", (*range(0x80, 0x8B), 0xA8, 0xA9, 0xAF)), (b"\xe2\x81", (0x9F,)),
+         (b"\xe3\x80", (0x80,)))
+_SLOTS = 1 << 21
+_FULL = 1_000_000
+
+
+def _wide_spaces(texts: tv.Texts) -> np.ndarray:
+    """Texts that hold white space outside ASCII (or ASCII separators 0x1C to 0x1F)."""
+    data = texts.data
+    found = [np.flatnonzero((data >= 0x1C) & (data <= 0x1F))]
+    for lead, last in _WIDE:
+        at = np.flatnonzero(data == lead[0])
+        at = at[at + len(lead) < len(data)]
+        for k in range(1, len(lead)):
+            at = at[data[at + k] == lead[k]]
+        found.append(at[np.isin(data[at + len(lead)], last)])
+    at = np.concatenate(found)
+    return np.unique(np.searchsorted(texts.lo, at, side="right") - 1) if len(at) else at
 
 
 class Encoder:
-    """Encodes texts to arrays of ids. One per Python worker (see :func:`encoder`)."""
+    """Encodes slices of texts. One per Python worker (see :func:`encoder`)."""
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
@@ -33,78 +59,100 @@ class Encoder:
         self._clear()
 
     def _clear(self):
-        self.codes: dict[str, int] = {}
-        self.ids = np.zeros(1 << 16, dtype=np.uint32)   # ids of all cached stretches
-        self.at = np.zeros(1 << 16, dtype=np.int64)     # by code: where its ids begin
-        self.size = np.zeros(1 << 16, dtype=np.int64)   # by code: how many
-        self.used = 0
-
-    def _store(self, words: list[str], ids: np.ndarray, size: np.ndarray):
-        """Give the next codes to ``words``, whose ids lie side by side in ``ids``."""
-        code, n = len(self.codes), len(words)
-        while code + n > len(self.at):
-            self.at = np.concatenate([self.at, np.zeros_like(self.at)])
-            self.size = np.concatenate([self.size, np.zeros_like(self.size)])
-        while self.used + len(ids) > len(self.ids):
-            self.ids = np.concatenate([self.ids, np.zeros_like(self.ids)])
-        self.ids[self.used:self.used + len(ids)] = ids
-        self.at[code:code + n] = self.used + np.cumsum(size) - size
-        self.size[code:code + n] = size
-        self.used += len(ids)
-        self.codes.update(zip(words, range(code, code + n)))
-
-    def _gather(self, codes: np.ndarray) -> np.ndarray:
-        """Ids of the stretches with these codes, one after the other."""
-        size = self.size[codes]
+        self.key = np.zeros((_SLOTS, 2), dtype=np.uint64)    # both hashes of a slot's piece
+        self.code = np.full(_SLOTS, -1, dtype=np.int32)      # number of the piece, -1: free
+        self.ids = np.zeros(1 << 20, dtype=np.uint32)        # ids of all pieces
+        self.at = np.zeros(_FULL + (1 << 20), dtype=np.int64)    # by number: where its ids begin
+        self.size = np.zeros_like(self.at)                   # by number: how many
+        self.pieces = self.used = 0
+
+    def _find(self, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Numbers of pieces (-1: not seen before), and where the search ended."""
+        slot = (a >> np.uint64(43)).astype(np.int64)
+        code = np.full(len(a), -1, dtype=np.int64)
+        open_ = np.arange(len(a))
+        while len(open_):
+            s = slot[open_]
+            here = self.code[s]
+            key = self.key[s]
+            same = (here >= 0) & (key[:, 0] == a[open_]) & (key[:, 1] == b[open_])
+            code[open_[same]] = here[same]
+            open_ = open_[~same & (here >= 0)]
+            slot[open_] = (slot[open_] + 1) & (_SLOTS - 1)
+        return code, slot
+
+    def _add(self, a: np.ndarray, b: np.ndarray, words: list[str]) -> None:
+        """Encode new, distinct pieces and enter them."""
+        for at in range(0, len(words), 8192):
+            ids = [e.ids for e in self.tokenizer.encode_batch_fast(
+                words[at:at + 8192], add_special_tokens=False)]
+            size = np.fromiter(map(len, ids), dtype=np.int64, count=len(ids))
+            n, total = len(ids), int(size.sum())
+            while self.used + total > len(self.ids):
+                self.ids = np.concatenate([self.ids, np.zeros_like(self.ids)])
+            self.ids[self.used:self.used + total] = np.fromiter(
+                chain.from_iterable(ids), dtype=np.uint32, count=total)
+            if self.pieces + n > len(self.at):
+                self.at = np.concatenate([self.at, np.zeros_like(self.at)])
+                self.size = np.concatenate([self.size, np.zeros_like(self.size)])
+            self.at[self.pieces:self.pieces + n] = self.used + np.cumsum(size) - size
+            self.size[self.pieces:self.pieces + n] = size
+            left, code = np.arange(at, at + n), np.arange(self.pieces, self.pieces + n)
+            self.used, self.pieces = self.used + total, self.pieces + n
+            while len(left):
+                # Of pieces that want one free slot, the first gets it.
+                _, slot = self._find(a[left], b[left])
+                slot, first = np.unique(slot, return_index=True)
+                self.key[slot, 0], self.key[slot, 1] = a[left[first]], b[left[first]]
+                self.code[slot] = code[first]
+                rest = np.ones(len(left), dtype=bool)
+                rest[first] = False
+                left, code = left[rest], code[rest]
+
+    def _gather(self, code: np.ndarray) -> np.ndarray:
+        size = self.size[code]
         ends = np.cumsum(size)
-        where = np.arange(ends[-1] if len(ends) else 0) + np.repeat(self.at[codes] - ends + size, size)
+        where = np.arange(ends[-1] if len(ends) else 0) + np.repeat(self.at[code] - ends + size, size)
         return self.ids[where]
 
-    def _learn(self, words: list[str]):
-        """Encode stretches not seen before: their cores and tails first."""
-        cut, plain = {}, {}
-        for w in words:
-            if w in cut or w in plain:
-                continue
-            core = w.rstrip(_TAIL)
-            if core and core != w and core[-1].isalnum():
-                cut[w] = (core, w[len(core):])
-            else:
-                plain[w] = None
-        for parts in cut.values():
-            for part in parts:
-                if part not in self.codes:
-                    plain[part] = None
-        plain = list(plain)
-        for at in range(0, len(plain), 4096):
-            some = plain[at:at + 4096]
-            ids = [e.ids for e in self.tokenizer.encode_batch_fast(some, add_special_tokens=False)]
-            size = np.fromiter(map(len, ids), dtype=np.int64, count=len(ids))
-            self._store(some, np.fromiter(chain.from_iterable(ids), dtype=np.uint32,
-                                          count=int(size.sum())), size)
-        if cut:
-            get = self.codes.__getitem__
-            pairs = np.array([(get(a), get(b)) for a, b in cut.values()])
-            self._store(list(cut), self._gather(pairs.reshape(-1)), self.size[pairs].sum(1))
-
-    def encode(self, text: str) -> np.ndarray:
-        """Ids of a whole text (uint32)."""
-        if not text:
-            return np.zeros(0, dtype=np.uint32)
-        if _PLAIN.search(text):
-            return np.array(self.tokenizer.encode_batch_fast(
-                [text], add_special_tokens=False)[0].ids, dtype=np.uint32)
-        if len(self.codes) > _CACHE_WORDS:
+    def encode(self, texts: tv.Texts) -> tuple[np.ndarray, np.ndarray]:
+        """``(ids, bounds)``: text i has ``ids[bounds[i]:bounds[i + 1]]`` (uint32)."""
+        data, n = texts.data, texts.n
+        space, alnum, mark = _SPACE[data], _ALNUM[data], _MARK[data]
+        cut = np.zeros(len(data), dtype=bool)
+        cut[1:] = (space[1:] & ~space[:-1]) | (alnum[:-1] & mark[1:]) | (mark[:-1] & alnum[1:])
+        full = texts.hi > texts.lo
+        cut[texts.lo[full]] = True
+        whole = _wide_spaces(texts)
+        for d in whole:
+            cut[texts.lo[d] + 1:texts.hi[d]] = False
+        start = np.flatnonzero(cut)
+        end = np.append(start[1:], len(data))
+        a, b = texts.range_hash(start, end), texts.range_hash(start, end, _OTHER_WAY)
+        if self.pieces > _FULL:
             self._clear()
-        # " word" and "\nword" for all but the first stretch.
-        words = text.replace(" ", "\x00 ").replace("\n", "\x00\n").split("\x00") \
-            if "\x00" not in text else [text]
-        get = self.codes.get
-        codes = [get(w, -1) for w in words]
-        if -1 in codes:
-            self._learn([w for w, c in zip(words, codes) if c < 0])
-            codes = [self.codes[w] for w in words]
-        return self._gather(np.array(codes))
+        code, _ = self._find(a, b)
+        new = np.flatnonzero(code < 0)
+        if len(new):
+            _, first = np.unique(a[new], return_index=True)
+            some = new[first]
+            raw = data.tobytes()
+            self._add(a[some], b[some], [raw[x:y].decode() for x, y in zip(start[some], end[some])])
+            code[new], _ = self._find(a[new], b[new])
+            for k in np.flatnonzero(code < 0):       # equal in one hash only
+                if code[k] < 0:
+                    self._add(a[k:k + 1], b[k:k + 1], [raw[start[k]:end[k]].decode()])
+                    code[k] = self._find(a[k:k + 1], b[k:k + 1])[0][0]
+        before = np.concatenate([[0], np.cumsum(self.size[code])])
+        return self._gather(code), before[np.searchsorted(start, np.append(texts.lo, len(data)))]
+
+    def encode_with_end(self, texts: tv.Texts, end_id: int) -> tuple[np.ndarray, np.ndarray]:
+        """The same, with ``end_id`` after each text."""
+        ids, bounds = self.encode(texts)
+        out = np.full(len(ids) + texts.n, end_id, dtype=np.uint32)
+        own = np.repeat(np.arange(texts.n), np.diff(bounds))
+        out[np.arange(len(ids)) + own] = ids
+        return out, bounds + np.arange(texts.n + 1)
 
 
 _encoders: dict[str, Encoder] = {}
@@ -123,3 +171,13 @@ def encoder(name: str) -> Encoder:
             path = public_tokenizers.path(name)
         _encoders[name] = Encoder(path)
     return _encoders[name]
+
+
+def binary_rows(ids: np.ndarray, bounds: np.ndarray, width: int):
+    """Arrow binary column: row i holds ids ``bounds[i]`` to ``bounds[i + 1]``,
+    unsigned little-endian of ``width`` bytes."""
+    import pyarrow as pa
+
+    data = ids.astype(f"<u{width}")
+    return pa.Array.from_buffers(pa.large_binary(), len(bounds) - 1, [
+        None, pa.py_buffer((bounds * width).astype(np.int64)), pa.py_buffer(data)]).cast(pa.binary())
