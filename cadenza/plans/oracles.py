@@ -575,3 +575,17 @@ ORACLE_SQL["catalog_view"] = """
            'https://www.example.com/artist/' || CAST(s_suppkey AS VARCHAR) AS deezer_artist_url
     FROM customer LEFT JOIN supplier ON c_name = replace(s_name, 'Supplier', 'Customer')
 """
+
+ORACLE_SQL["unique_rows"] = "SELECT DISTINCT p_brand, p_type FROM part"
+
+ORACLE_SQL["head_rows"] = """
+    SELECT p_partkey, p_name FROM part WHERE lower(p_type) = 'standard' ORDER BY p_name, p_partkey LIMIT 20
+"""
+
+ORACLE_SQL["flatten_nested"] = "SELECT DISTINCT l_orderkey, l_linenumber AS line FROM lineitem"
+
+ORACLE_SQL["selection_counts"] = """
+    SELECT 'small' AS selection, count(*) AS n_rows, count(*) = 0 AS is_empty FROM part WHERE p_size <= 5
+    UNION ALL SELECT 'any', count(*), count(*) = 0 FROM part
+    UNION ALL SELECT 'none', count(*), count(*) = 0 FROM part WHERE p_size < 0
+"""

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cadenza.functions.scalars import (array_or_empty, iso_date, join_field, join_strings,
-                                       tag, to_text, valid_length_id, with_default)
+                                       lower_eq, tag, to_text, valid_length_id, with_default)
 from cadenza.operators import aggregates as A
 from cadenza.operators import enrich as E
 from cadenza.operators import features as FT
@@ -26,7 +26,7 @@ from cadenza.operators import profile as PR
 from cadenza.operators import quality as Q
 from cadenza.operators.graph import triple_pattern
 from cadenza.operators.numbering import assign_batches
-from cadenza.operators.setops import union_by_name
+from cadenza.operators.setops import flatten_nested, union_by_name
 from cadenza.operators.similarity import nearest
 from cadenza.plans import browse as BR
 from cadenza.plans import catalogue as C
@@ -744,6 +744,37 @@ def q_catalog_view(spark, sf_dir):
     return spark.newSession().table(f"artists_union_{tag_}")
 
 
+def q_unique_rows(spark, sf_dir):
+    """Unique rows of a selection."""
+    return A.unique_rows(_t(spark, sf_dir, "part", "p_brand", "p_type"))
+
+
+def q_head_rows(spark, sf_dir):
+    """O3 / O6 + F2: the first rows of a case-insensitive selection, in an explicit order."""
+    part = _t(spark, sf_dir, "part", "p_partkey", "p_name", "p_type")
+    return O.head(part.filter(lower_eq("p_type", "StanDard")).select("p_partkey", "p_name"), 20,
+                  ["p_name", "p_partkey"])
+
+
+def q_flatten_nested(spark, sf_dir):
+    """One row per inner element of each order's list of lists of line numbers."""
+    li = _t(spark, sf_dir, "lineitem", "l_orderkey", "l_linenumber")
+    # An order has a handful of lines, so its list is short.
+    lists = li.groupBy("l_orderkey").agg(F.collect_set(F.array("l_linenumber")).alias("lines"))
+    return flatten_nested(lists, "lines", "line").select("l_orderkey", "line")
+
+
+def q_selection_counts(spark, sf_dir):
+    """A12 + A14: rows of several selections, and whether each is empty."""
+    part = _t(spark, sf_dir, "part", "p_size")
+    parts = []
+    for name, test in (("small", F.col("p_size") <= 5), ("any", F.lit(True)), ("none", F.col("p_size") < 0)):
+        chosen = part.filter(test)
+        parts.append(A.row_count(chosen).select(F.lit(name).alias("selection"), "n_rows",
+                                                F.lit(A.is_empty(chosen)).alias("is_empty")))
+    return union_by_name(*parts)
+
+
 QUERIES = {
     "artists_union": q_artists_union,
     "scan_project": q_scan_project,
@@ -808,4 +839,8 @@ QUERIES = {
     "day_snapshot": q_day_snapshot,
     "declared_load": q_declared_load,
     "catalog_view": q_catalog_view,
+    "unique_rows": q_unique_rows,
+    "head_rows": q_head_rows,
+    "flatten_nested": q_flatten_nested,
+    "selection_counts": q_selection_counts,
 }
