@@ -236,106 +236,130 @@ def _verified(rows: DataFrame, texts: DataFrame, shingle: int, pct: int) -> Data
     return ready.mapInArrow(_match_task(shingle, pct), f"_q {kind}, _t {kind}").distinct()
 
 
-def near_duplicate_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                           shingle: int = 5, pct: int = 80, bands: int = 40, rows: int = 5,
-                           margin: float = 0.2):
-    """``(members, links)``: per document ``_id, _th, _n, _cid`` (its class), and
-    the verified links ``_q, _t`` between classes."""
-    m = bands * rows
-    sk = land_table(sketch(docs, id_col, text_col, shingle, m), "sketches")
-    own = sk.filter(F.col("_n") > 0).filter(F.col("_id").isNotNull())
-    cls = own.groupBy("_n", "_f1", "_f2").agg(F.min(F.struct("_id", "_th")).alias("_rep")).select(
-        "_n", "_f1", "_f2", "_rep._id", "_rep._th")
-    reps = land_table(own.join(cls.select("_id", "_th"), ["_id", "_th"], "left_semi")
-                      .select("_id", "_th", "_n", "_regs"), "representatives")
-    kind = sk.schema["_id"].dataType.simpleString()
-
+def candidate_pairs(reps: DataFrame, bands: int, rows: int) -> DataFrame:
+    """``_lead, _id, _na, _nb``: every class that shares a bucket with a smaller one,
+    paired with the bucket's smallest class, with both sizes."""
+    kind = reps.schema["_id"].dataType.simpleString()
     banded = reps.mapInArrow(_band_task(bands, rows), f"_key long, _id {kind}, _n long")
+    # Leaders are pre-aggregated per task; the join may split a bucket with many classes.
     leaders = (banded.groupBy("_key").agg(F.min(F.struct("_id", "_n")).alias("_l"),
                                           F.max("_id").alias("_most"))
                .filter(F.col("_l._id") < F.col("_most"))
                .select("_key", F.col("_l._id").alias("_lead"), F.col("_l._n").alias("_na")))
-    pairs = land_table(banded.join(leaders, "_key").filter(F.col("_id") != F.col("_lead"))
-                       .groupBy("_lead", "_id").agg(F.max("_na").alias("_na"),
-                                                    F.max("_n").alias("_nb")), "pairs")
-    sized = pairs.filter(100 * F.least("_na", "_nb") >= pct * F.greatest("_na", "_nb"))
+    return (banded.join(leaders, "_key").filter(F.col("_id") != F.col("_lead"))
+            .groupBy("_lead", "_id").agg(F.max("_na").alias("_na"), F.max("_n").alias("_nb")))
+
+
+def likely_pairs(pairs: DataFrame, reps: DataFrame, pct: int, margin: float) -> DataFrame:
+    """Pairs whose sizes can reach the threshold and whose joint estimate is not
+    ``margin`` or more below it."""
+    kind = reps.schema["_id"].dataType.simpleString()
     regs = reps.select("_id", "_regs")
-    likely = land_table(
-        sized.join(regs.withColumnRenamed("_regs", "_rb"), "_id")
-        .join(regs.select(F.col("_id").alias("_lead"), F.col("_regs").alias("_ra")), "_lead")
-        .mapInArrow(_estimate_task(pct / 100 - margin), f"_lead {kind}, _id {kind}, _na long, _nb long")
-        .distinct(), "likely")
+    return (pairs.filter(100 * F.least("_na", "_nb") >= pct * F.greatest("_na", "_nb"))
+            .join(regs.withColumnRenamed("_regs", "_rb"), "_id")
+            .join(regs.select(F.col("_id").alias("_lead"), F.col("_regs").alias("_ra")), "_lead")
+            .mapInArrow(_estimate_task(pct / 100 - margin),
+                        f"_lead {kind}, _id {kind}, _na long, _nb long").distinct())
 
-    # Texts of the classes that met another class.
-    met = pairs.select("_id").unionByName(pairs.select(F.col("_lead").alias("_id"))).distinct()
-    keyed = reps.select("_id", "_th").join(met, "_id", "left_semi").distinct()
-    texts = land_table(
-        docs.select(F.col(id_col).alias("_id"), F.xxhash64(text_col).alias("_th"),
-                    F.col(text_col).alias("_text")).join(keyed, ["_id", "_th"], "left_semi")
-        .select("_id", "_text"), "texts")
 
-    # Leaders against their pairs; a leader with many is dealt to several blocks.
+def _leader_blocks(likely: DataFrame) -> DataFrame:
+    """Leaders as queries against their pairs; one with many is dealt to several blocks."""
     load = likely.groupBy("_lead").agg(F.ceil(F.greatest(
         F.count(F.lit(1)) / BLOCK_TEXTS, F.sum("_nb") / BLOCK_SHINGLES)).alias("_parts"))
     dealt = likely.join(load, "_lead").select(
         "_lead", "_id", F.pmod(F.xxhash64("_id"), F.col("_parts")).alias("_salt"))
     blk = F.xxhash64("_lead", "_salt").alias("_blk")
-    who = dealt.select(blk, F.lit(1).alias("_role"), "_id").unionByName(
+    return dealt.select(blk, F.lit(1).alias("_role"), "_id").unionByName(
         dealt.select("_lead", "_salt").distinct().select(
             blk, F.lit(0).alias("_role"), F.col("_lead").alias("_id")))
-    links = land_table(_verified(who, texts, shingle, pct), "links")
 
-    # Classes that met, but are not yet in one component.
-    group = components(pairs, "_lead", "_id").select(F.col("node").alias("_id"),
-                                                     F.col("component").alias("_group"))
-    comp = components(links, "_q", "_t").select(F.col("node").alias("_id"), "component")
-    nodes = (reps.groupBy("_id").agg(F.max("_n").alias("_n")).join(group, "_id")
-             .join(comp, "_id", "left")
-             .withColumn("_comp", F.coalesce("component", "_id"))
-             .withColumn("_level", F.floor(F.log(F.col("_n").cast("double")) / np.log(1.1)))
-             .select("_id", "_n", "_group", "_comp", "_level"))
-    nodes = land_table(nodes, "nodes")
+
+def _open_blocks(nodes: DataFrame, pct: int) -> DataFrame:
+    """What leaders could not show: in groups that still have several components
+    (``nodes``: ``_id, _n, _group, _comp``), every class outside the largest one as
+    a query against all classes of its group that its size allows."""
+    nodes = nodes.withColumn("_level", F.floor(F.log(F.col("_n").cast("double")) / np.log(1.1)))
     main = (nodes.groupBy("_group", "_comp").agg(F.count(F.lit(1)).alias("_c"))
             .groupBy("_group").agg(F.max(F.struct("_c", "_comp")).alias("_big"),
                                    F.count(F.lit(1)).alias("_comps"))
             .filter(F.col("_comps") > 1).select("_group", F.col("_big._comp").alias("_main")))
     split = nodes.join(main, "_group")
     queries = split.filter(F.col("_comp") != F.col("_main"))
-    # Blocks of queries of like size: by group, size level and salt.
+    # Blocks hold queries of like size: by group, size level and salt. Targets are dealt
+    # out as well, so each block reads about BLOCK_TEXTS of them.
+    deals = split.groupBy("_group").agg(F.ceil(F.count(F.lit(1)) / BLOCK_TEXTS).alias("_deals"))
     load = queries.groupBy("_group", "_level").agg(
-        F.ceil(F.sum("_n") / BLOCK_SHINGLES).alias("_parts"))
+        F.ceil(F.sum("_n") / BLOCK_SHINGLES).alias("_parts")).join(deals, "_group")
     reach = int(np.ceil(np.log(100 / pct) / np.log(1.1))) + 1
-    blk = F.xxhash64("_group", "_level", "_salt").alias("_blk")
-    asked = queries.join(load, ["_group", "_level"]).withColumn(
-        "_salt", F.pmod(F.xxhash64("_id"), F.col("_parts"))).select(
-        blk, F.lit(0).alias("_role"), "_id")
+    up_to = lambda c: F.explode(F.sequence(F.lit(0).cast("long"), F.col(c) - 1))
+    blk = F.xxhash64("_group", "_level", "_salt", "_deal").alias("_blk")
+    asked = (queries.join(load, ["_group", "_level"])
+             .withColumn("_salt", F.pmod(F.xxhash64("_id"), F.col("_parts")))
+             .withColumn("_deal", up_to("_deals")).select(blk, F.lit(0).alias("_role"), "_id"))
     targets = (split.select("_id", "_group", F.explode(F.sequence(
         F.col("_level") - reach, F.col("_level") + reach)).alias("_level"))
         .join(load, ["_group", "_level"])
-        .select("_id", "_group", "_level", F.explode(F.sequence(
-            F.lit(0).cast("long"), F.col("_parts") - 1)).alias("_salt"))
+        .withColumn("_salt", up_to("_parts"))
+        .withColumn("_deal", F.pmod(F.xxhash64("_id"), F.col("_deals")))
         .select(blk, F.lit(1).alias("_role"), "_id"))
-    more = land_table(_verified(asked.unionByName(targets), texts, shingle, pct), "more_links")
+    return asked.unionByName(targets)
+
+
+def near_duplicate_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+                           shingle: int = 5, pct: int = 80, bands: int = 40, rows: int = 5,
+                           margin: float = 0.2):
+    """``(members, links, comp)``: per document ``_id, _th, _n, _cid`` (its class),
+    the verified links ``_q, _t`` between classes, and the component of each
+    linked class, as ``_cid, _comp``."""
+    sk = land_table(sketch(docs, id_col, text_col, shingle, bands * rows), "sketches")
+    own = sk.filter(F.col("_n") > 0).filter(F.col("_id").isNotNull())
+    cls = own.groupBy("_n", "_f1", "_f2").agg(F.min(F.struct("_id", "_th")).alias("_rep")).select(
+        "_n", "_f1", "_f2", "_rep._id", "_rep._th")
+    reps = land_table(own.join(cls.select("_id", "_th"), ["_id", "_th"], "left_semi")
+                      .select("_id", "_th", "_n", "_regs"), "representatives")
+    pairs = land_table(candidate_pairs(reps, bands, rows), "pairs")
+    # Texts of the classes that met another class.
+    met = pairs.select("_id").unionByName(pairs.select(F.col("_lead").alias("_id"))).distinct()
+    keyed = reps.select("_id", "_th").join(met, "_id", "left_semi").distinct()
+    texts = land_table(
+        docs.select(F.col(id_col).alias("_id"), F.xxhash64(text_col).alias("_th"),
+                    F.col(text_col).alias("_text")).join(keyed, ["_id", "_th"], "left_semi")
+        .select("_id", "_text"), "texts")
+
+    likely = land_table(likely_pairs(pairs, reps, pct, margin), "likely")
+    links = land_table(_verified(_leader_blocks(likely), texts, shingle, pct), "links")
+    comp = components(links, "_q", "_t").select(F.col("node").alias("_id"), "component")
+    group = components(pairs, "_lead", "_id").select(F.col("node").alias("_id"),
+                                                     F.col("component").alias("_group"))
+    nodes = land_table(reps.groupBy("_id").agg(F.max("_n").alias("_n")).join(group, "_id")
+                       .join(comp, "_id", "left").select(
+                           "_id", "_n", "_group", F.coalesce("component", "_id").alias("_comp")), "nodes")
+    more = land_table(_verified(_open_blocks(nodes, pct), texts, shingle, pct), "more_links")
 
     members = sk.join(cls.select("_n", "_f1", "_f2", F.col("_id").alias("_cid")),
                       ["_n", "_f1", "_f2"], "left").select("_id", "_th", "_n", "_cid")
     # An id with several texts belongs to several classes: one document still.
-    twice = (members.filter(F.col("_cid").isNotNull() & F.col("_id").isNotNull()).groupBy("_id")
-             .agg(F.min("_cid").alias("_lo"), F.max("_cid").alias("_hi"), F.min("_th").alias("_t1"),
-                  F.max("_th").alias("_t2")).filter("_t1 <> _t2").select("_id"))
-    same = members.filter(F.col("_cid").isNotNull()).join(twice, "_id", "left_semi").select(
-        F.col("_id").alias("_q"), F.col("_cid").alias("_t"))
-    return members, links.unionByName(more).unionByName(same).distinct()
+    known = members.filter(F.col("_cid").isNotNull() & F.col("_id").isNotNull())
+    twice = (known.groupBy("_id").agg(F.min("_th").alias("_t1"), F.max("_th").alias("_t2"))
+             .filter("_t1 <> _t2").select("_id"))
+    same = known.join(twice, "_id", "left_semi").select(F.col("_id").alias("_q"), F.col("_cid").alias("_t"))
+    # Later links join components that are known already: a small graph.
+    late = more.unionByName(same)
+    side = lambda c: comp.select(F.col("_id").alias(c), F.col("component").alias(c + "c"))
+    late_ends = (late.join(side("_q"), "_q", "left").join(side("_t"), "_t", "left")
+                 .select(F.coalesce("_qc", "_q").alias("_q"), F.coalesce("_tc", "_t").alias("_t")))
+    joined = components(late_ends, "_q", "_t").select("node", F.col("component").alias("_to"))
+    comp = (comp.join(joined, F.col("component") == F.col("node"), "full")
+            .select(F.coalesce("_id", "node").alias("_cid"), F.coalesce("_to", "component").alias("_comp")))
+    return members, links.unionByName(late).distinct(), comp
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                     shingle: int = 5, pct: int = 80, **options) -> DataFrame:
     """One row per document: id, ``n_shingles``, ``component_id`` (smallest id
     reachable over links and copies, the document's own included), ``kept``."""
-    members, links = near_duplicate_classes(docs, id_col, text_col, shingle, pct, **options)
-    comp = components(links, "_q", "_t").select(F.col("node").alias("_cid"),
-                                                F.col("component").alias("_comp"))
-    found = F.coalesce("_comp", "_cid", "_id")
+    members, _, comp = near_duplicate_classes(docs, id_col, text_col, shingle, pct, **options)
+    found = F.when(F.col("_id").isNotNull(), F.coalesce("_comp", "_cid", "_id"))
     return members.join(comp, "_cid", "left").select(
         F.col("_id").alias(id_col), F.col("_n").alias("n_shingles"), found.alias("component_id"),
         found.eqNullSafe(F.col("_id")).alias("kept"))
