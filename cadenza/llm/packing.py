@@ -3,10 +3,13 @@
 1. Every document is encoded (whole text, then the end id) and gets a hashed
    word vector: words hashed to buckets, weight 1 + log(count), unit length.
    A fixed random projection takes it to a few dimensions.
+   Long documents are cut into stretches of at most ``STRETCH`` ids, each a row of its
+   own, so rows are of like size whatever the documents are.
 2. Coordinates are centred and scaled by the corpus mean and deviation (one
    aggregate), cut to a grid, and turned into the cell's place on a Hilbert
    curve. Range partitioning and sorting by (key, id) lays documents out along the
-   curve; ties on the key are split by id, so copies never share one task.
+   curve; ties on the key are split by id and place, so neither copies nor one huge
+   document share one task.
 3. Each range partition packs its documents one after the other into sequences of
    ``max_tokens``; a document goes on in the next sequence where it is cut.
    What is left at the end of a partition goes into sequences whose lengths
@@ -18,7 +21,7 @@ retries do not encode again. ``sequence_id`` is the partition number shifted by
 33 bits plus the number within the partition.
 
 Defined cases: null text is empty and holds only the end id; documents without
-words lie at the origin; equal ids are ordered by their token ids; a null
+words lie at the origin; rows that repeat an id are each packed, ordered by a hash of the text; a null
 id sorts first. Columns other than id and text are not read.
 """
 
@@ -34,6 +37,7 @@ from cadenza.session import ship_package
 from cadenza.sources.sinks import land_table
 
 BUCKETS = 1 << 14
+STRETCH = 1 << 12
 
 
 def project(texts: tv.Texts, dims: int) -> np.ndarray:
@@ -91,13 +95,24 @@ def _encode_task(tokenizer: str, end_id: int, dims: int):
             for row, texts in tv.slices(batch.column("_text")):
                 ids, bounds = enc.encode_with_end(texts, end_id)
                 spot = project(texts, dims)
+                size = np.diff(bounds)
+                # Row numbers and places of all stretches.
+                cuts = -(-size // STRETCH)
+                own = np.repeat(np.arange(texts.n), cuts)
+                start = (np.arange(len(own)) - np.repeat(np.cumsum(cuts) - cuts, cuts)) * STRETCH
+                edges = np.append(bounds[:-1][own] + start, len(ids))
+                rows = pa.array(own + row)
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column("_id").slice(row, texts.n), pa.array(np.diff(bounds)),
-                     binary_rows(ids, bounds, width)] + [pa.array(spot[:, d]) for d in range(dims)],
-                    names=["_id", "_n", "_ids"] + [f"_p{d}" for d in range(dims)])
+                    [batch.column("_id").take(rows), batch.column("_th").take(rows), pa.array(start),
+                     pa.array(size[own]), binary_rows(ids, edges, width)]
+                    + [pa.array(spot[own, d]) for d in range(dims)],
+                    names=["_id", "_th", "_start", "_n", "_ids"] + [f"_p{d}" for d in range(dims)])
     return run
 
 
+_ROW = ("_id", "_th", "_start", "_n", "_ids")
+
+
 def _key_task(mean: list, std: list, bits: int):
     def run(batches):
         import pyarrow as pa
@@ -107,8 +122,8 @@ def _key_task(mean: list, std: list, bits: int):
             grid = (spot - np.array(mean)) / np.array(std)      # 4 deviations each way
             cells = np.clip((grid + 4) / 8 * (1 << bits), 0, (1 << bits) - 1).astype(np.int64)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(hilbert_key(cells, bits))] + [batch.column(c) for c in ("_id", "_n", "_ids")],
-                names=["_key", "_id", "_n", "_ids"])
+                [pa.array(hilbert_key(cells, bits))] + [batch.column(c) for c in _ROW],
+                names=["_key", *_ROW])
     return run
 
 
@@ -148,16 +163,26 @@ def _pack_task(max_tokens: int):
                  pa.array(cols[5], pa.int64()), pa.array(cols[6], pa.int64())],
                 names=["_id", "start", "length", "ids", "doc_tokens", "sequence_id", "offset"])
 
+        last = None                      # document and place where the last stretch ended
         for batch in batches:
             kind = batch.schema.field("_id").type
-            for doc, n, raw in zip(batch.column("_id").to_pylist(), batch.column("_n").to_pylist(),
-                                   batch.column("_ids")):
-                ids = np.frombuffer(raw.as_buffer(), dtype="<u2" if len(raw.as_buffer()) == 2 * n else "<u4")
+            for doc, text, start, total, raw in zip(*[batch.column(c).to_pylist() for c in _ROW[:4]],
+                                                    batch.column("_ids")):
+                raw = raw.as_buffer()
+                width = raw.size // min(STRETCH, total - start)
+                ids = np.frombuffer(raw, dtype=f"<u{width}")
                 at = 0
-                while at < n:
-                    take = min(room, n - at)
-                    open_pieces.append((doc, at, ids[at:at + take], n))
+                while at < len(ids):
+                    take = min(room, len(ids) - at)
+                    part = ids[at:at + take]
+                    if open_pieces and last == (doc, text, start + at):
+                        # The document goes on in this sequence: one piece.
+                        before = open_pieces.pop()
+                        open_pieces.append((doc, before[1], np.concatenate([before[2], part]), total))
+                    else:
+                        open_pieces.append((doc, start + at, part, total))
                     at, room = at + take, room - take
+                    last = (doc, text, start + at)
                     if room == 0:
                         close(max_tokens)
                         room = max_tokens
@@ -182,16 +207,19 @@ def pack(docs: DataFrame, tokenizer: str = "byte_bpe_50k.json", end_id: int = 0,
     ship_package(docs.sparkSession)
     kind = docs.schema[id_col].dataType.simpleString()
     spots = [f"_p{d}" for d in range(dims)]
+    row = f"_id {kind}, _th long, _start long, _n long, _ids binary"
     coded = land_table(
-        docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text")).mapInArrow(
+        docs.select(F.col(id_col).alias("_id"), F.xxhash64(text_col).alias("_th"),
+                    F.col(text_col).alias("_text")).mapInArrow(
             _encode_task(tokenizer, end_id, dims),
-            f"_id {kind}, _n long, _ids binary, " + ", ".join(f"{p} double" for p in spots)),
-        "token_ids")
-    stats = coded.agg(*[F.avg(p) for p in spots], *[F.stddev_pop(p) for p in spots]).first()
+            row + ", " + ", ".join(f"{p} double" for p in spots)), "token_ids")
+    stats = coded.filter("_start = 0").agg(*[F.avg(p) for p in spots],
+                                           *[F.stddev_pop(p) for p in spots]).first()
     mean = [stats[d] or 0.0 for d in range(dims)]
     std = [stats[dims + d] or 1.0 for d in range(dims)]
-    keyed = coded.mapInArrow(_key_task(mean, std, bits), f"_key long, _id {kind}, _n long, _ids binary")
-    laid = keyed.repartitionByRange("_key", "_id").sortWithinPartitions("_key", "_id", "_n", "_ids")
+    keyed = coded.mapInArrow(_key_task(mean, std, bits), f"_key long, {row}")
+    order = ("_key", "_id", "_th", "_start")
+    laid = keyed.repartitionByRange(*order).sortWithinPartitions(*order)
     return laid.mapInArrow(
         _pack_task(max_tokens),
         f"_id {kind}, start long, length long, ids binary, doc_tokens long, sequence_id long, "
