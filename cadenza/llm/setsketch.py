@@ -313,8 +313,10 @@ def near_duplicate_classes(docs: DataFrame, id_col: str = "doc_id", text_col: st
     linked class, as ``_cid, _comp``."""
     sk = land_table(sketch(docs, id_col, text_col, shingle, bands * rows), "sketches")
     own = sk.filter(F.col("_n") > 0).filter(F.col("_id").isNotNull())
-    cls = own.groupBy("_n", "_f1", "_f2").agg(F.min(F.struct("_id", "_th")).alias("_rep")).select(
-        "_n", "_f1", "_f2", "_rep._id", "_rep._th")
+    # Landed, so that the join of all documents with their classes has shuffles on both
+    # sides, and AQE can split a class with very many copies.
+    cls = land_table(own.groupBy("_n", "_f1", "_f2").agg(F.min(F.struct("_id", "_th")).alias("_rep"))
+                     .select("_n", "_f1", "_f2", "_rep._id", "_rep._th"), "classes")
     reps = land_table(own.join(cls.select("_id", "_th"), ["_id", "_th"], "left_semi")
                       .select("_id", "_th", "_n", "_regs"), "representatives")
     pairs = land_table(candidate_pairs(reps, bands, rows), "pairs")
