@@ -11,7 +11,9 @@ be cut
 and its ids are the ids of the pieces, side by side. Pieces are found and hashed
 (two 64-bit hashes) for a slice of texts at once, and looked up in a hash table of
 pieces seen before; only new pieces go through the tokenizer. Texts with white space
-outside ASCII are encoded whole. ``tests/llm`` compares with the tokenizer.
+outside ASCII, and texts that hold the string of an added token of the file (such as
+``<|endoftext|>``, which the tokenizer takes as that token), are encoded whole.
+``tests/llm`` compares with the tokenizer.
 """
 
 from __future__ import annotations
@@ -34,8 +36,9 @@ _SLOTS = 1 << 21
 _FULL = 1_000_000
 
 
-def _wide_spaces(texts: tv.Texts) -> np.ndarray:
-    """Texts that hold white space outside ASCII (or ASCII separators 0x1C to 0x1F)."""
+def _whole_texts(texts: tv.Texts, added: list[bytes]) -> np.ndarray:
+    """Texts that hold white space outside ASCII (or ASCII separators 0x1C to 0x1F), or
+    the string of an added token."""
     data = texts.data
     found = [np.flatnonzero((data >= 0x1C) & (data <= 0x1F))]
     for lead, last in _WIDE:
@@ -44,6 +47,11 @@ def _wide_spaces(texts: tv.Texts) -> np.ndarray:
         for k in range(1, len(lead)):
             at = at[data[at + k] == lead[k]]
         found.append(at[np.isin(data[at + len(lead)], last)])
+    for string in added:
+        at = np.flatnonzero(data[:max(0, len(data) - len(string) + 1)] == string[0])
+        for k in range(1, len(string)):
+            at = at[data[at + k] == string[k]]
+        found.append(at)
     at = np.concatenate(found)
     return np.unique(np.searchsorted(texts.lo, at, side="right") - 1) if len(at) else at
 
@@ -55,7 +63,10 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # their strings are ordinary text
+        tokens = self.tokenizer.get_added_tokens_decoder().values()
+        self.added = [t.content.encode() for t in tokens]
+        # Such a token may be found in a text without its string: nothing is cut.
+        self.never_cut = any(t.normalized for t in tokens)
         self._clear()
 
     def _clear(self):
@@ -123,7 +134,7 @@ class Encoder:
         cut[1:] = (space[1:] & ~space[:-1]) | (alnum[:-1] & mark[1:]) | (mark[:-1] & alnum[1:])
         full = texts.hi > texts.lo
         cut[texts.lo[full]] = True
-        whole = _wide_spaces(texts)
+        whole = range(n) if self.never_cut else _whole_texts(texts, self.added)
         for d in whole:
             cut[texts.lo[d] + 1:texts.hi[d]] = False
         start = np.flatnonzero(cut)

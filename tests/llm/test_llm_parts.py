@@ -81,6 +81,24 @@ def test_ids_equal_the_tokenizers(name):
     assert rows[3].as_py() == ids[bounds[3]:bounds[4]].astype("<u4").tobytes()
 
 
+@pytest.mark.parametrize("name", ["byte_bpe_50k.json", "word_bpe_49k.json"])
+def test_added_tokens_in_a_text_are_taken_as_such(name):
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    fresh = Tokenizer.from_file(public_tokenizers.path(name))
+    values = ODD + ["a <|endoftext|> b", "<|endoftext|>", "x<|endoftext|><|endoftext|>y, z.", "<|endoftext|", "|>",
+                    "one, two <|startoftext|>Three<|endoftext|>\n\nfour", "<|EndOfText|> é", "a", "<|endoftext|>"]
+    enc = encoder(name)
+    for _ in range(2):
+        ids, bounds = enc.encode(texts_of(values))
+        for i, v in enumerate(values):
+            want = fresh.encode(v or "", add_special_tokens=False).ids
+            assert ids[bounds[i]:bounds[i + 1]].tolist() == want, repr(v)
+    token = fresh.token_to_id("<|endoftext|>")
+    assert ids[bounds[-2]:].tolist() == [token] and token in ids[bounds[len(ODD)]:bounds[len(ODD) + 1]]
+
+
 def test_shingle_sets_against_plain_python():
     values = ODD + some_texts()
     hashes, bounds = setsketch.shingle_sets(texts_of(values), 4)
