@@ -20,7 +20,7 @@ entries at or above the threshold.
 Verification. An entry's first half of words is its question, the rest its answer
 (or the item table gives both columns). A hit counts if the passage holds
 at least ``min_question`` of the question's distinct word pairs and ``min_answer`` of
-the answer's.
+the answer's. A half of one word is looked for as that word.
 
 Words are lower-cased runs of letters and digits. Defined cases: null and
 empty texts have no passage and are clean; test items without words are never
@@ -49,9 +49,7 @@ def _words(text: str) -> np.ndarray:
 
 
 def _pairs(words: np.ndarray) -> np.ndarray:
-    """Distinct word pairs in order (a single word counts as itself)."""
-    if len(words) < 2:
-        return np.unique(words)
+    """Distinct word pairs in order."""
     return np.unique(words[:-1] * np.uint64(0x9E3779B97F4A7C15) + words[1:])
 
 
@@ -80,6 +78,11 @@ def _entry_task(entry_words: int):
     return run
 
 
+def _half(words: np.ndarray) -> tuple[np.ndarray, bool]:
+    """What to look for of a half, and whether that is word pairs (else its single word)."""
+    return (_pairs(words), True) if len(words) > 1 else (words, False)
+
+
 class Index:
     """One shard: entries ``(item, middle, words)``, document frequencies of their terms."""
 
@@ -89,7 +92,7 @@ class Index:
         self.checks = []
         terms, entry, weight = [], [], []
         for e, (_, mid, words) in enumerate(entries):
-            self.checks.append((_pairs(words[:mid]), _pairs(words[mid:])))
+            self.checks.append((_half(words[:mid]), _half(words[mid:])))
             distinct, tf = np.unique(words, return_counts=True)
             n = np.array([df[t] for t in distinct.view(np.int64).tolist()])
             idf = np.log(1 + (n_entries - n + 0.5) / (n + 0.5))
@@ -231,8 +234,8 @@ def _leak_task(shared, threshold: float, min_question: float, min_answer: float)
                     mine = _pairs(words[a:b])
                     single = np.unique(words[a:b])
                     for e, score in hits:
-                        parts = [np.isin(x, single if len(x) == 1 else mine).mean() if len(x) else 1.0
-                                 for x in index.checks[e]]
+                        parts = [np.isin(x, mine if pairs else single).mean() if len(x) else 1.0
+                                 for x, pairs in index.checks[e]]
                         found.append((names[row + d].as_py(), row + d, index.items[e], float(score),
                                       float(parts[0]), float(parts[1]),
                                       parts[0] >= min_question and parts[1] >= min_answer))

@@ -162,6 +162,31 @@ def test_decontamination(docs, empty, spark):
     assert not any(r.contaminated for r in decontam.leak_report(docs, items.limit(0)).collect())
 
 
+def leaked(spark, texts, items, **options):
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    rows = decontam.leak_report(docs, items, **options).collect()
+    return {r.doc_id: r.leaked_items for r in rows if r.contaminated}
+
+
+def test_decontamination_of_short_halves(spark):
+    pad = " ".join(f"filler{i}" for i in range(40))
+    # Answers of two words, of one, and of two equal pairs.
+    items = spark.createDataFrame([(1, "which city has the tallest towers", "New York"),
+                                   (2, "which river runs through the old capital", "Danube"),
+                                   (3, "what did the raven say at last", "never never never")],
+                                  "item_id long, q string, a string")
+    texts = [f"{pad} which city has the tallest towers? New York. {pad}",
+             f"{pad} which river runs through the old capital: danube {pad}",
+             f"what did the raven say at last, never never never {pad}",
+             f"{pad} which city has the tallest towers? York, new. {pad}", pad]
+    assert leaked(spark, texts, items, question_col="q", answer_col="a") == {0: ["1"], 1: ["2"], 2: ["3"]}
+    # Items of three and four words, in one text.
+    items = spark.createDataFrame([(3, "quick brown foxes"), (4, "seven silver spoons shine")],
+                                  "item_id long, text string")
+    texts = [f"{pad} Quick brown foxes {pad}", f"{pad} seven silver spoons shine", pad]
+    assert leaked(spark, texts, items) == {0: ["3"], 1: ["4"]}
+
+
 def check_pieces(rows, end_id=0, most=1024):
     enc = encoder("byte_bpe_50k.json").tokenizer
     want = Counter((i, tuple(enc.encode(t or "", add_special_tokens=False).ids) + (end_id,)) for i, t in TEXTS)
