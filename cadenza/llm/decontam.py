@@ -1,7 +1,7 @@
 """Benchmark decontamination: BM25 over an inverted index of test items, walked
 with block-max WAND.
 
-Index. Test items are cut to entries of at most ``entry_words`` words. Term
+Index. Test items are cut to entries of near-equal length, at most ``entry_words`` words. Term
 weights are BM25 with document frequency, entry number and mean length taken over *all*
 entries (Spark aggregates), divided by the entry's own score, so an entry that is
 repeated word by word scores 1 and one threshold fits all. A shard of the index
@@ -20,7 +20,9 @@ entries at or above the threshold.
 Verification. An entry's first half of words is its question, the rest its answer
 (or the item table gives both columns). A hit counts if the passage holds
 at least ``min_question`` of the question's distinct word pairs and ``min_answer`` of
-the answer's. A half of one word is looked for as that word.
+the answer's. A half of one word is looked for as that word; an entry of three words or
+fewer without an answer of its own is all question. An entry of fewer than ``min_words``
+words may be retrieved but is never a leak: its words stand in clean documents, too.
 
 Words are lower-cased runs of letters and digits. Defined cases: null and
 empty texts have no passage and are clean; test items without words are never
@@ -65,11 +67,16 @@ def _entry_task(entry_words: int):
                 words = np.concatenate([question, answer])
                 if not len(words):
                     continue
-                cut = len(question) if len(answer) else (len(words) + 1) // 2
-                for at in range(0, len(words), entry_words):
-                    part = words[at:at + entry_words]
-                    mid = cut - at if 0 < cut - at < len(part) else (len(part) + 1) // 2
-                    out.append((row["_item"], at // entry_words, mid, part.view(np.int64).tolist()))
+                cut = len(question)
+                n = -(-len(words) // entry_words)
+                for k in range(n):
+                    at, to = k * len(words) // n, (k + 1) * len(words) // n
+                    size = to - at
+                    if len(answer) and at < cut < to:
+                        mid = cut - at
+                    else:
+                        mid = (size + 1) // 2 if size > 3 else size
+                    out.append((row["_item"], k, mid, words[at:to].view(np.int64).tolist()))
             cols = list(zip(*out)) if out else [[], [], [], []]
             yield pa.RecordBatch.from_arrays(
                 [pa.array(cols[0], batch.schema.field("_item").type), pa.array(cols[1], pa.int64()),
@@ -88,7 +95,8 @@ class Index:
 
     def __init__(self, entries, df: dict[int, int], n_entries: int, mean_len: float):
         self.items = [e[0] for e in entries]
-        self.longest = max((len(e[2]) for e in entries), default=1)
+        self.sizes = [len(e[2]) for e in entries]
+        self.longest = max(self.sizes, default=1)
         self.checks = []
         terms, entry, weight = [], [], []
         for e, (_, mid, words) in enumerate(entries):
@@ -191,7 +199,7 @@ class Index:
                 c[2] = at
 
 
-def _leak_task(shared, threshold: float, min_question: float, min_answer: float):
+def _leak_task(shared, threshold: float, min_question: float, min_answer: float, min_words: int):
     def run(batches):
         import pyarrow as pa
         import pyarrow.compute as pc
@@ -238,7 +246,8 @@ def _leak_task(shared, threshold: float, min_question: float, min_answer: float)
                                  for x, pairs in index.checks[e]]
                         found.append((names[row + d].as_py(), row + d, index.items[e], float(score),
                                       float(parts[0]), float(parts[1]),
-                                      parts[0] >= min_question and parts[1] >= min_answer))
+                                      index.sizes[e] >= min_words and parts[0] >= min_question
+                                      and parts[1] >= min_answer))
             cols = list(zip(*found)) if found else [[]] * 7
             key = batch.column("_row")
             yield pa.RecordBatch.from_arrays(
@@ -254,7 +263,7 @@ def find_leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_c
                item_id: str = "item_id", item_text: str = "text", question_col: str | None = None,
                answer_col: str | None = None, threshold: float = 0.6, min_question: float = 0.7,
                min_answer: float = 0.7, entry_words: int = 256,
-               shard_words: int = 2_000_000) -> DataFrame:
+               shard_words: int = 2_000_000, min_words: int = 3) -> DataFrame:
     """One row per retrieved (passage, entry): ``_row`` (hash of the text), ``_id``,
     ``item_id`` (as text), ``score``, ``question_overlap, answer_overlap, leak``."""
     spark = docs.sparkSession
@@ -282,7 +291,8 @@ def find_leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_c
                        for r in rows], {r["_w"]: r["_df"] for r in freq.collect()},
                       n, words / max(n, 1))
         part = texts.mapInArrow(
-            _leak_task(spark.sparkContext.broadcast(index), threshold, min_question, min_answer),
+            _leak_task(spark.sparkContext.broadcast(index), threshold, min_question, min_answer,
+                       min_words),
             f"_row long, _id {kind}, item_id string, score double, question_overlap double, "
             "answer_overlap double, leak boolean")
         out = part if out is None else out.unionByName(part)

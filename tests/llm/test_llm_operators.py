@@ -187,6 +187,21 @@ def test_decontamination_of_short_halves(spark):
     assert leaked(spark, texts, items) == {0: ["3"], 1: ["4"]}
 
 
+def test_decontamination_needs_enough_words(spark):
+    long = [f"term{i}" for i in range(256)]
+    items = spark.createDataFrame([(1, " ".join(long + ["the"])), (2, " ".join(long[::-1] + ["of", "the"])),
+                                   (3, "of"), (4, "of the")], "item_id long, text string")
+    pad = " ".join(f"filler{i}" for i in range(300))
+    texts = [f"{pad} the one of the others of {pad}", f"{pad} {' '.join(long)} the {pad}",
+             f"{pad} {' '.join(long[::-1])} of the", "of the"]
+    assert leaked(spark, texts, items) == {1: ["1"], 2: ["2"]}
+    # One entry of a long item is enough, also its last.
+    assert leaked(spark, [" ".join(long[140:]) + " the"], items) == {0: ["1"]}
+    # Three words need both their pairs.
+    three = spark.createDataFrame([(1, "seven silver spoons")], "item_id long, text string")
+    assert leaked(spark, ["seven silver forks and spoons", "the seven silver spoons"], three) == {1: ["1"]}
+
+
 def check_pieces(rows, end_id=0, most=1024):
     enc = encoder("byte_bpe_50k.json").tokenizer
     want = Counter((i, tuple(enc.encode(t or "", add_special_tokens=False).ids) + (end_id,)) for i, t in TEXTS)
