@@ -27,7 +27,8 @@ words may be retrieved but is never a leak: its words stand in clean documents,
 Words are lower-cased runs of letters and digits. Defined cases: null and
 empty texts have no passage and are clean; test items without words are never
 found; an empty benchmark leaves everything clean; rows that repeat an id each get their
-own verdict; equal items are all listed. Other columns pass through in
+own verdict; equal items are all listed; items whose id is null count as one retrieved item and
+contaminate like others, but have no id to list. Other columns pass through in
 :func:`decontaminate` and are not read in :func:`find_leaks`.
 """
 
@@ -310,7 +311,8 @@ def leak_report(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_
     id_, text = f"c{names.index(id_col)}", f"c{names.index(text_col)}"
     hits = (find_leaks(plain, items, id_, text, **options)
             .groupBy("_row", "_id").agg(
-                F.countDistinct("item_id").alias("_n"), F.max("score").alias("_best"),
+                (F.countDistinct("item_id") + F.max(F.col("item_id").isNull().cast("int"))).alias("_n"),
+                F.max("score").alias("_best"), F.max("leak").alias("_leak"),
                 F.array_sort(F.collect_set(F.when(F.col("leak"), F.col("item_id")))).alias("_leaked")))
     joined = plain.withColumn("_th", F.xxhash64(text)).join(
         hits, (F.col("_th") == F.col("_row")) & F.col(id_).eqNullSafe(F.col("_id")), "left")
@@ -319,7 +321,8 @@ def leak_report(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_
     return joined.select(
         *[F.col(f"c{i}").alias(name) for i, name in enumerate(names) if name not in results],
         F.coalesce("_n", F.lit(0)).alias("n_retrieved"), leaked.alias("leaked_items"),
-        F.coalesce("_best", F.lit(0.0)).alias("best_score"), (F.size(leaked) > 0).alias("contaminated"))
+        F.coalesce("_best", F.lit(0.0)).alias("best_score"),
+        F.coalesce("_leak", F.lit(False)).alias("contaminated"))
 
 
 def decontaminate(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text",

@@ -202,6 +202,17 @@ def test_decontamination_needs_enough_words(spark):
     assert leaked(spark, ["seven silver forks and spoons", "the seven silver spoons"], three) == {1: ["1"]}
 
 
+def test_decontamination_by_an_item_without_id(spark):
+    text = "quite another question about stones and their answer"
+    items = spark.createDataFrame([(None, text), (7, "what is the name of the seventh river in the valley")],
+                                  "item_id long, text string")
+    docs = spark.createDataFrame([(0, f"so {text}"), (1, "clean"), (2, "what is the name of the seventh river in the valley")],
+                                 "doc_id long, text string")
+    got = {r.doc_id: (r.contaminated, r.n_retrieved, r.leaked_items) for r in decontam.leak_report(docs, items).collect()}
+    assert got == {0: (True, 1, []), 1: (False, 0, []), 2: (True, 1, ["7"])}
+    assert sorted(r.doc_id for r in decontam.decontaminate(docs, items).collect()) == [1]
+
+
 def check_pieces(rows, end_id=0, most=1024):
     enc = encoder("byte_bpe_50k.json").tokenizer
     want = Counter((i, tuple(enc.encode(t or "", add_special_tokens=False).ids) + (end_id,)) for i, t in TEXTS)
