@@ -46,8 +46,10 @@ BLOCK = 4
 
 
 def _words(text: str) -> np.ndarray:
-    """Word hashes of one text."""
-    raw = np.frombuffer(text.lower().encode(), dtype=np.uint8)
+    """Word hashes of one text, lower-cased as documents are."""
+    import pyarrow.compute as pc
+
+    raw = np.frombuffer(pc.utf8_lower(text).as_py().encode(), dtype=np.uint8)
     return tv.Texts(raw, np.array([0, len(raw)])).split(tv.ALNUM).word_hash(tv.LOWER)
 
 

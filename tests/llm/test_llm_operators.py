@@ -213,6 +213,12 @@ def test_decontamination_by_an_item_without_id(spark):
     assert sorted(r.doc_id for r in decontam.decontaminate(docs, items).collect()) == [1]
 
 
+def test_decontamination_lower_cases_both_sides_alike(spark):
+    texts = ["ΠΟΙΟΣ ΕΙΝΑΙ Ο ΠΡΩΤΟΣ ΔΡΟΜΟΣ ΤΟΥ ΝΗΣΙΟΥ ΜΑΣ ΚΑΙ Ο ΤΕΛΕΥΤΑΙΟΣ", "İZMİR DİYARBAKIR İSTANBUL EDİRNE MERSİN"]
+    items = spark.createDataFrame(list(enumerate(texts)), "item_id long, text string")
+    assert leaked(spark, texts, items) == {0: ["0"], 1: ["1"]}
+
+
 def check_pieces(rows, end_id=0, most=1024):
     enc = encoder("byte_bpe_50k.json").tokenizer
     want = Counter((i, tuple(enc.encode(t or "", add_special_tokens=False).ids) + (end_id,)) for i, t in TEXTS)
