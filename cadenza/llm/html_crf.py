@@ -1,7 +1,7 @@
 """Main text of web pages: a linear-chain conditional random field over the leaf
 blocks of the page.
 
-Blocks. A tolerant tokenizer keeps a stack of open elements (implied ends of p,
+Blocks. A tolerant tokenizer keeps a stack of open elements (implied ends of head, p,
 li, table cells and the like included) and cuts the page into stretches of text between
 block-level tags. Script, style, title and similar contents, comments and markup are
 never text. Character references are decoded, white space inside a block becomes one
@@ -45,6 +45,8 @@ BLOCK_TAGS = frozenset(
 VOID_TAGS = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 HIDDEN_TAGS = frozenset("script style title noscript template textarea svg math head object".split())
 RAW_TAGS = frozenset("script style title textarea noscript".split())
+# What a head may hold; anything else ends an open one, as </head> may be left out.
+HEAD_TAGS = frozenset("head base basefont bgsound link meta noframes noscript script style template title".split())
 # Start tags that end an open element of the same family.
 CLOSES = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"),
           "td": ("td", "th"), "th": ("td", "th"), "option": ("option",)}
@@ -99,6 +101,8 @@ def blocks(page: str) -> list[Block]:
         found = _TOKEN.search(page, at)
         if found is None or found.start() > at:
             text = page[at:found.start() if found else size]
+            if stack and stack[-1][0] == "head" and text.strip():
+                close_to(len(stack) - 1)
             if not hidden:
                 parts.append(text)
                 if links:
@@ -119,6 +123,8 @@ def blocks(page: str) -> list[Block]:
                 if tag in BLOCK_TAGS:
                     flush()
             continue
+        if tag not in HEAD_TAGS and stack and stack[-1][0] == "head":
+            close_to(len(stack) - 1)
         if tag == "br":
             parts.append(" ")
             continue

@@ -180,6 +180,15 @@ def test_blocks_of_awkward_pages():
         html_crf.blocks(broken)
 
 
+def test_head_without_end_tag():
+    rest = "<article><h1>Head</h1><p>one</p></article>"
+    for head in ("<title>T</title><body>", "<title>T</title>", "<meta charset=utf-8><body class='x'>", "<style>p {}</style>",
+                 "<script>1</script></head><body>", "<template><div>no</div></template>\n"):
+        assert [b.text for b in html_crf.blocks(f"<html><head>{head}{rest}</html>")] == ["Head", "one"], head
+    assert [b.text for b in html_crf.blocks("<head><title>T</title>bare <b>text</b><p>one")] == ["bare text", "one"]
+    assert [b.text for b in html_crf.blocks("<head><title>T</title><a href='/'>link</a><p>one")] == ["link", "one"]
+
+
 def test_crf_learns_page_furniture():
     model = html_crf.train(html_crf.example_pages())
     page = ("<body><header class='site'>Site name</header><div class='cookie notice'>We use cookies, here and there,"
