@@ -7,11 +7,14 @@ from pyspark.sql import functions as F
 
 from cadenza.llm.decontam import leak_report
 from cadenza.llm import html_crf
+from cadenza.llm.filter_audit import audit
 from cadenza.llm.line_dedup import dedup_lines
 from cadenza.llm.packing import pack
 from cadenza.llm.quality import quality
+from cadenza.llm.resample import importance_resample
 from cadenza.llm.secret_scan import KINDS, scan, span_text
 from cadenza.llm.setsketch import near_duplicates
+from cadenza.llm.simhash import simhash_duplicates
 from cadenza.llm.token_files import read_token_files, write_token_files
 from cadenza.llm.toxicity import learn, score
 from cadenza.llm.warc import normalise, read_archives, write_archives
@@ -108,6 +111,24 @@ def op10_setsketch_near_dedup(spark, sf_dir):
     return near_duplicates(docs, shingle=4, pct=80)
 
 
+def op11_importance_resampling(spark, sf_dir):
+    """A quarter of all documents drawn by importance weights towards the test items."""
+    docs = read_table(spark, sf_dir, "documents", "doc_id", "text")
+    return importance_resample(docs, read_table(spark, sf_dir, "benchmark", "text"))
+
+
+def op12_filter_audit(spark, sf_dir):
+    """Removals of five filters in all 120 orders, by source."""
+    docs = read_table(spark, sf_dir, "documents", "doc_id", "text", "source")
+    return audit(docs, read_table(spark, sf_dir, "labels", "doc_id", "quality", "toxic"))
+
+
+def op13_simhash_near_dedup(spark, sf_dir):
+    """Fingerprints and near-duplicate components of all documents on 3-word shingles."""
+    docs = read_table(spark, sf_dir, "documents", "doc_id", "text")
+    return simhash_duplicates(docs)
+
+
 QUERIES = {"op1_line_dedup": op1_line_dedup,
            "op2_secret_ownership": op2_secret_ownership,
            "op3_ngram_quality": op3_ngram_quality,
@@ -117,4 +138,7 @@ QUERIES = {"op1_line_dedup": op1_line_dedup,
            "op7_token_files": op7_token_files,
            "op8_html_crf": op8_html_crf,
            "op9_warc": op9_warc,
-           "op10_setsketch_near_dedup": op10_setsketch_near_dedup}
+           "op10_setsketch_near_dedup": op10_setsketch_near_dedup,
+           "op11_importance_resampling": op11_importance_resampling,
+           "op12_filter_audit": op12_filter_audit,
+           "op13_simhash_near_dedup": op13_simhash_near_dedup}
