@@ -54,27 +54,44 @@ def vector_stats(df: DataFrame, vec: str) -> tuple[list, list]:
     return list(map(float, got["mean"])), [float(x) if x > 0 else 1.0 for x in std]
 
 
+def _scaler(mean: list, std: list, dtype: str):
+    """Arrow function: (vector - mean) / std, one matrix operation per batch."""
+    def run(vectors):
+        import numpy as np
+        import pyarrow as pa
+
+        held = vectors.drop_null()
+        x = np.asarray(held.flatten().to_numpy(zero_copy_only=False), dtype=float).reshape(-1, len(mean))
+        z = ((x - np.array(mean)) / np.array(std)).astype(dtype).reshape(-1)
+        ends = np.concatenate([[0], np.cumsum(np.where(vectors.is_valid(), len(mean), 0))])
+        # A null offset marks a null vector.
+        missing = np.append(vectors.is_null(), False)
+        return pa.ListArray.from_arrays(pa.array(ends, pa.int32(), mask=missing), pa.array(z))
+    return run
+
+
 def standardize_array(df: DataFrame, vec: str, out: str | None = None,
                       fit_on: DataFrame | None = None, float32: bool = True) -> DataFrame:
-    """A10 for a vector column; F1: the result is cast to float32 like the
-    index input of the reference."""
+    """A10 for a vector column (all vectors of one length; a null one stays null); F1: the
+    result is cast to float32 like the index input of the reference."""
     mean, std = vector_stats(fit_on if fit_on is not None else df, vec)
-    z = F.zip_with(F.zip_with(F.col(vec).cast("array<double>"), F.lit(mean), lambda x, m: x - m),
-                   F.lit(std), lambda x, s: x / s)
-    return df.withColumn(out or vec, to_float32_array(z) if float32 else z)
+    scale = F.arrow_udf(_scaler(mean, std, "float32" if float32 else "float64"),
+                        "array<float>" if float32 else "array<double>")
+    return df.withColumn(out or vec, scale(F.col(vec).cast("array<double>")))
 
 
 def group_vector_means(df: DataFrame, group: str, vec: str, exclude=()) -> DataFrame:
-    """A4 for a vector column: per-group mean of each position. Partial
-    aggregation on (group, position) keeps hot groups cheap; the final array
-    per group has one entry per position."""
+    """A4 for a vector column (all vectors of one length; null ones do not count): per-group
+    mean of each position. One aggregate whose buffer per group holds the d sums, combined in
+    each task first, so a hot group costs one buffer per task and no row is made per entry."""
+    from pyspark.ml.functions import array_to_vector, vector_to_array
+    from pyspark.ml.stat import Summarizer
+
     if exclude:
         df = df.filter(~F.col(group).isin(list(exclude)))
-    per = (df.select(group, F.posexplode(vec).alias("pos", "x"))
-           .groupBy(group, "pos").agg(F.avg(F.col("x").cast("double")).alias("m")))
-    return (per.groupBy(group)
-            .agg(F.array_sort(F.collect_list(F.struct("pos", "m"))).alias("_s"))
-            .select(group, F.transform("_s", lambda e: e["m"]).alias(vec)))
+    return (df.filter(F.col(vec).isNotNull())
+            .select(group, array_to_vector(F.col(vec).cast("array<double>")).alias("_v"))
+            .groupBy(group).agg(vector_to_array(Summarizer.mean(F.col("_v"))).alias(vec)))
 
 
 def pca_projection(df: DataFrame, vec: str, k: int = 3, prefix: str = "pc") -> DataFrame:

@@ -1,9 +1,10 @@
 """Triple-pattern query over an entity-property table (subject, predicate, object).
 
-``?item P_req ?a . OPTIONAL {?item P1 ?b} ... + label`` becomes one filtered
-scan per predicate and a chain of left joins on the subject. A multi-valued
-property may hold a hot subject, so each optional join is the balanced form
-(:func:`cadenza.operators.joins.left_join_balanced`)."""
+``?item P_req ?a . OPTIONAL {?item P1 ?b} ... + label`` becomes a chain of left joins
+on the subject. A multi-valued property may hold a hot subject, so each optional join is the
+balanced form (:func:`cadenza.operators.joins.left_join_balanced`), which evaluates
+its left side once: a property costs two filtered scans and two joins, however
+many come before it."""
 
 from __future__ import annotations
 

@@ -8,31 +8,47 @@ from pyspark.sql import functions as F
 from cadenza.functions.scalars import col_of, contains_ci
 
 
+#: Rows that stand for "no partner"; left rows without one are dealt over them.
+PADS = 64
+
+
 def left_join_balanced(left: DataFrame, right: DataFrame, left_key: str,
                        right_key: str | None = None) -> DataFrame:
     """Left outer equi-join that stays balanced when one key holds a large share
-    of the *right* side.
+    of either side, and that evaluates ``left`` once.
 
     AQE splits a hot key of a left outer join only on the left side; of an
-    inner join it splits either. So the join is written as the inner join plus the left rows
-    without a partner (left anti, against the distinct right keys, which are
-    pre-aggregated in each task) with nulls for the right columns. The plan is
-    lazy and holds no statistics of the data, so it stays right when a table
+    inner join it splits either. So left rows are first marked by a left join with the distinct
+    right keys (pre-aggregated in each task, one row per key), and the right side is
+    completed by :data:`PADS` rows of nulls. The join proper is then an inner one: marked rows meet
+    their partners, the others (null keys among them) one of the pad rows, dealt
+    by their key. A chain of such joins reads every input a constant number of times. The
+    plan is lazy and holds no statistics of the data, so it stays right when a table
     behind it changes. With the key named once on both sides (``right_key``
     omitted) the key column is kept once (USING form)."""
     same = right_key is None or right_key == left_key
-    rk = left_key if same else right_key
-    keys = right.select(F.col(rk).alias("_rk")).filter(F.col("_rk").isNotNull()).distinct()
-    alone = left.join(keys, left[left_key] == keys["_rk"], "left_anti")
+    at = right.columns.index(left_key if same else right_key)
+    # Positions for names: the two sides may share some.
+    mine = [f"_l{i}" for i in range(len(left.columns))]
+    theirs = [f"_r{i}" for i in range(len(right.columns))]
+    key, rows = F.col(mine[left.columns.index(left_key)]), right.toDF(*theirs)
+    rows = rows.filter(F.col(theirs[at]).isNotNull())
+    known = rows.select(F.col(theirs[at]).alias("_hit")).distinct()
+    marked = left.toDF(*mine).join(known, key == F.col("_hit"), "left").withColumn(
+        "_pad", F.when(F.col("_hit").isNull(), F.pmod(F.xxhash64(key), F.lit(PADS))))
+    kind = right.schema.fields[at].dataType
+    pads = left.sparkSession.range(PADS).select(
+        *[F.lit(None).cast(f.dataType).alias(c) for c, f in zip(theirs, right.schema.fields)],
+        F.lit(None).cast(kind).alias("_key"), F.col("id").alias("_no"))
+    complete = rows.select("*", F.col(theirs[at]).alias("_key"),
+                           F.lit(None).cast("long").alias("_no")).union(pads)
+    joined = marked.join(complete, F.col("_hit").eqNullSafe(F.col("_key"))
+                         & F.col("_pad").eqNullSafe(F.col("_no")))
+    own = list(zip(mine, left.columns))
     if same:
-        matched = left.join(right, left_key)
-        mine = [left_key] + [c for c in left.columns if c != left_key]
-        theirs = [f for f in right.schema.fields if f.name != rk]
-    else:
-        matched = left.join(right, left[left_key] == right[rk])
-        mine, theirs = left.columns, right.schema.fields
-    padded = alone.select(*mine, *[F.lit(None).cast(f.dataType).alias(f.name) for f in theirs])
-    return matched.union(padded)          # by position: names may repeat
+        own = [c for c in own if c[1] == left_key] + [c for c in own if c[1] != left_key]
+    other = [c for k, c in enumerate(zip(theirs, right.columns)) if not (same and k == at)]
+    return joined.select(*[F.col(c).alias(name) for c, name in own + other])
 
 
 def left_join_on_name(left: DataFrame, right: DataFrame, left_key: str,

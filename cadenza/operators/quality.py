@@ -47,6 +47,14 @@ def summarize_tests(df: DataFrame, tests) -> DataFrame:
     return out
 
 
+def reject_nulls(df: DataFrame, cols) -> DataFrame:
+    """``df`` whose evaluation fails at the first null in one of ``cols``: the check of
+    required fields in the write's own pass, before anything is committed."""
+    checked = {c: F.coalesce(F.col(c), F.raise_error(F.lit(f"required column {c} holds nulls"))
+                             .cast(df.schema[c].dataType)).alias(c) for c in cols}
+    return df.select(*[checked.get(c, F.col(c)) for c in df.columns]) if checked else df
+
+
 def require_not_null(df: DataFrame, cols) -> DataFrame:
     """Enforce REQUIRED fields before a write; raises if any is null.
     Checks all columns in one aggregate pass."""

@@ -3,19 +3,20 @@ enrichment snapshots, dimension / fact split and the matched MERGE."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cadenza.operators.aggregates import distinct_ids
 from cadenza.operators.enrich import enrich_batches
 from cadenza.operators.graph import triple_pattern
 from cadenza.operators.joins import left_join_on_name
-from cadenza.operators.merge import merge_matched
+from cadenza.operators.merge import merge_into_path, merge_matched
 from cadenza.operators.setops import split_dim_fact
 from cadenza.schemas import REQUIRED, SPOTIFY_DIM, SPOTIFY_FACT
 from cadenza.session import work_path
 from cadenza.sources import storage
-from cadenza.sources.sinks import (append_day_partition, publish_view, resolve_day, run_date,
+from cadenza.sources.sinks import (append_day_partition, conform, publish_catalog_view,
+                                   publish_view, read_day, resolve_day, run_date,
                                    write_full_refresh)
 
 # The columns of the published view.
@@ -46,6 +47,30 @@ def artists_union(spotify: DataFrame, deezer: DataFrame, as_of=None,
     return out
 
 
+def publish_artists_union(spark: SparkSession, name: str, spotify_table: str, deezer_table: str,
+                          as_of=None) -> DataFrame:
+    """K6: the union of :func:`artists_union`, all its columns, as a stored view over two catalog
+    tables. The view holds SQL and no data: it follows the tables, outlives the session, and
+    its stamp is the day it is read, or ``as_of``.
+
+    The deezer side is completed by a row of nulls for every spotify name that it lacks (no
+    name included), so the join is an inner one, in which AQE may split a hot name of
+    either side."""
+    stamp = "current_date()" if as_of is None else f"DATE '{as_of}'"
+    s, d = "spotify_artist_name", "deezer_artist_name"
+    measures = ", ".join(DEEZER_COLUMNS)
+    nulls = ", ".join("NULL" for _ in DEEZER_COLUMNS)
+    return publish_catalog_view(spark, name, f"""
+        SELECT {", ".join(f"a.{c}" for c in UNION_COLUMNS)}, {", ".join(f"b.{c}" for c in DEEZER_COLUMNS)},
+               {stamp} AS ingestion_date
+        FROM {spotify_table} a JOIN (
+            SELECT {d} AS name, {measures} FROM {deezer_table} WHERE {d} IS NOT NULL
+            UNION ALL
+            SELECT DISTINCT x.{s}, {nulls} FROM {spotify_table} x
+            LEFT ANTI JOIN (SELECT DISTINCT {d} FROM {deezer_table}) y ON x.{s} = y.{d}) b
+        ON a.{s} <=> b.name""")
+
+
 def artists_dim_fact(artists: DataFrame, as_of=None):
     """U4 + F4: artist records (id, name, genres array, url, popularity,
     followers) -> dimension (genres as comma text, null when empty) and fact
@@ -85,15 +110,17 @@ def load_catalogue(triples: DataFrame, path: str, required: tuple, optional=(),
 def daily_enrichment(catalogue: DataFrame, id_col: str, fetch, body_schema, path: str,
                      columns: dict, as_of=None, batch_size: int = 500,
                      max_parallel: int | None = None, replace_day: bool = False,
-                     schema=None, required=(), on_error: str = "raise") -> DataFrame:
+                     schema=None, required=(), on_error: str = "raise",
+                     ledger: str | None = None) -> DataFrame:
     """§3.1 stages 4-7: distinct ids of ``catalogue`` -> batched lookups ->
     rows stamped with the run date -> append to the day-partitioned snapshot
     table at ``path``. ``columns`` maps output names to response fields
-    (names or Column expressions over them).
+    (names or Column expressions over them). With a ``ledger`` folder (one per day: it answers
+    an id once) a rerun after a failure asks only for the ids that have no answer yet.
     Returns that day's snapshot (one partition read)."""
     ids = distinct_ids(catalogue, id_col, "id")
     rows = enrich_batches(ids, "id", fetch, body_schema, batch_size=batch_size,
-                          max_parallel=max_parallel, on_error=on_error)
+                          max_parallel=max_parallel, on_error=on_error, ledger=ledger)
     day = run_date(resolve_day(catalogue.sparkSession, as_of))
     stamped = rows.select(*[(src if isinstance(src, Column) else F.col(src)).alias(out)
                             for out, src in columns.items()],
@@ -108,12 +135,12 @@ def artist_refresh(ids: DataFrame, id_col: str, fetch, body_schema, dim_path: st
                    max_parallel: int | None = None) -> DataFrame:
     """The artist refresh of the draft pipeline: batched artist lookups
     (``{"artists": [...]}`` per batch; null records and records without an id
-    are dropped) -> dimension (full refresh) and fact (appended day
-    partition) -> MERGE of the run day's facts into the dimension at ``dim_path``,
-    which its readers see. Returns the dimension. Both writes enforce the
-    declared schemas. The landed records are removed when the run ends."""
+    are dropped) -> fact (the run day's partition, replaced by a rerun of the day) -> MERGE of
+    the run day's facts into the new dimension -> one full refresh of the dimension at
+    ``dim_path``, so its readers see it with its measures or not yet. Returns the
+    dimension. Both writes enforce the declared schemas. The landed records are
+    removed when the run ends."""
     from cadenza.operators.enrich import enrich_children
-    from cadenza.operators.merge import merge_into_path
 
     children = enrich_children(distinct_ids(ids, id_col, "id"), "id", fetch, "artists",
                                body_schema, batch_size=batch_size, max_parallel=max_parallel)
@@ -134,14 +161,12 @@ def artist_refresh(ids: DataFrame, id_col: str, fetch, body_schema, dim_path: st
     try:
         artists.write.parquet(records)
         dim, fact = artists_dim_fact(spark.read.parquet(records), as_of=day)
-        write_full_refresh(dim, dim_path, schema=SPOTIFY_DIM)
         append_day_partition(fact, fact_path, date_col="date", schema=SPOTIFY_FACT,
-                             required=REQUIRED["spotify_artists_fact"])
+                             required=REQUIRED["spotify_artists_fact"], replace_day=True)
+        return merge_into_path(
+            conform(dim, SPOTIFY_DIM), read_day(spark, fact_path, day, "date"), "spotify_artist_id",
+            {"spotify_artist_popularity": "spotify_artist_popularity",
+             "spotify_artist_total_followers": "spotify_artist_total_followers"},
+            out_path=dim_path)
     finally:
         storage.delete(spark, records)
-    todays = spark.read.parquet(fact_path).filter(F.col("date") == run_date(day))
-    return merge_into_path(
-        spark.read.parquet(dim_path), todays, "spotify_artist_id",
-        {"spotify_artist_popularity": "spotify_artist_popularity",
-         "spotify_artist_total_followers": "spotify_artist_total_followers"},
-        out_path=dim_path)

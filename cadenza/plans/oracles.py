@@ -554,6 +554,42 @@ ORACLE_SQL["supplier_pca"] = (
         "round(" + " + ".join(f"z{i} * e{n}.v{i}" for i in range(1, 5)) + f", 6) AS pc{n}" for n in (1, 2, 3))
     + " FROM z, e1, e2, e3")
 
+
+def _gram_component(n: int, matrix: str) -> str:
+    """Largest eigenvector ``u`` (one entry per label) and value of a list of rows ``g``; then
+    the matrix without it."""
+    dot = "list_transform(g, lambda r: list_dot_product(r, u))"
+    return f""",
+    p{n}(k, u) AS (
+        SELECT 0, list_transform(range(1, len(g) + 1), lambda i: 1.0::DOUBLE / i) FROM {matrix}
+        UNION ALL
+        SELECT k + 1, list_transform(w, lambda x: x / sqrt(list_dot_product(w, w)))
+        FROM (SELECT k, {dot} AS w FROM p{n}, {matrix} WHERE k < 6000)),
+    e{n} AS (SELECT u, list_dot_product(u, {dot}) AS val FROM p{n}, {matrix} WHERE k = 6000),
+    g{n} AS (SELECT list_transform(range(1, len(g) + 1), lambda i: list_transform(range(1, len(g) + 1),
+                    lambda j: g[i][j] - val * u[i] * u[j])) AS g FROM {matrix}, e{n})"""
+
+
+#: The labels are few, so the components come from the Gram matrix of the scaled label means: an
+#: eigenvector u with value v is the component's scores over sqrt(v), and the loadings
+#: are the scaled columns' sums over u / sqrt(v), whose largest entry fixes the sign.
+ORACLE_SQL["genre_pca"] = (
+    """
+    WITH RECURSIVE x AS (
+        SELECT label, unnest(embedding) AS v, unnest(range(0, len(embedding))) AS pos FROM embeddings),
+    m AS (SELECT label, pos, avg(CAST(v AS DOUBLE)) AS m FROM x GROUP BY label, pos),
+    s AS (SELECT pos, avg(m) AS a, stddev_pop(m) AS d FROM m GROUP BY pos),
+    z AS (SELECT label, pos, (m - a) / CASE WHEN d = 0 THEN 1 ELSE d END AS z FROM m JOIN s USING (pos)),
+    r AS (SELECT label, list(z ORDER BY pos) AS zs, row_number() OVER (ORDER BY label) AS i FROM z GROUP BY label),
+    g0 AS (SELECT list(row_ ORDER BY i) AS g FROM (
+        SELECT a.i, list(list_dot_product(a.zs, b.zs) ORDER BY b.i) AS row_ FROM r a, r b GROUP BY a.i))"""
+    + _gram_component(1, "g0") + _gram_component(2, "g1") + _gram_component(3, "g2")
+    + "".join(f""",
+    f{n} AS (SELECT sign(arg_max(w, abs(w))) AS f FROM (
+        SELECT pos, sum(z * u[i]) AS w FROM z JOIN r USING (label), e{n} GROUP BY pos))""" for n in (1, 2, 3))
+    + " SELECT label, " + ", ".join(f"round(f{n}.f * e{n}.u[i] * sqrt(e{n}.val), 6) AS pc{n}" for n in (1, 2, 3))
+    + " FROM r, " + ", ".join(f"e{n}, f{n}" for n in (1, 2, 3)))
+
 ORACLE_SQL["expire_partitions"] = """
     SELECT event_id, CAST(ts AS DATE) AS ingestion_date FROM events
     WHERE CAST(ts AS DATE) > (SELECT max(CAST(ts AS DATE)) FROM events) - INTERVAL 7 DAY
@@ -576,6 +612,19 @@ ORACLE_SQL["catalog_view"] = """
     FROM customer LEFT JOIN supplier ON c_name = replace(s_name, 'Supplier', 'Customer')
 """
 
+#: One answer per id, whichever run gave it.
+ORACLE_SQL["enrich_resumed"] = ORACLE_SQL["enrich_batches"]
+
+#: The view holds what the union query returns.
+ORACLE_SQL["published_union"] = ORACLE_SQL["artists_union"]
+
+ORACLE_SQL["refresh_published"] = "SELECT n_nationkey, lower(n_name) AS n_name FROM nation"
+
+ORACLE_SQL["shared_snapshots"] = """
+    SELECT event_id, user_id, CAST(ts AS DATE) AS ingestion_date FROM events
+    WHERE CAST(ts AS DATE) > (SELECT max(CAST(ts AS DATE)) FROM events) - INTERVAL 20 DAY
+"""
+
 ORACLE_SQL["unique_rows"] = "SELECT DISTINCT p_brand, p_type FROM part"
 
 ORACLE_SQL["head_rows"] = """

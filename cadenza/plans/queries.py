@@ -295,6 +295,26 @@ def q_triple_pivot(spark, sf_dir):
                           label="label")
 
 
+def q_enrich_resumed(spark, sf_dir):
+    """S7 + G2 after an outage: a first run in which the service fails for part of the ids, and a
+    second one that asks only for the ids without an answer."""
+    ids = A.distinct_ids(_t(spark, sf_dir, "orders", "o_orderkey"), "o_orderkey", "id")
+    ledger = work_path(spark, "responses")
+
+    def outage(chunk):
+        if any(int(i) % 1009 == 5 for i in chunk):
+            raise ConnectionError("service unavailable")
+        yield from R.artist_lookup(chunk)
+
+    for fetch, on_error in ((outage, "drop"), (R.artist_lookup, "raise")):
+        rows = E.enrich_batches(ids, "id", fetch, R.ARTIST_BODY_SCHEMA, batch_size=100, on_error=on_error,
+                                max_parallel=_lookup_tasks(spark), ledger=ledger, attempts=1)
+    return rows.select(
+        to_text("id").alias("deezer_artist_id"), F.col("name").alias("deezer_artist_name"),
+        F.col("link").alias("deezer_artist_url"), F.col("nb_fan").alias("deezer_artist_total_followers"),
+        K.run_date(AS_OF).alias("ingestion_date"))
+
+
 def q_catalogue_load(spark, sf_dir):
     """S6 + S10 + K1 + K5: the triple-pattern catalogue landed as a table."""
     return C.load_catalogue(
@@ -744,6 +764,53 @@ def q_catalog_view(spark, sf_dir):
     return spark.newSession().table(f"artists_union_{tag_}")
 
 
+def q_published_union(spark, sf_dir):
+    """K6 + J1 + P6: the whole union as a stored view, published over half of the spotify table and
+    read from another session after the other half was appended."""
+    tag_ = uuid.uuid4().hex[:12]
+    spotify, deezer = f"spotify_{tag_}", f"deezer_{tag_}"
+    half = F.pmod(F.xxhash64("spotify_artist_id"), F.lit(2)) == 0
+    rows = spotify_standin(spark, sf_dir)
+    rows.filter(half).write.option("path", work_path(spark, spotify)).saveAsTable(spotify)
+    deezer_standin(spark, sf_dir).write.option("path", work_path(spark, deezer)).saveAsTable(deezer)
+    C.publish_artists_union(spark, f"union_{tag_}", spotify, deezer, as_of=AS_OF)
+    rows.filter(~half).write.mode("append").saveAsTable(spotify)
+    view = spark.newSession().table(f"union_{tag_}")
+    return view.withColumn("spotify_artist_genres", F.array_join("spotify_artist_genres", ","))
+
+
+def q_refresh_published(spark, sf_dir):
+    """K1 + K5 + K7: a table behind a published view, refreshed twice, the second time from
+    itself; an empty and a failing refresh in between change nothing."""
+    nation = _t(spark, sf_dir, "nation", "n_nationkey", "n_name")
+    name, folder = f"nation_{uuid.uuid4().hex[:12]}", work_path(spark, "nation_versions")
+    K.refresh_published(nation, name, folder, required=["n_nationkey"])
+    K.refresh_published(nation.limit(0), name, folder)
+    nulls = nation.withColumn("n_name", F.nullif("n_name", F.lit("FRANCE")))
+    try:
+        K.refresh_published(nulls, name, folder, required=["n_name"])
+    except ValueError:
+        pass                                             # the published version stays
+    K.refresh_published(spark.table(name).withColumn("n_name", F.lower("n_name")), name, folder)
+    return spark.newSession().table(name)
+
+
+def q_shared_snapshots(spark, sf_dir):
+    """T1 + K2 + K4: one day-partitioned table that a stream, a batch append and expiry share,
+    read as a plain table."""
+    ev = _events_by_day(spark, sf_dir)
+    landing, out = work_path(spark, "events_landing"), work_path(spark, "events_shared")
+    cut = F.lit("2024-01-15").cast("date")
+    ev.filter(F.col("ingestion_date") < cut).withColumnRenamed("ingestion_date", "day").write.parquet(landing)
+    schema = spark.read.parquet(landing).schema
+    for _ in range(2):                                   # a rerun finds nothing new
+        stream_day_snapshots(spark, landing, schema, out, out + "_checkpoint", day_expr=F.col("day"))
+    late = ev.filter(F.col("ingestion_date") >= cut).withColumn("day", F.col("ingestion_date"))
+    K.append_day_partition(late, out)
+    K.expire_partitions(spark, out, days=20)
+    return spark.read.parquet(out).select("event_id", "user_id", "ingestion_date")
+
+
 def q_unique_rows(spark, sf_dir):
     """Unique rows of a selection."""
     return A.unique_rows(_t(spark, sf_dir, "part", "p_brand", "p_type"))
@@ -839,6 +906,10 @@ QUERIES = {
     "day_snapshot": q_day_snapshot,
     "declared_load": q_declared_load,
     "catalog_view": q_catalog_view,
+    "enrich_resumed": q_enrich_resumed,
+    "published_union": q_published_union,
+    "refresh_published": q_refresh_published,
+    "shared_snapshots": q_shared_snapshots,
     "unique_rows": q_unique_rows,
     "head_rows": q_head_rows,
     "flatten_nested": q_flatten_nested,

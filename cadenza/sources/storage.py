@@ -43,12 +43,25 @@ def staging(path: str) -> str:
 
 
 def swap(spark: SparkSession, staged: str, path: str) -> None:
-    """Put the staged folder in the place of ``path``: two renames, so readers see the
-    old table or the new one; the old one is deleted last."""
+    """Put the staged folder in the place of ``path`` by two renames; the old table is deleted
+    last. If the second rename fails the old table is put back, and the error raised. Between
+    the renames there is no table: readers that must never meet that moment read a
+    published table (:func:`cadenza.sources.sinks.refresh_published`)."""
     old = staging(path)
     had = exists(spark, path)
     if had:
         move(spark, path, old)
-    move(spark, staged, path)
+    try:
+        move(spark, staged, path)
+    except Exception:
+        if had:
+            move(spark, old, path)
+        raise
     if had:
         delete(spark, old)
+
+
+def create_empty(spark: SparkSession, path: str) -> None:
+    fs, where = _open(spark, path)
+    fs.mkdirs(where.getParent())
+    fs.create(where, True).close()

@@ -104,3 +104,73 @@ def test_children_flatten(spark):
     assert got["t2"]["spotify_track_artists"] is None      # empty list -> null
     assert got["t2"]["spotify_track_markets"] == ""        # missing list -> ''
     assert got["t2"]["spotify_track_url"] is None          # missing parent -> null
+
+
+def _calls(log):
+    with open(log) as fh:
+        return [line.split(",") for line in fh.read().splitlines()]
+
+
+def test_ledger_asks_again_only_for_what_failed(spark, scratch_dir):
+    """A service that fails once half way: one answer per id, and no more calls than ids plus
+    one batch per failed call."""
+    import os
+
+    import pytest
+
+    from cadenza.operators import enrich as E
+    from conftest import rows
+
+    log, mark = os.path.join(scratch_dir, "calls"), os.path.join(scratch_dir, "failed")
+
+    def service(ids):
+        with open(log, "a") as fh:
+            fh.write(",".join(ids) + "\n")
+        if "77" in ids and not os.path.exists(mark):
+            open(mark, "w").close()
+            raise ConnectionError("down")
+        for i in ids:
+            if i != "13":                       # left out by the service
+                yield i, 200 if int(i) % 10 else 404, '{"id": "%s"}' % i
+
+    ids = spark.range(150).union(spark.range(30)).union(spark.createDataFrame([(None,)], "id long"))
+    ledger = os.path.join(scratch_dir, "ledger")
+    out = E.enrich_batches(ids, "id", service, "id string", batch_size=10, max_parallel=3, ledger=ledger)
+    good = [(str(i), str(i)) for i in range(150) if i % 10 and i != 13]
+    assert rows(out) == sorted(good)
+    asked = [i for c in _calls(log) for i in c]
+    assert sorted(set(asked), key=int) == [str(i) for i in range(150)] and len(asked) <= 150 + 10
+    answered = E.read_ledger(spark, ledger).filter("status <> -1").groupBy("request_id").count()
+    assert answered.count() == 150 and answered.filter("count > 1").count() == 0
+    # A rerun asks for new ids only.
+    E.enrich_batches(spark.range(140, 155), "id", service, "id string", batch_size=10, ledger=ledger)
+    assert sorted(i for c in _calls(log) for i in c)[-5:] and \
+        {i for c in _calls(log) for i in c} - set(asked) == {str(i) for i in range(150, 155)}
+
+    def broken(ids):
+        raise TimeoutError("never")
+
+    more = spark.range(149, 200)
+    with pytest.raises(RuntimeError, match="45 ids have no answer"):
+        E.answer_all(more, "id", broken, ledger, attempts=2)
+    some = E.answer_all(more, "id", broken, ledger, attempts=1, on_error="drop")
+    assert rows(some, "request_id") == [(str(i),) for i in range(149, 155)]
+
+
+def test_ledger_in_rounds(spark, scratch_dir):
+    import os
+
+    from cadenza.operators import enrich as E
+
+    log = os.path.join(scratch_dir, "calls")
+
+    def service(ids):
+        with open(log, "a") as fh:
+            fh.write(",".join(ids) + "\n")
+        yield from ((i, 200, "{}") for i in ids)
+
+    got = E.answer_all(spark.range(300), "id", service, os.path.join(scratch_dir, "ledger"), batch_size=7,
+                       max_parallel=2, batches_per_task=3)
+    assert got.count() == 300 and sorted(int(i) for c in _calls(log) for i in c) == list(range(300))
+    assert max(len(c) for c in _calls(log)) <= 7
+    assert E.answer_all(spark.range(0), "id", service, os.path.join(scratch_dir, "none")).count() == 0

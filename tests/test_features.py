@@ -112,3 +112,21 @@ def test_similar_tracks_flow(spark):
     with pytest.raises(ValueError):
         similar_tracks(tracks, "track_id", "artist", "title", ["dance", "tempo"], "B", "song",
                        display=["artist"])
+
+
+def test_vector_scaling_and_group_means_with_nulls(spark):
+    import numpy as np
+
+    df = spark.createDataFrame([(1, "a", [1.0, 5.0]), (2, "a", [3.0, 5.0]), (3, "b", None), (4, "b", [8.0, 5.0]),
+                                (5, "c", None)], "id int, g string, v array<float>")
+    for f32, kind in ((True, "array<float>"), (False, "array<double>")):
+        out = FT.standardize_array(df, "v", "z", float32=f32)
+        assert dict(out.dtypes)["z"] == kind
+        got = {r["id"]: r["z"] for r in out.collect()}
+        std = np.std([1, 3, 8])
+        assert got[3] is None and got[5] is None
+        assert np.allclose([got[i] for i in (1, 2, 4)], [[-3 / std, 0], [-1 / std, 0], [4 / std, 0]], atol=1e-6)
+    means = {r["g"]: r["v"] for r in FT.group_vector_means(df, "g", "v").collect()}
+    assert means == {"a": [2.0, 5.0], "b": [8.0, 5.0]}
+    plan = FT.group_vector_means(df, "g", "v")._jdf.queryExecution().optimizedPlan().toString()
+    assert "Generate" not in plan

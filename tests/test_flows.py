@@ -113,3 +113,16 @@ def test_artist_refresh_updates_the_dimension_readers_use(spark, scratch_dir):
         ("sp1", 1), ("sp2", 2)]
     assert sorted(n for n in os.listdir(scratch_dir) if not n.startswith(".")) == ["dim", "fact"]
     assert not [n for n in os.listdir(scratch_dir) if n.startswith(".")]
+
+
+def test_artist_refresh_reruns_on_the_same_day(spark, scratch_dir):
+    from cadenza.plans.catalogue import artist_refresh
+    from cadenza.plans.responders import ARTISTS_BATCH_SCHEMA, artists_batch_lookup
+
+    dim, fact = os.path.join(scratch_dir, "dim"), os.path.join(scratch_dir, "fact")
+    ids = spark.createDataFrame([(1,), (2,)], "o_orderkey long")
+    for _ in range(2):
+        out = artist_refresh(ids, "o_orderkey", artists_batch_lookup, ARTISTS_BATCH_SCHEMA, dim, fact,
+                             as_of="2024-01-31")
+        assert rows(out, "spotify_artist_id", "spotify_artist_popularity") == [("sp1", 1), ("sp2", 2)]
+    assert spark.read.parquet(fact).count() == 2

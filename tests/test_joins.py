@@ -108,3 +108,40 @@ def test_triple_pattern_with_hot_subject(spark):
             .join(property_rows(t, "url", "url"), "item", "left"))
     assert rows(got, "item", "did", "tid", "url") == rows(want, "item", "did", "tid", "url")
     assert got.count() == 42
+
+
+def test_left_side_is_evaluated_once(spark):
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for b in batches:
+            seen.add(b.num_rows)
+            yield b
+
+    left = spark.range(1000).mapInArrow(count, "id long").select(
+        F.when(F.col("id") % 5 != 0, F.col("id") % 50).alias("k"), "id")
+    right = spark.range(0, 90, 2).select((F.col("id") % 60).alias("k"), F.col("id").alias("v"))
+    got = J.left_join_balanced(left, right, "k")
+    plain = spark.range(1000).select(F.when(F.col("id") % 5 != 0, F.col("id") % 50).alias("k"), "id").join(
+        right, "k", "left")
+    assert rows(got) == rows(plain)
+    assert seen.value == 1000
+
+
+def test_pattern_plan_grows_by_a_constant_per_property(spark):
+    from cadenza.operators.graph import triple_pattern
+
+    t = spark.createDataFrame(
+        [(f"s{i % 7}", f"p{i % 6}", str(i)) for i in range(60)] + [(None, "p0", "x"), (None, "p1", "y")],
+        "subject string, predicate string, object string").filter("subject is null or subject <> 's9'")
+    scans = []
+    for n in range(1, 6):
+        out = triple_pattern(t, ("p0", "a"), [(f"p{i}", f"o{i}") for i in range(1, n + 1)])
+        plan = out._jdf.queryExecution().optimizedPlan().toString()
+        scans.append(plan.count("LogicalRDD") + plan.count("LocalRelation"))
+    assert len({b - a for a, b in zip(scans, scans[1:])}) == 1
+    side = lambda p, c: t.filter(F.col("predicate") == p).select("subject", F.col("object").alias(c))
+    plain = side("p0", "a")
+    for i in range(1, 6):
+        plain = plain.join(side(f"p{i}", f"o{i}"), "subject", "left")
+    assert rows(out) == rows(plain.withColumnRenamed("subject", "item"))

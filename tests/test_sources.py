@@ -186,3 +186,116 @@ def test_landed_tables_go_when_the_run_ends(spark):
     path = landed.inputFiles()[0].replace("file://", "")
     assert landed.count() == 3 and os.path.exists(path)
     assert clean_work(spark) >= 1 and not os.path.exists(path)
+
+
+def test_published_refresh_survives_failure_and_readers(spark, scratch_dir, monkeypatch):
+    """A failing last step leaves the old rows; a reader that loops over the table in another
+    session meets whole versions only and never fails."""
+    import threading
+
+    import pytest
+
+    name, folder = "versions_under_test", os.path.join(scratch_dir, "versions")
+    version = lambda v: spark.range(20).select(F.lit(v).alias("v"))
+    assert K.refresh_published(version(0), name, folder)
+    with monkeypatch.context() as m:
+        m.setattr(K, "publish_catalog_view", lambda *a: (_ for _ in ()).throw(OSError("switch failed")))
+        with pytest.raises(OSError, match="switch"):
+            K.refresh_published(version(9), name, folder)
+    assert rows(spark.table(name).distinct()) == [(0,)] and len(os.listdir(folder)) == 1
+    with pytest.raises(ValueError):
+        K.refresh_published(spark.createDataFrame([(None,)], "v int"), name, folder, required=["v"])
+    assert not K.refresh_published(version(1).limit(0), name, folder)
+    seen, errors, stop = [], [], threading.Event()
+
+    def read():
+        other = spark.newSession()
+        while not stop.is_set():
+            try:
+                seen.append(tuple(other.table(name).groupBy("v").count().first()))
+            except Exception as exc:  # noqa: BLE001
+                errors.append(exc)
+
+    reader = threading.Thread(target=read)
+    reader.start()
+    for v in range(1, 6):
+        K.refresh_published(version(v), name, folder)
+    stop.set()
+    reader.join()
+    assert not errors and seen and all(n == 20 for _, n in seen)
+    assert [v for v, _ in seen] == sorted(v for v, _ in seen)
+    assert rows(spark.table(name).distinct()) == [(5,)] and len(os.listdir(folder)) == 2
+    spark.sql(f"DROP VIEW {name}")
+
+
+def test_refresh_puts_the_old_table_back(spark, scratch_dir, monkeypatch):
+    import pytest
+
+    from cadenza.sources import storage
+
+    path = os.path.join(scratch_dir, "t")
+    K.write_full_refresh(spark.createDataFrame([(1,)], "x int"), path)
+    real, calls = storage.move, []
+
+    def fails_second(s, a, b):
+        calls.append(b)
+        if len(calls) == 2:
+            raise OSError("second rename")
+        real(s, a, b)
+
+    monkeypatch.setattr(storage, "move", fails_second)
+    with pytest.raises(OSError, match="second"):
+        K.write_full_refresh(spark.createDataFrame([(2,)], "x int"), path)
+    assert rows(spark.read.parquet(path)) == [(1,)] and os.listdir(scratch_dir) == ["t"]
+
+
+def test_failing_append_leaves_the_table_as_it_was(spark, scratch_dir):
+    import pytest
+
+    path = os.path.join(scratch_dir, "days")
+    day = lambda c: F.date_add(F.lit("2024-01-01").cast("date"), (F.col(c) % 3).cast("int"))
+    base = spark.range(9).select("id", day("id").alias("ingestion_date"))
+    K.append_day_partition(base, path)
+    broken = spark.range(0, 400, 1, 8).select(
+        F.when(F.col("id") != 399, F.col("id")).otherwise(F.raise_error(F.lit("broken")).cast("long")).alias("id"),
+        day("id").alias("ingestion_date"))
+    nulls = base.withColumn("id", F.nullif("id", F.lit(4)))
+    for replace in (False, True):
+        with pytest.raises(Exception, match="broken"):
+            K.append_day_partition(broken, path, replace_day=replace)
+        with pytest.raises(Exception, match="required column id holds nulls"):
+            K.append_day_partition(nulls, path, replace_day=replace, required=["id"])
+        assert rows(spark.read.parquet(path), "id") == [(i,) for i in range(9)]
+    # A day that is replaced takes no other day with it.
+    K.append_day_partition(base.filter("id = 4"), path, replace_day=True)
+    assert rows(spark.read.parquet(path), "id") == [(0,), (2,), (3,), (4,), (5,), (6,), (8,)]
+    assert os.listdir(scratch_dir) == ["days"]
+
+
+def test_keyed_append_happens_once(spark, scratch_dir, monkeypatch):
+    import pytest
+
+    from cadenza.sources import storage
+
+    path = os.path.join(scratch_dir, "days")
+    rows_of = lambda k: spark.range(40 * k, 40 * k + 40).select(
+        "id", F.date_add(F.lit("2024-01-01").cast("date"), (F.col("id") % 4).cast("int")).alias("ingestion_date"))
+    ids = lambda: sorted(r["id"] for r in spark.read.parquet(path).collect())
+    assert K.append_day_partition(rows_of(0), path, commit_key=("w", 0))
+    assert not K.append_day_partition(rows_of(0), path, commit_key=("w", 0))
+    assert K.append_day_partition(rows_of(1), path, commit_key=("other", 0))
+    real, left = storage.move, [2]
+
+    def fails_third(s, a, b):
+        left[0] -= 1
+        if left[0] < 0:
+            raise OSError("lost")
+        real(s, a, b)
+
+    with monkeypatch.context() as m:
+        m.setattr(storage, "move", fails_third)
+        with pytest.raises(OSError):
+            K.append_day_partition(rows_of(2), path, commit_key=("w", 1))
+    assert K.append_day_partition(rows_of(2), path, commit_key=("w", 1))      # the repeat
+    assert not K.append_day_partition(rows_of(0), path, commit_key=("w", 0))
+    assert ids() == list(range(120)) and os.listdir(scratch_dir) == ["days"]
