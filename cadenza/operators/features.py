@@ -41,11 +41,13 @@ def standardize(df: DataFrame, features, fit_on: DataFrame | None = None,
 
 def vector_stats(df: DataFrame, vec: str) -> tuple[list, list]:
     """Mean and population deviation (1 where constant) of each position of a
-    vector column: one aggregate whose buffer holds d numbers, no row per entry."""
+    vector column (null vectors do not count): one aggregate whose buffer holds d numbers, no
+    row per entry."""
     from pyspark.ml.functions import array_to_vector
     from pyspark.ml.stat import Summarizer
 
-    got = df.select(array_to_vector(F.col(vec).cast("array<double>")).alias("_v")).agg(
+    present = df.filter(F.col(vec).isNotNull())
+    got = present.select(array_to_vector(F.col(vec).cast("array<double>")).alias("_v")).agg(
         Summarizer.metrics("mean", "variance", "count").summary(F.col("_v")).alias("s")).select(
         "s.mean", "s.variance", "s.count").first()
     n = got["count"]
