@@ -27,6 +27,8 @@ id sorts first. Columns other than id and text are not read.
 
 from __future__ import annotations
 
+from functools import lru_cache
+
 import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -40,12 +42,18 @@ BUCKETS = 1 << 14
 STRETCH = 1 << 12
 
 
+@lru_cache(maxsize=4)
+def _directions(dims: int) -> np.ndarray:
+    """The random projection (buckets x dims), drawn once per worker."""
+    return np.random.default_rng(1891).standard_normal((BUCKETS, dims)).astype(np.float32)
+
+
 def project(texts: tv.Texts, dims: int) -> np.ndarray:
     """Projected unit vectors of a slice of texts (texts x dims)."""
     texts.split()
     if not len(texts.start):
         return np.zeros((texts.n, dims))
-    matrix = np.random.default_rng(1891).standard_normal((BUCKETS, dims)).astype(np.float32)
+    matrix = _directions(dims)
     keys, doc, count = tv.distinct_in_text(texts.doc, texts.word_hash(tv.LOWER))
     bucket = (keys & np.uint64(BUCKETS - 1)).astype(np.int64)
     weight = 1 + np.log(count)

@@ -16,11 +16,13 @@
    best value is ``margin`` below the threshold is dropped (5.6 standard
    errors at 200 registers). Sizes that cannot reach the threshold go first.
 5. Verification on full sets, and components of the verified links.
-6. What leaders could not show: where classes that meet in buckets (directly or
-   through others) still form several components, every class outside the
-   largest of these is a query. Queries are compared on their full sets with all classes
-   of their group that their size allows, in blocks of bounded size. So two
-   classes are linked whether or not a leader links to either.
+6. What leaders could not show: a bucket that still holds classes of several components is
+   open, and its classes are compared with each other by the same estimate, pairs of one
+   component left out, in blocks of bounded size; no text is read for that. Of the pairs that
+   remain likely, each class first verifies its likeliest one; then those whose ends
+   are still in different components are verified too. So two classes are linked whether or not a
+   leader links to either, and a family that shares a header and no more costs register
+   comparisons only.
 
 Missed links: a pair at similarity 0.8 shares no band with probability 1.2e-7
 (40 bands of 5 registers).
@@ -43,7 +45,7 @@ from cadenza.session import ship_package
 from cadenza.sources.sinks import land_table
 
 BASE, RATE, TOP = 1.02, 20.0, 4094
-#: Shingles that one block of queries may hold, and texts one block may read.
+#: Shingles that one block of queries may hold, and texts (or classes of a bucket) of one block.
 BLOCK_SHINGLES, BLOCK_TEXTS = 400_000, 2_000
 
 
@@ -126,7 +128,7 @@ def sketch(docs: DataFrame, id_col: str, text_col: str, shingle: int, m: int) ->
         f"_id {kind}, _th long, _n long, _f1 long, _f2 long, _regs binary")
 
 
-def _band_task(bands: int, rows: int):
+def _band_task(bands: int, rows: int, carry=("_id", "_n")):
     def run(batches):
         import pyarrow as pa
 
@@ -139,10 +141,10 @@ def _band_task(bands: int, rows: int):
                 for k in range(rows):
                     key = tv.mix(key * np.uint64(0x9E3779B97F4A7C15)
                                  + regs[:, :, k].astype(np.uint64))
-                who = np.repeat(np.arange(len(regs)), bands)
+                who = pa.array(np.repeat(np.arange(len(regs)), bands))
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(key.reshape(-1).view(np.int64)), part.column("_id").take(pa.array(who)),
-                     part.column("_n").take(pa.array(who))], names=["_key", "_id", "_n"])
+                    [pa.array(key.reshape(-1).view(np.int64)), *[part.column(c).take(who) for c in carry]],
+                    names=["_key", *carry])
     return run
 
 
@@ -274,35 +276,100 @@ def _leader_blocks(likely: DataFrame) -> DataFrame:
             blk, F.lit(0).alias("_role"), F.col("_lead").alias("_id")))
 
 
-def _open_blocks(nodes: DataFrame, pct: int) -> DataFrame:
-    """What leaders could not show: in groups that still have several components
-    (``nodes``: ``_id, _n, _group, _comp``), every class outside the largest one as
-    a query against all classes of its group that its size allows."""
-    nodes = nodes.withColumn("_level", F.floor(F.log(F.col("_n").cast("double")) / np.log(1.1)))
-    main = (nodes.groupBy("_group", "_comp").agg(F.count(F.lit(1)).alias("_c"))
-            .groupBy("_group").agg(F.max(F.struct("_c", "_comp")).alias("_big"),
-                                   F.count(F.lit(1)).alias("_comps"))
-            .filter(F.col("_comps") > 1).select("_group", F.col("_big._comp").alias("_main")))
-    split = nodes.join(main, "_group")
-    queries = split.filter(F.col("_comp") != F.col("_main"))
-    # Blocks hold queries of like size: by group, size level and salt. Targets are dealt
-    # out as well, so each block reads about BLOCK_TEXTS of them.
-    deals = split.groupBy("_group").agg(F.ceil(F.count(F.lit(1)) / BLOCK_TEXTS).alias("_deals"))
-    load = queries.groupBy("_group", "_level").agg(
-        F.ceil(F.sum("_n") / BLOCK_SHINGLES).alias("_parts")).join(deals, "_group")
-    reach = int(np.ceil(np.log(100 / pct) / np.log(1.1))) + 1
-    up_to = lambda c: F.explode(F.sequence(F.lit(0).cast("long"), F.col(c) - 1))
-    blk = F.xxhash64("_group", "_level", "_salt", "_deal").alias("_blk")
-    asked = (queries.join(load, ["_group", "_level"])
-             .withColumn("_salt", F.pmod(F.xxhash64("_id"), F.col("_parts")))
-             .withColumn("_deal", up_to("_deals")).select(blk, F.lit(0).alias("_role"), "_id"))
-    targets = (split.select("_id", "_group", F.explode(F.sequence(
-        F.col("_level") - reach, F.col("_level") + reach)).alias("_level"))
-        .join(load, ["_group", "_level"])
-        .withColumn("_salt", up_to("_parts"))
-        .withColumn("_deal", F.pmod(F.xxhash64("_id"), F.col("_deals")))
-        .select(blk, F.lit(1).alias("_role"), "_id"))
-    return asked.unionByName(targets)
+def _bucket_task(pct: int, least: float):
+    """Rows sorted by block: pairs of classes of a block that are of different components, of
+    sizes that can reach the threshold, and likely by the joint estimate. In a block of
+    two deals only classes of different deals are compared."""
+    def pairs(ids, n, comp, deal, regs):
+        _, comp = np.unique(np.array(comp, dtype=object), return_inverse=True)
+        n, deal, regs = np.array(n), np.array(deal), np.stack(regs)
+        mixed = deal.min() != deal.max()
+        found_a, found_b = [], []
+        for q in range(len(ids) - 1):
+            rest = np.arange(q + 1, len(ids))
+            fit = (comp[rest] != comp[q]) & (100 * np.minimum(n[rest], n[q]) >= pct * np.maximum(n[rest], n[q]))
+            if mixed:
+                fit &= deal[rest] != deal[q]
+            rest = rest[fit]
+            # Equal registers first: fewer than ``least`` of them is 7 standard errors off.
+            rest = rest[(regs[rest] == regs[q]).sum(1) >= least * regs.shape[1]]
+            found_a.append(np.full(len(rest), q))
+            found_b.append(rest)
+        a, b = np.concatenate(found_a), np.concatenate(found_b)
+        for at in range(0, len(a), 2048):
+            x, y = a[at:at + 2048], b[at:at + 2048]
+            j = likelihood_jaccard(regs[x], regs[y], n[x].astype(float), n[y].astype(float))
+            for k in np.flatnonzero(j >= least):
+                yield ids[x[k]], ids[y[k]], int(n[x[k]]), int(n[y[k]]), float(j[k])
+
+    def run(batches):
+        import pyarrow as pa
+
+        def out(kind, rows):
+            cols = list(zip(*rows)) if rows else [()] * 5
+            types = (kind, kind, pa.int64(), pa.int64(), pa.float64())
+            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types)],
+                                              names=["_lead", "_id", "_na", "_nb", "_est"])
+
+        block, held, kind = None, [], None
+        for batch in batches:
+            kind = batch.schema.field("_id").type
+            rows = zip(*[batch.column(c).to_pylist() for c in ("_blk", "_id", "_n", "_comp", "_deal")],
+                       batch.column("_regs").to_pylist())
+            found = []
+            for blk, *row, raw in rows:
+                if blk != block:
+                    if len(held) > 1:
+                        found += pairs(*zip(*held))
+                    block, held = blk, []
+                held.append((*row, np.frombuffer(raw, dtype="<u2")))
+            yield out(kind, found)
+        if len(held) > 1:
+            yield out(kind, list(pairs(*zip(*held))))
+    return run
+
+
+def open_pairs(classes: DataFrame, bands: int, rows: int, pct: int, margin: float) -> DataFrame:
+    """Likely pairs ``_lead, _id, _na, _nb, _est`` between classes (``_id, _n, _regs, _comp``)
+    that share a bucket and are of different components."""
+    kind = classes.schema["_id"].dataType.simpleString()
+    banded = classes.mapInArrow(_band_task(bands, rows, ("_id", "_comp")),
+                                f"_key long, _id {kind}, _comp {kind}")
+    buckets = land_table(
+        banded.groupBy("_key").agg(F.min("_comp").alias("_lo"), F.max("_comp").alias("_hi"),
+                                   F.ceil(F.count(F.lit(1)) / BLOCK_TEXTS).alias("_deals"))
+        .filter(F.col("_lo") != F.col("_hi")).select("_key", "_deals"), "open-buckets")
+    # A bucket of several deals gives a block per pair of deals.
+    deal = F.pmod(F.xxhash64("_id"), F.col("_deals"))
+    dealt = (banded.join(buckets, "_key").select("_key", "_id", deal.alias("_deal"), F.explode(
+        F.sequence(F.lit(0).cast("long"), F.col("_deals") - 1)).alias("_with"))
+        .select(F.xxhash64("_key", F.least("_deal", "_with"), F.greatest("_deal", "_with")).alias("_blk"),
+                "_id", "_deal"))
+    ready = dealt.join(classes, "_id").repartition("_blk").sortWithinPartitions("_blk")
+    found = ready.select("_blk", "_id", "_n", "_comp", "_deal", "_regs").mapInArrow(
+        _bucket_task(pct, pct / 100 - margin), f"_lead {kind}, _id {kind}, _na long, _nb long, _est double")
+    flip = F.col("_lead") > F.col("_id")
+    return found.select(
+        F.least("_lead", "_id").alias("_lead"), F.greatest("_lead", "_id").alias("_id"),
+        F.when(flip, F.col("_nb")).otherwise(F.col("_na")).alias("_na"),
+        F.when(flip, F.col("_na")).otherwise(F.col("_nb")).alias("_nb"), "_est").distinct()
+
+
+def _likeliest(pairs: DataFrame) -> DataFrame:
+    """The likeliest pair of every class, each once."""
+    both = pairs.select("_id", F.struct("_est", "_lead", "_id", "_na", "_nb").alias("_p")).unionByName(
+        pairs.select(F.col("_lead").alias("_id"), F.struct("_est", "_lead", "_id", "_na", "_nb").alias("_p")))
+    return both.groupBy("_id").agg(F.max("_p").alias("_p")).select("_p.*").distinct()
+
+
+def _merged(comp: DataFrame, links: DataFrame) -> DataFrame:
+    """``comp`` (``_id, _comp``) after further links ``_q, _t``: a graph of components only."""
+    side = lambda c: comp.select(F.col("_id").alias(c), F.col("_comp").alias(c + "c"))
+    ends = (links.join(side("_q"), "_q", "left").join(side("_t"), "_t", "left")
+            .select(F.coalesce("_qc", "_q").alias("_q"), F.coalesce("_tc", "_t").alias("_t")))
+    joined = components(ends, "_q", "_t").select("node", F.col("component").alias("_to"))
+    return land_table(comp.join(joined, F.col("_comp") == F.col("node"), "full").select(
+        F.coalesce("_id", "node").alias("_id"), F.coalesce("_to", "_comp").alias("_comp")), "components")
 
 
 def near_duplicate_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -330,13 +397,22 @@ def near_duplicate_classes(docs: DataFrame, id_col: str = "doc_id", text_col: st
 
     likely = land_table(likely_pairs(pairs, reps, pct, margin), "likely")
     links = land_table(_verified(_leader_blocks(likely), texts, shingle, pct), "links")
-    comp = components(links, "_q", "_t").select(F.col("node").alias("_id"), "component")
-    group = components(pairs, "_lead", "_id").select(F.col("node").alias("_id"),
-                                                     F.col("component").alias("_group"))
-    nodes = land_table(reps.groupBy("_id").agg(F.max("_n").alias("_n")).join(group, "_id")
-                       .join(comp, "_id", "left").select(
-                           "_id", "_n", "_group", F.coalesce("component", "_id").alias("_comp")), "nodes")
-    more = land_table(_verified(_open_blocks(nodes, pct), texts, shingle, pct), "more_links")
+    comp = components(links, "_q", "_t").select(F.col("node").alias("_id"), F.col("component").alias("_comp"))
+
+    def components_of(rows, comp):
+        return rows.join(comp, "_id", "left").withColumn("_comp", F.coalesce("_comp", "_id"))
+
+    sizes = reps.join(met, "_id", "left_semi").groupBy("_id").agg(F.max(F.struct("_n", "_regs")).alias("_r"))
+    classes = land_table(components_of(sizes.select("_id", "_r._n", "_r._regs"), comp), "met-classes")
+    more = land_table(open_pairs(classes, bands, rows, pct, margin), "open-pairs")
+    best = land_table(_likeliest(more), "likeliest")
+    late = land_table(_verified(_leader_blocks(best), texts, shingle, pct), "late-links")
+    comp = _merged(comp, late)
+    ends = (components_of(more.join(best, ["_lead", "_id"], "left_anti"), comp)
+            .join(comp.select(F.col("_id").alias("_lead"), F.col("_comp").alias("_other")), "_lead", "left")
+            .filter(F.col("_comp") != F.coalesce("_other", "_lead")))
+    last = land_table(_verified(_leader_blocks(ends.select("_lead", "_id", "_na", "_nb")), texts, shingle, pct),
+                      "last-links")
 
     members = sk.join(cls.select("_n", "_f1", "_f2", F.col("_id").alias("_cid")),
                       ["_n", "_f1", "_f2"], "left").select("_id", "_th", "_n", "_cid")
@@ -345,15 +421,9 @@ def near_duplicate_classes(docs: DataFrame, id_col: str = "doc_id", text_col: st
     twice = (known.groupBy("_id").agg(F.min("_th").alias("_t1"), F.max("_th").alias("_t2"))
              .filter("_t1 <> _t2").select("_id"))
     same = known.join(twice, "_id", "left_semi").select(F.col("_id").alias("_q"), F.col("_cid").alias("_t"))
-    # Later links join components that are known already: a small graph.
-    late = more.unionByName(same)
-    side = lambda c: comp.select(F.col("_id").alias(c), F.col("component").alias(c + "c"))
-    late_ends = (late.join(side("_q"), "_q", "left").join(side("_t"), "_t", "left")
-                 .select(F.coalesce("_qc", "_q").alias("_q"), F.coalesce("_tc", "_t").alias("_t")))
-    joined = components(late_ends, "_q", "_t").select("node", F.col("component").alias("_to"))
-    comp = (comp.join(joined, F.col("component") == F.col("node"), "full")
-            .select(F.coalesce("_id", "node").alias("_cid"), F.coalesce("_to", "component").alias("_comp")))
-    return members, links.unionByName(late).distinct(), comp
+    comp = _merged(comp, last.unionByName(same))
+    return (members, links.unionByName(late).unionByName(last).unionByName(same).distinct(),
+            comp.withColumnRenamed("_id", "_cid"))
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",

@@ -147,5 +147,6 @@ def read_token_files(spark: SparkSession, folder: str) -> DataFrame:
     # One row per file: a running total over so few rows is one small task.
     order = Window.orderBy("part")
     based = parts.withColumn("base", F.sum("n_tokens").over(order) - F.col("n_tokens"))
-    return based.repartition("part").mapInArrow(
+    # A task per file: a repartition by number is not merged.
+    return based.repartition(max(1, parts.count())).mapInArrow(
         _read_task(), "doc_id long, start long, n_tokens long, ids binary")

@@ -9,8 +9,10 @@ be cut
   (which may begin a contraction),
 
 and its ids are the ids of the pieces, side by side. Pieces are found and hashed
-(two 64-bit hashes) for a slice of texts at once, and looked up in a hash table of
-pieces seen before; only new pieces go through the tokenizer. Texts with white space
+for a slice of texts at once, and looked up in a hash table of pieces seen before (by
+a 64-bit hash, their length and their first eight bytes); only new pieces go through the tokenizer.
+New pieces that begin with white space and end with something else may stand side by
+side in one string, by the first rule, and go through it together. Texts with white space
 outside ASCII, and texts that hold the string of an added token of the file (such as
 ``<|endoftext|>``, which the tokenizer takes as that token), are encoded whole.
 ``tests/llm`` compares with the tokenizer.
@@ -27,13 +29,13 @@ from cadenza.llm import textvec as tv
 _SPACE = ~tv.NOT_SPACE
 _ALNUM = tv.ALNUM & (tv.ALL < 128)
 _MARK = (tv.ALL > 32) & (tv.ALL < 127) & ~_ALNUM & (tv.ALL != ord("'"))
-_OTHER_WAY = (255 - tv.ALL).astype(np.uint8)      # another byte order for the second hash
 # White space outside ASCII, in UTF-8 (first bytes, last bytes).
 _WIDE = ((b"\xc2", (0x85, 0xA0)), (b"\xe1\x9a", (0x80,)),
          (b"\xe2\x80", (*range(0x80, 0x8B), 0xA8, 0xA9, 0xAF)), (b"\xe2\x81", (0x9F,)),
          (b"\xe3\x80", (0x80,)))
 _SLOTS = 1 << 21
 _FULL = 1_000_000
+_JOINED = 256                                     # new pieces in one string
 
 
 def _whole_texts(texts: tv.Texts, added: list[bytes]) -> np.ndarray:
@@ -56,10 +58,30 @@ def _whole_texts(texts: tv.Texts, added: list[bytes]) -> np.ndarray:
     return np.unique(np.searchsorted(texts.lo, at, side="right") - 1) if len(at) else at
 
 
+def _heads(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """The first eight bytes of each piece (fewer: filled with its length), and its length
+    mixed in."""
+    padded = np.concatenate([data, np.zeros(8, np.uint8)])
+    words = np.ndarray((len(data) + 1,), dtype="<u8", buffer=padded, strides=(1,))
+    size = (end - start).astype(np.uint64)
+    gone = np.uint64(8) * (np.uint64(8) - np.minimum(size, np.uint64(8)))
+    return (words[start] << gone) ^ (size * np.uint64(0x9E3779B97F4A7C15))
+
+
+def _kind(piece: str) -> int:
+    """How a new piece that may be joined goes through the tokenizer: 2 for a space and ASCII
+    letters, else 1. (0: alone.)"""
+    return 2 if piece[0] == " " and piece.isascii() and piece[1:].isalpha() else 1
+
+
 class Encoder:
     """Encodes slices of texts. One per Python worker (see :func:`encoder`)."""
 
     def __init__(self, path: str):
+        import os
+
+        # A task has one core; the library's own threads would spin beside it.
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
@@ -67,10 +89,12 @@ class Encoder:
         self.added = [t.content.encode() for t in tokens]
         # Such a token may be found in a text without its string: nothing is cut.
         self.never_cut = any(t.normalized for t in tokens)
+        # Pieces side by side must not spell such a token.
+        self.joins = not any(c.isspace() for t in tokens for c in t.content)
         self._clear()
 
     def _clear(self):
-        self.key = np.zeros((_SLOTS, 2), dtype=np.uint64)    # both hashes of a slot's piece
+        self.key = np.zeros((_SLOTS, 2), dtype=np.uint64)    # hash and head of a slot's piece
         self.code = np.full(_SLOTS, -1, dtype=np.int32)      # number of the piece, -1: free
         self.ids = np.zeros(1 << 20, dtype=np.uint32)        # ids of all pieces
         self.at = np.zeros(_FULL + (1 << 20), dtype=np.int64)    # by number: where its ids begin
@@ -92,17 +116,34 @@ class Encoder:
             slot[open_] = (slot[open_] + 1) & (_SLOTS - 1)
         return code, slot
 
-    def _add(self, a: np.ndarray, b: np.ndarray, words: list[str]) -> None:
-        """Encode new, distinct pieces and enter them."""
-        for at in range(0, len(words), 8192):
-            ids = [e.ids for e in self.tokenizer.encode_batch_fast(
-                words[at:at + 8192], add_special_tokens=False)]
+    def _ids(self, words: list[str], kind: int) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of pieces of one kind (see :func:`_kind`) side by side, and how many each has."""
+        if not kind:
+            ids = [e.ids for e in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)]
             size = np.fromiter(map(len, ids), dtype=np.int64, count=len(ids))
-            n, total = len(ids), int(size.sum())
+            return np.fromiter(chain.from_iterable(ids), dtype=np.uint32, count=int(size.sum())), size
+        parts = [words[at:at + _JOINED] for at in range(0, len(words), _JOINED)]
+        found, size = [], []
+        for part, e in zip(parts, self.tokenizer.encode_batch(["".join(p) for p in parts],
+                                                              add_special_tokens=False)):
+            if kind == 2:                     # a piece is one word of the pre-tokenizer
+                at = np.array(e.word_ids, dtype=np.int64)
+            else:                             # a token belongs to the piece of its first character
+                ends = np.cumsum(np.fromiter(map(len, part), dtype=np.int64, count=len(part)))
+                at = np.searchsorted(ends, np.fromiter((o[0] for o in e.offsets), dtype=np.int64,
+                                                       count=len(e.ids)), "right")
+            size.append(np.bincount(at, minlength=len(part)))
+            found.append(np.array(e.ids, dtype=np.uint32))
+        return np.concatenate(found), np.concatenate(size)
+
+    def _add(self, a: np.ndarray, b: np.ndarray, words: list[str], kind: int = 0) -> None:
+        """Encode new, distinct pieces of one kind and enter them."""
+        for at in range(0, len(words), 8192):
+            ids, size = self._ids(words[at:at + 8192], kind)
+            n, total = len(size), len(ids)
             while self.used + total > len(self.ids):
                 self.ids = np.concatenate([self.ids, np.zeros_like(self.ids)])
-            self.ids[self.used:self.used + total] = np.fromiter(
-                chain.from_iterable(ids), dtype=np.uint32, count=total)
+            self.ids[self.used:self.used + total] = ids
             if self.pieces + n > len(self.at):
                 self.at = np.concatenate([self.at, np.zeros_like(self.at)])
                 self.size = np.concatenate([self.size, np.zeros_like(self.size)])
@@ -139,7 +180,7 @@ class Encoder:
             cut[texts.lo[d] + 1:texts.hi[d]] = False
         start = np.flatnonzero(cut)
         end = np.append(start[1:], len(data))
-        a, b = texts.range_hash(start, end), texts.range_hash(start, end, _OTHER_WAY)
+        a, b = texts.range_hash(start, end), _heads(data, start, end)
         if self.pieces > _FULL:
             self._clear()
         code, _ = self._find(a, b)
@@ -148,7 +189,19 @@ class Encoder:
             _, first = np.unique(a[new], return_index=True)
             some = new[first]
             raw = data.tobytes()
-            self._add(a[some], b[some], [raw[x:y].decode() for x, y in zip(start[some], end[some])])
+            join = space[start[some]] & ~space[end[some] - 1]
+            if not self.joins:
+                join[:] = False
+            # White space of other kinds stands only in texts that are one piece.
+            one = np.zeros(n, dtype=bool)
+            one[np.asarray(whole, dtype=np.int64)] = True
+            join &= ~one[np.searchsorted(texts.lo, start[some], "right") - 1]
+            words = [raw[x:y].decode() for x, y in zip(start[some], end[some])]
+            kinds = np.array([_kind(w) if k else 0 for w, k in zip(words, join)])
+            for kind in (0, 1, 2):
+                k = np.flatnonzero(kinds == kind)
+                if len(k):
+                    self._add(a[some[k]], b[some[k]], [words[x] for x in k], kind)
             code[new], _ = self._find(a[new], b[new])
             for k in np.flatnonzero(code < 0):       # equal in one hash only
                 if code[k] < 0:

@@ -187,9 +187,10 @@ def normalise(spark: SparkSession, source: str, folder: str | None = None, level
     ship_package(spark)
     folder = folder or work_path(spark, "warc-members")
     parts = spark.read.schema(_MANIFEST).parquet(f"{source}/manifest")
-    # A task per archive.
-    (parts.repartition("name").mapInArrow(_normalise_task(folder, level), _MANIFEST)
-     .write.parquet(f"{folder}/manifest"))
+    # A task per archive: a repartition by number is not merged, and deals the names (one
+    # row per archive) of one partition out evenly.
+    (parts.coalesce(1).repartition(max(1, parts.count()))
+     .mapInArrow(_normalise_task(folder, level), _MANIFEST).write.parquet(f"{folder}/manifest"))
     return folder
 
 
@@ -245,6 +246,10 @@ def _SCHEMA():
                       ("payload_digest", pa.string()), ("payload", pa.binary())])
 
 
+#: Tasks of one reading at most; beyond that a task reads several ranges.
+MAX_TASKS = 50_000
+
+
 def read_archives(spark: SparkSession, folder: str, with_payload: bool = True,
                   records_per_task: int = 2_000) -> DataFrame:
     """Records of normalised archives: ``page, url, record_type, refers_to,
@@ -256,7 +261,7 @@ def read_archives(spark: SparkSession, folder: str, with_payload: bool = True,
         "name", "n_records", F.explode(F.sequence(F.lit(0).cast("long"),
                                                   F.col("n_records") - 1, step)).alias("lo")).select(
         "name", "lo", F.least(F.col("lo") + step, "n_records").alias("hi"))
-    return jobs.repartition("name", "lo").mapInArrow(
+    return jobs.repartition(max(1, min(jobs.count(), MAX_TASKS))).mapInArrow(
         _read_task(with_payload),
         "page string, url string, record_type string, refers_to string, payload_bytes long, "
         "payload_digest string, payload binary")

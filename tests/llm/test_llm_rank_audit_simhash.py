@@ -265,3 +265,56 @@ def test_links_connect_what_all_pairs_connect(spark, cell_rows):
     assert brute_classes(nodes, got) == brute_classes(nodes, every)
     if cell_rows == 10**6:
         assert {(min(p), max(p)) for p in got} == {(min(p), max(p)) for p in every}
+
+
+# components and open buckets of the SetSketch operator
+
+def test_components_in_one_and_in_many_tasks(spark, monkeypatch):
+    from cadenza.llm import components as C
+
+    rng = random.Random(8)
+    edges = [(rng.randrange(300), rng.randrange(300)) for _ in range(170)] + [(1000 + i, 1001 + i) for i in range(60)]
+    edges += [(5, 5), (None, 7), (2000, 1999)]
+    df = spark.createDataFrame(edges, "a long, b long")
+    real = [(a, b) for a, b in edges if a is not None and a != b]
+    want = brute_classes({x for e in real for x in e}, real)
+    for local in (200_000, 40):
+        monkeypatch.setattr(C, "LOCAL_EDGES", local)
+        assert {r.node: r.component for r in C.components(df, "a", "b").collect()} == want
+    assert C.components(df.limit(0), "a", "b").count() == 0
+
+
+def test_families_with_a_common_header_read_no_texts(spark, monkeypatch):
+    """2,000 texts that share 60 words and nothing else: no pair is verified on full sets."""
+    from cadenza.llm import setsketch
+
+    head = " ".join(f"h{i}" for i in range(60))
+    docs = spark.createDataFrame([(i, head + " " + " ".join(f"x{i}y{k}" for k in range(60))) for i in range(2000)],
+                                 "doc_id long, text string")
+    blocks, real = [], setsketch._verified
+    monkeypatch.setattr(setsketch, "_verified", lambda rows, *a: (blocks.append(rows.count()), real(rows, *a))[1])
+    got = setsketch.near_duplicates(docs, shingle=4).collect()
+    assert all(r.kept for r in got) and len(got) == 2000 and blocks == [0, 0, 0]
+
+
+@pytest.mark.parametrize("block", [2000, 3])
+def test_chains_and_shells_of_near_copies(spark, monkeypatch, block):
+    """Classes that link to each other but not to their bucket's leader; small blocks, so that
+    buckets are dealt to several."""
+    from cadenza.llm import setsketch
+    from test_llm_operators import brute_components
+
+    monkeypatch.setattr(setsketch, "BLOCK_TEXTS", block)
+    rng = random.Random(4)
+    base = [f"w{i}" for i in range(120)]
+    rows = []
+    for fam in range(3):
+        text = [f"{w}f{fam % 2}" for w in base]
+        for i in range(40):
+            if rng.random() < 0.7:
+                text = list(text)
+            for _ in range(rng.randrange(1, 5)):
+                text[rng.randrange(len(text))] = f"n{rng.randrange(10**6)}"
+            rows.append((len(rows), " ".join(text)))
+    got = setsketch.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), shingle=4).collect()
+    assert sorted((r.doc_id, r.n_shingles, r.component_id) for r in got) == sorted(brute_components(rows, 4, 80))
