@@ -18,11 +18,13 @@
 5. Verification on full sets, and components of the verified links.
 6. What leaders could not show: a bucket that still holds classes of several components is
    open, and its classes are compared with each other by the same estimate, pairs of one
-   component left out, in blocks of bounded size; no text is read for that. Of the pairs that
-   remain likely, each class first verifies its likeliest one; then those whose ends
-   are still in different components are verified too. So two classes are linked whether or not a
-   leader links to either, and a family that shares a header and no more costs register
-   comparisons only.
+   component left out, in blocks of bounded size; no text is read for that, and a block
+   gives no more than the edges of a spanning forest of its likely pairs. Classes that are joined
+   by such edges form a family. In a family, every class outside its largest component is a
+   query, compared on full sets with all classes of the family that its size allows, in
+   blocks of bounded size that give links only. So two classes are linked whether or not a
+   leader links to either, texts that share a header and no more are never compared as
+   sets, and no step writes all pairs of a group.
 
 Missed links: a pair at similarity 0.8 shares no band with probability 1.2e-7
 (40 bands of 5 registers).
@@ -277,39 +279,38 @@ def _leader_blocks(likely: DataFrame) -> DataFrame:
 
 
 def _bucket_task(pct: int, least: float):
-    """Rows sorted by block: pairs of classes of a block that are of different components, of
-    sizes that can reach the threshold, and likely by the joint estimate. In a block of
-    two deals only classes of different deals are compared."""
-    def pairs(ids, n, comp, deal, regs):
+    """Rows sorted by block: a spanning forest of the pairs of classes of a block that are of different
+    components, of sizes that can reach the threshold, and likely by the joint estimate. In
+    a block of two deals only classes of different deals are compared."""
+    def forest(ids, n, comp, deal, regs):
         _, comp = np.unique(np.array(comp, dtype=object), return_inverse=True)
         n, deal, regs = np.array(n), np.array(deal), np.stack(regs)
         mixed = deal.min() != deal.max()
-        found_a, found_b = [], []
+        tree = np.arange(len(ids))                  # which tree each class is in so far
         for q in range(len(ids) - 1):
             rest = np.arange(q + 1, len(ids))
-            fit = (comp[rest] != comp[q]) & (100 * np.minimum(n[rest], n[q]) >= pct * np.maximum(n[rest], n[q]))
+            fit = (tree[rest] != tree[q]) & (comp[rest] != comp[q]) & (
+                100 * np.minimum(n[rest], n[q]) >= pct * np.maximum(n[rest], n[q]))
             if mixed:
                 fit &= deal[rest] != deal[q]
             rest = rest[fit]
             # Equal registers first: fewer than ``least`` of them is 7 standard errors off.
             rest = rest[(regs[rest] == regs[q]).sum(1) >= least * regs.shape[1]]
-            found_a.append(np.full(len(rest), q))
-            found_b.append(rest)
-        a, b = np.concatenate(found_a), np.concatenate(found_b)
-        for at in range(0, len(a), 2048):
-            x, y = a[at:at + 2048], b[at:at + 2048]
-            j = likelihood_jaccard(regs[x], regs[y], n[x].astype(float), n[y].astype(float))
-            for k in np.flatnonzero(j >= least):
-                yield ids[x[k]], ids[y[k]], int(n[x[k]]), int(n[y[k]]), float(j[k])
+            if not len(rest):
+                continue
+            j = likelihood_jaccard(np.broadcast_to(regs[q], (len(rest), regs.shape[1])), regs[rest],
+                                   np.full(len(rest), float(n[q])), n[rest].astype(float))
+            for k in rest[j >= least]:
+                if tree[k] != tree[q]:
+                    tree[tree == tree[k]] = tree[q]
+                    yield ids[q], ids[k]
 
     def run(batches):
         import pyarrow as pa
 
         def out(kind, rows):
-            cols = list(zip(*rows)) if rows else [()] * 5
-            types = (kind, kind, pa.int64(), pa.int64(), pa.float64())
-            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types)],
-                                              names=["_lead", "_id", "_na", "_nb", "_est"])
+            cols = list(zip(*rows)) if rows else [(), ()]
+            return pa.RecordBatch.from_arrays([pa.array(c, kind) for c in cols], names=["_a", "_b"])
 
         block, held, kind = None, [], None
         for batch in batches:
@@ -320,18 +321,18 @@ def _bucket_task(pct: int, least: float):
             for blk, *row, raw in rows:
                 if blk != block:
                     if len(held) > 1:
-                        found += pairs(*zip(*held))
+                        found += forest(*zip(*held))
                     block, held = blk, []
                 held.append((*row, np.frombuffer(raw, dtype="<u2")))
             yield out(kind, found)
         if len(held) > 1:
-            yield out(kind, list(pairs(*zip(*held))))
+            yield out(kind, list(forest(*zip(*held))))
     return run
 
 
-def open_pairs(classes: DataFrame, bands: int, rows: int, pct: int, margin: float) -> DataFrame:
-    """Likely pairs ``_lead, _id, _na, _nb, _est`` between classes (``_id, _n, _regs, _comp``)
-    that share a bucket and are of different components."""
+def open_edges(classes: DataFrame, bands: int, rows: int, pct: int, margin: float) -> DataFrame:
+    """Edges ``_a, _b`` that join all classes (``_id, _n, _regs, _comp``) of different components
+    that share a bucket and are likely to link."""
     kind = classes.schema["_id"].dataType.simpleString()
     banded = classes.mapInArrow(_band_task(bands, rows, ("_id", "_comp")),
                                 f"_key long, _id {kind}, _comp {kind}")
@@ -346,20 +347,39 @@ def open_pairs(classes: DataFrame, bands: int, rows: int, pct: int, margin: floa
         .select(F.xxhash64("_key", F.least("_deal", "_with"), F.greatest("_deal", "_with")).alias("_blk"),
                 "_id", "_deal"))
     ready = dealt.join(classes, "_id").repartition("_blk").sortWithinPartitions("_blk")
-    found = ready.select("_blk", "_id", "_n", "_comp", "_deal", "_regs").mapInArrow(
-        _bucket_task(pct, pct / 100 - margin), f"_lead {kind}, _id {kind}, _na long, _nb long, _est double")
-    flip = F.col("_lead") > F.col("_id")
-    return found.select(
-        F.least("_lead", "_id").alias("_lead"), F.greatest("_lead", "_id").alias("_id"),
-        F.when(flip, F.col("_nb")).otherwise(F.col("_na")).alias("_na"),
-        F.when(flip, F.col("_na")).otherwise(F.col("_nb")).alias("_nb"), "_est").distinct()
-
-
-def _likeliest(pairs: DataFrame) -> DataFrame:
-    """The likeliest pair of every class, each once."""
-    both = pairs.select("_id", F.struct("_est", "_lead", "_id", "_na", "_nb").alias("_p")).unionByName(
-        pairs.select(F.col("_lead").alias("_id"), F.struct("_est", "_lead", "_id", "_na", "_nb").alias("_p")))
-    return both.groupBy("_id").agg(F.max("_p").alias("_p")).select("_p.*").distinct()
+    return ready.select("_blk", "_id", "_n", "_comp", "_deal", "_regs").mapInArrow(
+        _bucket_task(pct, pct / 100 - margin), f"_a {kind}, _b {kind}").distinct()
+
+
+def _family_blocks(nodes: DataFrame, pct: int) -> DataFrame:
+    """In families (``nodes``: ``_id, _n, _family, _comp``) every class outside the largest
+    component as a query against all classes of its family that its size allows."""
+    level = F.floor(F.log(F.col("_n").cast("double")) / np.log(1.1)).alias("_level")
+    # Landed: one row per family, so that the joins with it can be broadcast by their size, or split.
+    main = land_table(
+        nodes.groupBy("_family", "_comp").agg(F.count(F.lit(1)).alias("_c")).groupBy("_family").agg(
+            F.max(F.struct("_c", "_comp")).alias("_big"), F.count(F.lit(1)).alias("_comps"),
+            F.ceil(F.sum("_c") / BLOCK_TEXTS).alias("_deals"))
+        .filter(F.col("_comps") > 1).select("_family", F.col("_big._comp").alias("_main"), "_deals"), "families")
+    split = nodes.select("*", level).join(main, "_family")
+    queries = split.filter(F.col("_comp") != F.col("_main"))
+    # Blocks hold queries of like size: by family, size level and salt. Targets are dealt
+    # out as well, so each block reads about BLOCK_TEXTS of them.
+    load = land_table(queries.groupBy("_family", "_level").agg(
+        F.ceil(F.sum("_n") / BLOCK_SHINGLES).alias("_parts")), "family-loads")
+    reach = int(np.ceil(np.log(100 / pct) / np.log(1.1))) + 1
+    up_to = lambda c: F.explode(F.sequence(F.lit(0).cast("long"), F.col(c) - 1))
+    blk = F.xxhash64("_family", "_level", "_salt", "_deal").alias("_blk")
+    asked = (queries.join(load, ["_family", "_level"])
+             .withColumn("_salt", F.pmod(F.xxhash64("_id"), F.col("_parts")))
+             .withColumn("_deal", up_to("_deals")).select(blk, F.lit(0).alias("_role"), "_id"))
+    targets = (split.select("_id", "_family", "_deals", F.explode(F.sequence(
+        F.col("_level") - reach, F.col("_level") + reach)).alias("_level"))
+        .join(load, ["_family", "_level"])
+        .withColumn("_salt", up_to("_parts"))
+        .withColumn("_deal", F.pmod(F.xxhash64("_id"), F.col("_deals")))
+        .select(blk, F.lit(1).alias("_role"), "_id"))
+    return asked.unionByName(targets)
 
 
 def _merged(comp: DataFrame, links: DataFrame) -> DataFrame:
@@ -399,20 +419,13 @@ def near_duplicate_classes(docs: DataFrame, id_col: str = "doc_id", text_col: st
     links = land_table(_verified(_leader_blocks(likely), texts, shingle, pct), "links")
     comp = components(links, "_q", "_t").select(F.col("node").alias("_id"), F.col("component").alias("_comp"))
 
-    def components_of(rows, comp):
-        return rows.join(comp, "_id", "left").withColumn("_comp", F.coalesce("_comp", "_id"))
-
     sizes = reps.join(met, "_id", "left_semi").groupBy("_id").agg(F.max(F.struct("_n", "_regs")).alias("_r"))
-    classes = land_table(components_of(sizes.select("_id", "_r._n", "_r._regs"), comp), "met-classes")
-    more = land_table(open_pairs(classes, bands, rows, pct, margin), "open-pairs")
-    best = land_table(_likeliest(more), "likeliest")
-    late = land_table(_verified(_leader_blocks(best), texts, shingle, pct), "late-links")
-    comp = _merged(comp, late)
-    ends = (components_of(more.join(best, ["_lead", "_id"], "left_anti"), comp)
-            .join(comp.select(F.col("_id").alias("_lead"), F.col("_comp").alias("_other")), "_lead", "left")
-            .filter(F.col("_comp") != F.coalesce("_other", "_lead")))
-    last = land_table(_verified(_leader_blocks(ends.select("_lead", "_id", "_na", "_nb")), texts, shingle, pct),
-                      "last-links")
+    classes = land_table(sizes.select("_id", "_r._n", "_r._regs").join(comp, "_id", "left")
+                         .withColumn("_comp", F.coalesce("_comp", "_id")), "met-classes")
+    edges = open_edges(classes, bands, rows, pct, margin)
+    family = components(edges, "_a", "_b").select(F.col("node").alias("_id"), F.col("component").alias("_family"))
+    nodes = land_table(classes.select("_id", "_n", "_comp").join(family, "_id"), "family-classes")
+    late = land_table(_verified(_family_blocks(nodes, pct), texts, shingle, pct), "late-links")
 
     members = sk.join(cls.select("_n", "_f1", "_f2", F.col("_id").alias("_cid")),
                       ["_n", "_f1", "_f2"], "left").select("_id", "_th", "_n", "_cid")
@@ -421,8 +434,8 @@ def near_duplicate_classes(docs: DataFrame, id_col: str = "doc_id", text_col: st
     twice = (known.groupBy("_id").agg(F.min("_th").alias("_t1"), F.max("_th").alias("_t2"))
              .filter("_t1 <> _t2").select("_id"))
     same = known.join(twice, "_id", "left_semi").select(F.col("_id").alias("_q"), F.col("_cid").alias("_t"))
-    comp = _merged(comp, last.unionByName(same))
-    return (members, links.unionByName(late).unionByName(last).unionByName(same).distinct(),
+    comp = _merged(comp, late.unionByName(same))
+    return (members, links.unionByName(late).unionByName(same).distinct(),
             comp.withColumnRenamed("_id", "_cid"))
 
 
