@@ -43,7 +43,7 @@ BLOCK_TAGS = frozenset(
     "fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hr html iframe legend li main "
     "menu nav ol option p pre section select summary table tbody td tfoot th thead tr ul".split())
 VOID_TAGS = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-HIDDEN_TAGS = frozenset("script style title noscript template textarea svg math head object".split())
+HIDDEN_TAGS = frozenset("script style title noscript template textarea svg annotation head".split())
 RAW_TAGS = frozenset("script style title textarea noscript".split())
 # What a head may hold; anything else ends an open one, as </head> may be left out.
 HEAD_TAGS = frozenset("head base basefont bgsound link meta noframes noscript script style template title".split())

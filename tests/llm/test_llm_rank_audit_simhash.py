@@ -318,3 +318,11 @@ def test_chains_and_shells_of_near_copies(spark, monkeypatch, block):
             rows.append((len(rows), " ".join(text)))
     got = setsketch.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), shingle=4).collect()
     assert sorted((r.doc_id, r.n_shingles, r.component_id) for r in got) == sorted(brute_components(rows, 4, 80))
+
+
+def test_formulas_and_object_contents_are_text():
+    from cadenza.llm import html_crf
+
+    page = ("<article><p>Area <math><mi>x</mi><mo>=</mo><mn>2</mn><annotation>x=2</annotation></math> holds."
+            "</p><object data='a'><p>No plug-in, see <b>table</b>.</p></object></article>")
+    assert [b.text for b in html_crf.blocks(page)] == ["Area x=2 holds.", "No plug-in, see table."]
