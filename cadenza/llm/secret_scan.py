@@ -17,7 +17,8 @@ added up. A value that at most ``max_owners`` owners hold is live-looking; other
 are widely copied examples. Base spans stay whatever the count; tokens are kept if live.
 
 Places are code points, the end exclusive. Matches are placed by the lengths of the
-stretches between them, so no user code runs.
+stretches between them, added up by a window per text, so no user code runs and the time
+is linear in the number of matches, however many one text holds.
 
 Defined cases: null text is empty; a null repository or owner counts as one of its own;
 rows that repeat a document each get the same spans and count once per repository; an
@@ -26,7 +27,7 @@ empty table gives no rows. Columns other than the named ones are not read.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cadenza.sources.sinks import land_table
@@ -41,45 +42,65 @@ KINDS = ("assign", "access", "hex", "token")
 LEAST = {"assign": 12, "access": 18, "hex": 16, "token": 20}
 
 
-def _spans(text: Column, kind: str, pattern: str) -> Column:
-    """Array of ``(start, kind number, end, value)`` of all matches that are long enough."""
+def _matches(text: Column, kind: str, pattern: str) -> Column:
+    """Array of ``(gap, size, value)`` of all matches: code points since the match before,
+    code points of the match, value."""
     lit = F.lit(pattern)
     gaps = F.transform(F.split(text, pattern, -1), lambda g: F.length(g))
     whole = F.regexp_extract_all(text, lit, F.lit(0))
     value = F.regexp_extract_all(text, lit, F.lit(2)) if kind == "assign" else whole
-    # Each match begins after the gaps and matches before it.
     row = F.arrays_zip(gaps.alias("gap"), whole.alias("hit"), value.alias("val"))
-    state = F.aggregate(
-        F.slice(row, 1, F.size(whole)),
-        F.struct(F.lit(0).alias("at"), F.expr(
-            "cast(array() as array<struct<start:int,kind:int,end:int,value:string>>)").alias("got")),
-        lambda acc, r: F.struct(
-            (acc["at"] + r["gap"] + F.length(r["hit"])).alias("at"),
-            F.when(F.length(r["val"]) >= LEAST[kind], F.concat(acc["got"], F.array(F.struct(
-                (acc["at"] + r["gap"]).alias("start"), F.lit(KINDS.index(kind)).alias("kind"),
-                (acc["at"] + r["gap"] + F.length(r["hit"])).alias("end"), r["val"].alias("value")))))
-            .otherwise(acc["got"]).alias("got")))
+    got = F.transform(F.slice(row, 1, F.size(whole)), lambda r: F.struct(
+        r["gap"].alias("gap"), F.length(r["hit"]).alias("size"), r["val"].alias("value")))
     # Most texts have no match: one search decides.
-    return F.when(F.regexp_like(text, lit), state["got"]).otherwise(F.expr(
-        "cast(array() as array<struct<start:int,kind:int,end:int,value:string>>)"))
+    return F.when(F.regexp_like(text, lit), got).otherwise(
+        F.expr("cast(array() as array<struct<gap:int,size:int,value:string>>)"))
 
 
-def candidates(docs: DataFrame, id_col: str, text_col: str, repo: Column, owner: Column) -> DataFrame:
-    """Per row: ``_id, _repo, _owner`` and ``_base``, ``_token`` arrays of
-    ``(start, kind, end, value)``."""
+def matches(docs: DataFrame, id_col: str, text_col: str, repo: Column, owner: Column) -> DataFrame:
+    """Per row: ``_id, _repo, _owner`` and one array of ``(gap, size, value)`` per kind."""
     text = F.coalesce(F.col("_text"), F.lit(""))
-    found = (docs.select(F.col(id_col).alias("_id"), repo.alias("_repo"), owner.alias("_owner"),
-                         F.col(text_col).alias("_text"))
-             .select("_id", "_repo", "_owner",
-                     _spans(text, "assign", ASSIGN).alias("_assign"),
-                     _spans(text, "access", ACCESS).alias("_access"),
-                     _spans(text, "hex", HEX).alias("_hex"), _spans(text, "token", TOKEN).alias("_wide")))
-    base = F.concat("_assign", "_access", "_hex")
-    mixed = F.filter("_wide", lambda s: s["value"].rlike("[a-z]") & s["value"].rlike("[A-Z]")
-                     & s["value"].rlike("[0-9]")
-                     & ~F.exists(F.col("_base"), lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"])))
-    return (found.select("_id", "_repo", "_owner", F.array_sort(base).alias("_base"), "_wide")
-            .select("_id", "_repo", "_owner", "_base", mixed.alias("_token")))
+    patterns = (ASSIGN, ACCESS, HEX, TOKEN)
+    return (docs.select(F.col(id_col).alias("_id"), repo.alias("_repo"), owner.alias("_owner"),
+                        F.col(text_col).alias("_text"))
+            .select("_id", "_repo", "_owner",
+                    *[_matches(text, k, p).alias(f"_{k}") for k, p in zip(KINDS, patterns)]))
+
+
+def candidates(rows: DataFrame) -> DataFrame:
+    """One row per candidate span of the numbered ``rows`` of :func:`matches`: ``_row, _repo,
+    _owner``, two hashes of the value, ``start, kind, end``.
+
+    Places are running sums over a text's matches, and tokens inside of base spans are told by
+    the furthest end before them and the next start after them, so the time is linear in the
+    matches of a text. Values are hashed before the rows move."""
+    hit = F.col("_m.value")
+    every = None
+    for n, kind in enumerate(KINDS):
+        fits = F.length(hit) >= LEAST[kind]
+        if kind == "token":
+            fits = fits & hit.rlike("[a-z]") & hit.rlike("[A-Z]") & hit.rlike("[0-9]")
+        one = (rows.filter(F.size(f"_{kind}") > 0)
+               .select("_row", "_repo", "_owner", F.posexplode(f"_{kind}").alias("_pos", "_m"))
+               .select("_row", "_repo", "_owner", "_pos", F.lit(n).alias("kind"), fits.alias("_fits"),
+                       (F.col("_m.gap") + F.col("_m.size")).alias("_step"), F.col("_m.size").alias("_size"),
+                       F.xxhash64(hit).alias("_a"), F.xxhash64(F.lit(1), hit).alias("_b")))
+        every = one if every is None else every.unionByName(one)
+    so_far = Window.partitionBy("_row", "kind").orderBy("_pos").rowsBetween(Window.unboundedPreceding, 0)
+    placed = (every.repartition("_row")
+              .withColumn("end", F.sum("_step").over(so_far).cast("int"))
+              .withColumn("start", F.col("end") - F.col("_size"))
+              .filter("_fits"))
+    base = F.col("kind") != KINDS.index("token")
+    before = Window.partitionBy("_row").orderBy("start", "kind").rowsBetween(Window.unboundedPreceding, -1)
+    after = (Window.partitionBy("_row").orderBy(F.desc("start"), F.desc("kind"))
+             .rowsBetween(Window.unboundedPreceding, -1))
+    reach, following = F.max(F.when(base, F.col("end"))), F.min(F.when(base, F.col("start")))
+    free = (F.coalesce(F.col("_reach") <= F.col("start"), F.lit(True))
+            & F.coalesce(F.col("_next") >= F.col("end"), F.lit(True)))
+    return (placed.withColumn("_reach", reach.over(before)).withColumn("_next", following.over(after))
+            .filter(base | free)
+            .select("_row", "_repo", "_owner", "_a", "_b", "start", "kind", "end"))
 
 
 def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", repo: Column | None = None,
@@ -89,14 +110,9 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", repo:
     repo = F.col("source") if repo is None else repo
     owner = F.col("source") if owner is None else owner
     # Written once: the patterns run once, and each row gets a number that stays.
-    rows = land_table(candidates(docs, id_col, text_col, repo, owner).select(
-        F.monotonically_increasing_id().alias("_row"), "*"), "secret_candidates")
-    every = rows.filter((F.size("_base") > 0) | (F.size("_token") > 0)).select(
-        "_row", "_repo", "_owner", F.explode(F.concat("_base", "_token")).alias("_s"))
-    keyed = every.select("_row", "_repo", "_owner", F.xxhash64("_s.value").alias("_a"),
-                         F.xxhash64(F.lit(1), F.col("_s.value")).alias("_b"),
-                         F.col("_s.start").alias("start"), F.col("_s.kind").alias("kind"),
-                         F.col("_s.end").alias("end"))
+    rows = land_table(matches(docs, id_col, text_col, repo, owner).select(
+        F.monotonically_increasing_id().alias("_row"), "*"), "secret_matches")
+    keyed = land_table(candidates(rows), "secret_candidates")
     # One row per value and repository, then per value and owner, then per value:
     # each step is added up within tasks first, so a value in a third of all rows stays small.
     owned = (keyed.groupBy("_a", "_b", "_owner", "_repo").agg(F.lit(1).alias("_one"))
