@@ -1,8 +1,10 @@
 """Toxicity: a weighted lexicon matched by an Aho-Corasick automaton.
 
-Folding. Texts are lower-cased; letters of other scripts that look like Latin ones,
-full-width letters and the digits used for letters are folded to letters (1, i and
-l fall together, as 1 stands for both); other ASCII marks become spaces.
+Folding. Texts are brought to compatibility decomposition (full-width and mathematical
+letters become plain ones) and lower-cased; diacritics and invisible format characters
+go; letters of other scripts that look like Latin ones, the digits used for letters, a
+dollar sign before a letter and an exclamation mark between letters are folded to letters
+(1, i and l fall together, as 1 stands for both); other marks become spaces.
 
 Learning, from labelled rows outside the held-out fold, at most ``train_rows`` of
 them in order of a hash of the id (a documented bound). Candidate terms are whole
@@ -26,7 +28,10 @@ rows that repeat an id get their own scores. Other columns are not read.
 from __future__ import annotations
 
 import re
+import unicodedata
+from bisect import bisect_right
 from collections import Counter
+from itertools import accumulate
 
 import numpy as np
 from pyspark.sql import DataFrame
@@ -40,33 +45,63 @@ LOOKALIKES = {
     "а": "a", "в": "b", "с": "c", "е": "e", "н": "h", "і": "i", "ј": "j", "к": "k", "м": "m",
     "о": "o", "р": "p", "ѕ": "s", "т": "t", "у": "y", "х": "x", "ԁ": "d", "ӏ": "l", "ԛ": "q",
     "α": "a", "β": "b", "ε": "e", "η": "n", "ι": "i", "κ": "k", "ν": "v", "ο": "o", "ρ": "p",
-    "τ": "t", "υ": "u", "χ": "x", "ı": "i", "ɑ": "a", "ɡ": "g",
+    "τ": "t", "υ": "u", "χ": "x", "ı": "i", "ɑ": "a", "ɡ": "g", "һ": "h", "ѵ": "v", "ѡ": "w",
+    "ԝ": "w", "ғ": "f", "ь": "b", "г": "r", "ո": "n", "ս": "u", "օ": "o", "հ": "h", "ց": "g",
+    "γ": "y", "ω": "w", "σ": "o", "ϲ": "c", "ϳ": "j", "ø": "o", "đ": "d", "ħ": "h", "ł": "l",
+    "ŧ": "t", "ɩ": "i", "ʏ": "y", "ʀ": "r", "ɴ": "n", "ɪ": "i", "ʟ": "l", "ᴀ": "a", "ᴇ": "e", "ᴏ": "o",
     "0": "o", "1": "i", "3": "e", "4": "a", "5": "s", "7": "t", "8": "b", "9": "g", "@": "a",
 }
 FEATURES = ("weight per word", "log of weight", "log of distinct terms", "largest weight")
-_DOLLAR = re.compile(r"(?<=\w)\$(?=\w)")
+# Blocks of combining diacritical marks.
+DIACRITICS = ((0x0300, 0x036F), (0x0483, 0x0489), (0x1AB0, 0x1AFF), (0x1DC0, 0x1DFF),
+              (0x20D0, 0x20FF), (0xFE20, 0xFE2F))
+_DOLLAR = re.compile(r"\$(?=[^\W\d_])|(?<=\w)\$(?=\w)")
+_BANG = re.compile(r"(?<=\w)!(?=[^\W_])")
 
 
-def _table() -> dict[int, str]:
+class _Visible(dict):
+    """Translation without diacritics and format characters, filled as characters come up."""
+
+    def __missing__(self, code: int) -> str:
+        gone = (any(a <= code <= b for a, b in DIACRITICS)
+                or unicodedata.category(chr(code)) == "Cf")
+        self[code] = "" if gone else chr(code)
+        return self[code]
+
+
+class _Fold(dict):
+    """Translation to folded letters; marks and white space of other scripts become spaces."""
+
+    def __missing__(self, code: int) -> str:
+        self[code] = " " if unicodedata.category(chr(code))[0] in "PSZ" else chr(code)
+        return self[code]
+
+
+def _table() -> _Fold:
     table = {c: " " for c in range(128) if not chr(c).isalnum()}
-    table |= {0xFF41 + k: chr(97 + k) for k in range(26)}        # full-width a to z
-    table |= {0xFF10 + k: LOOKALIKES.get(str(k), str(k)) for k in range(10)}
     table |= {ord(a): b for a, b in LOOKALIKES.items()}
-    table[ord("'")] = ""
+    table |= {ord(c): "" for c in "'\u2018\u2019"}
     # One class for i, l and 1.
     table = {c: "i" if v == "l" else v for c, v in table.items()}
     table[ord("l")] = "i"
-    return table
+    return _Fold(table)
 
 
-_FOLD = _table()
+_VISIBLE, _FOLD = _Visible(), _table()
 
 
 def fold(text: str | None) -> str:
     """Folded words of a text, with a space before, between and after them."""
-    text = (text or "").lower()
+    text = text or ""
+    if text.isascii():
+        text = text.lower()
+    else:
+        # Decomposed again: lower case may bring combining marks of its own.
+        text = unicodedata.normalize("NFKD", unicodedata.normalize("NFKD", text).lower()).translate(_VISIBLE)
     if "$" in text:
         text = _DOLLAR.sub("s", text)
+    if "!" in text:
+        text = _BANG.sub("i", text)
     return " " + " ".join(text.translate(_FOLD).split()) + " "
 
 
@@ -123,9 +158,13 @@ class Matcher:
         found, excused = [], []
         for last, (term, size) in self.auto.iter(folded):
             (excused if term < 0 else found).append((term, last - size + 1, last))
-        if excused:
-            found = [h for h in found
-                     if not any(a <= h[1] and h[1] < b for _, a, b in excused)]
+        if found and excused:
+            # By first position, with the furthest end so far: one search per hit.
+            excused.sort(key=lambda e: e[1])
+            starts = [a for _, a, _ in excused]
+            reach = list(accumulate((b for _, _, b in excused), max))
+            found = [h for h in found if h[1] < starts[0]
+                     or reach[bisect_right(starts, h[1]) - 1] <= h[1]]
         return found
 
     def features(self, folded: str) -> list[float]:
