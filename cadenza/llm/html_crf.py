@@ -29,7 +29,6 @@ import html as _html
 import math
 import re
 from collections import Counter
-from functools import lru_cache
 
 import numpy as np
 from pyspark.sql import DataFrame
@@ -50,6 +49,9 @@ HEAD_TAGS = frozenset("head base basefont bgsound link meta noframes noscript sc
 # Start tags that end an open element of the same family.
 CLOSES = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"),
           "td": ("td", "th"), "th": ("td", "th"), "option": ("option",)}
+# Elements that end the search for these.
+HOLDERS = frozenset("table ul ol dl div section article body".split())
+SEARCHED = HOLDERS | {"p"} | {t for ends in CLOSES.values() for t in ends}
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)"
@@ -61,18 +63,63 @@ LANDMARKS = ("article", "main")
 ASIDES = frozenset("nav aside form footer header button select figure".split())
 
 
+class Place:
+    """An open element: tag, class words, the element around it, the innermost block element,
+    and the features that no element around it has, so that a place costs what it adds."""
+
+    __slots__ = ("tag", "words", "up", "own", "added", "total")
+
+    def __init__(self, tag: str, words: tuple, up: Place | None, active: set):
+        self.tag, self.words, self.up, self.total = tag, words, up, None
+        self.own = tag if tag in BLOCK_TAGS else up.own if up else "-"
+        names = [f"in:{tag}"] if tag in BLOCK_TAGS else []
+        self.added = [f for f in dict.fromkeys(names + [f"mark:{w}" for w in words]) if f not in active]
+
+    def chain(self) -> list[Place]:
+        """The element and those around it, root first."""
+        out, at = [], self
+        while at is not None:
+            out.append(at)
+            at = at.up
+        return out[::-1]
+
+    def weigh(self, weights) -> float:
+        """Sum of the weights of all features but the innermost element's."""
+        todo, at = [], self
+        while at is not None and at.total is None:
+            todo.append(at)
+            at = at.up
+        total = at.total if at is not None else 0.0
+        for p in reversed(todo):
+            total += sum(weights(f, 0.0) for f in p.added)
+            p.total = total
+        return total
+
+
 class Block:
-    __slots__ = ("text", "path", "marks", "linked")
+    __slots__ = ("text", "place", "linked")
+
+    def __init__(self, text: str, place: Place | None, linked: float):
+        self.text, self.place, self.linked = text, place, linked
+
+    @property
+    def path(self) -> tuple:
+        """Block tags from the root."""
+        return tuple(p.tag for p in (self.place.chain() if self.place else ()) if p.tag in BLOCK_TAGS)
 
-    def __init__(self, text, path, marks, linked):
-        self.text, self.path, self.marks, self.linked = text, path, marks, linked
+    @property
+    def marks(self) -> tuple:
+        """Class words of the element and all around it."""
+        return tuple(w for p in (self.place.chain() if self.place else ()) for w in p.words)
 
 
 def blocks(page: str) -> list[Block]:
-    """Leaf blocks in page order: text, tags from the root, class words of the
-    ancestors, and the share of characters inside links."""
+    """Leaf blocks in page order: text, place among the open elements, and the share of
+    characters inside links. Time is linear in the page, however deep its nesting."""
     out: list[Block] = []
-    stack: list[tuple[str, tuple]] = []       # open elements: tag, class words
+    stack: list[tuple[str, Place, int]] = []  # open elements: tag, place, last one that may end a search
+    active: set[str] = set()                  # features of the open elements
+    open_tags: Counter = Counter()
     parts: list[str] = []
     linked, hidden, links = 0, 0, 0
     at = 0
@@ -82,18 +129,19 @@ def blocks(page: str) -> list[Block]:
         if parts:
             text = " ".join(_html.unescape("".join(parts)).split())
             if text:
-                path = tuple(t for t, _ in stack if t in BLOCK_TAGS)
-                marks = tuple(w for _, m in stack for w in m)
-                out.append(Block(text, path, marks, min(1.0, linked / max(1, len(text)))))
+                out.append(Block(text, stack[-1][1] if stack else None,
+                                 min(1.0, linked / max(1, len(text)))))
             parts, linked = [], 0
 
     def close_to(k: int):
         nonlocal hidden, links
-        if any(t in BLOCK_TAGS for t, _ in stack[k:]):
+        if any(e[0] in BLOCK_TAGS for e in stack[k:]):
             flush()
-        for t, _ in stack[k:]:
+        for t, place, _ in stack[k:]:
             hidden -= t in HIDDEN_TAGS
             links -= t == "a"
+            open_tags[t] -= 1
+            active.difference_update(place.added)
         del stack[k:]
 
     size = len(page)
@@ -115,13 +163,10 @@ def blocks(page: str) -> list[Block]:
             continue
         tag = tag.lower()
         if found.group(1):
-            for k in range(len(stack) - 1, -1, -1):
-                if stack[k][0] == tag:
-                    close_to(k)
-                    break
-            else:
-                if tag in BLOCK_TAGS:
-                    flush()
+            if open_tags[tag] > 0:
+                close_to(next(k for k in range(len(stack) - 1, -1, -1) if stack[k][0] == tag))
+            elif tag in BLOCK_TAGS:
+                flush()
             continue
         if tag not in HEAD_TAGS and stack and stack[-1][0] == "head":
             close_to(len(stack) - 1)
@@ -132,19 +177,25 @@ def blocks(page: str) -> list[Block]:
             flush()
             # A block ends an open paragraph, and list items and cells end their like.
             family = CLOSES.get(tag, ())
-            for k in range(len(stack) - 1, -1, -1):
+            k = stack[-1][2] if stack else -1
+            while k >= 0:
                 open_tag = stack[k][0]
+                below = stack[k - 1][2] if k else -1
                 if open_tag == "p" or open_tag in family:
                     close_to(k)
                     if open_tag != "p":
                         break
-                elif open_tag in ("table", "ul", "ol", "dl", "div", "section", "article", "body"):
+                elif open_tag in HOLDERS:
                     break
+                k = below
         if tag in VOID_TAGS or found.group(3).rstrip().endswith("/") and tag in HIDDEN_TAGS:
             continue
         marks = tuple(w for m in _ATTR.finditer(found.group(3))
                       for w in _SUBWORD.findall((m[2] or m[3] or m[4] or "").lower()))
-        stack.append((tag, marks))
+        place = Place(tag, marks, stack[-1][1] if stack else None, active)
+        active.update(place.added)
+        open_tags[tag] += 1
+        stack.append((tag, place, len(stack) if tag in SEARCHED else stack[-1][2] if stack else -1))
         hidden += tag in HIDDEN_TAGS
         links += tag == "a"
         if tag in RAW_TAGS:
@@ -155,12 +206,6 @@ def blocks(page: str) -> list[Block]:
     return out
 
 
-@lru_cache(maxsize=50_000)
-def _place_features(path: tuple, marks: tuple) -> tuple:
-    return tuple(dict.fromkeys(
-        [f"in:{t}" for t in path] + [f"own:{path[-1] if path else '-'}"] + [f"mark:{w}" for w in marks]))
-
-
 def text_features(block: Block, first: bool, last: bool) -> list[str]:
     n = len(block.text)
     return [f"size:{min(7, int(math.log2(n + 1)) // 2)}", f"linked:{int(block.linked * 3)}",
@@ -169,8 +214,20 @@ def text_features(block: Block, first: bool, last: bool) -> list[str]:
 
 
 def features(items: list[Block]) -> list[list[str]]:
-    return [[*_place_features(b.path, b.marks), *text_features(b, i == 0, i == len(items) - 1)]
-            for i, b in enumerate(items)]
+    """All features of each block (for training; :func:`emissions` needs no lists)."""
+    out = []
+    for i, b in enumerate(items):
+        chain = b.place.chain() if b.place else []
+        out.append([f for p in chain for f in p.added] + [f"own:{b.place.own if b.place else '-'}"]
+                   + text_features(b, i == 0, i == len(items) - 1))
+    return out
+
+
+def emissions(items: list[Block], weights: dict[str, float]) -> list[float]:
+    """Score of main text over the rest for each block; places are weighed once."""
+    get, last = weights.get, len(items) - 1
+    return [(b.place.weigh(get) if b.place else 0.0) + get(f"own:{b.place.own if b.place else '-'}", 0.0)
+            + sum(get(f, 0.0) for f in text_features(b, i == 0, i == last)) for i, b in enumerate(items)]
 
 
 def viterbi(emit: list[float], trans: list[list[float]]) -> list[int]:
@@ -312,10 +369,14 @@ def learn(pages: DataFrame, id_col: str = "page_id", html_col: str = "html",
           train_pages: int = 200) -> dict:
     """The model, from at most ``train_pages`` pages in order of a hash of the
     id (a documented bound) and the built-in examples."""
-    hit = F.lower(F.col(html_col))
-    rows = (pages.filter(hit.contains("<article") | hit.contains("<main"))
-            .select(F.col(id_col).alias("_id"), F.col(html_col).alias("_html"))
-            .orderBy(F.xxhash64("_id"), "_id").limit(train_pages).collect())
+    low = F.lower(F.col(html_col))
+    usable = (pages.filter(low.contains("<article") | low.contains("<main"))
+              .select(F.xxhash64(id_col).alias("_k"), F.xxhash64(html_col).alias("_h"),
+                      F.col(html_col).alias("_html")))
+    # Only hashes are ranked; html is fetched for the chosen pages alone.
+    chosen = usable.select("_k", "_h").distinct().orderBy("_k", "_h").limit(train_pages)
+    rows = (usable.join(F.broadcast(chosen), ["_k", "_h"]).groupBy("_k", "_h")
+            .agg(F.min("_html").alias("_html")).orderBy("_k", "_h").collect())
     labelled = [x for r in rows for x in landmark_pages(r["_html"])]
     return train(labelled + example_pages())
 
@@ -323,8 +384,7 @@ def learn(pages: DataFrame, id_col: str = "page_id", html_col: str = "html",
 def main_text(page: str | None, model: dict) -> str:
     """Blocks that Viterbi labels as main text, joined by line feeds."""
     items = blocks(page or "")
-    weights = model["weights"].get
-    emit = [sum(weights(f, 0.0) for f in fs) for fs in features(items)]
+    emit = emissions(items, model["weights"])
     return "\n".join(b.text for b, y in zip(items, viterbi(emit, model["transitions"])) if y)
 
 
