@@ -12,8 +12,8 @@ that is broadcast, so its size is bounded whatever the benchmark's size.
 
 Queries. Every document is cut into passages of twice the longest entry, every
 longest entry's length: any occurrence of an entry lies whole in one passage.
-For a whole batch of passages at once, block maxima are added up per passage and
-block of entries; a passage without a block that could reach the threshold cannot
+For many passages at once, but a bounded number of cells, block maxima are added up per
+passage and block of entries that share a term; a passage without a block that could reach the threshold cannot
 retrieve anything. The others are run through block-max WAND, which returns *all*
 entries at or above the threshold.
 
@@ -34,6 +34,8 @@ contaminate like others, but have no id to list. Other columns pass through in
 
 from __future__ import annotations
 
+from bisect import bisect_left
+
 import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -43,6 +45,7 @@ from cadenza.session import ship_package
 
 K1, B = 1.2, 0.75
 BLOCK = 4
+CELLS = 1 << 20                  # cells (passage, block of entries) that are bounded at once
 
 
 def _words(text: str) -> np.ndarray:
@@ -93,49 +96,67 @@ def _half(words: np.ndarray) -> tuple[np.ndarray, bool]:
     return (_pairs(words), True) if len(words) > 1 else (words, False)
 
 
+def _runs(new: np.ndarray) -> np.ndarray:
+    """First places of runs, given where a run begins after the first place."""
+    return np.concatenate([[0], np.flatnonzero(new) + 1]) if len(new) else np.zeros(0, np.int64)
+
+
 class Index:
-    """One shard: entries ``(item, middle, words)``, document frequencies of their terms."""
+    """One shard in flat arrays: entry ``e`` of item ``items[e]`` has the words
+    ``words[at[e]:at[e + 1]]``, the first ``mids[e]`` of them its question. ``df_terms`` (sorted) and
+    ``df`` are the document frequencies of all terms of the shard. Postings, and blocks of
+    :data:`BLOCK` entries with their largest weight, lie in the order of the terms."""
 
     def __init__(self, entries, df: dict[int, int], n_entries: int, mean_len: float):
-        self.items = [e[0] for e in entries]
-        self.sizes = [len(e[2]) for e in entries]
-        self.longest = max(self.sizes, default=1)
-        self.checks = []
-        terms, entry, weight = [], [], []
-        for e, (_, mid, words) in enumerate(entries):
-            self.checks.append((_half(words[:mid]), _half(words[mid:])))
-            distinct, tf = np.unique(words, return_counts=True)
-            n = np.array([df[t] for t in distinct.view(np.int64).tolist()])
-            idf = np.log(1 + (n_entries - n + 0.5) / (n + 0.5))
-            w = idf * tf * (K1 + 1) / (tf + K1 * (1 - B + B * len(words) / mean_len))
-            terms.append(distinct)
-            entry.append(np.full(len(distinct), e))
-            weight.append(w / w.sum())
-        terms, entry, weight = (np.concatenate(x) if x else np.zeros(0) for x in (terms, entry, weight))
-        order = np.lexsort((entry, terms))
-        entry, weight = entry[order], weight[order]
-        self.terms, first = np.unique(terms[order], return_index=True)
-        self.bounds = np.append(first, len(entry)).astype(np.int64)
+        """From a few entries ``(item, middle, words)``; :meth:`of_arrays` takes a whole shard."""
+        terms = np.array(sorted(df), dtype=np.uint64)
+        self._build([e[0] for e in entries], np.array([e[1] for e in entries], dtype=np.int64),
+                    np.cumsum([0] + [len(e[2]) for e in entries]),
+                    np.concatenate([np.zeros(0, np.uint64)] + [e[2] for e in entries]),
+                    terms, np.array([df[t] for t in terms.tolist()]), n_entries, mean_len)
+
+    @classmethod
+    def of_arrays(cls, *arrays) -> Index:
+        index = cls.__new__(cls)
+        index._build(*arrays)
+        return index
+
+    def _build(self, items, mids, at, words, df_terms, df, n_entries: int, mean_len: float):
+        self.items, self.mids, self.at, self.words = items, mids, at, words
+        self.sizes = np.diff(at)
+        self.longest = int(self.sizes.max(initial=1))
+        self.n_blocks = -(-len(items) // BLOCK)
+        owner = np.repeat(np.arange(len(items)), self.sizes)
+        order = np.lexsort((owner, words))
+        term, entry = words[order], owner[order]
+        # One posting per term and entry.
+        first = _runs((term[1:] != term[:-1]) | (entry[1:] != entry[:-1])) if len(term) else order
+        tf = np.diff(np.append(first, len(term)))
+        term, entry = term[first], entry[first]
+        n = df[np.searchsorted(df_terms, term)] if len(term) else np.zeros(0)
+        idf = np.log(1 + (n_entries - n + 0.5) / (n + 0.5))
+        weight = idf * tf * (K1 + 1) / (tf + K1 * (1 - B + B * self.sizes[entry] / mean_len))
+        weight = weight / np.bincount(entry, weight, len(items))[entry] if len(term) else np.zeros(0)
         self.entry, self.weight = entry.astype(np.int64), weight
+        first = _runs(term[1:] != term[:-1]) if len(term) else np.zeros(0, np.int64)
+        self.terms = term[first]
+        self.bounds = np.append(first, len(term)).astype(np.int64)
         self.top = np.maximum.reduceat(weight, first) if len(first) else np.zeros(0)
-        # A posting's block: entries BLOCK * k to BLOCK * k + BLOCK - 1.
-        self.block_top = [{} for _ in first]
-        for t, (a, b) in enumerate(zip(self.bounds[:-1], self.bounds[1:])):
-            mine = self.block_top[t]
-            for e, w in zip((self.entry[a:b] // BLOCK).tolist(), weight[a:b].tolist()):
-                mine[e] = max(mine.get(e, 0.0), w)
-        self.n_blocks = -(-len(entries) // BLOCK)
-        self.block_size = np.array([len(x) for x in self.block_top], dtype=np.int64)
-        self.block_at = np.cumsum(self.block_size) - self.block_size
-        self.blocks = np.array([k for x in self.block_top for k in x], dtype=np.int64)
-        self.block_max = np.array([w for x in self.block_top for w in x.values()])
-        self.lists = [(self.entry[a:b].tolist(), weight[a:b].tolist())
-                      for a, b in zip(self.bounds[:-1], self.bounds[1:])]
+        block = self.entry // BLOCK
+        place = (_runs((term[1:] != term[:-1]) | (block[1:] != block[:-1]))
+                 if len(term) else np.zeros(0, np.int64))
+        self.blocks = block[place]
+        self.block_max = np.maximum.reduceat(weight, place) if len(place) else np.zeros(0)
+        self.block_at = np.searchsorted(place, self.bounds)
+        self.block_size = np.diff(self.block_at)
         # 16 bits of a hash tell at once that most words are not in the index.
         self.seen = np.zeros(1 << 16, dtype=bool)
-        if len(self.terms):
-            self.seen[(self.terms.astype(np.uint64) >> np.uint64(48)).astype(np.int64)] = True
-            self.terms = self.terms.astype(np.uint64)
+        self.seen[(self.terms >> np.uint64(48)).astype(np.int64)] = True
+
+    def checks(self, e: int) -> list[tuple[np.ndarray, bool]]:
+        """What to look for of both halves of an entry."""
+        words = self.words[self.at[e]:self.at[e + 1]]
+        return [_half(words[:self.mids[e]]), _half(words[self.mids[e]:])]
 
     def lookup(self, words: np.ndarray) -> np.ndarray:
         """Term numbers of word hashes, -1 for words not in the index."""
@@ -151,55 +172,95 @@ class Index:
     def may_reach(self, passage: np.ndarray, term: np.ndarray, n: int, threshold: float) -> np.ndarray:
         """Which of ``n`` passages have a block of entries whose maxima for the
         passage's distinct terms add up to the threshold."""
+        if not len(passage) or not self.n_blocks:
+            return np.zeros(0, dtype=np.int64)
+        # Passages are taken in stretches of about CELLS cells, a passage being whole.
         size = self.block_size[term]
-        ends = np.cumsum(size)
-        where = np.arange(ends[-1] if len(ends) else 0) + np.repeat(
-            self.block_at[term] - ends + size, size)
-        cell = np.repeat(passage, size) * self.n_blocks + self.blocks[where]
-        bound = np.bincount(cell, self.block_max[where], n * self.n_blocks)
-        return np.flatnonzero((bound.reshape(n, -1) >= threshold - 1e-9).any(1))
+        total = np.concatenate([[0], np.cumsum(size)])
+        starts = _runs(passage[1:] != passage[:-1])
+        out, lo = [], 0
+        while lo < len(passage):
+            k = int(np.searchsorted(total, total[lo] + CELLS, "right")) - 1
+            j = int(np.searchsorted(starts, k, "right"))
+            hi = len(passage) if k >= len(passage) else int(starts[j - 1])
+            if hi <= lo:                       # one passage alone is larger
+                j = int(np.searchsorted(starts, lo, "right"))
+                hi = int(starts[j]) if j < len(starts) else len(passage)
+            mine = size[lo:hi]
+            where = np.arange(total[hi] - total[lo]) + np.repeat(
+                self.block_at[term[lo:hi]] - (total[lo:hi] - total[lo]), mine)
+            base = int(passage[lo])
+            cell = np.repeat(passage[lo:hi] - base, mine) * self.n_blocks + self.blocks[where]
+            cells = (int(passage[hi - 1]) - base + 1) * self.n_blocks
+            if cells <= 4 * len(cell):         # most cells are met: a dense sum is shorter
+                bound = np.bincount(cell, self.block_max[where], cells)
+                hit = np.flatnonzero(bound >= threshold - 1e-9)
+            else:
+                order = np.argsort(cell, kind="stable")
+                cell = cell[order]
+                run = _runs(cell[1:] != cell[:-1])
+                bound = np.add.reduceat(self.block_max[where[order]], run) if len(run) else np.zeros(0)
+                hit = cell[run[bound >= threshold - 1e-9]]
+            out.append(np.unique(hit // self.n_blocks) + base)
+            lo = hi
+        return np.concatenate(out)
 
     def wand(self, query: list[int], threshold: float) -> list[tuple[int, float]]:
         """All entries that score ``threshold`` or more with these distinct
         terms, by block-max WAND: cursors stay sorted by their entry; the pivot is
         where the lists' maxima could first reach the threshold; the maxima of
         the pivot's block decide whether its entry is scored or the block is skipped."""
-        cursors = [[self.lists[t][0], self.lists[t][1], 0, float(self.top[t]), self.block_top[t]]
-                   for t in query]
+        entries, weights, blocks, maxima = (
+            memoryview(x) for x in (self.entry, self.weight, self.blocks, self.block_max))
+        # Place in the postings, their end, largest weight, place in the blocks, their end.
+        cursors = [[int(self.bounds[t]), int(self.bounds[t + 1]), float(self.top[t]),
+                    int(self.block_at[t]), int(self.block_at[t + 1])] for t in query]
         hits, slack = [], threshold - 1e-9
         while True:
-            cursors = [c for c in cursors if c[2] < len(c[0])]
-            cursors.sort(key=lambda c: c[0][c[2]])
+            cursors = [c for c in cursors if c[0] < c[1]]
+            cursors.sort(key=lambda c: entries[c[0]])
             bound, pivot = 0.0, -1
             for i, c in enumerate(cursors):
-                bound += c[3]
+                bound += c[2]
                 if bound >= slack:
                     pivot = i
                     break
             if pivot < 0:
                 return hits
-            doc = cursors[pivot][0][cursors[pivot][2]]
-            while pivot + 1 < len(cursors) and cursors[pivot + 1][0][cursors[pivot + 1][2]] == doc:
+            doc = entries[cursors[pivot][0]]
+            while pivot + 1 < len(cursors) and entries[cursors[pivot + 1][0]] == doc:
                 pivot += 1
-            block = doc // BLOCK
-            if sum(c[4].get(block, 0.0) for c in cursors[:pivot + 1]) < slack:
+            block, bound = doc // BLOCK, 0.0
+            for c in cursors[:pivot + 1]:
+                c[3] = bisect_left(blocks, block, c[3], c[4])
+                if c[3] < c[4] and blocks[c[3]] == block:
+                    bound += maxima[c[3]]
+            if bound < slack:
                 # No entry up to the block's end, or to the next list, can reach it.
                 to = (block + 1) * BLOCK
                 if pivot + 1 < len(cursors):
-                    to = min(to, cursors[pivot + 1][0][cursors[pivot + 1][2]])
+                    to = min(to, entries[cursors[pivot + 1][0]])
                 to = max(to, doc + 1)
-            elif cursors[0][0][cursors[0][2]] == doc:
-                score = sum(c[1][c[2]] for c in cursors[:pivot + 1])
+            elif entries[cursors[0][0]] == doc:
+                score = sum(weights[c[0]] for c in cursors[:pivot + 1])
                 if score >= slack:
                     hits.append((doc, score))
                 to = doc + 1
             else:
                 to = doc
             for c in cursors[:pivot + 1]:
-                entries, at = c[0], c[2]
-                while at < len(entries) and entries[at] < to:
-                    at += 1
-                c[2] = at
+                c[0] = bisect_left(entries, to, c[0], c[1])
+
+
+def _flat(column) -> tuple[np.ndarray, np.ndarray]:
+    """Values and offsets of an Arrow column of lists."""
+    import pyarrow as pa
+
+    parts = [c for c in column.chunks if len(c)]
+    whole = pa.concat_arrays(parts) if parts else pa.array([], column.type)
+    offsets = whole.offsets.to_numpy().astype(np.int64)
+    values = whole.values.to_numpy()[offsets[0]:offsets[-1]] if len(whole) else np.zeros(0, np.int64)
+    return values.view(np.uint64), offsets - offsets[0] if len(whole) else np.zeros(1, np.int64)
 
 
 def _leak_task(shared, threshold: float, min_question: float, min_answer: float, min_words: int):
@@ -246,10 +307,10 @@ def _leak_task(shared, threshold: float, min_question: float, min_answer: float,
                     single = np.unique(words[a:b])
                     for e, score in hits:
                         parts = [np.isin(x, mine if pairs else single).mean() if len(x) else 1.0
-                                 for x, pairs in index.checks[e]]
+                                 for x, pairs in index.checks(e)]
                         found.append((names[row + d].as_py(), row + d, index.items[e], float(score),
                                       float(parts[0]), float(parts[1]),
-                                      index.sizes[e] >= min_words and parts[0] >= min_question
+                                      bool(index.sizes[e] >= min_words) and parts[0] >= min_question
                                       and parts[1] >= min_answer))
             cols = list(zip(*found)) if found else [[]] * 7
             key = batch.column("_row")
@@ -286,13 +347,16 @@ def find_leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_c
                         F.col(text_col).alias("_text"))
     out = None
     for s in range(shards):
-        # One shard of about shard_words words at a time reaches the driver.
+        # One shard of about shard_words words at a time reaches the driver, as Arrow arrays.
         mine = entries.filter(F.pmod(F.xxhash64("_item"), F.lit(shards)) == s)
-        rows = mine.orderBy("_item", "_part").collect()
-        freq = df.join(mine.select(F.explode("_words").alias("_w")).distinct(), "_w", "left_semi")
-        index = Index([(r["_item"], r["_mid"], np.array(r["_words"], dtype=np.int64).view(np.uint64))
-                       for r in rows], {r["_w"]: r["_df"] for r in freq.collect()},
-                      n, words / max(n, 1))
+        rows = mine.orderBy("_item", "_part").toArrow()
+        freq = (df.join(mine.select(F.explode("_words").alias("_w")).distinct(), "_w", "left_semi")
+                .toArrow())
+        own, at = _flat(rows["_words"])
+        terms = freq["_w"].to_numpy().view(np.uint64)
+        order = np.argsort(terms)                # df_terms of the index are sorted
+        index = Index.of_arrays(rows["_item"].to_pylist(), rows["_mid"].to_numpy(), at, own, terms[order],
+                                freq["_df"].to_numpy()[order], n, words / max(n, 1))
         part = texts.mapInArrow(
             _leak_task(spark.sparkContext.broadcast(index), threshold, min_question, min_answer,
                        min_words),
