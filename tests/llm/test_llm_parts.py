@@ -1,15 +1,19 @@
 """The operators' building blocks against plain Python."""
 
 import itertools
+import math
 import random
 import re
+import time
+import unicodedata
 import zlib
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
 import pytest
 
-from cadenza.llm import decontam, html_crf, packing, setsketch, toxicity, warc
+from cadenza.llm import decontam, html_crf, packing, quality, setsketch, toxicity, warc
 from cadenza.llm import textvec as tv
 from cadenza.llm.quality import text_rules
 from cadenza.llm.tokens import binary_rows, encoder
@@ -231,3 +235,166 @@ def test_records_split_from_one_stream():
         assert list(warc.split_records(warc.inflate(io.BytesIO(raw), 1000))) == records
     with pytest.raises(ValueError):
         list(warc.split_records([records[1][:500]]))
+
+
+def naive_fold(text):
+    """Folding, character by character."""
+    visible = [c for c in unicodedata.normalize("NFKD", unicodedata.normalize("NFKD", text or "").lower())
+               if not any(a <= ord(c) <= b for a, b in toxicity.DIACRITICS)
+               and unicodedata.category(c) != "Cf"]
+    word = lambda c: c.isalnum() or c == "_"
+    for mark, letter in (("$", "s"), ("!", "i")):
+        for i, c in enumerate(visible):
+            before = i > 0 and word(visible[i - 1])
+            after = i + 1 < len(visible) and word(visible[i + 1])
+            if c == mark and after and (
+                    before and (mark == "$" or visible[i + 1] != "_")
+                    or mark == "$" and not visible[i + 1].isdecimal() and visible[i + 1] != "_"):
+                visible[i] = letter
+    out = []
+    for c in visible:
+        c = toxicity.LOOKALIKES.get(c, "" if c in "'\u2018\u2019" else c)
+        if c and (c.isascii() and not c.isalnum() or unicodedata.category(c)[0] in "PSZ"):
+            c = " "
+        out.append("i" if c == "l" else c)
+    return " " + " ".join("".join(out).split()) + " "
+
+
+def naive_hits(folded, lexicon, exceptions):
+    """Every place of every term outside of all exceptions, by plain search."""
+    places = lambda p: [i for i in range(len(folded)) if folded.startswith(p, i)]
+    covered = {i for p in exceptions if p not in lexicon for a in places(p) for i in range(a, a + len(p) - 1)}
+    return sorted((t, i) for t in lexicon for i in places(t) if i not in covered)
+
+
+def test_fold_and_automaton_against_plain_search():
+    rng = random.Random(11)
+    words = ["clown", "scum", "fish", "$cum", "sc\u200bum", "c1own", "cl\u043ewn", "scu", "a$b", "cl!own", "x!", "$5",
+             "sc\u00famy", "\U0001d564cum", "\uff23lown", "'clown'", "\u201cscum\u201d", "!", "_$_", "\n", ""]
+    lexicon = {toxicity.fold("clown"): 2.0, " scu": 1.0, toxicity.fold("fish"): 0.5}
+    exceptions = [toxicity.fold("clown fish"), toxicity.fold("fish clown fish"), toxicity.fold("scum a")]
+    match = toxicity.Matcher(lexicon, exceptions)
+    for _ in range(400):
+        text = " ".join(rng.choice(words) for _ in range(rng.randint(0, 25)))
+        folded = toxicity.fold(text)
+        assert folded == naive_fold(text), text
+        hits = match.hits(folded)
+        want = naive_hits(folded, lexicon, exceptions)
+        assert sorted((match.terms[t], first) for t, first, _ in hits) == want, folded
+        weight = sum(lexicon[t] for t, _ in want)
+        got = match.features(folded)
+        assert got[0] == pytest.approx(weight / (len(folded.split()) + 20.0))
+        assert got[3] == max((lexicon[t] for t, _ in want), default=0.0)
+
+
+def test_folded_spellings():
+    for text in ("$tupid", "st\u00fap1d", "st\u200bupid", "\U0001d564tupid", "\uff33TUPID", "s\u0442upid", "stup!d"):
+        assert toxicity.fold(text) == toxicity.fold("stupid"), text
+    assert toxicity.fold("stop! It is $5") == toxicity.fold("stop it is 5")
+
+
+def test_many_excused_hits_take_linear_time():
+    match = toxicity.Matcher({toxicity.fold("clown"): 2.0}, [toxicity.fold("clown fish")])
+    folded = toxicity.fold("clown fish " * 16_000 + "clown")
+    begin = time.time()
+    assert [first for _, first, _ in match.hits(folded)] == [16_000 * 11]
+    assert time.time() - begin < 3
+
+
+def test_deep_pages_take_linear_time():
+    page = "".join(f"<div class='c{i} deep'>x{i}" for i in range(4_000))
+    begin = time.time()
+    items = html_crf.blocks(page)
+    emit = html_crf.emissions(items, {"in:div": 1.0, "own:div": 0.5, "mark:c": 0.25, "mark:deep": 2.0})
+    assert len(items) == 4_000 and emit[-1] == emit[0] == 3.75
+    assert len(html_crf.blocks("<p>" + "<b>" * 4_000 + "<h2>x</h2></i>" * 4_000)) == 4_000
+    assert time.time() - begin < 5
+
+
+def test_place_weights_equal_the_feature_lists():
+    rng = random.Random(3)
+    tags = ["div", "p", "span", "ul", "li", "a", "article", "b", "td"]
+    weights = {f"{k}:{t}": rng.random() for k in ("in", "own") for t in tags} | {
+        "mark:x": 0.3, "mark:y": -0.7, "own:-": 0.1, "end:open": 0.2, "first": 1.0}
+    for _ in range(100):
+        page = "".join(rng.choice([f"<{(t := rng.choice(tags))} class='{rng.choice('xyz')}'>", f"</{t}>", "word "])
+                       for _ in range(60))
+        items = html_crf.blocks(page)
+        want = [sum(weights.get(f, 0.0) for f in fs) for fs in html_crf.features(items)]
+        assert html_crf.emissions(items, weights) == pytest.approx(want)
+        for b, fs in zip(items, html_crf.features(items)):
+            assert {f for f in fs if f[:3] in ("in:", "mar")} == {f"in:{t}" for t in b.path} | {
+                f"mark:{w}" for w in b.marks}
+
+
+def test_bound_in_stretches_equals_the_dense_sum(monkeypatch):
+    rng = np.random.default_rng(5)
+    entries = [(str(i), 3, rng.integers(1, 400, rng.integers(4, 20)).astype(np.uint64)) for i in range(300)]
+    df = {}
+    for e in entries:
+        for t in np.unique(e[2]).tolist():
+            df[t] = df.get(t, 0) + 1
+    index = decontam.Index(entries, df, len(entries), 12.0)
+    key = np.unique(rng.integers(0, 50 * len(index.terms), 900))
+    passage, term = key // len(index.terms), key % len(index.terms)
+    dense = np.zeros((50, index.n_blocks))
+    for p, t in zip(passage, term):
+        a, b = index.block_at[t], index.block_at[t + 1]
+        dense[p, index.blocks[a:b]] += index.block_max[a:b]
+    for threshold in (0.3, 0.5, 0.8):
+        want = np.flatnonzero((dense >= threshold - 1e-9).any(1)).tolist()
+        for cells in (1, 40, 1_000, 1 << 20):
+            monkeypatch.setattr(decontam, "CELLS", cells)
+            assert index.may_reach(passage, term, 50, threshold).tolist() == want
+
+
+def test_log_ratio_score_against_plain_python():
+    """Normalised log ratio of byte 4-grams and word pairs, n-gram by n-gram."""
+    texts = ["good words make good texts", "spam spam spam!", "", "a", "good spam \u00e9t\u00e9", "words make sense here"]
+    trusted = [True, False, False, False, False, True]
+    half = quality.BUCKETS // 2
+
+    def buckets(text):
+        data = text.encode()
+        low = []
+        for i in range(len(data) - 3):
+            code = 0
+            for byte in data[i:i + 4]:
+                code = (code * 0x01000193 + byte) & 0xFFFFFFFF
+            low.append(((code * 0x9E3779B1) & 0xFFFFFFFF) >> 17)
+        return low
+
+    def pairs(text):
+        return list(zip(text.split(), text.split()[1:]))
+
+    # A pair's bucket is a hash of the operator's; which pairs share one is all that counts.
+    bucket_of = {}
+    for t in texts:
+        for _, part in tv.slices(pa.array([t])):
+            part.split()
+            _, got, _ = quality.gram_buckets(part, 4)
+            assert len(got) == len(pairs(t)) and (got >= half).all()
+            bucket_of |= dict(zip(pairs(t), got.tolist()))
+    grams = [buckets(t) + [bucket_of[p] for p in pairs(t)] for t in texts]
+    raw, good = Counter(), Counter()
+    for g, ok in zip(grams, trusted):
+        raw.update(g)
+        good.update(g if ok else [])
+    ratio = {}
+    for low in (True, False):
+        mine = [b for b in raw if (b < half) == low]
+        total, fine = sum(raw[b] for b in mine), sum(good[b] for b in mine)
+        ratio |= {b: math.log((good[b] + 1) / (fine + half)) - math.log((raw[b] + 1) / (total + half))
+                  for b in mine}
+    want = [sum(ratio[b] for b in g) / max(len(g), 1) for g in grams]
+
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(texts))), pa.array(texts), pa.array(trusted)],
+                                       names=["_id", "_text", "_trusted"])
+    (counted,) = quality._count_task(4)([batch])
+    assert dict(zip(counted["bucket"].to_pylist(), counted["raw"].to_pylist())) == dict(raw)
+    assert {b: c for b, c in zip(counted["bucket"].to_pylist(), counted["trusted"].to_pylist()) if c} == dict(good)
+    table = np.zeros(quality.BUCKETS)
+    table[list(ratio)] = list(ratio.values())
+    scored = [r for out in quality._score_task(4, table, rules=False)([batch]) for r in out.to_pylist()]
+    assert [r["_id"] for r in scored] == list(range(len(texts)))
+    assert [r["score"] for r in scored] == pytest.approx(want)
