@@ -19,7 +19,7 @@ copy whose landmark is an anonymous ``div``, so that other cues are learnt; and
 example pages (:func:`example_pages`) with menus, notices, adverts, forms, sidebars and comments.
 
 Defined cases: null and empty html, and pages without main text, give an empty text;
-rows that repeat a page are each extracted; a table without usable pages is served by the
+rows that repeat a page are each extracted (rows of one id are one page to train on); a table without usable pages is served by the
 built-in examples. Other columns are not read.
 """
 
@@ -73,7 +73,9 @@ class Place:
         self.tag, self.words, self.up, self.total = tag, words, up, None
         self.own = tag if tag in BLOCK_TAGS else up.own if up else "-"
         names = [f"in:{tag}"] if tag in BLOCK_TAGS else []
-        self.added = [f for f in dict.fromkeys(names + [f"mark:{w}" for w in words]) if f not in active]
+        if words:
+            names += dict.fromkeys(f"mark:{w}" for w in words)
+        self.added = [f for f in names if f not in active]
 
     def chain(self) -> list[Place]:
         """The element and those around it, root first."""
@@ -117,7 +119,9 @@ def blocks(page: str) -> list[Block]:
     """Leaf blocks in page order: text, place among the open elements, and the share of
     characters inside links. Time is linear in the page, however deep its nesting."""
     out: list[Block] = []
-    stack: list[tuple[str, Place, int]] = []  # open elements: tag, place, last one that may end a search
+    # Open elements: tag, place (an inline one without class words has that around it), whether
+    # the place is its own, the last element that may end a search.
+    stack: list[tuple[str, Place | None, bool, int]] = []
     active: set[str] = set()                  # features of the open elements
     open_tags: Counter = Counter()
     parts: list[str] = []
@@ -137,11 +141,12 @@ def blocks(page: str) -> list[Block]:
         nonlocal hidden, links
         if any(e[0] in BLOCK_TAGS for e in stack[k:]):
             flush()
-        for t, place, _ in stack[k:]:
+        for t, place, own, _ in stack[k:]:
             hidden -= t in HIDDEN_TAGS
             links -= t == "a"
             open_tags[t] -= 1
-            active.difference_update(place.added)
+            if own:
+                active.difference_update(place.added)
         del stack[k:]
 
     size = len(page)
@@ -177,10 +182,10 @@ def blocks(page: str) -> list[Block]:
             flush()
             # A block ends an open paragraph, and list items and cells end their like.
             family = CLOSES.get(tag, ())
-            k = stack[-1][2] if stack else -1
+            k = stack[-1][3] if stack else -1
             while k >= 0:
                 open_tag = stack[k][0]
-                below = stack[k - 1][2] if k else -1
+                below = stack[k - 1][3] if k else -1
                 if open_tag == "p" or open_tag in family:
                     close_to(k)
                     if open_tag != "p":
@@ -190,12 +195,16 @@ def blocks(page: str) -> list[Block]:
                 k = below
         if tag in VOID_TAGS or found.group(3).rstrip().endswith("/") and tag in HIDDEN_TAGS:
             continue
-        marks = tuple(w for m in _ATTR.finditer(found.group(3))
-                      for w in _SUBWORD.findall((m[2] or m[3] or m[4] or "").lower()))
-        place = Place(tag, marks, stack[-1][1] if stack else None, active)
-        active.update(place.added)
+        attrs = found.group(3)
+        marks = tuple(w for m in _ATTR.finditer(attrs)
+                      for w in _SUBWORD.findall((m[2] or m[3] or m[4] or "").lower())) if attrs else ()
+        place = stack[-1][1] if stack else None
+        own = bool(marks) or tag in BLOCK_TAGS
+        if own:
+            place = Place(tag, marks, place, active)
+            active.update(place.added)
         open_tags[tag] += 1
-        stack.append((tag, place, len(stack) if tag in SEARCHED else stack[-1][2] if stack else -1))
+        stack.append((tag, place, own, len(stack) if tag in SEARCHED else stack[-1][3] if stack else -1))
         hidden += tag in HIDDEN_TAGS
         links += tag == "a"
         if tag in RAW_TAGS:
@@ -369,14 +378,13 @@ def learn(pages: DataFrame, id_col: str = "page_id", html_col: str = "html",
           train_pages: int = 200) -> dict:
     """The model, from at most ``train_pages`` pages in order of a hash of the
     id (a documented bound) and the built-in examples."""
-    low = F.lower(F.col(html_col))
-    usable = (pages.filter(low.contains("<article") | low.contains("<main"))
-              .select(F.xxhash64(id_col).alias("_k"), F.xxhash64(html_col).alias("_h"),
-                      F.col(html_col).alias("_html")))
-    # Only hashes are ranked; html is fetched for the chosen pages alone.
-    chosen = usable.select("_k", "_h").distinct().orderBy("_k", "_h").limit(train_pages)
-    rows = (usable.join(F.broadcast(chosen), ["_k", "_h"]).groupBy("_k", "_h")
-            .agg(F.min("_html").alias("_html")).orderBy("_k", "_h").collect())
+    low = F.lower(F.col("_html"))
+    usable = low.contains("<article") | low.contains("<main")
+    every = pages.select(F.xxhash64(id_col).alias("_k"), F.col(html_col).alias("_html"))
+    # Only hashes of ids are ranked; html is fetched for the chosen ids alone, one page each.
+    chosen = every.filter(usable).select("_k").distinct().orderBy("_k").limit(train_pages)
+    rows = (every.join(F.broadcast(chosen), "_k").groupBy("_k")
+            .agg(F.min(F.when(usable, F.col("_html"))).alias("_html")).orderBy("_k").collect())
     labelled = [x for r in rows for x in landmark_pages(r["_html"])]
     return train(labelled + example_pages())
 
