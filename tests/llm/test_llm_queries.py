@@ -10,6 +10,7 @@ import duckdb
 import numpy as np
 import pyarrow.parquet as pq
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as E
 import corpus_pipeline
@@ -213,3 +214,28 @@ def test_pipeline_against_plain_python(spark, texts):
     for r in docs.collect():
         total[r.doc_id] += r.length
     assert total == {i: len(enc.encode(t, add_special_tokens=False).ids) + 1 for i, t in kept.items()}
+
+
+def test_pipeline_stages_on_awkward_rows(spark):
+    """Null ids and texts, empty texts, repeated rows and an empty table, through every stage."""
+    real = spark.read.parquet(f"{SF_SMALL}/documents.parquet")
+    long = " ".join(f"word{i} of number {i * 7}" for i in range(3_000))
+    rows = [(1, None), (2, ""), (3, "   "), (None, "text without an id"), (None, None), (4, long), (4, long),
+            (5, long + " end"), (6, "one\n\n\n\ntwo"), (7, "a plain short text"), (7, "a plain short text")]
+    fill = [c for c in real.columns if c not in ("doc_id", "text")]
+    odd = spark.createDataFrame(rows, "doc_id long, text string").select(
+        F.col("doc_id").cast(real.schema["doc_id"].dataType), "text",
+        *[F.lit(None).cast(real.schema[c].dataType).alias(c) for c in fill]).select(real.columns)
+    # Only the near copy of the long text goes; rows that repeat an id stay together.
+    kept = {"toxicity": 11, "line_dedup": 11, "near_dedup": 10, "decontamination": 10}
+    for docs, want in ((odd, kept), (odd.limit(0), dict.fromkeys(kept, 0))):
+        for name, stage in corpus_pipeline.STAGES:
+            docs = land_table(stage(spark, docs, SF_SMALL), f"odd-{name}")
+            if name == "packing":
+                break
+            assert docs.columns == real.columns, name
+            got = Counter(r.doc_id for r in docs.collect())
+            assert got.total() == want[name], name
+            assert got[None] == 2 * (want[name] > 0) and got[5] == (want[name] == 11)
+        n = docs.agg(F.sum("length")).first()[0] or 0
+        assert (n > 0) == (want["toxicity"] > 0)
