@@ -6,9 +6,11 @@ weights are BM25 with document frequency, entry number and mean length taken ove
 entries (Spark aggregates), divided by the entry's own score, so an entry that is
 repeated word by word scores 1 and one threshold fits all. A shard of the index
 holds postings per term, and per term and block of entries the largest weight.
-The index is cut into shards of at most ``shard_words`` words by a hash of the
-item, and each shard is applied to all documents in turn; a shard is the only thing
-that is broadcast, so its size is bounded whatever the benchmark's size.
+The index is cut into shards of about ``shard_words`` words by a hash of the
+entry, its item and its words, and each shard is applied to all documents in turn; a shard is the
+only thing that is broadcast, so its size is bounded whatever the benchmark's size and however many
+items share an id or have none. Rows that repeat an item's entry count in the statistics and
+are indexed once.
 
 Queries. Every document is cut into passages of twice the longest entry, every
 longest entry's length: any occurrence of an entry lies whole in one passage.
@@ -42,6 +44,7 @@ from pyspark.sql import functions as F
 
 from cadenza.llm import textvec as tv
 from cadenza.session import ship_package
+from cadenza.sources.sinks import land_table
 
 K1, B = 1.2, 0.75
 BLOCK = 4
@@ -335,20 +338,25 @@ def find_leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_c
     source = items.select(F.col(item_id).cast("string").alias("_item"),
                           F.col(question_col or item_text).alias("_q"),
                           (F.col(answer_col) if answer_col else F.lit(None).cast("string")).alias("_a"))
-    entries = source.mapInArrow(_entry_task(entry_words),
-                                "_item string, _part long, _mid long, _words array<long>")
+    entries = land_table(source.mapInArrow(
+        _entry_task(entry_words), "_item string, _part long, _mid long, _words array<long>"), "entries")
     total = entries.agg(F.count(F.lit(1)).alias("n"), F.sum(F.size("_words")).alias("words")).first()
     n, words = total["n"], total["words"] or 0
     shards = max(1, -(-words // shard_words))
-    df = entries.select("_item", F.explode(F.array_distinct("_words")).alias("_w")).groupBy("_w").agg(
+    df = entries.select(F.explode(F.array_distinct("_words")).alias("_w")).groupBy("_w").agg(
         F.count(F.lit(1)).alias("_df"))
+    kept = entries.dropDuplicates()
+    if shards > 1:
+        df = land_table(df, "entry-terms")
+        kept = land_table(kept.withColumn(
+            "_shard", F.pmod(F.xxhash64("_item", "_part", "_words"), F.lit(shards))), "entry-shards", "_shard")
     kind = docs.schema[id_col].dataType.simpleString()
     texts = docs.select(F.xxhash64(text_col).alias("_row"), F.col(id_col).alias("_id"),
                         F.col(text_col).alias("_text"))
     out = None
     for s in range(shards):
         # One shard of about shard_words words at a time reaches the driver, as Arrow arrays.
-        mine = entries.filter(F.pmod(F.xxhash64("_item"), F.lit(shards)) == s)
+        mine = kept.filter(F.col("_shard") == s) if shards > 1 else kept
         rows = mine.orderBy("_item", "_part").toArrow()
         freq = (df.join(mine.select(F.explode("_words").alias("_w")).distinct(), "_w", "left_semi")
                 .toArrow())

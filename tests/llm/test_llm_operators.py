@@ -235,6 +235,33 @@ def test_decontamination_by_an_item_without_id(spark):
     assert sorted(r.doc_id for r in decontam.decontaminate(docs, items).collect()) == [1]
 
 
+def test_decontamination_shards_items_that_share_an_id(spark, monkeypatch):
+    words = [f"{a}{b}" for a in "bcdfghjkl" for b in "aeiouy"]
+    rng = random.Random(3)
+    texts = [" ".join(rng.choices(words, k=12)) for _ in range(120)]
+    # A third of the items without an id, a third with one id, and one item many times over.
+    rows = [(None if i % 3 == 0 else "same" if i % 3 == 1 else f"i{i}", t) for i, t in enumerate(texts)]
+    items = spark.createDataFrame(rows + [("copy", texts[0])] * 300, "item_id string, text string")
+    table = spark.createDataFrame([(i, f"zz {t} zz") for i, t in enumerate(texts[:40])]
+                                  + [(99, "zz yy")], "doc_id long, text string")
+
+    def report(**options):
+        return sorted((r.doc_id, r.n_retrieved, r.leaked_items, round(r.best_score, 9), r.contaminated)
+                      for r in decontam.leak_report(table, items, **options).collect())
+
+    want = report()
+    assert [r[0] for r in want if r[4]] == list(range(40))
+    assert want[0][2] == ["copy"] and want[1][2] == ["same"]
+    sizes, build = [], decontam.Index._build
+
+    def seen(self, *arrays):
+        build(self, *arrays)
+        sizes.append(len(self.words))
+    monkeypatch.setattr(decontam.Index, "_build", seen)
+    assert report(shard_words=600) == want
+    assert len(sizes) == 9 and max(sizes) <= 600
+
+
 def test_decontamination_lower_cases_both_sides_alike(spark):
     texts = ["ΠΟΙΟΣ ΕΙΝΑΙ Ο ΠΡΩΤΟΣ ΔΡΟΜΟΣ ΤΟΥ ΝΗΣΙΟΥ ΜΑΣ ΚΑΙ Ο ΤΕΛΕΥΤΑΙΟΣ", "İZMİR DİYARBAKIR İSTANBUL EDİRNE MERSİN"]
     items = spark.createDataFrame(list(enumerate(texts)), "item_id long, text string")
