@@ -15,8 +15,9 @@ documents' own scores: their low ``quantile``, less ``slack`` times its distance
 their median (0 at most). So it moves with the corpus, and no document is kept or
 dropped by chance.
 
-Trusted documents are those that ``labels`` rates 1, at most ``trusted_rows`` of
-them in order of a hash of the id (a documented bound: their ids are broadcast).
+Trusted documents are all those that ``labels`` rates 1. Their ids meet the texts in a shuffled
+hash join; the scores are landed, and the two quantiles are read off the running totals of
+the sorted trusted scores, exactly.
 
 Defined cases: null and empty texts have no words, zeros everywhere and fail the
 base rules; a text that repeats a trusted id is trusted as well; without any trusted document every
@@ -26,12 +27,16 @@ text are not read.
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cadenza.llm import textvec as tv
+from cadenza.operators.numbering import global_cumsum
 from cadenza.session import ship_package
+from cadenza.sources.sinks import land_table
 
 BUCKETS = 1 << 16
 _SYMBOL = np.isin(tv.ALL, np.frombuffer(b"#*$%&|<>", dtype=np.uint8))
@@ -135,10 +140,24 @@ def _score_task(n: int, ratio: np.ndarray, rules: bool):
     return run
 
 
+def quantiles(scores: DataFrame, col: str, shares: list[float]) -> list[float] | None:
+    """Exact quantiles of a column, interpolated as ``percentile`` does (None without rows).
+    That aggregate ends in one task that holds every value; here values are sorted by range."""
+    totals = global_cumsum(scores.groupBy(col).agg(F.count(F.lit(1)).alias("n")), [col], "n")
+    rows = totals.agg(F.max("cum")).first()[0]
+    if not rows:
+        return None
+    at = [share * (rows - 1) for share in shares]
+    ranks = sorted({r for a in at for r in (math.floor(a), math.ceil(a))})
+    found = totals.agg(*[F.min(F.when(F.col("cum") > r, F.col(col))) for r in ranks]).first()
+    value = dict(zip(ranks, found))
+    return [value[a] if a in value else
+            (math.ceil(a) - a) * value[math.floor(a)] + (a - math.floor(a)) * value[math.ceil(a)] for a in at]
+
+
 def quality(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
             label_col: str = "quality", n: int = 4, threshold: float | None = None,
-            quantile: float = 0.005, slack: float = 1.5, trusted_rows: int = 20_000, min_words: int = 50,
-            max_repeat_pct: int = 50) -> DataFrame:
+            quantile: float = 0.005, slack: float = 1.5, min_words: int = 50, max_repeat_pct: int = 50) -> DataFrame:
     """One row per document: id, ``n_words, word_chars, n_symbols, n_dup_lines,
     n_repeat_words, base_failed, kept, score``."""
     spark = docs.sparkSession
@@ -147,9 +166,8 @@ def quality(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col
     text = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text"))
     good = (labels.filter((F.col(label_col) == 1) & F.col(id_col).isNotNull())
             .select(F.col(id_col).alias("_id")).distinct()
-            .orderBy(F.xxhash64("_id"), "_id").limit(trusted_rows))
-    chosen = F.broadcast(good.withColumn("_trusted", F.lit(True)))       # at most trusted_rows ids
-    marked = text.join(chosen, "_id", "left").select(
+            .hint("shuffle_hash"))                                       # grows with the labels
+    marked = text.join(good.withColumn("_trusted", F.lit(True)), "_id", "left").select(
         "_text", F.coalesce("_trusted", F.lit(False)).alias("_trusted"))
     counts = (marked.mapInArrow(_count_task(n), "bucket long, raw long, trusted long")
               .groupBy("bucket").agg(F.sum("raw").alias("raw"), F.sum("trusted").alias("trusted"))
@@ -162,16 +180,17 @@ def quality(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col
         if trusted[half].sum():
             ratio[half] = (np.log((trusted[half] + 1) / (trusted[half].sum() + BUCKETS // 2))
                            - np.log((raw[half] + 1) / (raw[half].sum() + BUCKETS // 2)))
-    if threshold is None:
-        own = text.join(chosen.drop("_trusted"), "_id", "left_semi").mapInArrow(
-            _score_task(n, ratio, rules=False), f"_id {kind}, score double")
-        low, mid = own.agg(F.percentile("score", F.lit(quantile)),
-                           F.percentile("score", F.lit(0.5))).first()
-        threshold = 0.0 if low is None else min(low - slack * (mid - low), 0.0)
     scored = text.mapInArrow(
         _score_task(n, ratio, rules=True),
         f"_id {kind}, score double, n_words long, word_chars long, n_symbols long, "
         "n_dup_lines long, n_repeat_words long")
+    if threshold is None:
+        scored = land_table(scored, "quality-scores")
+        found = quantiles(scored.join(good, "_id", "left_semi"), "score", [quantile, 0.5])
+        threshold = 0.0
+        if found is not None:
+            low, mid = found
+            threshold = min(low - slack * (mid - low), 0.0)
     failed = (F.col("n_words") < min_words) | (
         100 * F.col("n_repeat_words") > max_repeat_pct * F.col("n_words"))
     return scored.select(

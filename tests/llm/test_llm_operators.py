@@ -132,6 +132,25 @@ def test_quality(docs, empty, spark):
     assert all(verdict[i] for i in range(60)) and not any(verdict[100 + i] for i in range(6))
 
 
+def test_quality_counts_every_trusted_document(spark):
+    """All documents are trusted, more than any bound there was: both multinomials are the same
+    one, so every log ratio is zero."""
+    rows = spark.range(20_200).select(F.col("id").alias("doc_id"), F.md5(F.col("id").cast("string")).alias("text"))
+    labels = rows.select("doc_id", F.lit(1).alias("quality"))
+    got = quality.quality(rows, labels, min_words=1)
+    assert got.agg(F.count("score"), F.max(F.abs("score"))).first()[:] == (20_200, 0.0)
+    assert got.filter("kept").count() == 20_200
+
+
+def test_quantiles_are_exact(spark):
+    frame = spark.range(5_001).select((F.col("id") * 7919 % 613 / 10).alias("v"))
+    shares = [0.0, 0.005, 0.33, 0.5, 0.9999, 1.0]
+    want = list(frame.agg(*[F.percentile("v", F.lit(p)) for p in shares]).first())
+    assert quality.quantiles(frame, "v", shares) == want
+    assert quality.quantiles(frame.limit(1), "v", shares) == [frame.limit(1).first()[0]] * len(shares)
+    assert quality.quantiles(frame.limit(0), "v", shares) is None
+
+
 def test_toxicity(docs, empty, spark):
     rude = ["idiot", "sc0re", "moron"]
     train = [(i, " ".join(f"word{(i * 3 + k) % 50}" for k in range(30)) + (f" you {rude[i % 3]} " if i % 4 == 0 else " you "))
