@@ -14,6 +14,7 @@ asked for again (:func:`answer_all`)."""
 
 from __future__ import annotations
 
+import time
 from typing import Callable, Iterable
 
 from pyspark.sql import DataFrame
@@ -29,6 +30,8 @@ RESPONSE_SCHEMA = "request_id string, status int, body string"
 
 FAILED = -1          # status of an id whose call raised
 SILENT = 0           # ledger status of an id that its call did not answer
+ROUND_SECONDS = 30   # a round shorter than this is followed by one of twice the size
+MAX_ROUNDS = 200     # parts that the open ids of one pass are dealt to
 
 
 def _requester(id_col: str, fetch: Callable, batch_size: int, on_error: str):
@@ -78,17 +81,21 @@ def request_batches(ids: DataFrame, id_col: str, fetch: Callable, batch_size: in
     return src.mapInArrow(_requester(id_col, fetch, batch_size, on_error), RESPONSE_SCHEMA)
 
 
-def _recorder(fetch: Callable, batch_size: int):
+def _recorder(fetch: Callable, batch_size: int, batches_per_turn: int):
     """Like :func:`_requester`, with a row for every id: a call that raises gives ``FAILED`` rows
-    and ends the task's calls (the service may be down), so the responses before it are kept."""
+    and ends the calls of its turn (the service may be down), so the responses before it are
+    kept. A turn is ``batches_per_turn`` calls; the next one tries the service again."""
     def run(batches: Iterable):
         import pyarrow as pa
 
         held: list[str] = []
-        down = False
+        down, calls = False, 0
 
         def ask(chunk):
-            nonlocal down
+            nonlocal down, calls
+            if calls % batches_per_turn == 0:
+                down = False
+            calls += 1
             try:
                 rows = [] if down else [(str(i), s, b) for i, s, b in fetch(chunk)]
                 silent = set() if down else set(chunk) - {r[0] for r in rows}
@@ -124,12 +131,14 @@ def answer_all(ids: DataFrame, id_col: str, fetch: Callable, ledger: str, batch_
     """S7 / G2 that survives failures: every distinct id gets one answer in ``ledger``, and is
     asked for only while it has none.
 
-    The ids without an answer (anti join with the ledger) are dealt to rounds of at most
-    ``max_parallel`` tasks of ``batches_per_task`` calls each; a round is one Spark write
-    that appends its responses. A call that raises costs its own batch: what the task heard
-    before is kept, and the rest waits for the next of ``attempts`` passes. A run that dies loses the
-    round it was in; the next run goes on from the ledger. Ids that the service leaves out are
-    recorded as ``SILENT``, and not asked for again. If ids still have no
+    The ids without an answer (anti join with the ledger) are dealt to parts of at most
+    ``max_parallel`` tasks of ``batches_per_task`` calls each (larger ones beyond ``MAX_ROUNDS``
+    parts); a round is one Spark write that appends the responses to one part, or to several where
+    rounds end within ``ROUND_SECONDS``, so a slow service is asked in small rounds and the cost of
+    the writes stays small beside a fast one. A call that raises costs the rest of its turn of
+    ``batches_per_task`` calls: what the task heard before is kept, and the rest waits for the next of
+    ``attempts`` passes. A run that dies loses the round it was in; the next run goes on from the
+    ledger. Ids that the service leaves out are recorded as ``SILENT``, and not asked for again. If ids still have no
     answer, the run raises, or with ``on_error="drop"`` leaves them out. Returns the answers to
     ``ids``: request_id, status, body."""
     spark = ids.sparkSession
@@ -144,17 +153,23 @@ def answer_all(ids: DataFrame, id_col: str, fetch: Callable, ledger: str, batch_
     for _ in range(attempts):
         todo = land_table(want.join(answered(), "request_id", "left_anti"), "open-ids")
         n = todo.count()
-        rounds = -(-n // (tasks * batches_per_task * batch_size))
+        parts = min(MAX_ROUNDS, -(-n // (tasks * batches_per_task * batch_size)))
         if not n:
             break
-        if rounds > 1:
-            # A folder per round, so that a round reads its own ids only.
-            part = F.pmod(F.xxhash64("request_id"), F.lit(rounds)).alias("round")
-            todo = land_table(todo.select("request_id", part).repartition("round"), "open-rounds", "round")
-        for r in range(rounds):
-            mine = todo if rounds == 1 else todo.filter(F.col("round") == r).select("request_id")
-            (mine.repartition(tasks).mapInArrow(_recorder(fetch, batch_size), RESPONSE_SCHEMA)
+        if parts > 1:
+            # A folder per part, so that a round reads its own ids only.
+            part = F.pmod(F.xxhash64("request_id"), F.lit(parts)).alias("part")
+            todo = land_table(todo.select("request_id", part).repartition("part"), "open-parts", "part")
+        done, step = 0, 1
+        while done < parts:
+            mine = todo if parts == 1 else todo.filter(F.col("part").between(done, done + step - 1))
+            begin = time.monotonic()
+            (mine.select("request_id").repartition(tasks)
+             .mapInArrow(_recorder(fetch, batch_size, batches_per_task), RESPONSE_SCHEMA)
              .write.mode("append").parquet(ledger))
+            done += step
+            if time.monotonic() - begin < ROUND_SECONDS:
+                step *= 2
     answers = answered().join(want, "request_id", "left_semi")
     if on_error == "raise":
         lost = want.join(answered(), "request_id", "left_anti").count()

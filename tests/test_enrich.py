@@ -174,3 +174,46 @@ def test_ledger_in_rounds(spark, scratch_dir):
     assert got.count() == 300 and sorted(int(i) for c in _calls(log) for i in c) == list(range(300))
     assert max(len(c) for c in _calls(log)) <= 7
     assert E.answer_all(spark.range(0), "id", service, os.path.join(scratch_dir, "none")).count() == 0
+
+
+def _answer_each(ids):
+    yield from ((i, 200, "{}") for i in ids)
+
+
+def test_fast_service_is_asked_in_few_rounds(spark, scratch_dir):
+    """Rounds that end soon grow, so that the number of Spark writes does not follow the ids."""
+    import os
+
+    from cadenza.operators import enrich as E
+
+    ledger = os.path.join(scratch_dir, "ledger")
+    got = E.answer_all(spark.range(60), "id", _answer_each, ledger, batch_size=1, max_parallel=1, batches_per_task=1)
+    assert sorted(int(r.request_id) for r in got.collect()) == list(range(60))
+    assert len([f for f in os.listdir(ledger) if f.endswith(".parquet")]) <= 7      # one file per write
+
+
+@pytest.mark.parametrize("seconds, writes", [(30, 1), (0, 4)])
+def test_failed_call_costs_its_turn_in_any_round(spark, scratch_dir, monkeypatch, seconds, writes):
+    import os
+
+    from cadenza.operators import enrich as E
+
+    log, ledger = os.path.join(scratch_dir, "calls"), os.path.join(scratch_dir, "ledger")
+
+    def service(ids):
+        with open(log, "a") as fh:
+            fh.write(",".join(ids) + "\n")
+        if "7" in ids:
+            raise ConnectionError("down")
+        yield from ((i, 200, "{}") for i in ids)
+
+    monkeypatch.setattr(E, "ROUND_SECONDS", seconds)
+    monkeypatch.setattr(E, "MAX_ROUNDS", writes)
+    got = E.answer_all(spark.range(200), "id", service, ledger, batch_size=5, max_parallel=1, batches_per_task=2,
+                       attempts=1, on_error="drop")
+    left = {str(i) for i in range(200)} - {r.request_id for r in got.collect()}
+    assert "7" in left and len(left) <= 10 and max(len(c) for c in _calls(log)) <= 5
+    # The next run asks for those only.
+    got = E.answer_all(spark.range(200), "id", _answer_each, ledger, batch_size=5, max_parallel=1)
+    assert got.count() == 200 and got.distinct().count() == 200
+    assert E.read_ledger(spark, ledger).filter("status = 200").count() == 200
